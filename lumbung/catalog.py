@@ -27,14 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Calendar around the order dates of the files, and the day ages are counted on.
 CALENDAR = (date(1995, 1, 1), date(2004, 12, 31))
-AS_OF = date(2002, 2, 28)
+AS_OF = "date'2002-02-28'"
 BATCH_CUT = datetime(1999, 1, 1)
 
 QUERIES: dict[str, Query] = {}
 
 
 def models(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Models:
-    return Models(spark, RetailTables(spark, sf_dir, faulty), CALENDAR, F.lit(AS_OF))
+    return Models(spark, RetailTables(spark, sf_dir, faulty), CALENDAR, AS_OF)
 
 
 def _query(name: str, faulty: bool = False):
@@ -71,7 +71,7 @@ def _(m: Models) -> DataFrame:
 @_query("dim_time")
 def _(m: Models) -> DataFrame:
     """The minute dimension beside the orders placed in each minute."""
-    used = m.stg["orders"].groupBy(minute_key("order_ts").alias("time_key")).agg(F.count(F.lit(1)).alias("n"))
+    used = m.stg["orders"].groupBy(F.expr(f"{minute_key('order_ts')} as time_key")).agg(F.count(F.lit(1)).alias("n"))
     return dimensions.dim_time(minute_spine(m.spark)).join(used, "time_key", "left").select(
         "time_key", "time_value", "hour_of_day", "minute_of_hour", "daypart", F.coalesce("n", F.lit(0)).alias("order_count")
     )
@@ -148,9 +148,9 @@ def _(m: Models) -> DataFrame:
 @_query("key_surrogate")
 def _(m: Models) -> DataFrame:
     """Keys over one and several columns of several types, NULL included."""
-    return m.stg["shipments"].select(
-        "shipment_id", surrogate_key("shipment_id").alias("one"),
-        surrogate_key("shipment_id", "is_delayed", "delivered_ts", "tracking_number").alias("several"),
+    several = surrogate_key("shipment_id", "is_delayed", "delivered_ts", "tracking_number")
+    return m.stg["shipments"].selectExpr(
+        "shipment_id", f"{surrogate_key('shipment_id')} as one", f"{several} as several"
     )
 
 
@@ -179,9 +179,9 @@ def _(m: Models) -> DataFrame:
 @_query("fct_date_time_keys")
 def _(m: Models) -> DataFrame:
     joined = m.stg["orders"].join(m.stg["payments"].select("order_id", "payment_ts"), "order_id", "left")
-    return joined.select(
-        "order_id", date_key("order_ts").alias("order_date_key"), minute_key("order_ts").alias("order_time_key"),
-        date_key("payment_ts").alias("payment_date_key"),
+    return joined.selectExpr(
+        "order_id", f"{date_key('order_ts')} as order_date_key", f"{minute_key('order_ts')} as order_time_key",
+        f"{date_key('payment_ts')} as payment_date_key",
     )
 
 
@@ -393,8 +393,8 @@ def _(m: Models) -> DataFrame:
 
 @_table_query("rule_money_rounding")
 def _(read) -> DataFrame:
-    return read("part").select(
-        "p_partkey", money(F.col("p_partkey") / F.lit(2.0)).alias("half"), money(F.col("p_retailprice")).alias("price")
+    return read("part").selectExpr(
+        "p_partkey", f"{money('p_partkey / 2d')} as half", f"{money('p_retailprice')} as price"
     )
 
 
@@ -415,27 +415,27 @@ def _(m: Models) -> DataFrame:
 
 @_query("rule_payment_status")
 def _(m: Models) -> DataFrame:
-    return m.stg["orders"].select("order_id", rules.payment_status().alias("payment_status"))
+    return m.stg["orders"].selectExpr("order_id", f"{rules.PAYMENT_STATUS} as payment_status")
 
 
 @_query("rule_shipping_status")
 def _(m: Models) -> DataFrame:
     delivered = m.stg["shipments"].select("order_id", "delivered_ts")
-    return m.stg["orders"].join(delivered, "order_id", "left").select(
-        "order_id", rules.shipping_status().alias("shipping_status")
+    return m.stg["orders"].join(delivered, "order_id", "left").selectExpr(
+        "order_id", f"{rules.SHIPPING_STATUS} as shipping_status"
     )
 
 
 @_query("rule_order_numbers")
 def _(m: Models) -> DataFrame:
-    return m.stg["orders"].select("order_id", rules.order_number("order_ts", "order_id").alias("order_number"))
+    return m.stg["orders"].selectExpr("order_id", f"{rules.order_number('order_ts', 'order_id')} as order_number")
 
 
 @_query("rule_skus")
 def _(m: Models) -> DataFrame:
     names = m.stg["categories"].select("category_id", "category_name")
     named = lookup_join(m.stg["products"], names, ["category_id"], "inner", m.settings)
-    return named.select("product_id", rules.sku("category_name", "product_id").alias("sku"))
+    return named.selectExpr("product_id", f"{rules.sku('category_name', 'product_id')} as sku")
 
 
 @_query("rule_continued_keys")
@@ -458,7 +458,7 @@ def _(m: Models) -> DataFrame:
     """Customer age on the day of each order."""
     born = m.stg["customer_profile_events"].filter("operation = 'insert'").select("customer_id", "birth_date")
     aged = m.stg["orders"].select("order_id", "customer_id", "order_ts").join(born, "customer_id")
-    return aged.select("order_id", completed_years("birth_date", F.col("order_ts").cast("date")).alias("age_years"))
+    return aged.selectExpr("order_id", f"{completed_years('birth_date', 'order_ts')} as age_years")
 
 
 @_table_query("expr_percentiles")

@@ -1,10 +1,14 @@
-"""Column expressions; every one stays inside whole-stage code generation."""
+"""Expression builders. Arguments and results are SQL texts over column names.
+
+One text becomes one Catalyst expression, which keeps plans cheap to build; all of them stay
+inside whole-stage code generation.
+"""
 
 from .calendar import completed_years, date_key, minute_key, minutes_between, padded_name, whole_days_between
 from .keys import surrogate_key
-from .numeric import flag_rate, money, ratio
+from .numeric import money, ratio
 
 __all__ = [
-    "completed_years", "date_key", "flag_rate", "minute_key", "minutes_between", "money",
-    "padded_name", "ratio", "surrogate_key", "whole_days_between",
+    "completed_years", "date_key", "minute_key", "minutes_between", "money", "padded_name", "ratio",
+    "surrogate_key", "whole_days_between",
 ]

@@ -2,48 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def date_key(ts: Column | str) -> Column:
+def date_key(ts: str) -> str:
     """``YYYYMMDD`` as int; NULL stays NULL."""
-    d = _col(ts).cast("date")
-    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+    return f"(year({ts}) * 10000 + month({ts}) * 100 + dayofmonth({ts}))"
 
 
-def minute_key(ts: Column | str) -> Column:
+def minute_key(ts: str) -> str:
     """Minute of the day, 0..1439."""
-    t = _col(ts)
-    return F.hour(t) * 60 + F.minute(t)
+    return f"(hour({ts}) * 60 + minute({ts}))"
 
 
-def _seconds(start: Column, end: Column) -> Column:
+def _seconds(start: str, end: str) -> str:
     # Subtracting zone-less timestamps never consults the session zone, unlike timestampdiff.
-    return (end - start).cast("interval second").cast("decimal(20,6)")
+    return f"cast(cast({end} - {start} as interval second) as decimal(20,6))"
 
 
-def minutes_between(start: Column | str, end: Column | str) -> Column:
+def minutes_between(start: str, end: str) -> str:
     """Minutes from start to end as double with the sub-minute part; NULL when either is NULL."""
-    return _seconds(_col(start), _col(end)).cast("double") / F.lit(60.0)
+    return f"(cast({_seconds(start, end)} as double) / 60d)"
 
 
-def whole_days_between(start: Column | str, end: Column | str) -> Column:
+def whole_days_between(start: str, end: str) -> str:
     """Whole elapsed days, rounded down."""
-    return F.floor(_seconds(_col(start), _col(end)) / F.lit(86400)).cast("int")
+    return f"cast(floor({_seconds(start, end)} / 86400) as int)"
 
 
-def completed_years(birth: Column | str, as_of: Column) -> Column:
+def completed_years(birth: str, as_of: str) -> str:
     """Birthdays passed by ``as_of``; 29 February counts from 1 March in common years."""
-    b = _col(birth)
-    not_yet = (F.month(as_of) * 100 + F.dayofmonth(as_of)) < (F.month(b) * 100 + F.dayofmonth(b))
-    return (F.year(as_of) - F.year(b) - not_yet.cast("int")).cast("int")
+    early = f"month({as_of}) * 100 + dayofmonth({as_of}) < month({birth}) * 100 + dayofmonth({birth})"
+    return f"(year({as_of}) - year({birth}) - if({early}, 1, 0))"
 
 
-def padded_name(d: Column | str, pattern: str) -> Column:
+def padded_name(day: str, pattern: str) -> str:
     """English month or day name, blank-padded to nine characters."""
-    return F.rpad(F.date_format(_col(d), pattern), 9, " ")
+    return f"rpad(date_format({day}, '{pattern}'), 9, ' ')"

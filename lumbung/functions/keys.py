@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Separator and NULL marker must agree with keys already stored.
 SEPARATOR = "||"
 NULL_MARK = "_dbt_null_"
 
 
-def surrogate_key(*cols: Column | str) -> Column:
+def surrogate_key(*columns: str) -> str:
     """md5 over the text form of one or more columns; NULL has its own marker."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.md5(F.concat_ws(SEPARATOR, *parts))
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    parts = [f"coalesce(cast({c} as string), '{NULL_MARK}')" for c in columns]
+    return f"md5(concat_ws('{SEPARATOR}', {', '.join(parts)}))"

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def money(amount: Column) -> Column:
+def money(amount: str) -> str:
     """Round half to even and store as whole currency units."""
-    return F.bround(amount, 0).cast("long")
+    return f"cast(bround({amount}, 0) as bigint)"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Double division that yields NULL for a zero denominator."""
-    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
-
-
-def flag_rate(flag: Column) -> Column:
-    """Share of rows whose flag is true; NULL counts as not set."""
-    return F.avg(F.when(flag, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return f"(cast({numerator} as double) / nullif(cast({denominator} as double), 0d))"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import money, whole_days_between
@@ -44,22 +44,18 @@ def with_category(
 
 def order_subtotals(items: DataFrame) -> DataFrame:
     """Subtotal and Electronics subtotal per order, from items with ``category_name``."""
-    electronic = F.when(F.col("category_name") == ELECTRONICS, F.col("subtotal")).otherwise(F.lit(0))
     return items.groupBy("order_id").agg(
-        F.sum("subtotal").alias("order_subtotal"), F.sum(electronic).alias("electronics_subtotal")
+        F.sum("subtotal").alias("order_subtotal"),
+        F.expr(f"sum(if(category_name = '{ELECTRONICS}', subtotal, 0)) as electronics_subtotal"),
     )
 
 
 def eligible_vouchers(items: DataFrame) -> DataFrame:
     """Voucher codes each order qualifies for: (order_id, voucher_code)."""
-    total = F.col("order_subtotal")
-    codes = F.array(
-        F.lit(NO_VOUCHER),
-        F.when(total >= CASHBACK_MINIMUM, F.lit(CASHBACK)),
-        F.when(total >= FREE_SHIPPING_MINIMUM, F.lit(FREE_SHIPPING)),
-        F.when(F.col("electronics_subtotal") > 0, F.lit(ELECTRONICS_OFF)),
-    )
-    return order_subtotals(items).select("order_id", F.explode(F.array_compact(codes)).alias("voucher_code"))
+    return order_subtotals(items).selectExpr("order_id", f"""explode(array_compact(array('{NO_VOUCHER}',
+        if(order_subtotal >= {CASHBACK_MINIMUM}, '{CASHBACK}', null),
+        if(order_subtotal >= {FREE_SHIPPING_MINIMUM}, '{FREE_SHIPPING}', null),
+        if(electronics_subtotal > 0, '{ELECTRONICS_OFF}', null)))) as voucher_code""")
 
 
 def promotion_pools(
@@ -71,14 +67,13 @@ def promotion_pools(
         settings,
     )
     fees = shipments.select("order_id", "shipping_fee")
-    code = F.col("voucher_code")
-    return coded.join(order_subtotals(items), "order_id", "inner").join(fees, "order_id", "left").select(
+    cashback = money(f"order_subtotal * {CASHBACK_RATE}d")
+    return coded.join(order_subtotals(items), "order_id", "inner").join(fees, "order_id", "left").selectExpr(
         "order_id", "voucher_code", "order_subtotal", "electronics_subtotal",
-        F.when(code == CASHBACK, money(F.col("order_subtotal") * F.lit(CASHBACK_RATE))).otherwise(F.lit(0))
-        .alias("cashback_pool"),
-        F.when(code == ELECTRONICS_OFF, F.least(F.lit(ELECTRONICS_LIMIT), "electronics_subtotal")).otherwise(F.lit(0))
-        .cast("long").alias("electronics_pool"),
-        F.when(code == FREE_SHIPPING, F.coalesce("shipping_fee", F.lit(0))).otherwise(F.lit(0)).alias("shipping_pool"),
+        f"if(voucher_code = '{CASHBACK}', {cashback}, 0L) as cashback_pool",
+        f"if(voucher_code = '{ELECTRONICS_OFF}', least({ELECTRONICS_LIMIT}L, electronics_subtotal), 0L)"
+        " as electronics_pool",
+        f"if(voucher_code = '{FREE_SHIPPING}', coalesce(shipping_fee, 0L), 0L) as shipping_pool",
     )
 
 
@@ -87,27 +82,23 @@ def allocated_items(items: DataFrame, pools: DataFrame, settings: SkewSettings =
 
     Every amount is rounded on its own, so the items of an order need not add up to the pool.
     """
-    def share(total: str, member: Column | None = None) -> Column:
-        usable = F.col(total) != 0
-        usable = usable if member is None else usable & member
-        return F.when(usable, F.col("subtotal") / F.col(total)).otherwise(F.lit(0.0))
-
-    general = share("order_subtotal")
-    electronic = share("electronics_subtotal", F.col("category_name") == ELECTRONICS)
+    general = "if(order_subtotal <> 0, subtotal / order_subtotal, 0d)"
+    electronic = (
+        f"if(category_name = '{ELECTRONICS}' and electronics_subtotal <> 0, subtotal / electronics_subtotal, 0d)"
+    )
     joined = skew_join(items, pools, ["order_id"], "inner", settings, measure=items.select("order_id"))
-    return joined.select(
+    given = joined.selectExpr(
         "order_item_id", "order_id", "product_id", "quantity", "subtotal", "discount_amount", "estimated_cost",
-        money(F.col("cashback_pool") * general + F.col("electronics_pool") * electronic).alias("voucher_amount"),
-        money(F.col("shipping_pool") * general).alias("shipping_subsidy"),
-    ).transform(with_item_amounts)
+        f"{money(f'cashback_pool * {general} + electronics_pool * {electronic}')} as voucher_amount",
+        f"{money(f'shipping_pool * {general}')} as shipping_subsidy",
+    )
+    return with_item_amounts(given)
 
 
 def with_item_amounts(items: DataFrame) -> DataFrame:
     """Customer payment and profit of an item from its parts."""
-    paid = F.col("subtotal") - F.col("discount_amount") - F.col("voucher_amount")
-    return items.withColumn("total_payment", paid).withColumn(
-        "profit", F.col("total_payment") - F.col("estimated_cost") - F.col("shipping_subsidy")
-    )
+    paid = items.selectExpr("*", "subtotal - discount_amount - voucher_amount as total_payment")
+    return paid.selectExpr("*", "total_payment - estimated_cost - shipping_subsidy as profit")
 
 
 def payment_amounts(items: DataFrame) -> DataFrame:
@@ -117,11 +108,9 @@ def payment_amounts(items: DataFrame) -> DataFrame:
 
 def stage_times(status_events: DataFrame) -> DataFrame:
     """First shipped and delivered time per order."""
-    def first(status: str) -> Column:
-        return F.min(F.when(F.col("status") == status, F.col("status_ts")))
-
     return status_events.groupBy("order_id").agg(
-        first("shipped").alias("shipped_ts"), first("delivered").alias("delivered_ts")
+        F.expr("min(status_ts) filter (where status = 'shipped') as shipped_ts"),
+        F.expr("min(status_ts) filter (where status = 'delivered') as delivered_ts"),
     )
 
 
@@ -131,38 +120,29 @@ def late_deliveries(
     """Shipments that took more whole days than their service promises."""
     promise = shipping_services.select("shipping_service_id", "max_delivery_days")
     joined = lookup_join(shipments, promise, ["shipping_service_id"], "inner", settings)
-    return joined.select(
+    return joined.selectExpr(
         "shipment_id", "order_id", "shipping_service_id",
-        whole_days_between("shipped_ts", "delivered_ts").alias("delivery_days"), "max_delivery_days",
-    ).filter(F.col("delivery_days") > F.col("max_delivery_days"))
+        f"{whole_days_between('shipped_ts', 'delivered_ts')} as delivery_days", "max_delivery_days",
+    ).filter("delivery_days > max_delivery_days")
 
 
-def payment_status() -> Column:
-    """Payment status that follows from order status and cancellation stage."""
-    never_paid = (F.col("order_status") == "cancelled") & (F.col("cancellation_stage") == "placed")
-    return F.when(never_paid, F.lit("cancelled")).when(
-        F.col("order_status") == "returned", F.lit("refunded")
-    ).otherwise(F.lit("paid"))
+#: Payment status that follows from order status and cancellation stage.
+PAYMENT_STATUS = """case when order_status = 'cancelled' and cancellation_stage = 'placed' then 'cancelled'
+    when order_status = 'returned' then 'refunded' else 'paid' end"""
 
+#: Shipping status that follows from order status and delivery time.
+SHIPPING_STATUS = """case when order_status = 'cancelled' then 'cancelled'
+    when delivered_ts is not null then 'delivered' else 'in_progress' end"""
 
-def shipping_status() -> Column:
-    """Shipping status that follows from order status and delivery time."""
-    return F.when(F.col("order_status") == "cancelled", F.lit("cancelled")).when(
-        F.col("delivered_ts").isNotNull(), F.lit("delivered")
-    ).otherwise(F.lit("in_progress"))
 
-
-def order_number(ts: Column | str, order_id: Column | str) -> Column:
+def order_number(ts: str, order_id: str) -> str:
     """``ORD-YYYYMMDD-`` and the order id with at least eight digits."""
-    stamp = F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyyMMdd")
-    return F.concat(F.lit("ORD-"), stamp, F.lit("-"), F.format_string("%08d", F.col(order_id) if isinstance(order_id, str) else order_id))
+    return f"concat('ORD-', date_format({ts}, 'yyyyMMdd'), '-', format_string('%08d', {order_id}))"
 
 
-def sku(category_name: Column | str, product_id: Column | str) -> Column:
+def sku(category_name: str, product_id: str) -> str:
     """``SKU-XXX-`` and the product id with at least five digits."""
-    name = F.col(category_name) if isinstance(category_name, str) else category_name
-    number = F.col(product_id) if isinstance(product_id, str) else product_id
-    return F.concat(F.lit("SKU-"), F.upper(F.substring(name, 1, 3)), F.lit("-"), F.format_string("%05d", number))
+    return f"concat('SKU-', upper(substring({category_name}, 1, 3)), '-', format_string('%05d', {product_id}))"
 
 
 def continued_keys(
@@ -182,10 +162,7 @@ def illegal_steps(status_events: DataFrame, settings: SkewSettings = DEFAULT) ->
         status_events.select("order_id", "status_event_id", "status", "status_ts"),
         ["order_id"], ["status_ts", "status_event_id"], OrderedSpec(nexts={"next_status": "status"}), settings,
     )
-    allowed = F.lit(False)
-    for status, following in LEGAL_STEPS.items():
-        if following:
-            allowed = allowed | ((F.col("status") == status) & F.col("next_status").isin(*following))
-    return followed.filter(F.col("next_status").isNotNull() & ~allowed).select(
-        "order_id", "status_event_id", "status", "next_status", "status_ts"
-    )
+    allowed = [f"('{a}', '{b}')" for a, following in LEGAL_STEPS.items() for b in following]
+    return followed.filter(
+        f"next_status is not null and struct(status, next_status) not in ({', '.join(allowed)})"
+    ).select("order_id", "status_event_id", "status", "next_status", "status_ts")

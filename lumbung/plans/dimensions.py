@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lumbung.functions import completed_years, date_key, padded_name, surrogate_key
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
@@ -18,127 +17,114 @@ STATUS_GROUPS = {
 #: Daypart -> last hour it covers, in order of the day.
 DAYPARTS = {"Late Night": 5, "Morning": 10, "Lunch": 14, "Afternoon": 17, "Evening": 21, "Night": 23}
 
-FLAGS = [
-    "is_cancelled", "is_returned", "has_voucher", "has_shipping_subsidy", "is_delayed", "cancellation_stage",
-]
+#: Junk-dimension attribute -> its value for an item row.
+FLAGS = {
+    "is_cancelled": "is_cancelled",
+    "is_returned": "is_returned",
+    "has_voucher": "voucher_amount > 0",
+    "has_shipping_subsidy": "shipping_subsidy > 0",
+    "is_delayed": "coalesce(is_delayed, false)",
+    "cancellation_stage": "coalesce(cancellation_stage, 'not_cancelled')",
+}
+
+
+def _case(arms: list[tuple[str, str]], default: str) -> str:
+    """First matching arm of (condition, value)."""
+    return "case " + " ".join(f"when {condition} then {value}" for condition, value in arms) + f" else {default} end"
 
 
 def dim_category(categories: DataFrame) -> DataFrame:
-    return categories.select(
-        surrogate_key("category_id").alias("category_key"), F.col("category_id").alias("category_nk"),
-        "category_name", "subcategory_name", "department",
+    return categories.selectExpr(
+        f"{surrogate_key('category_id')} as category_key", "category_id as category_nk", "category_name",
+        "subcategory_name", "department",
     )
 
 
 def dim_city(cities: DataFrame) -> DataFrame:
-    return cities.select(
-        surrogate_key("city_id").alias("city_key"), F.col("city_id").alias("city_nk"),
-        "city_name", "province", "region", "country",
+    return cities.selectExpr(
+        f"{surrogate_key('city_id')} as city_key", "city_id as city_nk", "city_name", "province", "region", "country"
     )
 
 
 def dim_customer(
-    scd2: DataFrame, cities: DataFrame, as_of: Column | None = None, settings: SkewSettings = DEFAULT
+    scd2: DataFrame, cities: DataFrame, as_of: str = "current_date()", settings: SkewSettings = DEFAULT
 ) -> DataFrame:
-    """Customer versions with their city key and age on ``as_of`` (default: today)."""
-    today = F.current_date() if as_of is None else as_of
-    city = cities.select(F.col("city_nk").alias("city_id"), "city_key")
-    return lookup_join(scd2, city, ["city_id"], "inner", settings).select(
+    """Customer versions with their city key and age on the day ``as_of``, an SQL date."""
+    city = cities.selectExpr("city_nk as city_id", "city_key")
+    return lookup_join(scd2, city, ["city_id"], "inner", settings).selectExpr(
         "customer_key", "customer_nk", "city_key", "full_name", "email", "gender", "birth_date",
-        completed_years("birth_date", today).alias("age_years"),
-        "loyalty_tier", "marketing_opt_in", "valid_from", "valid_to", "is_current",
+        f"{completed_years('birth_date', as_of)} as age_years", "loyalty_tier", "marketing_opt_in",
+        "valid_from", "valid_to", "is_current",
     )
 
 
 def dim_date(spine: DataFrame) -> DataFrame:
     """Calendar attributes of a spine with one ``date_day`` per row."""
-    day = F.col("date_day")
-    weekday = (F.weekday(day) + 1).cast("int")
-    return spine.select(
-        date_key(day).alias("date_key"), "date_day", F.year(day).alias("year"), F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"), padded_name(day, "MMMM").alias("month_name"),
-        F.dayofmonth(day).alias("day_of_month"), weekday.alias("day_of_week"),
-        padded_name(day, "EEEE").alias("day_name"), F.weekofyear(day).alias("week_of_year"),
-        weekday.isin(6, 7).alias("is_weekend"),
+    return spine.selectExpr(
+        f"{date_key('date_day')} as date_key", "date_day", "year(date_day) as year", "quarter(date_day) as quarter",
+        "month(date_day) as month", f"{padded_name('date_day', 'MMMM')} as month_name",
+        "dayofmonth(date_day) as day_of_month", "weekday(date_day) + 1 as day_of_week",
+        f"{padded_name('date_day', 'EEEE')} as day_name", "weekofyear(date_day) as week_of_year",
+        "weekday(date_day) + 1 in (6, 7) as is_weekend",
     )
 
 
 def dim_time(spine: DataFrame) -> DataFrame:
     """Minute attributes of a spine with one ``minute_of_day`` per row."""
-    hour = F.expr("cast(minute_of_day div 60 as int)")
-    minute = F.expr("cast(minute_of_day % 60 as int)")
+    hour, minute = "cast(minute_of_day div 60 as int)", "cast(minute_of_day % 60 as int)"
     *first, last = DAYPARTS
-    daypart = F.when(F.lit(False), F.lit(None))
-    for name in first:
-        daypart = daypart.when(hour <= DAYPARTS[name], F.lit(name))
-    return spine.select(
-        F.col("minute_of_day").alias("time_key"), F.format_string("%02d:%02d:00", hour, minute).alias("time_value"),
-        hour.alias("hour_of_day"), minute.alias("minute_of_hour"), daypart.otherwise(F.lit(last)).alias("daypart"),
+    daypart = _case([(f"{hour} <= {DAYPARTS[name]}", f"'{name}'") for name in first], f"'{last}'")
+    return spine.selectExpr(
+        "minute_of_day as time_key", f"format_string('%02d:%02d:00', {hour}, {minute}) as time_value",
+        f"{hour} as hour_of_day", f"{minute} as minute_of_hour", f"{daypart} as daypart",
     )
 
 
-def flag_columns() -> list[Column]:
-    """The six junk-dimension attributes of an item row, with their defaults."""
-    return [
-        F.col("is_cancelled"), F.col("is_returned"),
-        (F.col("voucher_amount") > 0).alias("has_voucher"),
-        (F.col("shipping_subsidy") > 0).alias("has_shipping_subsidy"),
-        F.coalesce("is_delayed", F.lit(False)).alias("is_delayed"),
-        F.coalesce("cancellation_stage", F.lit("not_cancelled")).alias("cancellation_stage"),
-    ]
-
-
 def dim_order_flags(enriched: DataFrame) -> DataFrame:
     """Junk dimension: the flag combinations that occur, keyed by their hash."""
-    return enriched.select(*flag_columns()).distinct().select(surrogate_key(*FLAGS).alias("order_flags_key"), *FLAGS)
+    seen = enriched.selectExpr(*[f"{text} as {name}" for name, text in FLAGS.items()]).distinct()
+    return seen.selectExpr(f"{surrogate_key(*FLAGS)} as order_flags_key", *FLAGS)
 
 
 def dim_order_status(orders: DataFrame, status_events: DataFrame) -> DataFrame:
     """Statuses seen on orders or in events, with group and sort position."""
-    seen = orders.select(F.col("order_status").alias("order_status")).union(status_events.select("status")).distinct()
-    status = F.col("order_status")
-    group = F.when(F.lit(False), F.lit(None))
-    for name, members in STATUS_GROUPS.items():
-        group = group.when(status.isin(*members), F.lit(name))
-    position = F.when(F.lit(False), F.lit(None))
-    for i, name in enumerate(STATUS_ORDER, start=1):
-        position = position.when(status == name, F.lit(i))
-    return seen.select(
-        surrogate_key("order_status").alias("order_status_key"), "order_status",
-        group.otherwise(F.lit("Unknown")).alias("status_group"),
-        position.otherwise(F.lit(99)).alias("status_sort_order"),
+    # Each side is reduced to its few values before the union.
+    seen = orders.select("order_status").distinct().union(status_events.select("status").distinct()).distinct()
+    groups = [(f"order_status in ({str(members)[1:-1]})", f"'{name}'") for name, members in STATUS_GROUPS.items()]
+    places = [(f"order_status = '{name}'", str(i)) for i, name in enumerate(STATUS_ORDER, start=1)]
+    return seen.selectExpr(
+        f"{surrogate_key('order_status')} as order_status_key", "order_status",
+        _case(groups, "'Unknown'") + " as status_group", _case(places, "99") + " as status_sort_order",
     )
 
 
 def dim_payment_method(payment_methods: DataFrame) -> DataFrame:
-    on_delivery = F.col("payment_method_name") == "COD"
-    return payment_methods.select(
-        surrogate_key("payment_method_id").alias("payment_method_key"),
-        F.col("payment_method_id").alias("payment_method_nk"), "payment_method_name", "payment_group",
-        F.when(on_delivery, F.lit(False)).otherwise(F.lit(True)).alias("supports_instant_voucher"),
+    return payment_methods.selectExpr(
+        f"{surrogate_key('payment_method_id')} as payment_method_key", "payment_method_id as payment_method_nk",
+        "payment_method_name", "payment_group",
+        "case when payment_method_name = 'COD' then false else true end as supports_instant_voucher",
     )
 
 
 def dim_product(products: DataFrame, categories: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Products of known categories; ``categories`` is the category dimension."""
-    category = categories.select(F.col("category_nk").alias("category_id"), "category_key")
-    return lookup_join(products, category, ["category_id"], "inner", settings).select(
-        surrogate_key("product_id").alias("product_key"), F.col("product_id").alias("product_nk"), "category_key",
-        "sku", "product_name", "standard_price", "estimated_unit_cost", "is_active", "created_at",
+    category = categories.selectExpr("category_nk as category_id", "category_key")
+    return lookup_join(products, category, ["category_id"], "inner", settings).selectExpr(
+        f"{surrogate_key('product_id')} as product_key", "product_id as product_nk", "category_key", "sku",
+        "product_name", "standard_price", "estimated_unit_cost", "is_active", "created_at",
     )
 
 
 def dim_shipping(shipping_services: DataFrame) -> DataFrame:
-    return shipping_services.select(
-        surrogate_key("shipping_service_id").alias("shipping_key"),
-        F.col("shipping_service_id").alias("shipping_service_nk"),
+    return shipping_services.selectExpr(
+        f"{surrogate_key('shipping_service_id')} as shipping_key", "shipping_service_id as shipping_service_nk",
         "shipping_provider", "shipping_service", "service_level", "min_delivery_days", "max_delivery_days",
     )
 
 
 def dim_voucher(vouchers: DataFrame) -> DataFrame:
-    return vouchers.select(
-        surrogate_key("voucher_id").alias("voucher_key"), F.col("voucher_id").alias("voucher_nk"),
-        "voucher_code", "voucher_name", "voucher_type", "rule_description", "min_order_amount",
-        "discount_amount", "cashback_rate", (F.col("voucher_code") != "NO_DISCOUNT").alias("is_voucher"),
+    return vouchers.selectExpr(
+        f"{surrogate_key('voucher_id')} as voucher_key", "voucher_id as voucher_nk", "voucher_code", "voucher_name",
+        "voucher_type", "rule_description", "min_order_amount", "discount_amount", "cashback_rate",
+        "voucher_code <> 'NO_DISCOUNT' as is_voucher",
     )

@@ -13,7 +13,7 @@ from lumbung.functions import date_key, minute_key, surrogate_key
 from lumbung.operators.asof import asof_join
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join, skew_join
 
-from .dimensions import FLAGS, flag_columns
+from .dimensions import FLAGS
 from .intermediate import order_context
 
 FACT_COLUMNS = [
@@ -108,15 +108,15 @@ def resolved_orders(
         stg["orders"], dims.customer, "customer_id", "order_ts", "customer_nk", ["customer_key", "city_key"],
         position="customer_order_number", position_order=["order_id"], settings=settings,
     )
-    method = dims.payment_method.select(F.col("payment_method_nk").alias("payment_method_id"), "payment_method_key")
-    service = dims.shipping.select(F.col("shipping_service_nk").alias("shipping_service_id"), "shipping_key")
-    voucher = dims.voucher.select(F.col("voucher_nk").alias("voucher_id"), "voucher_key")
+    method = dims.payment_method.selectExpr("payment_method_nk as payment_method_id", "payment_method_key")
+    service = dims.shipping.selectExpr("shipping_service_nk as shipping_service_id", "shipping_key")
+    voucher = dims.voucher.selectExpr("voucher_nk as voucher_id", "voucher_key")
     keyed = lookup_join(placed, method, ["payment_method_id"], "inner", settings)
     keyed = lookup_join(keyed, service, ["shipping_service_id"], "inner", settings)
     keyed = lookup_join(keyed, voucher, ["voucher_id"], "inner", settings)
     if dims.order_status is None:
-        keyed = keyed.filter(F.col("order_status").isNotNull()).withColumn(
-            "order_status_key", surrogate_key("order_status")
+        keyed = keyed.filter("order_status is not null").selectExpr(
+            "*", f"{surrogate_key('order_status')} as order_status_key"
         )
     else:
         status = dims.order_status.select("order_status", "order_status_key")
@@ -128,37 +128,34 @@ def _items_with_orders(
     items: DataFrame, orders: DataFrame, dims: Dimensions, settings: SkewSettings
 ) -> DataFrame:
     category = dims.category.select("category_key")
-    product = lookup_join(dims.product, category, ["category_key"], "inner", settings).select(
-        F.col("product_nk").alias("product_id"), "product_key", "category_key"
+    product = lookup_join(dims.product, category, ["category_key"], "inner", settings).selectExpr(
+        "product_nk as product_id", "product_key", "category_key"
     )
     with_product = lookup_join(items, product, ["product_id"], "inner", settings, measure=items.select("product_id"))
     joined = skew_join(with_product, orders, ["order_id"], "inner", settings, measure=items.select("order_id"))
-    return _with_flags(joined, dims.order_flags, settings).select(
-        surrogate_key("order_item_id").alias("order_item_key"),
+    return _with_flags(joined, dims.order_flags, settings).selectExpr(
+        f"{surrogate_key('order_item_id')} as order_item_key",
         "order_item_id", "order_id", "order_number", "item_number",
-        date_key("order_ts").alias("order_date_key"),
-        minute_key("order_ts").alias("order_time_key"),
-        date_key("payment_ts").alias("payment_date_key"),
-        "customer_key", F.col("city_key").alias("customer_city_key"), "product_key", "category_key",
+        f"{date_key('order_ts')} as order_date_key", f"{minute_key('order_ts')} as order_time_key",
+        f"{date_key('payment_ts')} as payment_date_key",
+        "customer_key", "city_key as customer_city_key", "product_key", "category_key",
         "payment_method_key", "shipping_key", "order_status_key", "voucher_key", "order_flags_key",
-        F.col("customer_id").alias("customer_nk"), F.col("product_id").alias("product_nk"),
+        "customer_id as customer_nk", "product_id as product_nk",
         "order_ts", "sales_channel", "currency", "payment_status", "cancellation_stage",
         "quantity", "unit_price", "subtotal", "discount_amount", "shipping_subsidy", "voucher_amount",
         "total_payment", "estimated_cost", "profit", "delivery_duration_minutes",
-        "is_returned", "is_cancelled", F.coalesce("is_delayed", F.lit(False)).alias("is_delayed"),
-        "customer_order_number", (F.col("customer_order_number") == 1).alias("is_new_customer_order"),
+        "is_returned", "is_cancelled", "coalesce(is_delayed, false) as is_delayed",
+        "customer_order_number", "customer_order_number = 1 as is_new_customer_order",
         "loaded_at",
     )
 
 
 def _with_flags(rows: DataFrame, order_flags: DataFrame | None, settings: SkewSettings) -> DataFrame:
     """Add ``order_flags_key``, by hash or by lookup on the six derived conditions."""
-    marks = {name: f"_flag_{name}" for name in FLAGS}
-    flagged = rows.select("*", *[c.alias(m) for c, m in zip(flag_columns(), marks.values())])
+    marks = [f"_flag_{name}" for name in FLAGS]
+    flagged = rows.selectExpr("*", *[f"{text} as _flag_{name}" for name, text in FLAGS.items()])
     if order_flags is not None:
-        lookup = order_flags.select("order_flags_key", *[F.col(n).alias(m) for n, m in marks.items()])
-        return lookup_join(flagged, lookup, list(marks.values()), "inner", settings)
-    known = F.lit(True)
-    for m in marks.values():
-        known = known & F.col(m).isNotNull()
-    return flagged.filter(known).withColumn("order_flags_key", surrogate_key(*marks.values()))
+        lookup = order_flags.selectExpr("order_flags_key", *[f"{n} as _flag_{n}" for n in FLAGS])
+        return lookup_join(flagged, lookup, marks, "inner", settings)
+    known = " and ".join(f"{m} is not null" for m in marks)
+    return flagged.filter(known).selectExpr("*", f"{surrogate_key(*marks)} as order_flags_key")

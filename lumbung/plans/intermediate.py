@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lumbung.functions import minutes_between, surrogate_key
 from lumbung.operators.ordered import OrderedSpec, ordered
@@ -21,27 +20,24 @@ def customer_scd2(profile_events: DataFrame, settings: SkewSettings = DEFAULT) -
         profile_events, ["customer_id"], ["effective_at", "customer_profile_event_id"],
         OrderedSpec(nexts={"_next": "effective_at"}), settings,
     )
-    return followed.select(
-        surrogate_key("customer_id", "effective_at").alias("customer_key"),
-        F.col("customer_id").alias("customer_nk"),
+    return followed.selectExpr(
+        f"{surrogate_key('customer_id', 'effective_at')} as customer_key", "customer_id as customer_nk",
         "full_name", "email", "gender", "birth_date", "city_id", "loyalty_tier", "marketing_opt_in",
-        F.col("effective_at").alias("valid_from"),
-        F.coalesce("_next", F.expr(OPEN_END)).alias("valid_to"),
-        F.col("_next").isNull().alias("is_current"),
+        "effective_at as valid_from", f"coalesce(_next, {OPEN_END}) as valid_to", "_next is null as is_current",
     )
 
 
 def order_fulfillment(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """Orders with their shipment and the minutes to hand-over and to delivery."""
-    shipment = shipments.select(
+    shipment = shipments.selectExpr(
         "order_id", "checkout_ts", "shipped_ts", "delivered_ts", "shipping_service_id", "shipping_fee",
-        F.col("shipping_subsidy").alias("shipment_shipping_subsidy"), "is_delayed", "shipping_status",
+        "shipping_subsidy as shipment_shipping_subsidy", "is_delayed", "shipping_status",
     )
-    return orders.select("order_id", "order_ts").join(shipment, "order_id", "left").select(
+    return orders.select("order_id", "order_ts").join(shipment, "order_id", "left").selectExpr(
         "order_id", "order_ts", "checkout_ts", "shipped_ts", "delivered_ts", "shipping_service_id",
         "shipping_fee", "shipment_shipping_subsidy", "is_delayed", "shipping_status",
-        minutes_between("checkout_ts", "delivered_ts").alias("delivery_duration_minutes"),
-        minutes_between("checkout_ts", "shipped_ts").alias("checkout_to_ship_minutes"),
+        f"{minutes_between('checkout_ts', 'delivered_ts')} as delivery_duration_minutes",
+        f"{minutes_between('checkout_ts', 'shipped_ts')} as checkout_to_ship_minutes",
     )
 
 
@@ -52,9 +48,8 @@ def order_context(orders: DataFrame, payments: DataFrame, shipments: DataFrame)
     partitioning and the much larger item table is shuffled once.
     """
     paid = payments.select("order_id", "payment_status", "payment_ts")
-    delivered = shipments.select(
-        "order_id", "is_delayed",
-        minutes_between("checkout_ts", "delivered_ts").alias("delivery_duration_minutes"),
+    delivered = shipments.selectExpr(
+        "order_id", "is_delayed", f"{minutes_between('checkout_ts', 'delivered_ts')} as delivery_duration_minutes"
     )
     return orders.drop("loaded_at").join(paid, "order_id", "left").join(delivered, "order_id", "left")
 
@@ -66,7 +61,7 @@ def order_item_enriched(stg: Mapping[str, DataFrame], settings: SkewSettings = D
     products = stg["products"].select("product_id", "category_id")
     with_product = lookup_join(items, products, ["product_id"], "inner", settings, measure=items.select("product_id"))
     joined = skew_join(with_product, context, ["order_id"], "inner", settings, measure=items.select("order_id"))
-    return joined.select(
+    return joined.selectExpr(
         "order_item_id", "order_id", "order_number", "customer_id", "order_ts", "order_status",
         "cancellation_stage", "payment_method_id", "shipping_service_id", "voucher_id", "sales_channel",
         "currency", "product_id", "category_id", "item_number", "quantity", "unit_price", "subtotal",
@@ -78,19 +73,18 @@ def order_item_enriched(stg: Mapping[str, DataFrame], settings: SkewSettings = D
 
 def order_status_lifecycle(status_events: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Status events with position, following time, and the order's cancel and return times."""
-    marked = status_events.select(
+    marked = status_events.selectExpr(
         "order_id", "status_event_id", "status", "status_ts",
-        F.when(F.col("status") == "cancelled", F.col("status_ts")).alias("_cancelled"),
-        F.when(F.col("status") == "returned", F.col("status_ts")).alias("_returned"),
+        "case when status = 'cancelled' then status_ts end as _cancelled",
+        "case when status = 'returned' then status_ts end as _returned",
     )
     spec = OrderedSpec(
         sequence="status_sequence", nexts={"next_status_ts": "status_ts"},
         maximums={"cancelled_ts": "_cancelled", "returned_ts": "_returned"},
     )
     placed = ordered(marked, ["order_id"], ["status_ts", "status_event_id"], spec, settings)
-    return placed.select(
-        "order_id", "status_event_id", "status", "status_ts",
-        F.col("status_sequence").cast("int").alias("status_sequence"),
+    return placed.selectExpr(
+        "order_id", "status_event_id", "status", "status_ts", "cast(status_sequence as int) as status_sequence",
         "next_status_ts", "cancelled_ts", "returned_ts",
     )
 
@@ -101,7 +95,7 @@ def customer_order_sequence(orders: DataFrame, settings: SkewSettings = DEFAULT)
     numbered = ordered(
         orders.select("order_id", "customer_id", "order_ts"), ["customer_id"], ["order_ts", "order_id"], spec, settings
     )
-    return numbered.select(
-        "order_id", "customer_id", "order_ts",
-        F.col("customer_order_number").cast("int").alias("customer_order_number"), "first_order_ts",
+    return numbered.selectExpr(
+        "order_id", "customer_id", "order_ts", "cast(customer_order_number as int) as customer_order_number",
+        "first_order_ts",
     )

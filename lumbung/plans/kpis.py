@@ -13,9 +13,7 @@ from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
 
 
 def promo_loss_total(monthly: DataFrame) -> DataFrame:
-    return monthly.agg(
-        F.sum(F.col("discount_amount") + F.col("shipping_subsidy") + F.col("voucher_amount")).alias("total_promo_loss")
-    )
+    return monthly.agg(F.expr("sum(discount_amount + shipping_subsidy + voucher_amount) as total_promo_loss"))
 
 
 def customers_in_group(segments: DataFrame, group: str = "High Revenue Low Frequency") -> DataFrame:
@@ -44,26 +42,28 @@ def high_profit_low_sales(
 
 def fastest_and_slowest_service(shipping: DataFrame) -> DataFrame:
     """Names of the services with the shortest and the longest single delivery."""
-    service = F.concat_ws(" ", "shipping_provider", "shipping_service")
-    return shipping.agg(
-        F.min(F.struct(F.col("fastest_delivery_minutes").alias("m"), service.alias("s"))).getField("s").alias("fastest"),
-        F.min("fastest_delivery_minutes").alias("fastest_minutes"),
-        F.max(F.struct(F.col("slowest_delivery_minutes").alias("m"), service.alias("s"))).getField("s").alias("slowest"),
-        F.max("slowest_delivery_minutes").alias("slowest_minutes"),
+    service = "concat_ws(' ', shipping_provider, shipping_service)"
+    fastest, slowest = "fastest_delivery_minutes", "slowest_delivery_minutes"
+    # The name takes part in the comparison, so equal times have one outcome.
+    return shipping.filter(f"{fastest} is not null").agg(
+        F.expr(f"min_by({service}, struct({fastest}, {service})) as fastest"),
+        F.expr(f"min({fastest}) as fastest_minutes"),
+        F.expr(f"max_by({service}, struct({slowest}, {service})) as slowest"),
+        F.expr(f"max({slowest}) as slowest_minutes"),
     )
 
 
 def overall_rates(orders: DataFrame) -> DataFrame:
     return orders.agg(
-        ratio(F.sum("returned_items"), F.sum("item_count")).alias("return_rate"),
-        ratio(F.sum("cancelled_items"), F.sum("item_count")).alias("cancellation_rate"),
+        F.expr(f"{ratio('sum(returned_items)', 'sum(item_count)')} as return_rate"),
+        F.expr(f"{ratio('sum(cancelled_items)', 'sum(item_count)')} as cancellation_rate"),
     )
 
 
 def average_order_value(orders: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return orders.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("order_count"),
-        ratio(F.sum("total_payment"), F.count(F.lit(1))).alias("average_order_value"),
+        F.expr(f"{ratio('sum(total_payment)', 'count(*)')} as average_order_value"),
     )
 
 

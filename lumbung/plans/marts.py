@@ -25,8 +25,17 @@ ORDER_KEYS = [
 VIP_REVENUE, HIGH_REVENUE, LOW_REVENUE, FREQUENT_ORDERS = 5_000_000, 3_000_000, 1_000_000, 5
 
 
-def _flag(name: str) -> Column:
-    return F.when(F.col(name), F.lit(1)).otherwise(F.lit(0))
+def _exprs(*texts: str) -> list[Column]:
+    return [F.expr(t) for t in texts]
+
+
+def _sums(*columns: str) -> list[str]:
+    """``sum(c) as c``, or ``sum(c) as name`` for entries written "c name"."""
+    return [f"sum({c.split()[0]}) as {c.split()[-1]}" for c in columns]
+
+
+def _share(part: str, whole: str = "item_count") -> str:
+    return ratio(f"sum({part})", f"sum({whole})")
 
 
 def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> DataFrame:
@@ -35,106 +44,90 @@ def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> Da
     Partial sums are combined before the shuffle, so an order with very many items is no
     hot spot. Measures a mart does not use are pruned by the optimizer.
     """
-    sums = [
-        "quantity", "subtotal", "discount_amount", "shipping_subsidy", "voucher_amount", "total_payment",
-        "estimated_cost", "profit",
-    ]
-    promo = F.col("discount_amount") + F.col("voucher_amount") + F.col("shipping_subsidy")
-    minutes = F.col("delivery_duration_minutes")
-    return fact.groupBy("order_id", *keys).agg(
-        F.count(F.lit(1)).alias("item_count"),
-        *[F.sum(c).alias(c) for c in sums],
-        F.count("total_payment").alias("paid_item_count"),
-        F.sum(promo).alias("promo_loss"),
-        F.max("order_ts").alias("order_ts"),
-        F.sum(minutes).alias("minutes_sum"), F.count(minutes).alias("minutes_count"),
-        F.min(minutes).alias("minutes_min"), F.max(minutes).alias("minutes_max"),
-        F.sum(_flag("is_cancelled")).alias("cancelled_items"),
-        F.sum(_flag("is_returned")).alias("returned_items"),
-        F.sum(_flag("is_delayed")).alias("delayed_items"),
-    )
-
-
-def _share(part: str, whole: str = "item_count") -> Column:
-    return ratio(F.sum(part), F.sum(whole))
+    minutes = "delivery_duration_minutes"
+    return fact.groupBy("order_id", *keys).agg(*_exprs(
+        "count(*) as item_count",
+        *_sums("quantity", "subtotal", "discount_amount", "shipping_subsidy", "voucher_amount", "total_payment",
+               "estimated_cost", "profit"),
+        "count(total_payment) as paid_item_count",
+        "sum(discount_amount + voucher_amount + shipping_subsidy) as promo_loss", "max(order_ts) as order_ts",
+        f"sum({minutes}) as minutes_sum", f"count({minutes}) as minutes_count",
+        f"min({minutes}) as minutes_min", f"max({minutes}) as minutes_max",
+        "count_if(is_cancelled) as cancelled_items", "count_if(is_returned) as returned_items",
+        "count_if(is_delayed) as delayed_items",
+    ))
 
 
 def city_performance(orders: DataFrame, dim_city: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Orders, customers, revenue, profit, delivery time and cancellations per city."""
     place = ["city_name", "province", "region"]
-    city = dim_city.select(F.col("city_key").alias("customer_city_key"), *place)
+    city = dim_city.selectExpr("city_key as customer_city_key", *place)
     located = lookup_join(orders, city, ["customer_city_key"], "inner", settings)
     # One row per customer and city first: a second distinct count becomes a plain count too.
-    carried = ["total_payment", "profit", "minutes_sum", "minutes_count", "cancelled_items", "item_count"]
-    customers = located.groupBy(*place, "customer_nk").agg(
-        F.count(F.lit(1)).alias("order_count"), *[F.sum(c).alias(c) for c in carried]
-    )
-    return customers.groupBy(*place).agg(
-        F.sum("order_count").alias("transaction_count"), F.count("customer_nk").alias("customer_count"),
-        F.sum("total_payment").alias("revenue"), F.sum("profit").alias("profit"),
-        _share("minutes_sum", "minutes_count").alias("avg_delivery_duration_minutes"),
-        _share("cancelled_items").alias("cancellation_rate"),
-    )
+    customers = located.groupBy(*place, "customer_nk").agg(*_exprs(
+        "count(*) as order_count",
+        *_sums("total_payment", "profit", "minutes_sum", "minutes_count", "cancelled_items", "item_count"),
+    ))
+    return customers.groupBy(*place).agg(*_exprs(
+        "sum(order_count) as transaction_count", "count(customer_nk) as customer_count",
+        *_sums("total_payment revenue", "profit"),
+        f"{_share('minutes_sum', 'minutes_count')} as avg_delivery_duration_minutes",
+        f"{_share('cancelled_items')} as cancellation_rate",
+    ))
 
 
 def customer_segments(
     orders: DataFrame, dim_customer: DataFrame, dim_city: DataFrame, settings: SkewSettings = DEFAULT
 ) -> DataFrame:
     """Customer totals beside the current profile, with group and voucher strategy."""
-    metrics = orders.groupBy("customer_nk").agg(
-        F.count(F.lit(1)).alias("transaction_count"), F.sum("total_payment").alias("revenue"),
-        F.sum("profit").alias("profit"), F.max("order_ts").cast("date").alias("last_order_date"),
-    )
-    current = dim_customer.filter("is_current").select(
-        "customer_nk", F.col("customer_key").alias("current_customer_key"), "full_name", "loyalty_tier", "city_key"
+    metrics = orders.groupBy("customer_nk").agg(*_exprs(
+        "count(*) as transaction_count", *_sums("total_payment revenue", "profit"),
+        "cast(max(order_ts) as date) as last_order_date",
+    ))
+    current = dim_customer.filter("is_current").selectExpr(
+        "customer_nk", "customer_key as current_customer_key", "full_name", "loyalty_tier", "city_key"
     )
     joined = lookup_join(
         metrics.join(current, "customer_nk", "inner"), dim_city.select("city_key", "city_name"), ["city_key"],
         "inner", settings,
     )
-    revenue, count = F.col("revenue"), F.col("transaction_count")
-    often = count >= FREQUENT_ORDERS
+    often, seldom = f"transaction_count >= {FREQUENT_ORDERS}", f"transaction_count < {FREQUENT_ORDERS}"
     rules = [
-        ((revenue >= VIP_REVENUE) & often, "VIP", "Exclusive loyalty voucher"),
-        ((revenue >= HIGH_REVENUE) & ~often, "High Revenue Low Frequency", "Retention voucher"),
-        ((revenue < LOW_REVENUE) & often, "Frequent Low Basket", "Basket-size upsell voucher"),
-        (count == 1, "New/One-time", "Second purchase voucher"),
+        (f"revenue >= {VIP_REVENUE} and {often}", "VIP", "Exclusive loyalty voucher"),
+        (f"revenue >= {HIGH_REVENUE} and {seldom}", "High Revenue Low Frequency", "Retention voucher"),
+        (f"revenue < {LOW_REVENUE} and {often}", "Frequent Low Basket", "Basket-size upsell voucher"),
+        ("transaction_count = 1", "New/One-time", "Second purchase voucher"),
     ]
-    group = strategy = F.when(F.lit(False), F.lit(None))
-    for condition, name, advice in rules:
-        group, strategy = group.when(condition, F.lit(name)), strategy.when(condition, F.lit(advice))
-    return joined.select(
+    groups = " ".join(f"when {condition} then '{name}'" for condition, name, _ in rules)
+    advice = " ".join(f"when {condition} then '{strategy}'" for condition, _, strategy in rules)
+    return joined.selectExpr(
         "customer_nk", "current_customer_key", "full_name", "loyalty_tier", "city_name", "transaction_count",
-        "revenue", "profit", "last_order_date",
-        group.otherwise(F.lit("Regular")).alias("customer_group"),
-        strategy.otherwise(F.lit("Standard campaign voucher")).alias("recommended_voucher_strategy"),
+        "revenue", "profit", "last_order_date", f"case {groups} else 'Regular' end as customer_group",
+        f"case {advice} else 'Standard campaign voucher' end as recommended_voucher_strategy",
     )
 
 
 def hourly_orders(orders: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Orders and revenue per hour of the day."""
-    times = dim_time.select(F.col("time_key").alias("order_time_key"), "hour_of_day", "daypart")
+    times = dim_time.selectExpr("time_key as order_time_key", "hour_of_day", "daypart")
     # 1,440 rows by construction.
     return orders.join(F.broadcast(times), "order_time_key").groupBy("hour_of_day", "daypart").agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum("total_payment").alias("revenue")
+        *_exprs("count(*) as order_count", *_sums("total_payment revenue"))
     )
 
 
 def monthly_revenue(orders: DataFrame, dim_date: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Monthly orders, amounts, cost, profit and margin."""
-    days = dim_date.select(
-        F.col("date_key").alias("order_date_key"), "year", "month",
-        F.trunc("date_day", "month").alias("month_start_date"),
+    days = dim_date.selectExpr(
+        "date_key as order_date_key", "year", "month", "trunc(date_day, 'month') as month_start_date"
     )
     dated = lookup_join(orders, days, ["order_date_key"], "inner", settings)
-    return dated.groupBy("year", "month", "month_start_date").agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum("item_count").alias("order_item_count"),
-        F.sum("quantity").alias("quantity_sold"), F.sum("subtotal").alias("gross_revenue"),
-        F.sum("discount_amount").alias("discount_amount"), F.sum("shipping_subsidy").alias("shipping_subsidy"),
-        F.sum("voucher_amount").alias("voucher_amount"), F.sum("total_payment").alias("net_revenue"),
-        F.sum("estimated_cost").alias("estimated_cost"), F.sum("profit").alias("profit"),
-        _share("profit", "total_payment").alias("profit_margin"),
-    )
+    return dated.groupBy("year", "month", "month_start_date").agg(*_exprs(
+        "count(*) as order_count", *_sums(
+            "item_count order_item_count", "quantity quantity_sold", "subtotal gross_revenue", "discount_amount",
+            "shipping_subsidy", "voucher_amount", "total_payment net_revenue", "estimated_cost", "profit"),
+        f"{_share('profit', 'total_payment')} as profit_margin",
+    ))
 
 
 def payment_method_performance(
@@ -143,25 +136,24 @@ def payment_method_performance(
     """Orders, value and promotion loss per payment method."""
     names = ["payment_method_name", "payment_group"]
     methods = dim_payment_method.select("payment_method_key", *names)
-    return lookup_join(orders, methods, ["payment_method_key"], "inner", settings).groupBy(*names).agg(
-        F.count(F.lit(1)).alias("transaction_count"), F.sum("total_payment").alias("transaction_value"),
-        _share("total_payment", "paid_item_count").alias("avg_item_value"),
-        F.sum("voucher_amount").alias("voucher_amount"), F.sum("promo_loss").alias("total_promo_loss"),
-    )
+    return lookup_join(orders, methods, ["payment_method_key"], "inner", settings).groupBy(*names).agg(*_exprs(
+        "count(*) as transaction_count", *_sums("total_payment transaction_value"),
+        f"{_share('total_payment', 'paid_item_count')} as avg_item_value",
+        *_sums("voucher_amount", "promo_loss total_promo_loss"),
+    ))
 
 
 def shipping_performance(orders: DataFrame, dim_shipping: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Orders, cancellations, delivery times and delays per shipping service."""
     names = ["shipping_provider", "shipping_service", "service_level"]
     services = dim_shipping.select("shipping_key", *names)
-    return lookup_join(orders, services, ["shipping_key"], "inner", settings).groupBy(*names).agg(
-        F.count(F.lit(1)).alias("order_count"), F.sum("cancelled_items").alias("cancelled_order_item_count"),
-        F.count(F.when(F.col("cancelled_items") > 0, 1)).alias("cancelled_order_count"),
-        _share("minutes_sum", "minutes_count").alias("avg_delivery_duration_minutes"),
-        F.min("minutes_min").alias("fastest_delivery_minutes"),
-        F.max("minutes_max").alias("slowest_delivery_minutes"),
-        _share("delayed_items").alias("delay_rate"),
-    )
+    return lookup_join(orders, services, ["shipping_key"], "inner", settings).groupBy(*names).agg(*_exprs(
+        "count(*) as order_count", *_sums("cancelled_items cancelled_order_item_count"),
+        "count_if(cancelled_items > 0) as cancelled_order_count",
+        f"{_share('minutes_sum', 'minutes_count')} as avg_delivery_duration_minutes",
+        "min(minutes_min) as fastest_delivery_minutes", "max(minutes_max) as slowest_delivery_minutes",
+        f"{_share('delayed_items')} as delay_rate",
+    ))
 
 
 def product_performance(
@@ -174,39 +166,33 @@ def product_performance(
     holds a large share of all items is spread over its customers and orders.
     """
     keys = ["product_key", "category_key"]
-    returned = F.when(F.col("is_returned"), F.col("quantity")).otherwise(F.lit(0))
-    sums = ["item_count", "quantity", "revenue", "profit", "returned_quantity", "returned_items", "cancelled_items"]
-    per_order = fact.groupBy(*keys, "customer_nk", "order_id").agg(
-        F.count(F.lit(1)).alias("item_count"), F.sum("quantity").alias("quantity"),
-        F.sum("total_payment").alias("revenue"), F.sum("profit").alias("profit"),
-        F.sum(returned).alias("returned_quantity"), F.sum(_flag("is_returned")).alias("returned_items"),
-        F.sum(_flag("is_cancelled")).alias("cancelled_items"),
-    )
-    per_customer = per_order.groupBy(*keys, "customer_nk").agg(
-        F.count(F.lit(1)).alias("order_count"), *[F.sum(c).alias(c) for c in sums]
-    )
+    sums = _sums("item_count", "quantity", "revenue", "profit", "returned_quantity", "returned_items", "cancelled_items")
+    per_order = fact.groupBy(*keys, "customer_nk", "order_id").agg(*_exprs(
+        "count(*) as item_count", *_sums("quantity", "total_payment revenue", "profit"),
+        "sum(if(is_returned, quantity, 0)) as returned_quantity", "count_if(is_returned) as returned_items",
+        "count_if(is_cancelled) as cancelled_items",
+    ))
+    per_customer = per_order.groupBy(*keys, "customer_nk").agg(*_exprs("count(*) as order_count", *sums))
     per_product = per_customer.groupBy(*keys).agg(
-        F.sum("order_count").alias("order_count"), F.count("customer_nk").alias("buying_customers"),
-        *[F.sum(c).alias(c) for c in sums],
+        *_exprs("sum(order_count) as order_count", "count(customer_nk) as buying_customers", *sums)
     )
     product = dim_product.select("product_key", "product_name", "sku")
     category = dim_category.select("category_key", "category_name", "subcategory_name")
     named = lookup_join(
         lookup_join(per_product, product, ["product_key"], "inner", settings), category, ["category_key"], "inner", settings
     )
-    return named.select(
+    return named.selectExpr(
         "product_key", "product_name", "sku", "category_name", "subcategory_name", "order_count",
-        F.col("item_count").alias("order_item_count"), F.col("quantity").alias("quantity_sold"), "revenue", "profit",
-        "returned_quantity", ratio(F.col("returned_items"), F.col("item_count")).alias("return_rate"),
-        ratio(F.col("cancelled_items"), F.col("item_count")).alias("cancellation_rate"), "buying_customers",
-        ratio(F.col("order_count"), F.col("buying_customers")).alias("repurchase_proxy_rate"),
+        "item_count as order_item_count", "quantity as quantity_sold", "revenue", "profit", "returned_quantity",
+        f"{ratio('returned_items', 'item_count')} as return_rate",
+        f"{ratio('cancelled_items', 'item_count')} as cancellation_rate", "buying_customers",
+        f"{ratio('order_count', 'buying_customers')} as repurchase_proxy_rate",
     )
 
 
 def voucher_recommendations(segments: DataFrame) -> DataFrame:
     """Customers, average revenue and average orders per group and strategy."""
-    return segments.groupBy("customer_group", "recommended_voucher_strategy").agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        ratio(F.sum("revenue"), F.count("revenue")).alias("avg_revenue"),
-        ratio(F.sum("transaction_count"), F.count("transaction_count")).alias("avg_transaction_count"),
-    )
+    return segments.groupBy("customer_group", "recommended_voucher_strategy").agg(*_exprs(
+        "count(*) as customer_count", f"{ratio('sum(revenue)', 'count(revenue)')} as avg_revenue",
+        f"{ratio('sum(transaction_count)', 'count(transaction_count)')} as avg_transaction_count",
+    ))

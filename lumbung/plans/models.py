@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from lumbung.operators.skew import DEFAULT, SkewSettings
 from lumbung.operators.spine import date_spine, minute_spine
@@ -33,7 +33,7 @@ class Models(Mapping[str, DataFrame]):
         spark: SparkSession,
         raw: Mapping[str, DataFrame],
         calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END),
-        as_of: Column | None = None,
+        as_of: str = "current_date()",
         settings: SkewSettings = DEFAULT,
         stored: Mapping[str, DataFrame] | None = None,
     ) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lumbung.schemas import RAW_SCHEMAS
 
@@ -23,15 +22,15 @@ def staged(table: str, raw: DataFrame) -> DataFrame:
     """Named columns of a raw table, money as whole units, e-mail in lower case."""
     columns = []
     for name in RAW_SCHEMAS[table].names:
-        c = F.col(name)
         if name in _LONGS.get(table, ()):
-            c = c.cast("long")
+            columns.append(f"cast({name} as bigint) as {name}")
         elif (table, name) == ("vouchers", "cashback_rate"):
-            c = c.cast("decimal(8,4)")
+            columns.append("cast(cashback_rate as decimal(8,4)) as cashback_rate")
         elif (table, name) == ("customer_profile_events", "email"):
-            c = F.lower(c)
-        columns.append(c.alias(name))
-    return raw.select(*columns)
+            columns.append("lower(email) as email")
+        else:
+            columns.append(name)
+    return raw.selectExpr(*columns)
 
 
 class Staging(Mapping):

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
@@ -36,7 +36,7 @@ class Warehouse:
     spark: SparkSession
     base: str
     calendar: tuple[date, date] = (CALENDAR_START, CALENDAR_END)
-    as_of: Column | None = None
+    as_of: str = "current_date()"
     settings: SkewSettings = DEFAULT
     city_rows: int = 34
     minimum_items: int = 10_000

@@ -11,9 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators.ordered import OrderedSpec, ordered
+from lumbung.operators.rules import order_number, sku
 from lumbung.operators.skew import DEFAULT, SkewSettings
 from lumbung.schemas import RAW_SCHEMAS
 
+# Columns of the files.
+FILE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
+
 # Rows of the reference dimensions.
 PAYMENT_METHODS = [
     (1, "E-wallet", "Digital wallet"),
@@ -91,19 +106,22 @@ class RetailTables:
         self.faulty = faulty
         self.settings = settings
         self._made: dict[str, DataFrame] = {}
+        self._files: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._made:
-            columns = RAW_SCHEMAS[table].fields
-            df = getattr(self, f"_{table}")()
-            self._made[table] = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+            typed = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in RAW_SCHEMAS[table].fields]
+            self._made[table] = getattr(self, f"_{table}")().selectExpr(*typed)
         return self._made[table]
 
     def all(self) -> dict[str, DataFrame]:
         return {t: self[t] for t in RAW_SCHEMAS}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._files:
+            reader = self.spark.read.schema(FILE_SCHEMAS[name])
+            self._files[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._files[name]
 
     def _classes(self, name: str, class_id: str, rows: list[tuple], columns: list[str]) -> DataFrame:
         """Fixed rows whose class number occurs in a file; at most ``len(rows)`` rows."""
@@ -134,7 +152,7 @@ class RetailTables:
         price = "cast(floor(p_retailprice) as bigint)"
         return self._read("part").selectExpr(
             "p_partkey as product_id",
-            f"concat('SKU-', upper(substring({CATEGORY_NAME}, 1, 3)), '-', format_string('%05d', p_partkey)) as sku",
+            f"{sku(CATEGORY_NAME, 'p_partkey')} as sku",
             "p_name as product_name", f"{CATEGORY_ID} as category_id",
             f"{price} as standard_price", f"{price} * 7 div 10 as estimated_unit_cost",
             "p_size % 10 <> 0 as is_active",
@@ -204,7 +222,7 @@ class RetailTables:
         status = "case when o_orderkey % 503 = 0 then 'lost' else order_status end" if self.faulty else "order_status"
         return self._order_base().selectExpr(
             "o_orderkey as order_id",
-            "concat('ORD-', date_format(order_ts, 'yyyyMMdd'), '-', format_string('%08d', o_orderkey)) as order_number",
+            f"{order_number('order_ts', 'o_orderkey')} as order_number",
             "o_custkey as customer_id", "order_ts", f"{status} as order_status", "cancellation_stage",
             "(cast(substring(o_orderpriority, 1, 1) as int) - 1) % 4 + 1 as payment_method_id",
             "shipping_service_id", "voucher_id", "'web' as sales_channel", "'IDR' as currency", "loaded_at",
