@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import datetime
 
 import pytest
@@ -53,15 +54,30 @@ def expected(spark, tmp_path_factory):
     return contents(w)
 
 
-def test_full_then_incremental_equals_full(spark, tmp_path, expected):
-    raw = store(spark, clean_rows(), tmp_path / "raw")
-    w = warehouse(spark, tmp_path)
-    report = w.run_full(raw())
+@pytest.fixture(scope="module")
+def first_load(spark, tmp_path_factory):
+    """A checked full run over the first load; tests work on copies of its folder."""
+    base = tmp_path_factory.mktemp("first")
+    raw = store(spark, clean_rows(), base / "raw")
+    report = warehouse(spark, base).run_full(raw())
     assert report.count() == 128 + 7
+    return base
+
+
+@pytest.fixture
+def loaded(spark, first_load, tmp_path):
+    base = tmp_path / "copy"
+    shutil.copytree(first_load, base)
+    return base, warehouse(spark, base)
+
+
+def test_full_then_incremental_equals_full(spark, loaded, expected):
+    base, w = loaded
+    raw = store(spark, {t: [] for t in base_rows()}, base / "raw")
     assert not w.has_new_data(raw()["orders"])
     assert w.run_incremental(raw()) is None
 
-    raw = store(spark, later_rows(), tmp_path / "raw")
+    raw = store(spark, later_rows(), base / "raw")
     assert w.has_new_data(raw()["orders"])
     assert w.run_incremental(raw(), refresh_customers=True).filter("n_bad > 0").count() == 0
     after = contents(w)
@@ -70,15 +86,13 @@ def test_full_then_incremental_equals_full(spark, tmp_path, expected):
     assert not w.has_new_data(raw()["orders"])
 
 
-def test_stream_merges_what_arrives_once_and_twice(spark, tmp_path, expected):
-    raw = store(spark, clean_rows(), tmp_path / "raw")
-    w = warehouse(spark, tmp_path)
-    w.run_full(raw(), check=False)
-    raw = store(spark, later_rows(), tmp_path / "raw")
+def test_stream_merges_what_arrives_once_and_twice(spark, loaded, expected):
+    base, w = loaded
+    raw = store(spark, later_rows(), base / "raw")
 
     def run(checkpoint):
-        items = item_stream(spark, str(tmp_path / "raw" / "order_items"))
-        start_merging(w, items, raw, str(tmp_path / checkpoint), refresh_customers=True).awaitTermination()
+        items = item_stream(spark, str(base / "raw" / "order_items"))
+        start_merging(w, items, raw, str(base / checkpoint), refresh_customers=True).awaitTermination()
 
     run("c1")
     once = contents(w)
@@ -89,24 +103,20 @@ def test_stream_merges_what_arrives_once_and_twice(spark, tmp_path, expected):
     assert contents(w) == once
 
 
-def test_slice_without_refresh_keeps_older_numbers(spark, tmp_path):
-    raw = store(spark, clean_rows(), tmp_path / "raw")
-    w = warehouse(spark, tmp_path)
-    w.run_full(raw(), check=False)
-    raw = store(spark, later_rows(), tmp_path / "raw")
+def test_slice_without_refresh_keeps_older_numbers(spark, loaded):
+    base, w = loaded
+    raw = store(spark, later_rows(), base / "raw")
     w.run_incremental(raw(), check=False, refresh_marts=False)
     numbers = {r["order_id"]: r["customer_order_number"] for r in w.stored("fct_order_item").collect()}
     assert numbers[105] == 2 and numbers[103] == 2  # 103 moved to third place in a full run
 
 
-def test_late_row_with_the_newest_load_time_is_not_taken_by_the_slice(spark, tmp_path):
-    raw = store(spark, clean_rows(), tmp_path / "raw")
-    w = warehouse(spark, tmp_path)
-    w.run_full(raw(), check=False)
+def test_late_row_with_the_newest_load_time_is_not_taken_by_the_slice(spark, loaded):
+    base, w = loaded
     empty = {t: [] for t in base_rows()}
     raw = store(spark, empty | {
         "orders": [order(106, 10, D3, "paid", loaded=LOAD2)], "order_items": [item(9, 106, 1, loaded=LOAD1)],
-    }, tmp_path / "raw")
+    }, base / "raw")
     w.run_incremental(raw(), check=False, refresh_marts=False)
     assert w.stored("fct_order_item").filter("order_item_id = 9").count() == 0
 
