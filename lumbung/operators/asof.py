@@ -35,26 +35,24 @@ def asof_join(
     counting dropped facts too.
     """
     key, ts = "_asof_key", "_asof_ts"
-    tails = [f"_tail_{i}" for i in range(len(position_order))]
-    open_versions = versions.filter(F.col(valid_from) < F.col(valid_to)).select(
-        F.col(version_key).alias(key),
-        F.col(valid_from).alias(ts),
-        F.lit(0).alias("_side"),
-        F.struct(F.col(valid_to).alias("_until"), *[F.col(c) for c in take]).alias("_version"),
+    tails = {f"_tail_{i}": c for i, c in enumerate(position_order)}
+    # One-element arrays tell "attribute is NULL" apart from "row is not a version".
+    taken = {f"_take_{i}": c for i, c in enumerate(take)}
+    open_versions = versions.filter(f"{valid_from} < {valid_to}").selectExpr(
+        f"{version_key} as {key}", f"{valid_from} as {ts}", "0 as _side", f"{valid_to} as _until",
+        *[f"array({c}) as {t}" for t, c in taken.items()],
     )
-    moments = facts.filter(F.col(fact_key).isNotNull() & F.col(fact_ts).isNotNull()).select(
-        F.col(fact_key).alias(key),
-        F.col(fact_ts).alias(ts),
-        F.lit(1).alias("_side"),
-        F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"),
-        *[F.col(c).alias(t) for c, t in zip(position_order, tails)],
+    moments = facts.filter(f"{fact_key} is not null and {fact_ts} is not null").selectExpr(
+        f"{fact_key} as {key}", f"{fact_ts} as {ts}", "1 as _side", "*", *[f"{c} as {t}" for t, c in tails.items()]
     )
     line = open_versions.unionByName(moments, allowMissingColumns=True)
-    spec = OrderedSpec(lasts={"_seen": "_version"}, sums={"_nth": "_side"} if position else {})
+    seen = {f"_seen{c}": c for c in ("_until", *taken)}
+    spec = OrderedSpec(lasts=seen, sums={"_nth": "_side"} if position else {})
     placed = ordered(line, [key], [ts, "_side", *tails], spec, settings)
-    hit = (F.col("_side") == 1) & (F.col(ts) < F.col("_seen._until"))
-    extra = [F.col("_nth").cast("int").alias(position)] if position else []
-    return placed.filter(hit).select("_fact.*", *[F.col(f"_seen.{c}").alias(c) for c in take], *extra)
+    number = [f"cast(_nth as int) as {position}"] if position else []
+    return placed.filter(f"_side = 1 and {ts} < _seen_until").selectExpr(
+        *facts.columns, *[f"_seen{t}[0] as {c}" for t, c in taken.items()], *number
+    )
 
 
 def overlapping_versions(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumbung.functions import money, whole_days_between
+from lumbung.functions import date_key, money, whole_days_between, zero_padded
 
 from .ordered import OrderedSpec, ordered
 from .skew import DEFAULT, SkewSettings, lookup_join, skew_join
@@ -137,12 +137,12 @@ SHIPPING_STATUS = """case when order_status = 'cancelled' then 'cancelled'
 
 def order_number(ts: str, order_id: str) -> str:
     """``ORD-YYYYMMDD-`` and the order id with at least eight digits."""
-    return f"concat('ORD-', date_format({ts}, 'yyyyMMdd'), '-', format_string('%08d', {order_id}))"
+    return f"concat('ORD-', {date_key(ts)}, '-', {zero_padded(order_id, 8)})"
 
 
 def sku(category_name: str, product_id: str) -> str:
     """``SKU-XXX-`` and the product id with at least five digits."""
-    return f"concat('SKU-', upper(substring({category_name}, 1, 3)), '-', format_string('%05d', {product_id}))"
+    return f"concat('SKU-', upper(substring({category_name}, 1, 3)), '-', {zero_padded(product_id, 5)})"
 
 
 def continued_keys(

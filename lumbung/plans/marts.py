@@ -161,21 +161,17 @@ def product_performance(
 ) -> DataFrame:
     """Sales, returns, cancellations and repurchase proxy per product.
 
-    Aggregated by product key before the dimensions are joined: product x customer x order,
-    then product x customer, then product. Each step shuffles fewer rows, and a product that
-    holds a large share of all items is spread over its customers and orders.
+    Aggregated by product key before the dimensions are joined. Item rows of one product
+    hardly repeat an order or customer, so rolling up first would shuffle whole rows; the two
+    distinct counts shuffle only (product, order) and (product, customer) pairs, which also
+    spreads a product that holds a large share of all items.
     """
-    keys = ["product_key", "category_key"]
-    sums = _sums("item_count", "quantity", "revenue", "profit", "returned_quantity", "returned_items", "cancelled_items")
-    per_order = fact.groupBy(*keys, "customer_nk", "order_id").agg(*_exprs(
+    per_product = fact.groupBy("product_key", "category_key").agg(*_exprs(
+        "count(distinct order_id) as order_count", "count(distinct customer_nk) as buying_customers",
         "count(*) as item_count", *_sums("quantity", "total_payment revenue", "profit"),
         "sum(if(is_returned, quantity, 0)) as returned_quantity", "count_if(is_returned) as returned_items",
         "count_if(is_cancelled) as cancelled_items",
     ))
-    per_customer = per_order.groupBy(*keys, "customer_nk").agg(*_exprs("count(*) as order_count", *sums))
-    per_product = per_customer.groupBy(*keys).agg(
-        *_exprs("sum(order_count) as order_count", "count(customer_nk) as buying_customers", *sums)
-    )
     product = dim_product.select("product_key", "product_name", "sku")
     category = dim_category.select("category_key", "category_name", "subcategory_name")
     named = lookup_join(
