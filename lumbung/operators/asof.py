@@ -48,7 +48,9 @@ def asof_join(
     line = open_versions.unionByName(moments, allowMissingColumns=True)
     seen = {f"_seen{c}": c for c in ("_until", *taken)}
     spec = OrderedSpec(lasts=seen, sums={"_nth": "_side"} if position else {})
-    placed = ordered(line, [key], [ts, "_side", *tails], spec, settings)
+    # Counted on the bare keys, so that nothing above the key columns is computed twice.
+    bare = versions.selectExpr(f"{version_key} as {key}").unionAll(facts.selectExpr(f"{fact_key} as {key}"))
+    placed = ordered(line, [key], [ts, "_side", *tails], spec, settings, measure=bare)
     number = [f"cast(_nth as int) as {position}"] if position else []
     return placed.filter(f"_side = 1 and {ts} < _seen_until").selectExpr(
         *facts.columns, *[f"_seen{t}[0] as {c}" for t, c in taken.items()], *number

@@ -3,7 +3,7 @@
 Ordinary keys use one window per call: one shuffle, one sort. Keys too large for one task
 are cut into consecutive chunks (see ``skew.split_rows``); each chunk is computed on its
 own, and a summary with one row per chunk carries the running state across the cuts.
-Order columns must not be NULL.
+NULLs in order columns come first.
 """
 
 from __future__ import annotations
@@ -46,9 +46,13 @@ def ordered(
     order: Sequence[str],
     spec: OrderedSpec,
     settings: SkewSettings = DEFAULT,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the columns of ``spec``, computed per key in the given ascending order."""
-    cold, hot = split_rows(df, keys, order, settings)
+    """Add the columns of ``spec``, computed per key in the given ascending order.
+
+    ``measure`` may name a cheaper frame with at least the same rows per key to count on.
+    """
+    cold, hot = split_rows(df, keys, order, settings, measure)
     result = _one_window(cold, keys, order, spec)
     if hot is None:
         return result

@@ -82,9 +82,13 @@ def _same(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
 
 
 def split_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], settings: SkewSettings = DEFAULT
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    settings: SkewSettings = DEFAULT,
+    measure: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Separate ordinary rows from rows of heavy keys.
+    """Separate ordinary rows from rows of heavy keys, counted on ``measure`` if given.
 
     The second frame is None when no key is heavy. Otherwise it carries ``_chunk``: the
     rows are range-partitioned by key and order columns, so that chunks of one key are
@@ -93,7 +97,7 @@ def split_rows(
     tells rows apart that agree in all order columns, so that these can be cut as well; it
     is fixed by a first write for the same reason. Only heavy rows are written.
     """
-    hot = hot_keys(df, keys, settings)
+    hot = hot_keys(measure if measure is not None else df, keys, settings)
     if not hot:
         return df, None
     marks = _hot_frame(df, keys, hot, "_hot_")

@@ -30,13 +30,16 @@ def high_profit_low_sales(
     products: DataFrame, profit_share: float = 0.75, sales_share: float = 0.5, settings: SkewSettings = DEFAULT
 ) -> DataFrame:
     """Products at or above one profit percentile and at or below one quantity percentile."""
-    named = products.withColumn("_all", F.lit(1))
-    profit = exact_percentiles(named, ["_all"], "profit", {"profit_limit": profit_share}, settings)
-    sales = exact_percentiles(named, ["_all"], "quantity_sold", {"sales_limit": sales_share}, settings)
-    # One row: both limits.
-    limits = F.broadcast(profit.join(sales, "_all").select("_all", "profit_limit", "sales_limit"))
-    return named.join(limits, "_all").filter(
-        (F.col("profit") >= F.col("profit_limit")) & (F.col("quantity_sold") <= F.col("sales_limit"))
+    # Both measures go through one percentile pass, one group each.
+    values = products.selectExpr("stack(2, 'profit', profit, 'sales', quantity_sold) as (measure, value)")
+    found = exact_percentiles(values, ["measure"], "value", {"high": profit_share, "low": sales_share}, settings)
+    limits = found.agg(
+        F.expr("max(high) filter (where measure = 'profit') as profit_limit"),
+        F.expr("max(low) filter (where measure = 'sales') as sales_limit"),
+    )
+    return products.filter(
+        (F.col("profit") >= limits.select("profit_limit").scalar())
+        & (F.col("quantity_sold") <= limits.select("sales_limit").scalar())
     ).select("product_key", "product_name", "category_name", "quantity_sold", "profit")
 
 
