@@ -244,7 +244,8 @@ _REPORTS: dict[str, Callable[[Models], DataFrame]] = {
         m["mart_product_performance"], settings=m.settings),
     "kpi_fastest_slowest_service": lambda m: kpis.fastest_and_slowest_service(m["mart_shipping_performance"]),
     "kpi_overall_rates": lambda m: kpis.overall_rates(m.orders_by([])),
-    "kpi_average_order_value": lambda m: kpis.average_order_value(m.orders_by(["payment_method_key"]), ["payment_method_key"]),
+    "kpi_average_order_value": lambda m: kpis.average_order_value(
+        m.orders_by(["payment_method_key"]), ["payment_method_key"]),
     "kpi_delivery_percentiles": lambda m: kpis.delivery_percentiles(
         m["fct_order_item"], m["dim_shipping"], m.settings),
 }

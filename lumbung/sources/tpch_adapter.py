@@ -316,7 +316,8 @@ class RetailTables:
             transform(filter(sequence(1, reached), s -> true {broken}),
                 s -> named_struct('seq', s, 'status', element_at({stages}, s), 'hours', (s - 1) * 7 + (s - 1) * (s - 1))),
             if(order_status = 'cancelled',
-                array(named_struct('seq', 6, 'status', 'cancelled', 'hours', (reached - 1) * 7 + (reached - 1) * (reached - 1) + 2)),
+                array(named_struct('seq', 6, 'status', 'cancelled',
+                    'hours', (reached - 1) * 7 + (reached - 1) * (reached - 1) + 2)),
                 array()),
             if(order_status = 'returned',
                 array(named_struct('seq', 7, 'status', 'returned', 'hours', 24 * 10)),
