@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from lumbung.llm.exact_dedup import ORACLE_OP6, op6_exact_dedup
+from lumbung.llm.jaccard_join import op8_jaccard_join
 
 QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE = {
