@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,5 +103,11 @@ def connected(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def named(columns: Sequence[str], prefix: str) -> list[Column]:
-    return [F.col(c).alias(f"{prefix}{c}") for c in columns]
+def checked(small: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Narrow rows of a written table, marked for broadcast if a count shows that there are few; else joined by a shuffle."""
+    return F.broadcast(small) if small.count() <= rows else small
+
+
+def same_text() -> Column:
+    """Join condition for finding rows (doc_id, text) again by (_id, _hash): id and text hash, NULLs included."""
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, hot_join, result, table
+from lumbung.llm.common import Scratch, checked, hot_join, result, table
 from lumbung.session import shared_folder
 
 
@@ -94,7 +94,7 @@ def without_copies(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_digest") == F.col("_digest"))
 
         def those(which: str) -> DataFrame:
-            return marked.join(stays.filter(which), same, "left_semi")
+            return marked.join(checked(stays.filter(which)), same, "left_semi")
 
         once = those("times = 1")
         if not stays.filter("times > 1").isEmpty():

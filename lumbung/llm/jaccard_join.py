@@ -34,12 +34,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, connected, hot_join, result, table
+from lumbung.llm.common import Scratch, checked, connected, hot_join, result, same_text, table
 
 CELLS = 1 << 16
 LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
+ROWS = 1 << 15  # rows of small blocks taken together
 
 
 class _WordHash(dict):
@@ -119,20 +120,23 @@ def _prefixes(words: int, num: int, den: int, common: np.ndarray):
         """Size, prefix and bitmap of each class, from the text of the document that stands for it."""
         memo = _WordHash()
         for b in batches:
-            sizes, prefixes, maps = [], [], []
+            sizes, prefixes, wide, maps = [], [], [], []
             b, sets = _of_class(b, words, memo)
             for s in sets:
                 length = len(s) + (num * len(s)) // -den + 1  # n - ceil(num n / den) + 1
                 often = common[(s & np.uint64(CELLS - 1)).astype(np.int64)]
                 sizes.append(len(s))
                 prefixes.append(s[np.lexsort((s, often))[:length]])
-                bits = np.zeros(64 * LANES, bool)
-                bits[((s >> np.uint64(20)) & np.uint64(64 * LANES - 1)).astype(np.int64)] = True
-                maps.append(np.packbits(bits).view(np.int64))
+                # The wide bitmap has at least two bits per shingle; folded it gives the lanes.
+                bits = np.zeros(max(64 * LANES, 1 << int(2 * len(s) - 1).bit_length()), bool)
+                bits[((s >> np.uint64(20)) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+                wide.append(np.packbits(bits).tobytes())
+                maps.append(_folded(wide[-1], 8 * LANES).view(np.int64))
             lanes = np.array(maps, np.int64).reshape(-1, LANES)
             yield pa.RecordBatch.from_arrays(
-                [b.column("cid"), pa.array(sizes, pa.int64()), _lists(prefixes), *[pa.array(lanes[:, i]) for i in range(LANES)]],
-                ["cid", "n", "prefix", *_LANES],
+                [b.column("cid"), pa.array(sizes, pa.int64()), _lists(prefixes), pa.array(wide, pa.binary()),
+                 *[pa.array(np.ascontiguousarray(lanes[:, i])) for i in range(LANES)]],
+                ["cid", "n", "prefix", "wide", *_LANES],
             )
     return run
 
@@ -211,53 +215,97 @@ def tree_pairs(a: SignatureTree, b: SignatureTree, num: int, den: int) -> Iterat
                 stack.append((x + down_a, y + down_b, p, q))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
-    """Rows of one key after the other, of input sorted by ``keys``."""
-    parts: list[dict[str, np.ndarray]] = []
-    last = None
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """Rows of input sorted by ``keys``, many groups at a time, none of them cut; and where each group starts."""
+    held, size, enough = [], 0, ROWS
+
+    def joined() -> tuple[dict[str, np.ndarray], np.ndarray]:
+        cols = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+        new = np.zeros(size, bool)
+        for k in keys:
+            new[1:] |= cols[k][1:] != cols[k][:-1]
+        return cols, np.append(0, np.flatnonzero(new))
+
     for b in batches:
-        if not b.num_rows:
+        held.append({c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names})
+        size += b.num_rows
+        if size < enough:
             continue
-        cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names}
-        key = np.stack([cols[k] for k in keys], 1)
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-        for s, e in zip([0, *cuts], [*cuts, b.num_rows], strict=True):
-            here = tuple(key[s])
-            if parts and here != last:
-                yield {c: np.concatenate([p[c] for p in parts]) for c in cols}
-                parts = []
-            parts.append({c: v[s:e] for c, v in cols.items()})
-            last = here
-    if parts:
-        yield {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        cols, starts = joined()
+        last = int(starts[-1])
+        if last:
+            yield {c: v[:last] for c, v in cols.items()}, starts[:-1]
+        held, size = [{c: v[last:] for c, v in cols.items()}], size - last
+        enough = max(ROWS, 2 * size)
+    if size:
+        yield joined()
 
 
 def _joined(keys: list[str], num: int, den: int):
-    def tree(g: dict[str, np.ndarray], rows: np.ndarray) -> SignatureTree:
+    def members(g: dict[str, np.ndarray], rows) -> tuple:
         lanes = np.stack([g[c][rows] for c in _LANES], 1).view(np.uint64)
-        return SignatureTree(g["cid"][rows], g["n"][rows], g["comp"][rows], lanes)
+        return g["cid"][rows], g["n"][rows], g["comp"][rows], lanes
+
+    def pairs(g: dict[str, np.ndarray], starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sizes = np.diff(np.append(starts, len(g["cid"])))
+        ids, n, comp, lanes = members(g, slice(None))
+        level = (lanes, n, n, np.bitwise_count(lanes).sum(1).astype(np.int64), comp, comp)
+        single = np.add.reduceat(g["side"], starts) == 0  # side 0: joined with itself; 1 and 2: two chunks with each other
+        # Blocks that fit into one leaf have no inner nodes: all of one size are done at once.
+        for size in range(2, FAN + 1):
+            at = starts[single & (sizes == size)]
+            x, y = np.triu_indices(size, 1)
+            for s in range(0, len(at), PAIRS // len(x)):
+                some = at[s: s + PAIRS // len(x), None]
+                i, j = (some + x).ravel(), (some + y).ravel()
+                ok = _possible(level, i, level, j, num, den)
+                yield ids[i[ok]], ids[j[ok]]
+        for k in np.flatnonzero((sizes > FAN) | ~single):
+            rows = np.arange(starts[k], starts[k] + sizes[k])
+            side = g["side"][rows]
+            left = SignatureTree(*members(g, rows[side < 2]))
+            right = SignatureTree(*members(g, rows[side == 2])) if (side == 2).any() else left
+            yield from tree_pairs(left, right, num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, keys):
-            # side 0: joined with itself; 1 and 2: two chunks joined with each other
-            left = tree(g, g["side"] < 2)
-            right = tree(g, g["side"] == 2) if (g["side"] == 2).any() else left
-            for u, v in tree_pairs(left, right, num, den):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+        for g, starts in _whole_groups(batches, keys):
+            found = [np.empty((2, 0), np.int64)]
+            for u, v in pairs(g, starts):
+                found.append(np.stack([np.maximum(u, v), np.minimum(u, v)]))
+                if sum(f.shape[1] for f in found) > PAIRS:
+                    found = [np.unique(np.concatenate(found, 1), axis=1)]
+                    if found[0].shape[1] > PAIRS:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.pop()], ["u", "v"])
+                        found = [np.empty((2, 0), np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(found, 1), axis=1)], ["u", "v"])
     return run
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of blocks with two classes or more, beside the first class of the block."""
-    for g in _groups(batches, ["token"]):
-        if len(g["cid"]) > 1:
-            first = int(np.argmin(g["cid"]))
-            same = np.full(len(g["cid"]), 1, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(g["token"]), pa.array(g["cid"]), pa.array(g["n"]), pa.array(same * g["cid"][first]),
-                 pa.array(same * g["n"][first]), pa.array(same * len(same))],
-                ["token", "cid", "n", "first", "first_n", "members"],
-            )
+    """Members of blocks with two classes or more, beside the first class of the block; input sorted by token, cid."""
+    for g, starts in _whole_groups(batches, ["token"]):
+        sizes = np.diff(np.append(starts, len(g["token"])))
+        many = np.repeat(sizes > 1, sizes)
+        columns = [g["token"], g["cid"], g["n"], *(np.repeat(x, sizes) for x in (g["cid"][starts], g["n"][starts], sizes))]
+        yield pa.RecordBatch.from_arrays([pa.array(c[many]) for c in columns], ["token", "cid", "n", "first", "first_n", "members"])
+
+
+def _folded(bitmap: bytes, size: int) -> np.ndarray:
+    return np.bitwise_or.reduce(np.frombuffer(bitmap, np.uint64).reshape(-1, size // 8), 0)
+
+
+def _overlapping(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs whose wide bitmaps leave room for enough overlap."""
+        for b in batches:
+            ok = []
+            for n, m, x, y in zip(*(b.column(c).to_pylist() for c in ("un", "vn", "a", "b")), strict=True):
+                size = min(len(x), len(y))
+                x, y = _folded(x, size), _folded(y, size)
+                most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+                ok.append((num + den) * most >= num * (n + m))
+            yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+    return run
 
 
 def _near(a: Column, b: Column, num: int, den: int) -> Column:
@@ -289,7 +337,8 @@ class _Join:
         )
         self.cells = common
         signed = keep(self._texts(self.classes).mapInArrow(
-            _prefixes(words, num, den, common), f"cid long, n long, prefix array<long>, {_LANE_TYPES}"), "signed")
+            _prefixes(words, num, den, common), f"cid long, n long, prefix array<long>, wide binary, {_LANE_TYPES}"), "signed")
+        self.signed = signed
         members = self._members(signed)
 
         near = F.col("cid") != F.col("first")
@@ -319,11 +368,8 @@ class _Join:
 
         Rows are found again by id and text hash; ``_of_class`` leaves out others that happen to agree in these.
         """
-        wanted = wanted.select("cid", "digest", F.col("doc_id").alias("_id"), "text_hash")
-        if wanted.count() <= self.small_rows:
-            wanted = F.broadcast(wanted)
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("text_hash"))
-        return self.docs.join(wanted, same).select("cid", "digest", "text")
+        wanted = wanted.select("cid", "digest", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        return self.docs.join(checked(wanted, self.small_rows), same_text()).select("cid", "digest", "text")
 
     def _members(self, signed: DataFrame) -> DataFrame:
         """Rows (token, cid, n, first, first_n, members) of all blocks with two classes or more.
@@ -335,7 +381,7 @@ class _Join:
             [(int(i),) for i in np.flatnonzero(self.cells > self.cell_rows)], "cell int")  # at most CELLS rows
         posts = signed.select(F.explode("prefix").alias("token"), "cid", "n")
         cell = F.col("token").bitwiseAND(F.lit(CELLS - 1)) == F.col("cell")
-        usual = posts.join(F.broadcast(cells), cell, "left_anti").repartition("token").sortWithinPartitions("token").mapInArrow(
+        usual = posts.join(F.broadcast(cells), cell, "left_anti").repartition("token").sortWithinPartitions("token", "cid").mapInArrow(
             _blocks, "token long, cid long, n long, first long, first_n long, members long")
         hot = posts.join(F.broadcast(cells), cell, "left_semi")
         heads = hot.groupBy("token").agg(F.min(F.struct("cid", "n")).alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
@@ -347,7 +393,11 @@ class _Join:
         return self.scratch.keep(usual, "members")
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (u, v) whose sets reach the threshold."""
+        """The pairs (u, v) whose sets reach the threshold: by wide bitmaps first, then by the sets."""
+        a = self.signed.select(F.col("cid").alias("u"), F.col("n").alias("un"), F.col("wide").alias("a"))
+        b = self.signed.select(F.col("cid").alias("v"), F.col("n").alias("vn"), F.col("wide").alias("b"))
+        pairs = pairs.join(a, "u").join(b, "v").mapInArrow(_overlapping(self.num, self.den), "u long, v long")
+        pairs = self.scratch.keep(pairs.distinct(), f"{name}_near")
         wanted = pairs.select(F.col("u").alias("cid")).union(pairs.select(F.col("v").alias("cid"))).distinct()
         wanted = self.scratch.keep(self.classes.join(wanted, "cid", "left_semi").select("cid", "digest", "doc_id", "text_hash"), f"{name}_wanted")
         sets = self.scratch.keep(self._texts(wanted).mapInArrow(_sets(self.words), "cid long, shingles array<long>"), f"{name}_sets")
@@ -368,7 +418,7 @@ class _Join:
         if not total:
             return self.spark.createDataFrame([], "u long, v long")
         open_ = hot_join(held.drop("members"), mixed, "token", "size", total)
-        signs = signed.drop("prefix")
+        signs = signed.drop("prefix", "wide")
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
             _joined(["token"], self.num, self.den), "u long, v long")
@@ -426,4 +476,4 @@ def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """
     rows = jaccard_components(docs.select("doc_id", "text"), scratch)
     gone = scratch.keep(rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(checked(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
