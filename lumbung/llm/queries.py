@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from lumbung.llm.exact_dedup import ORACLE_OP6, op6_exact_dedup
+from lumbung.llm.fertility import op4_tokeniser_fertility
 from lumbung.llm.jaccard_join import op8_jaccard_join
+from lumbung.llm.mixing import ORACLE_OP9, op9_pfair_mixing
+from lumbung.llm.packing import op2_bucket_packing
 
 QUERIES = {
+    "op2_bucket_packing": op2_bucket_packing,
+    "op4_tokeniser_fertility": op4_tokeniser_fertility,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_pfair_mixing": op9_pfair_mixing,
 }
 
 ORACLE = {
     "op6_exact_dedup": ORACLE_OP6,
+    "op9_pfair_mixing": ORACLE_OP9,
 }
