@@ -7,6 +7,7 @@ from lumbung.llm.fertility import op4_tokeniser_fertility
 from lumbung.llm.jaccard_join import op8_jaccard_join
 from lumbung.llm.mixing import ORACLE_OP9, op9_pfair_mixing
 from lumbung.llm.packing import op2_bucket_packing
+from lumbung.llm.token_output import op10_repair_tokens
 
 QUERIES = {
     "op2_bucket_packing": op2_bucket_packing,
@@ -14,6 +15,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_pfair_mixing": op9_pfair_mixing,
+    "op10_repair_tokens": op10_repair_tokens,
 }
 
 ORACLE = {
