@@ -89,17 +89,17 @@ def without_copies(docs: DataFrame, index: DigestIndex, batch: str) -> DataFrame
         stays = deduplicate(docs.select("doc_id", "text"), index, batch, scratch).groupBy("doc_id", "digest").agg(
             F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")
         ).filter("kept")
-        stays = scratch.keep(stays.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "times"), "stays")
-        marked = docs.withColumn("_text_digest", digest(F.col("text")))
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_digest") == F.col("_digest"))
+        stays = result(stays.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "times"), "stays")
+    marked = docs.withColumn("_text_digest", digest(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_digest") == F.col("_digest"))
 
-        def those(which: str) -> DataFrame:
-            return marked.join(checked(stays.filter(which)), same, "left_semi")
+    def those(which: str) -> DataFrame:
+        return marked.join(checked(stays.filter(which)), same, "left_semi")
 
-        once = those("times = 1")
-        if not stays.filter("times > 1").isEmpty():
-            once = once.unionByName(those("times > 1").dropDuplicates(["doc_id", "_text_digest"]))
-        return result(once.select(*docs.columns), "kept")
+    rows = those("times = 1")
+    if not stays.filter("times > 1").isEmpty():  # rows that repeat id and text
+        rows = rows.unionByName(those("times > 1").dropDuplicates(["doc_id", "_text_digest"]))
+    return rows.select(*docs.columns)
 
 
 ORACLE_OP6 = r"""

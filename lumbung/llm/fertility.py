@@ -154,9 +154,11 @@ def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         return result(rows.drop("lang"), "op4")
 
 
-def accepted(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    prints = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text", F.col("lang"))
-    gone = judged(prints, scratch).filter("not kept").select("_id", "_hash", F.col("lang").alias("_lang")).distinct()
-    gone = checked(scratch.keep(gone, "gone"))
-    return docs.join(gone, same_text() & F.col("lang").cast("string").eqNullSafe(F.col("_lang")), "left_anti")
+    lang = F.col("lang").cast("string")
+    prints = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), "text", lang.alias("lang"))
+    with Scratch(docs.sparkSession, "fertility") as scratch:
+        gone = judged(prints, scratch).filter("not kept").select("_id", "_hash", F.col("lang").alias("_lang")).distinct()
+        gone = checked(result(gone, "rejected"))
+    return docs.join(gone, same_text() & lang.eqNullSafe(F.col("_lang")), "left_anti")

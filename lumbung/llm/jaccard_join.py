@@ -359,8 +359,8 @@ class _Join:
         least = ids.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
         named = hot_join(ids, least, "root", "size", ids.count()).select("digest", "times", "component_id")
         full = rows.filter("digest is not null")
-        found = hot_join(full, keep(named, "named"), "digest", "times", full.count()).select("doc_id", "n", "component_id")
-        bare = rows.filter("digest is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+        found = hot_join(full, keep(named, "named"), "digest", "times", full.count()).select("doc_id", "text_hash", "n", "component_id")
+        bare = rows.filter("digest is null").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component_id"))
         return found.unionByName(bare).withColumnRenamed("n", "n_shingles")
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
@@ -454,7 +454,7 @@ class _Join:
 
 def jaccard_components(docs: DataFrame, scratch: Scratch, words: int = 5, num: int = 80, den: int = 100,
                        block_rows: int = 20_000, cell_rows: int = 2_000_000, small_rows: int = 500_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
+    """(doc_id, text_hash, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
     ``block_rows`` is the most members of a block that one tree holds, ``cell_rows`` the most (three numbers each)
     that one task collects; ``small_rows`` the most rows of ids that are broadcast after they were counted, beyond
@@ -466,14 +466,17 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, words: int = 5, num: i
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by links of 85 % on 4-word shingles."""
     with Scratch(spark, "jaccard") as scratch:
-        return result(jaccard_components(table(spark, sf_dir, "documents"), scratch, words=4, num=85), "op8")
+        rows = jaccard_components(table(spark, sf_dir, "documents"), scratch, words=4, num=85)
+        return result(rows.drop("text_hash"), "op8")
 
 
-def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each component of 80 % on five-word shingles, all columns kept.
 
-    A NULL doc_id stays, as it cannot be told which row of its component it is.
+    Rows that repeat id and text are one document and stay or go together. Documents without an id stay.
     """
-    rows = jaccard_components(docs.select("doc_id", "text"), scratch)
-    gone = scratch.keep(rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(checked(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    with Scratch(docs.sparkSession, "jaccard") as scratch:
+        rows = jaccard_components(docs.select("doc_id", "text"), scratch)
+        gone = rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        gone = checked(result(gone.distinct(), "gone"))
+    return docs.join(gone, same_text(), "left_anti")

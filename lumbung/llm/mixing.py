@@ -124,11 +124,12 @@ def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return result(rows.drop("hash"), "op9")
 
 
-def interleaved(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def interleaved(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` sorted in the order of the mixture."""
-    places = schedule(docs.select("doc_id", "text", "source"), scratch).groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).agg(
-        F.min(F.struct("slot", "at")).alias("_place"))
-    places = result(places, "places")
+    with Scratch(docs.sparkSession, "mixing") as scratch:
+        places = schedule(docs.select("doc_id", "text", "source"), scratch).groupBy(
+            F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).agg(F.min(F.struct("slot", "at")).alias("_place"))
+        places = result(places, "places")
     return docs.join(checked(places), same_text()).orderBy("_place", "_id", "_hash").select(*docs.columns)
 
 

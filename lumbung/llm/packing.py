@@ -114,6 +114,7 @@ def op2_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return result(pack(by_mark(table(spark, sf_dir, "documents")), scratch), "op2")
 
 
-def packed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
     """Batches of ``docs`` in their order of arrival."""
-    return pack(_arrival(docs, 1_000_000), scratch)
+    with Scratch(docs.sparkSession, "packing") as scratch:
+        return result(pack(_arrival(docs, 1_000_000), scratch), "packed")
