@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, result, table
+from lumbung.llm.common import Scratch, result, slices, table
 
 END = "\n</turn>\n"
 CONTROL = re.compile(r"(\\*)(</turn>|### )")
@@ -80,7 +80,7 @@ def render(role: str, text: str) -> tuple[str, int, int, int]:
 
 
 def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         made = [render(r or "", t or "") for r, t in zip(b.column("role").to_pylist(), b.column("text").to_pylist(), strict=True)]
         columns = list(zip(*made, strict=True)) or [[]] * 4
         yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut small, so that what a task derives from one stays small."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+
+
 class Scratch:
     """Folder below ``spark.checkpoint.dir`` for intermediate tables, removed when the block ends.
 

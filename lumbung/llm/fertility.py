@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, checked, hot_join, result, same_text, table
+from lumbung.llm.common import Scratch, checked, hot_join, result, same_text, slices, table
 from lumbung.llm.pieces import Pieces, byte_bpe_ranks, fallback_counts
 
 MEASURES = ("chars_per_token", "byte_share", "entropy")
@@ -86,8 +86,8 @@ _TYPES = [pa.int64()] * 5 + [pa.string()]
 
 def _measure(bpe: str | None, piece: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = byte_bpe_ranks(bpe, extra=fallback_counts(piece), width=2)
-        for b in batches:
+        pieces = byte_bpe_ranks(bpe, extra=fallback_counts(piece), width=2, cap=300_000)
+        for b in slices(batches):
             pieces.start()
             texts = [t or b"" for t in b.column("text").cast(pa.large_binary()).to_pylist()]
             slots = [pieces.of(t.split()) for t in texts]

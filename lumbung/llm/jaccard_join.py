@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, checked, connected, hot_join, result, same_text, table
+from lumbung.llm.common import Scratch, checked, connected, hot_join, result, same_text, slices, table
 
 CELLS = 1 << 16
 LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
@@ -47,7 +47,7 @@ class _WordHash(dict):
     """Hash of a word, remembered for the most recent words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -97,7 +97,7 @@ def _digests(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row (doc_id, n, digest) per document; at the end rows (cell, times) of the common-shingle table."""
         memo, cells = _WordHash(), np.zeros(CELLS, np.int64)
-        for b in batches:
+        for b in slices(batches):
             sets = [shingles(t, words, memo) for t in _texts(b)]
             if sets:
                 cells += np.bincount((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
@@ -119,7 +119,7 @@ def _prefixes(words: int, num: int, den: int, common: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Size, prefix and bitmap of each class, from the text of the document that stands for it."""
         memo = _WordHash()
-        for b in batches:
+        for b in slices(batches):
             sizes, prefixes, wide, maps = [], [], [], []
             b, sets = _of_class(b, words, memo)
             for s in sets:
@@ -144,22 +144,23 @@ def _prefixes(words: int, num: int, den: int, common: np.ndarray):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
-        for b in batches:
+        for b in slices(batches):
             b, found = _of_class(b, words, memo)
             yield pa.RecordBatch.from_arrays([b.column("cid"), _lists(found)], ["cid", "shingles"])
     return run
 
 
 _LANES = [f"b{i}" for i in range(LANES)]
+_LEAST = [f"m{i}" for i in range(4)]
 _LANE_TYPES = ", ".join(f"{c} long" for c in _LANES)
 
 
 class SignatureTree:
     """Tree over members sorted by size; level 0 is the root, the last level the members themselves."""
 
-    def __init__(self, ids, n, comp, bitmap):
+    def __init__(self, rows, n, comp, bitmap):
         order = np.lexsort((comp, n))
-        self.ids = ids[order]
+        self.rows = rows[order]
         n, comp, bitmap = n[order], comp[order], bitmap[order]
         level = (bitmap, n, n, np.bitwise_count(bitmap).sum(1).astype(np.int64), comp, comp)
         self.levels = [level]
@@ -183,7 +184,7 @@ def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, num: int, den: i
 
 
 def tree_pairs(a: SignatureTree, b: SignatureTree, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Dual traversal, depth first in slices: member ids of pairs that may link. ``b is a`` joins a tree with itself."""
+    """Dual traversal, depth first in slices: rows of members that may link. ``b is a`` joins a tree with itself."""
     start = np.zeros(1, np.int64)
     stack = [(0, 0, start, start)]
     while stack:
@@ -195,7 +196,7 @@ def tree_pairs(a: SignatureTree, b: SignatureTree, num: int, den: int) -> Iterat
             if b is a:
                 i, j = i[i < j], j[i < j]
             if len(i):
-                yield a.ids[i], b.ids[j]
+                yield a.rows[i], b.rows[j]
             continue
         down_a = not ends[0] and (ends[1] or len(a.levels) - x >= len(b.levels) - y)
         down_b = not ends[1] and (ends[0] or len(b.levels) - y >= len(a.levels) - x)
@@ -242,14 +243,13 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
 
 
 def _joined(keys: list[str], num: int, den: int):
-    def members(g: dict[str, np.ndarray], rows) -> tuple:
-        lanes = np.stack([g[c][rows] for c in _LANES], 1).view(np.uint64)
-        return g["cid"][rows], g["n"][rows], g["comp"][rows], lanes
+    def tree(g: dict[str, np.ndarray], lanes: np.ndarray, rows: np.ndarray) -> SignatureTree:
+        return SignatureTree(rows, g["n"][rows], g["comp"][rows], lanes[rows])
 
     def pairs(g: dict[str, np.ndarray], starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         sizes = np.diff(np.append(starts, len(g["cid"])))
-        ids, n, comp, lanes = members(g, slice(None))
-        level = (lanes, n, n, np.bitwise_count(lanes).sum(1).astype(np.int64), comp, comp)
+        lanes = np.stack([g[c] for c in _LANES], 1).view(np.uint64)
+        level = (lanes, g["n"], g["n"], np.bitwise_count(lanes).sum(1).astype(np.int64), g["comp"], g["comp"])
         single = np.add.reduceat(g["side"], starts) == 0  # side 0: joined with itself; 1 and 2: two chunks with each other
         # Blocks that fit into one leaf have no inner nodes: all of one size are done at once.
         for size in range(2, FAN + 1):
@@ -259,25 +259,27 @@ def _joined(keys: list[str], num: int, den: int):
                 some = at[s: s + PAIRS // len(x), None]
                 i, j = (some + x).ravel(), (some + y).ravel()
                 ok = _possible(level, i, level, j, num, den)
-                yield ids[i[ok]], ids[j[ok]]
+                yield i[ok], j[ok]
         for k in np.flatnonzero((sizes > FAN) | ~single):
             rows = np.arange(starts[k], starts[k] + sizes[k])
             side = g["side"][rows]
-            left = SignatureTree(*members(g, rows[side < 2]))
-            right = SignatureTree(*members(g, rows[side == 2])) if (side == 2).any() else left
-            yield from tree_pairs(left, right, num, den)
+            left = tree(g, lanes, rows[side < 2])
+            yield from tree_pairs(left, tree(g, lanes, rows[side == 2]) if (side == 2).any() else left, num, den)
+
+    def first_time(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether no earlier block is known to hold both: of the first open blocks of either, none before this one is common."""
+        again = np.zeros(len(i), bool)
+        for x in _LEAST:
+            for y in _LEAST:
+                again |= (g[x][i] == g[y][j]) & (g[x][i] < g["token"][i])
+        return ~again
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, starts in _whole_groups(batches, keys):
-            found = [np.empty((2, 0), np.int64)]
-            for u, v in pairs(g, starts):
-                found.append(np.stack([np.maximum(u, v), np.minimum(u, v)]))
-                if sum(f.shape[1] for f in found) > PAIRS:
-                    found = [np.unique(np.concatenate(found, 1), axis=1)]
-                    if found[0].shape[1] > PAIRS:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.pop()], ["u", "v"])
-                        found = [np.empty((2, 0), np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.unique(np.concatenate(found, 1), axis=1)], ["u", "v"])
+            for i, j in pairs(g, starts):
+                new = first_time(g, i, j)
+                u, v = g["cid"][i[new]], g["cid"][j[new]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
     return run
 
 
@@ -417,8 +419,11 @@ class _Join:
         total = mixed.agg(F.sum("size")).first()[0]
         if not total:
             return self.spark.createDataFrame([], "u long, v long")
-        open_ = hot_join(held.drop("members"), mixed, "token", "size", total)
-        signs = signed.drop("prefix", "wide")
+        open_ = self.scratch.keep(hot_join(held.drop("members"), mixed, "token", "size", total), "open")
+        # The first open blocks of each class let a pair that shares many blocks be reported (almost) once.
+        least = open_.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, len(_LEAST)).alias("least"))
+        signs = signed.drop("prefix", "wide").join(least, "cid").select(
+            "cid", "n", *_LANES, *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
             _joined(["token"], self.num, self.den), "u long, v long")

@@ -6,6 +6,10 @@ paragraphs. A unit is held against the templates whose number of distinct bigram
 coefficient of t needs t / (2 - t) <= |unit| / |template| <= (2 - t) / t. The best template of a unit is reported
 when 2 |common| / (|unit| + |template|) >= t; of equal ones the first by name.
 
+The threshold also asks for t / (2 - t) of a template's bigrams. Words that touch so many of them that fewer are left (the
+longest words first, common ones last) are its *key words*: a match holds one of them. Documents, then units, without any key word of
+any template are passed over before bigrams are made.
+
 No row is shuffled: templates are a literal of fixed size. Units without two words, and NULL or empty texts, match
 nothing. Repeated rows are reported each time.
 """
@@ -44,6 +48,11 @@ TEMPLATES = {
     "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
 }
 THRESHOLD = 0.8
+# Words too common to be key words while there are others.
+FUNCTION_WORDS = {
+    "a", "an", "and", "any", "at", "be", "by", "can", "either", "except", "for", "if", "in", "including", "is", "later", "may", "not", "of", "on",
+    "option", "or", "person", "persons", "so", "terms", "the", "this", "to", "under", "was", "with", "without", "work", "you", "your",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -64,6 +73,17 @@ def _template(name: str, text: str) -> tuple[str, list[str]]:
     return name, sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
+def key_words(grams: list[str], share: float) -> set[str]:
+    """Words of which every text with ``share`` of the bigrams has at least one."""
+    words = sorted({w for g in grams for w in g.split()}, key=lambda w: (w in FUNCTION_WORDS, -len(w), w))
+    chosen: set[str] = set()
+    for w in words:
+        if sum(chosen.isdisjoint(g.split()) for g in grams) < share * len(grams):
+            break
+        chosen.add(w)
+    return chosen
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, unit, unit_no, license, dice, n_bigrams) of every unit that matches a template."""
     known = [_template(n, t) for n, t in sorted(templates.items())]
@@ -73,7 +93,9 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: f
     # Sizes outside all bounds need no bigrams at all.
     least, most = min(len(g) for _, g in known) * low, max(len(g) for _, g in known) * high
 
-    norm = docs.select("doc_id", normalised(F.col("text").cast("string")).alias("norm"))
+    keys = sorted(set().union(*(key_words(g, low) for _, g in known)))
+    text = F.col("text").cast("string")
+    norm = docs.filter(F.lower(text).rlike(f"(?<![a-z0-9])(?:{'|'.join(keys)})(?![a-z0-9])")).select("doc_id", normalised(text).alias("norm"))
     paragraphs = F.split("norm", "\n *(?:\n *)+")
     several = F.filter(F.transform(paragraphs, lambda p, i: F.struct(F.lit("paragraph").alias("unit"), i.alias("unit_no"), p.alias("body"))),
                        lambda s: F.trim(s["body"]).contains("\n"))
@@ -82,7 +104,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: f
                    F.array(F.struct(F.lit("document").alias("unit"), F.lit(0).alias("unit_no"), F.col("norm").alias("body")))
                    ).otherwise(F.array().cast("array<struct<unit:string,unit_no:int,body:string>>"))
     units = norm.select("doc_id", F.explode(F.concat(lines, several, whole)).alias("u")).select("doc_id", "u.unit", "u.unit_no", _words(F.col("u.body")).alias("words"))
-    units = units.filter(F.size("words") - 1 >= least).select("doc_id", "unit", "unit_no", _bigrams(F.col("words")).alias("grams"))
+    units = units.filter((F.size("words") - 1 >= least) & F.arrays_overlap("words", F.array(*map(F.lit, keys)))).select("doc_id", "unit", "unit_no", _bigrams(F.col("words")).alias("grams"))
     size = F.size("grams")
     units = units.filter((size >= least) & (size <= most))
     fitting = F.filter(literal, lambda t: (size >= t["size"] * F.lit(low)) & (size <= t["size"] * F.lit(high)))

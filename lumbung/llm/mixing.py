@@ -73,7 +73,7 @@ def source_name(source: Column) -> Column:
 
 
 def schedule(docs: DataFrame, scratch: Scratch, period: int = 1000, block_bytes: int = 32_768,
-             weights: Mapping[str, int] | None = None, chunk_rows: int = 1_000_000) -> DataFrame:
+             weights: Mapping[str, int] | None = None, chunk_rows: int = 20_000) -> DataFrame:
     """(doc_id, hash, source, bytes, share, block, at, slot, released, due) for every row of ``docs`` (doc_id, text, source).
 
     ``block`` is the block in which a text starts, ``at`` the byte of its source where it starts: rows in the

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, result, table
+from lumbung.llm.common import Scratch, result, slices, table
 from lumbung.llm.pieces import byte_bpe_ranks, text_slots
 
 
@@ -54,7 +54,7 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 def _count(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = byte_bpe_ranks(path)
-        for b in batches:
+        for b in slices(batches):
             pieces.start()
             slots = [text_slots(t or "", pieces) for t in b.column("text").to_pylist()]
             sizes = pieces.counts(np.concatenate([*slots, np.empty(0, np.int64)]))
@@ -74,7 +74,7 @@ def _arrival(docs: DataFrame, chunk_rows: int) -> DataFrame:
         return by_mark(docs, chunk_rows)
 
 
-def by_mark(docs: DataFrame, chunk_rows: int = 1_000_000) -> DataFrame:
+def by_mark(docs: DataFrame, chunk_rows: int = 20_000) -> DataFrame:
     digits = max(1, math.ceil(math.log(max(docs.select("doc_id").count() / chunk_rows, 1), 16)) + 1)
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select("doc_id", "text", F.substring(mark, 1, digits).alias("chunk"),
@@ -117,4 +117,4 @@ def op2_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(docs: DataFrame) -> DataFrame:
     """Batches of ``docs`` in their order of arrival."""
     with Scratch(docs.sparkSession, "packing") as scratch:
-        return result(pack(_arrival(docs, 1_000_000), scratch), "packed")
+        return result(pack(_arrival(docs, 20_000), scratch), "packed")

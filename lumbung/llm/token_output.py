@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import checked, result, table
+from lumbung.llm.common import checked, result, slices, table
 from lumbung.llm.pieces import byte_bpe, text_slots
 from lumbung.session import shared_folder
 
@@ -158,7 +158,7 @@ def _shards(vocabulary: str | None, shard_ids: int):
             ids, sizes, names, number, full = [], [], [], number + 1, 0
             return out
 
-        for b in batches:
+        for b in slices(batches):
             pieces.start()
             slots = [text_slots(t or "", pieces) for t in b.column("text").to_pylist()]
             counts = pieces.counts(np.concatenate([*slots, np.empty(0, np.int64)]))
