@@ -11,12 +11,14 @@ from lumbung.llm.mixing import ORACLE_OP9, op9_pfair_mixing
 from lumbung.llm.packing import op2_bucket_packing
 from lumbung.llm.token_output import op10_repair_tokens
 from lumbung.llm.toxicity import op3_deobfuscated_toxicity
+from lumbung.llm.url_filter import op5_url_trees
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_bucket_packing": op2_bucket_packing,
     "op3_deobfuscated_toxicity": op3_deobfuscated_toxicity,
     "op4_tokeniser_fertility": op4_tokeniser_fertility,
+    "op5_url_trees": op5_url_trees,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
