@@ -67,11 +67,13 @@ def overlapping_versions(
 ) -> DataFrame:
     """Versions that start before an earlier version of the same key has ended.
 
-    Empty exactly when no two versions of a key intersect. One ordered pass per key replaces
+    Rows of one version id are one version, from its first start to its last end. Empty exactly when no two
+    versions of a key intersect. One ordered pass per key replaces
     the self-join, whose work and output grow with the square of the versions of a key.
     """
+    once = versions.groupBy(key, version_id).agg(F.min(valid_from).alias(valid_from), F.max(valid_to).alias(valid_to))
     swept = ordered(
-        versions.select(key, version_id, valid_from, valid_to),
+        once.select(key, version_id, valid_from, valid_to),
         [key], [valid_from, valid_to, version_id], OrderedSpec(peaks={"earlier_valid_to": valid_to}), settings,
     )
     return swept.filter(F.col(valid_from) < F.col("earlier_valid_to"))

@@ -28,7 +28,7 @@ class OrderedSpec:
     lasts: latest non-NULL value up to and including this row.
     sums: running sum up to and including this row.
     peaks: largest value among the earlier rows.
-    minimums, maximums: over all rows of the key.
+    minimums, maximums, totals: over all rows of the key.
     """
 
     sequence: str | None = None
@@ -38,6 +38,7 @@ class OrderedSpec:
     peaks: Named = field(default_factory=dict)
     minimums: Named = field(default_factory=dict)
     maximums: Named = field(default_factory=dict)
+    totals: Named = field(default_factory=dict)
 
 
 def ordered(
@@ -78,6 +79,7 @@ def _one_window(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec:
     added += [F.max(c).over(before).alias(n) for n, c in spec.peaks.items()]
     added += [F.min(c).over(group).alias(n) for n, c in spec.minimums.items()]
     added += [F.max(c).over(group).alias(n) for n, c in spec.maximums.items()]
+    added += [F.sum(c).over(group).alias(n) for n, c in spec.totals.items()]
     return df.select("*", *added)
 
 
@@ -103,6 +105,7 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Ord
     facts += [F.max(c).alias(f"_top_{n}") for n, c in spec.peaks.items()]
     facts += [F.min(c).alias(f"_edge_{n}") for n, c in spec.minimums.items()]
     facts += [F.max(c).alias(f"_edge_{n}") for n, c in spec.maximums.items()]
+    facts += [F.sum(c).alias(f"_edge_{n}") for n, c in spec.totals.items()]
     chunks = df.groupBy(*parts).agg(*facts)
 
     whole, seq, _, earlier = _frames(keys, ["_chunk"])
@@ -113,8 +116,9 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Ord
     carried += [F.max(f"_top_{n}").over(earlier).alias(f"_carry_{n}") for n in spec.peaks]
     carried += [F.min(f"_edge_{n}").over(whole).alias(n) for n in spec.minimums]
     carried += [F.max(f"_edge_{n}").over(whole).alias(n) for n in spec.maximums]
-    # One row per (key, chunk): at most max_hot_keys plus the number of chunks.
-    summary = F.broadcast(chunks.select(*[F.col(p).alias(f"_s_{p}") for p in parts], *carried))
+    carried += [F.sum(f"_edge_{n}").over(whole).alias(n) for n in spec.totals]
+    # One row per (key, chunk), a few million times fewer than rows; whether that is broadcast is left to AQE.
+    summary = chunks.select(*[F.col(p).alias(f"_s_{p}") for p in parts], *carried)
 
     cond = F.lit(True)
     for p in parts:
@@ -128,5 +132,5 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec: Ord
         here, carry = F.col(f"_sum_{n}"), F.col(f"_carry_{n}")
         out.append(F.coalesce(here + carry, here, carry).alias(n))
     out += [F.greatest(f"_peak_{n}", f"_carry_{n}").alias(n) for n in spec.peaks]
-    out += [F.col(n) for n in (*spec.minimums, *spec.maximums)]
+    out += [F.col(n) for n in (*spec.minimums, *spec.maximums, *spec.totals)]
     return rows.join(summary, cond, "inner").select(*out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import OrderedSpec, ordered
-from .skew import DEFAULT, SkewSettings, lookup_join
+from .skew import DEFAULT, SkewSettings
 
 
 def exact_percentiles(
@@ -20,14 +20,11 @@ def exact_percentiles(
 ) -> DataFrame:
     """Smallest value of each group that covers the given share of its non-NULL values.
 
-    Rows are first counted per distinct value, which combines on the map side; the running
-    count then walks the distinct values in order.
+    Rows are first counted per distinct value, which combines on the map side; one pass then walks the
+    distinct values in order with the running count and the total.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    walked = lookup_join(
-        ordered(counts, keys, [value], OrderedSpec(sums={"_upto": "_n"}), settings), totals, keys, "inner", settings
-    )
+    walked = ordered(counts, keys, [value], OrderedSpec(sums={"_upto": "_n"}, totals={"_total": "_n"}), settings)
     picks = [
         F.min(F.when(F.col("_upto") >= F.ceil(F.col("_total") * F.lit(share)), F.col(value))).alias(name)
         for name, share in shares.items()

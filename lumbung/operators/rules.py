@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbung.functions import date_key, money, whole_days_between, zero_padded
@@ -150,10 +150,22 @@ def continued_keys(
 ) -> DataFrame:
     """Number a batch from ``last_key + 1`` in the given order.
 
-    The batch is one ordered run; when large it is cut and numbered like any heavy key.
+    The batch is cut at quantiles of its first order column into pieces of about ``group_rows`` rows; each piece
+    is numbered by itself and starts after the rows of the earlier ones.
     """
-    numbered = ordered(batch.withColumn("_run", F.lit(1)), ["_run"], order, OrderedSpec(sequence="_nth"), settings)
-    return numbered.withColumn(key, F.col("_nth") + F.lit(last_key)).drop("_run", "_nth")
+    first = order[0]
+    pieces = batch.count() // settings.group_rows + 1
+    shares = [i / pieces for i in range(1, pieces)]
+    found = batch.agg(F.percentile_approx(first, shares, 10_000).alias("cuts")).first()["cuts"] if shares else None
+    cuts = F.array(*[F.lit(c).cast(batch.schema[first].dataType) for c in sorted(set(found or []))])
+    piece = F.size(F.filter(cuts, lambda c: c < F.col(first))) if found else F.lit(0)
+    cut = batch.withColumn("_piece", piece)
+    line = Window.partitionBy("_piece").orderBy(*order)
+    numbered = cut.withColumn("_nth", F.row_number().over(line).cast("long"))
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # over one row per piece
+    starts = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    return numbered.join(starts, "_piece").withColumn(key, F.col("_nth") + F.col("_start") + F.lit(last_key)).select(*batch.columns, key)
 
 
 def illegal_steps(status_events: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:

@@ -3,7 +3,7 @@
 Small inputs cannot contain such a key, so their plans stay as plain as possible; the
 decision uses Catalyst's size estimate of the input. For large inputs one aggregation
 (combined on the map side, reading the key columns only) lists the heavy keys. That list
-has a fixed upper length, which makes it safe to collect and to broadcast. Splitting
+has at most one entry per ``group_rows`` rows of the input. Splitting
 changes where rows are processed, never which rows are processed.
 """
 
@@ -23,23 +23,24 @@ from lumbung.session import shared_folder
 class SkewSettings:
     """When and how far to split.
 
-    check_bytes: inputs estimated below this are not examined.
+    check_bytes: inputs whose files are smaller are not examined: 4 million rows of one key need more, at four
+        bytes a row.
     group_rows: rows of one key a single task may receive.
-    max_hot_keys: upper length of the heavy-key list. Keys beyond it are handled like
-        ordinary keys; each of them holds less than 1/max_hot_keys of the input.
     broadcast_bytes: size of the tables below a lookup up to which it is broadcast unseen.
     broadcast_rows: row count, verified by a job, up to which any other lookup is broadcast.
     """
 
-    check_bytes: int = 1 << 30
+    check_bytes: int = 16 << 20
     group_rows: int = 4_000_000
-    max_hot_keys: int = 10_000
     broadcast_bytes: int = 16 << 20
     broadcast_rows: int = 100_000
 
 
 DEFAULT = SkewSettings()
 
+#: Heavy keys up to this many are broadcast; longer lists are joined by a shuffle.
+LISTED = 100_000
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size of the tables a frame reads, from Catalyst's statistics; unknown counts as unbounded.
@@ -54,24 +55,24 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has no more than ``rows`` rows; never fetches more than that plus one."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    """Whether a frame has no more than ``rows`` rows; counts no further than that plus one."""
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], settings: SkewSettings = DEFAULT) -> list[Row]:
-    """Heaviest keys with their row counts, at most ``max_hot_keys`` of them."""
+    """Heavy keys with their row counts: all of them, fewer than rows / group_rows."""
     if estimated_bytes(df) < settings.check_bytes:
         return []
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = counts.filter(F.col("_rows") > settings.group_rows)
-    return heavy.orderBy(F.desc("_rows")).limit(settings.max_hot_keys).collect()
+    return counts.filter(F.col("_rows") > settings.group_rows).collect()
 
 
 def _hot_frame(df: DataFrame, keys: Sequence[str], hot: list[Row], prefix: str) -> DataFrame:
     spark = df.sparkSession
     schema = df.select(*keys, F.lit(0).cast("long").alias("_rows")).schema
     frame = spark.createDataFrame(hot, schema=schema)
-    return F.broadcast(frame.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], "_rows"))
+    marks = frame.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], "_rows")
+    return F.broadcast(marks) if len(hot) <= LISTED else marks
 
 
 def _same(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -160,9 +161,15 @@ def lookup_join(
     how: str = "inner",
     settings: SkewSettings = DEFAULT,
     measure: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Join to a dimension: broadcast when its checked size allows, else a skew-aware shuffle."""
+    """Join to a dimension: broadcast when its checked size allows, else a skew-aware shuffle.
+
+    ``unique`` declares that ``left`` holds few rows per key, e.g. of its primary key: no key is looked for then.
+    """
     small = estimated_bytes(lookup) <= settings.broadcast_bytes
     if small or has_at_most(lookup, settings.broadcast_rows):
         return left.join(F.broadcast(lookup), list(keys), how)
+    if unique:
+        return left.join(lookup, list(keys), how)
     return skew_join(left, lookup, keys, how, settings, measure)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lumbung.functions import date_key, minute_key, surrogate_key
 from lumbung.operators.asof import asof_join
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join, skew_join
+from lumbung.session import WorkFolder
+from lumbung.sources.writers import latest_rows
 
 from .dimensions import FLAGS
 from .intermediate import order_context
@@ -86,13 +88,7 @@ def fct_of_items(
     joins. ``refresh_customers`` returns the rows of every item of those customers, because
     a late older order renumbers the orders after it.
     """
-    orders = stg["orders"]
-    touched = lookup_join(
-        orders.select("order_id", "customer_id"), fresh.select("order_id").distinct(), ["order_id"], "left_semi", settings
-    )
-    customers = touched.select("customer_id").distinct()
-    narrowed = dict(stg)
-    narrowed["orders"] = lookup_join(orders, customers, ["customer_id"], "left_semi", settings)
+    narrowed = _history_of(stg, fresh.select("order_id").distinct(), settings)
     items = fresh
     if refresh_customers:
         theirs = narrowed["orders"].select("order_id").distinct()
@@ -100,6 +96,36 @@ def fct_of_items(
     return _items_with_orders(items, resolved_orders(narrowed, dims, settings), dims, settings)
 
 
+def fct_of_orders(
+    stg: Mapping[str, DataFrame],
+    dims: Dimensions,
+    touched: DataFrame,
+    work: WorkFolder,
+    settings: SkewSettings = DEFAULT,
+    refresh_customers: bool = False,
+) -> DataFrame:
+    """Fact rows of all items of the touched orders (order_id, distinct), each item in its latest version.
+
+    All rows of an order are computed together, so they agree in everything that belongs to the order.
+    ``refresh_customers`` takes in all orders of the customers, whose positions a late order may shift.
+    """
+    narrowed = _history_of(stg, touched, settings)
+    narrowed["orders"] = work.keep(narrowed["orders"], "orders")
+    if refresh_customers:
+        touched = narrowed["orders"].select("order_id").distinct()
+    items = lookup_join(stg["order_items"], touched, ["order_id"], "left_semi", settings)
+    items = work.keep(latest_rows(items, "order_item_id"), "items")
+    return _items_with_orders(items, resolved_orders(narrowed, dims, settings), dims, settings)
+
+
+def _history_of(stg: Mapping[str, DataFrame], touched: DataFrame, settings: SkewSettings) -> dict[str, DataFrame]:
+    """The staged tables with the orders of only those customers that placed a touched order."""
+    orders = stg["orders"]
+    theirs = lookup_join(orders.select("order_id", "customer_id"), touched, ["order_id"], "left_semi", settings, unique=True)
+    customers = theirs.select("customer_id").distinct()
+    return {**stg, "orders": lookup_join(orders, customers, ["customer_id"], "left_semi", settings)}
+
+
 def resolved_orders(
     stg: Mapping[str, DataFrame], dims: Dimensions, settings: SkewSettings = DEFAULT
 ) -> DataFrame:

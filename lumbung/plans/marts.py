@@ -2,8 +2,8 @@
 
 Distinct orders are counted by first rolling the fact up to one row per order; a plain
 count then replaces ``count(distinct order_id)``, and one roll-up serves six marts. An order
-belongs to one customer version, city, date, minute, payment method and shipping service,
-so these keys may stand beside the order id in the grouping.
+belongs to one customer version, city, date, minute, payment method and shipping service;
+its row takes these from the item that was loaded last.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> Da
     hot spot. Measures a mart does not use are pruned by the optimizer.
     """
     minutes = "delivery_duration_minutes"
-    return fact.groupBy("order_id", *keys).agg(*_exprs(
+    newest = F.max(F.struct("loaded_at", "order_item_id", *keys)).alias("_newest")
+    rolled = fact.groupBy("order_id").agg(newest, *_exprs(
         "count(*) as item_count",
         *_sums("quantity", "subtotal", "discount_amount", "shipping_subsidy", "voucher_amount", "total_payment",
                "estimated_cost", "profit"),
@@ -56,6 +57,8 @@ def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> Da
         "count_if(is_cancelled) as cancelled_items", "count_if(is_returned) as returned_items",
         "count_if(is_delayed) as delayed_items",
     ))
+    measures = [c for c in rolled.columns if c not in ("order_id", "_newest")]
+    return rolled.select("order_id", *[F.col(f"_newest.{k}").alias(k) for k in keys], *measures)
 
 
 def city_performance(orders: DataFrame, dim_city: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:

@@ -11,16 +11,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumbung.operators import quality
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
+from lumbung.session import WorkFolder
 from lumbung.sources import writers
 
 from . import marts
 from .dimensions import dim_order_flags
-from .fact import FACT_COLUMNS, fct_of_items
+from .fact import FACT_COLUMNS, fct_of_orders
 from .intermediate import order_item_enriched
 from .models import CALENDAR_END, CALENDAR_START, DIMENSIONS, MARTS, Models
 from .suite import DECLARED, require_passed, run_checks, singular_checks
@@ -61,7 +64,7 @@ class Warehouse:
 
     def run_full(self, raw: Mapping[str, DataFrame], check: bool = True) -> DataFrame | None:
         """Rebuild every stored model, check, stamp; returns the check report."""
-        seen = self._newest_order_load(raw)
+        seen = self.newest_order_load(raw)
         models = self.models(raw)
         for name in DIMENSIONS:
             writers.overwrite(models[name], self.path(name))
@@ -69,7 +72,7 @@ class Warehouse:
         self._write_by_month(with_month(models["fct_order_item"]), "fct_order_item")
         self._write_by_month(self._rollup(self.stored("fct_order_item")), "order_rollup")
         self._write_marts(raw)
-        return self._finish(raw, check, seen)
+        return self.finish(raw, check, seen)
 
     def has_new_data(self, orders: DataFrame) -> bool:
         """Whether any order was loaded after the last run."""
@@ -77,61 +80,59 @@ class Warehouse:
         return not orders.filter(F.col("loaded_at") > F.lit(last)).isEmpty()
 
     def run_incremental(
-        self, raw: Mapping[str, DataFrame], check: bool = True, refresh_customers: bool = False, refresh_marts: bool = True
+        self, raw: Mapping[str, DataFrame], check: bool = True, refresh_customers: bool = False, refresh_marts: bool = True,
+        refresh_headers: bool = False,
     ) -> DataFrame | None:
-        """Merge items loaded since the newest fact row; None when no order is new.
+        """Merge the orders of items loaded since the newest fact row; None when no order is new.
+
+        ``refresh_headers`` also takes orders whose header, payment or shipment was loaded since, though no item
+        was; ``refresh_customers`` all orders of the customers of touched orders.
 
         Dimensions are refreshed before the fact, so that rows with a new flag combination
         or a new product find their dimension row.
         """
         if not self.has_new_data(raw["orders"]):
             return None
-        seen = self._newest_order_load(raw)
+        seen = self.newest_order_load(raw)
         newest = self.stored("fct_order_item").agg(F.max("loaded_at")).first()[0] or writers.EPOCH
-        fresh = self.models(raw).stg["order_items"].filter(F.col("loaded_at") > F.lit(newest))
-        self.apply_items(raw, fresh, refresh_customers, refresh_marts)
-        return self._finish(raw, check, seen)
-
-    def apply_items(
-        self, raw: Mapping[str, DataFrame], fresh: DataFrame, refresh_customers: bool = False, refresh_marts: bool = True
+        stg = self.models(raw).stg
+        sources = ["order_items", *(["orders", "payments", "shipments"] if refresh_headers else [])]
+        changed = [stg[t].filter(F.col("loaded_at") > F.lit(newest)).select("order_id") for t in sources]
+        self.apply_orders(raw, reduce(DataFrame.unionByName, changed), refresh_customers, refresh_marts)
+        return self.finish(raw, check, seen)
+
+    def apply_orders(
+        self, raw: Mapping[str, DataFrame], orders: DataFrame, refresh_customers: bool = False, refresh_marts: bool = True
     ) -> None:
-        """Bring dimensions up to date, merge the facts of the given items, refresh the marts.
+        """Bring dimensions up to date, merge the facts of the given orders (order_id), refresh the marts.
 
-        Applying the same items again leaves the tables as they are.
+        All items of a touched order are computed anew and replace all its fact rows and its roll-up row, so the
+        roll-up has one row per order and the sums of the fact. Applying the same orders again leaves the tables as
+        they are.
         """
         models = self.models(raw)
         for name in DIMENSIONS:
             if name != "dim_order_flags":
                 writers.overwrite(models[name], self.path(name))
-        # New flag combinations can only come from the new items.
-        delta_stg = {**models.stg, "order_items": fresh}
-        writers.insert_absent(
-            self.spark, dim_order_flags(order_item_enriched(delta_stg, self.settings)), self.path("dim_order_flags"),
-            "order_flags_key",
-        )
-        current = self.models(raw, DIMENSIONS)
-        rows = fct_of_items(
-            current.stg, current.dimensions(stored_status_and_flags=True), fresh, self.settings, refresh_customers
-        )
-        delta = writers.merge_into(
-            self.spark, self.path("fct_order_item"), with_month(rows), ["order_item_id"], MONTH, self.settings
-        )
-        self._refresh_rollup(delta)
+        with WorkFolder(self.spark, "slice") as work:
+            touched = work.keep(orders.filter("order_id is not null").distinct(), "touched")
+            # New flag combinations can only come from the touched orders.
+            items = lookup_join(models.stg["order_items"], touched, ["order_id"], "left_semi", self.settings)
+            flags = dim_order_flags(order_item_enriched({**models.stg, "order_items": items}, self.settings))
+            writers.insert_absent(self.spark, flags, self.path("dim_order_flags"), "order_flags_key")
+            current = self.models(raw, DIMENSIONS)
+            rows = fct_of_orders(
+                current.stg, current.dimensions(stored_status_and_flags=True), touched, work, self.settings, refresh_customers)
+            delta = work.keep(with_month(rows), "fact")
+            # The roll-up tells in which month an order is stored; it is merged last, so a repeated run finds it as it was.
+            index = writers.table_or_none(self.spark, self.path("order_rollup"))
+            writers.merge_into(self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index)
+            writers.merge_into(self.spark, self.path("order_rollup"), self._rollup(delta), ["order_id"], MONTH, self.settings)
         if refresh_marts:
             self._write_marts(raw)
 
     # steps
 
-    def _refresh_rollup(self, delta: DataFrame) -> None:
-        """Roll up again the orders that have rows in the merged delta."""
-        fact = self.spark.read.parquet(self.path("fct_order_item"))
-        months = [r[0] for r in delta.select(MONTH).distinct().collect()]
-        orders = delta.select("order_id").distinct()
-        rows = lookup_join(fact.filter(F.col(MONTH).isin(months)), orders, ["order_id"], "left_semi", self.settings)
-        writers.merge_into(
-            self.spark, self.path("order_rollup"), self._rollup(rows), ["order_id"], MONTH, self.settings
-        )
-
     def _rollup(self, fact: DataFrame) -> DataFrame:
         return with_month(marts.order_rollup(fact))
 
@@ -145,16 +146,17 @@ class Warehouse:
                 models = self.models(raw, ["mart_customer_segments"])
             writers.overwrite(models[name], self.path(name))
 
-    def _newest_order_load(self, raw: Mapping[str, DataFrame]) -> datetime:
+    def newest_order_load(self, raw: Mapping[str, DataFrame]) -> datetime:
         return raw["orders"].agg(F.max("loaded_at")).first()[0] or writers.EPOCH
 
-    def _finish(self, raw: Mapping[str, DataFrame], check: bool, seen: datetime) -> DataFrame | None:
+    def finish(self, raw: Mapping[str, DataFrame], check: bool, seen: datetime) -> DataFrame | None:
         """Check, then stamp the run with the newest load time it saw at its start.
 
         The wall clock would hide rows that land while the run is at work.
         """
         report = None
         if check:
+            require_passed(self.rollup_report())
             report = self.report(raw)
             require_passed(report)
         writers.stamp(self.spark, self.control, {LAST_RUN: seen})
@@ -167,6 +169,20 @@ class Warehouse:
         chosen = self.check_models
         return run_checks(models, DECLARED, singular, lambda m: chosen is None or m in chosen)
 
+    def rollup_report(self) -> DataFrame:
+        """Whether the roll-up has one row per order and the sums of the fact, per order month."""
+        rollup = self.spark.read.parquet(self.path("order_rollup"))
+        fact = self.spark.read.parquet(self.path("fct_order_item"))
+        here = fact.groupBy(MONTH).agg(F.count(F.lit(1)).alias("items"), F.sum("total_payment").alias("paid"), F.sum("profit").alias("gain"))
+        there = rollup.groupBy(MONTH).agg(
+            F.sum("item_count").alias("items"), F.sum("total_payment").alias("paid"), F.sum("profit").alias("gain"))
+        differing = here.exceptAll(there).unionByName(there.exceptAll(here))
+        checks = [("unique", "order_id", quality.unique(rollup, "order_id")), ("sums_of_fact", "", differing)]
+        return reduce(DataFrame.unionByName, [
+            bad.agg(F.count(F.lit(1)).alias("n_bad")).select(
+                F.lit(kind).alias("check"), F.lit("order_rollup").alias("model"), F.lit(column).alias("column"), "n_bad")
+            for kind, column, bad in checks])
+
     def stamp_tables(self, raw: Mapping[str, DataFrame]) -> None:
         """Record the newest ``loaded_at`` of every raw table."""
         newest = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "lumbung", **conf: str) -> SparkSession:
@@ -23,6 +23,29 @@ def local_session(cores: int | str = "*", app: str = "lumbung", **conf: str) ->
     return builder.getOrCreate()
 
 
+class WorkFolder:
+    """Folder for intermediate tables below the shared storage, removed when the block ends."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.path = spark, shared_folder(spark, purpose)
+
+    def __enter__(self) -> WorkFolder:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a frame and read it back, so that what is built on it computes it once."""
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """New folder below ``spark.checkpoint.dir``, the storage every executor can reach.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
-from lumbung.session import shared_folder
+from lumbung.session import WorkFolder, remove
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -70,47 +70,50 @@ def merged_rows(
 ) -> DataFrame:
     """Target rows replaced by delta rows of the same key, plus delta rows with new keys."""
     changed = delta.select(*keys).distinct()
-    return lookup_join(target, changed, keys, "left_anti", settings).unionByName(delta)
+    return lookup_join(target, changed, keys, "left_anti", settings, unique=True).unionByName(delta)
+
+
+def latest_rows(df: DataFrame, key: str, by: str = "loaded_at") -> DataFrame:
+    """One row per key: the latest, of equally late ones the largest in all columns.
+
+    An aggregation that combines on the map side, so a key with very many corrections is no hot spot.
+    """
+    rest = [c for c in df.columns if c not in (key, by)]
+    newest = df.groupBy(key).agg(F.max(F.struct(by, *rest)).alias("_row"))
+    return newest.select(key, "_row.*").select(*df.columns)
 
 
 def merge_into(
     spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], partition: str,
-    settings: SkewSettings = DEFAULT,
-) -> DataFrame:
-    """Keyed merge into a table partitioned by ``partition``; returns the delta as stored.
+    settings: SkewSettings = DEFAULT, index: DataFrame | None = None,
+) -> None:
+    """Keyed merge into a table partitioned by ``partition``: target rows with a key of the delta give way to its rows.
 
     Only partitions that hold a changed key, now or before, are rewritten. Their new content
     is complete in the shared folder before the table is touched, so a run that stops half
-    way can be repeated. The list of partitions is the only thing that reaches the driver.
+    way can be repeated. The list of partitions is the only thing that reaches the driver. ``index`` may name
+    a smaller frame (keys, partition) that tells in which partitions a key is now.
     """
-    staged = shared_folder(spark, "delta")
-    delta.write.parquet(staged)
-    delta = spark.read.parquet(staged)
     target = table_or_none(spark, path)
     if target is None:
         overwrite(delta, path, [partition])
-        return delta
-
-    changed = delta.select(*keys).distinct()
-    held = lookup_join(target.select(*keys, partition), changed, keys, "left_semi", settings).select(partition)
-    touched = [r[0] for r in held.union(delta.select(partition)).distinct().collect()]
-    if not touched:
-        return delta
-    rebuilt = shared_folder(spark, "merged")
-    kept = target.filter(F.col(partition).isin(touched))
-    merged_rows(kept, delta, keys, settings).write.partitionBy(partition).parquet(rebuilt)
-    result = spark.read.parquet(rebuilt)
-    result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    left = {r[0] for r in result.select(partition).distinct().collect()}
-    for value in set(touched) - left:
-        _delete(spark, f"{path}/{partition}={value}")
-    return delta
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        return
+    with WorkFolder(spark, "merge") as work:
+        delta = work.keep(delta, "delta")
+        changed = work.keep(delta.select(*keys).distinct(), "keys")
+        places = (target if index is None else index).select(*keys, partition)
+        held = lookup_join(places, changed, keys, "left_semi", settings, unique=True).select(partition)
+        touched = [r[0] for r in held.union(delta.select(partition)).distinct().collect()]
+        if not touched:
+            return
+        kept = target.filter(F.col(partition).isin(touched))
+        merged = lookup_join(kept, changed, keys, "left_anti", settings, unique=True).unionByName(delta)
+        merged.write.partitionBy(partition).parquet(f"{work.path}/merged")
+        result = spark.read.schema(target.schema).parquet(f"{work.path}/merged")
+        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        left = {r[0] for r in result.select(partition).distinct().collect()}
+        for value in set(touched) - left:
+            remove(spark, f"{path}/{partition}={value}")
 
 
 def stamp(spark: SparkSession, path: str, marks: Mapping[str, datetime]) -> None:

@@ -30,15 +30,19 @@ def start_merging(
     checkpoint: str,
     refresh_customers: bool = False,
     refresh_marts: bool = True,
+    check: bool = True,
 ) -> StreamingQuery:
-    """Process everything that has arrived, batch by batch, then stop.
+    """Process everything that has arrived, batch by batch, then stop; every batch is checked and stamped.
 
-    ``raw`` is called for every batch, so that files added to the other raw tables are seen.
+    ``raw`` is called for every batch, so that files added to the other raw tables are seen. Its ``order_items`` hold
+    the items of the batch as well, as the orders of these are computed whole.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = staged("order_items", batch)
-        warehouse.apply_items(raw(), fresh, refresh_customers, refresh_marts)
+        tables = raw()
+        seen = warehouse.newest_order_load(tables)
+        warehouse.apply_orders(tables, staged("order_items", batch).select("order_id"), refresh_customers, refresh_marts)
+        warehouse.finish(tables, check, seen)
 
     return (
         items.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
