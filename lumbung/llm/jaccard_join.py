@@ -9,15 +9,16 @@ den * |intersection| >= num * |union|. The join loses no link:
    prefix. Linked sets share a prefix shingle whatever the total order, so a *block* per prefix shingle
    holds all links. "How common" is a table of CELLS counts over all documents: shingles of widely
    shared passages come last, so blocks stay small.
-3. Every block member is compared with the block's first class. Verified links are contracted, so a large
-   group of near copies becomes one component with work linear in its size.
+3. Every class is compared with the smallest of the first classes of its blocks. Verified links are contracted, so a
+   large group of near copies mostly becomes one component with work linear in its size.
 4. Blocks that still hold several components are joined by signature trees: a node holds the OR of its
    members' token bitmaps, their size range and the component if there is only one. Two trees are
    traversed together; a pair of nodes is pruned when the sizes are too far apart, when both lie in one
    component, or when the largest possible overlap by the bitmaps is too small for the threshold. Blocks
    of more than ``block_rows`` members are cut into chunks of that size whose roots are joined first; only
    chunk pairs that survive are dealt out to tasks.
-5. Surviving pairs are verified on the whole sets, and components are contracted by stars.
+5. Surviving pairs are verified on the whole sets, a few of each class first; what these connect needs no further
+   comparison. Then all pairs of classes that are still apart follow.
 
 Shingles are compared by 64-bit hashes, sets by 128-bit digests. Documents without words or text have no
 shingles and link with nothing. Rows are never merged: a repeated doc_id gives a row each time, and a NULL
@@ -41,6 +42,7 @@ LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
 ROWS = 1 << 15  # rows of small blocks taken together
+FEW = 4  # pairs of a class that are verified before all others
 
 
 class _WordHash(dict):
@@ -242,7 +244,16 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
         yield joined()
 
 
-def _joined(keys: list[str], num: int, den: int):
+def _some(i: np.ndarray, j: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``few`` of the pairs of each i."""
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    starts = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+    keep = np.arange(len(i)) - np.repeat(starts, np.diff(np.append(starts, len(i)))) < few
+    return i[keep], j[keep]
+
+
+def _joined(keys: list[str], num: int, den: int, few: int):
     def tree(g: dict[str, np.ndarray], lanes: np.ndarray, rows: np.ndarray) -> SignatureTree:
         return SignatureTree(rows, g["n"][rows], g["comp"][rows], lanes[rows])
 
@@ -278,7 +289,8 @@ def _joined(keys: list[str], num: int, den: int):
         for g, starts in _whole_groups(batches, keys):
             for i, j in pairs(g, starts):
                 new = first_time(g, i, j)
-                u, v = g["cid"][i[new]], g["cid"][j[new]]
+                i, j = _some(i[new], j[new], few) if few and new.any() else (i[new], j[new])
+                u, v = g["cid"][i], g["cid"][j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
     return run
 
@@ -343,16 +355,19 @@ class _Join:
         self.signed = signed
         members = self._members(signed)
 
-        near = F.col("cid") != F.col("first")
-        stars = members.filter(near & _near(F.col("n"), F.col("first_n"), num, den)).select(
-            F.greatest("cid", "first").alias("u"), F.least("cid", "first").alias("v")).distinct()
+        # The first class of a block is its smallest, so every member is the larger side of its pairs.
+        near = (F.col("cid") != F.col("first")) & _near(F.col("n"), F.col("first_n"), num, den)
+        stars = members.filter(near).groupBy(F.col("cid").alias("u")).agg(F.min("first").alias("v"))
         stars = keep(self._verified(keep(stars, "stars"), "star"), "star_links")
         roots = connected(stars, self.scratch, "stars")
 
-        pairs = self._tree_join(members, roots, signed)
-        links = stars.unionByName(self._verified(keep(pairs, "pairs"), "tree"))
-        links = keep(links.distinct(), "links")
-        self.links = links
+        # A few pairs of each class first: what they link need not be compared pair by pair.
+        some = keep(self._tree_join(members, roots, "some", FEW), "some_pairs")
+        links = keep(stars.unionByName(self._verified(some, "some")), "some_links")
+        roots = connected(links, self.scratch, "some")
+
+        pairs = keep(self._tree_join(members, roots, "tree").join(some, ["u", "v"], "left_anti"), "tree_pairs")
+        links = keep(links.unionByName(self._verified(pairs, "tree")), "links")
         roots = connected(links, self.scratch, "links")
 
         ids = self.classes.join(roots, self.classes["cid"] == roots["node"], "left").select(
@@ -409,39 +424,42 @@ class _Join:
         return pairs.join(a, "u").join(b, "v").filter(
             (self.num + self.den) * both >= self.num * (F.size("a") + F.size("b"))).select("u", "v")
 
-    def _tree_join(self, members: DataFrame, roots: DataFrame, signed: DataFrame) -> DataFrame:
-        """Pairs of different components that the trees cannot rule out."""
+    def _tree_join(self, members: DataFrame, roots: DataFrame, name: str, few: int = 0) -> DataFrame:
+        """Pairs of different components that the trees cannot rule out; of each class ``few`` if that is given."""
         held = members.join(roots, members["cid"] == roots["node"], "left").select(
             "token", "cid", "members", F.coalesce("root", "cid").alias("comp"))
-        held = self.scratch.keep(held, "held")
+        held = self.scratch.keep(held, f"{name}_held")
         mixed = held.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("members").alias("members"))
-        mixed = self.scratch.keep(mixed.filter("low <> high").select("token", F.col("members").alias("size")), "mixed")
+        mixed = self.scratch.keep(mixed.filter("low <> high").select("token", F.col("members").alias("size")), f"{name}_mixed")
         total = mixed.agg(F.sum("size")).first()[0]
         if not total:
             return self.spark.createDataFrame([], "u long, v long")
-        open_ = self.scratch.keep(hot_join(held.drop("members"), mixed, "token", "size", total), "open")
+        open_ = self.scratch.keep(hot_join(held.drop("members"), mixed, "token", "size", total), f"{name}_open")
         # The first open blocks of each class let a pair that shares many blocks be reported (almost) once.
         least = open_.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, len(_LEAST)).alias("least"))
-        signs = signed.drop("prefix", "wide").join(least, "cid").select(
+        signs = self.signed.drop("prefix", "wide").join(least, "cid").select(
             "cid", "n", *_LANES, *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
-            _joined(["token"], self.num, self.den), "u long, v long")
+            _joined(["token"], self.num, self.den, few), "u long, v long")
         large = open_.filter(F.col("size") > self.block_rows)
         count = large.count()
         if count:
-            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid"), count))
+            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid"), count, name, few))
+        if few:
+            least = F.slice(F.sort_array(F.collect_set("v")), 1, few)
+            return pairs.groupBy("u").agg(least.alias("v")).select("u", F.explode("v").alias("v"))
         return pairs.distinct()
 
-    def _large_blocks(self, large: DataFrame, count: int) -> DataFrame:
+    def _large_blocks(self, large: DataFrame, count: int, name: str, few: int) -> DataFrame:
         """Blocks cut into chunks by component and size; chunk roots are joined first, then what survives."""
         pieces = -(-count // self.block_rows)
         chunks = self.scratch.keep(
-            large.repartitionByRange(pieces, "token", "comp", "n", "cid").withColumn("chunk", F.spark_partition_id().cast("long")), "chunks")
+            large.repartitionByRange(pieces, "token", "comp", "n", "cid").withColumn("chunk", F.spark_partition_id().cast("long")), f"{name}_chunks")
         nodes = chunks.groupBy("token", "chunk").agg(
             F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("low"), F.max("comp").alias("high"),
             F.min(sum((F.bit_count(c) for c in _LANES), F.lit(0))).alias("pop"), *[F.bit_or(c).alias(c) for c in _LANES])
-        nodes = self.scratch.keep(nodes, "nodes")
+        nodes = self.scratch.keep(nodes, f"{name}_nodes")
         a, b = nodes.alias("a"), nodes.alias("b")
         both = sum((F.bit_count(F.col(f"a.{c}").bitwiseAND(F.col(f"b.{c}"))) for c in _LANES), F.lit(0))
         most = F.least(*[F.col(f"{s}.most") - F.greatest(F.col(f"{s}.pop") - both, F.lit(0)) for s in "ab"])
@@ -450,11 +468,11 @@ class _Join:
             ~one & ((self.num + self.den) * most >= self.num * F.expr("a.least + b.least"))
             & F.expr(f"{self.den} * a.most >= {self.num} * b.least and {self.den} * b.most >= {self.num} * a.least")
         ).select("a.token", F.col("a.chunk").alias("ca"), F.col("b.chunk").alias("cb"))
-        live = self.scratch.keep(live, "live")
+        live = self.scratch.keep(live, f"{name}_live")
         sides = live.select("token", "ca", "cb", F.col("ca").alias("chunk"), F.when(F.expr("ca = cb"), 0).otherwise(1).alias("side")).unionByName(
             live.filter("ca <> cb").select("token", "ca", "cb", F.col("cb").alias("chunk"), F.lit(2).alias("side")))
         return chunks.join(sides, ["token", "chunk"]).repartition("token", "ca", "cb").sortWithinPartitions(
-            "token", "ca", "cb").mapInArrow(_joined(["token", "ca", "cb"], self.num, self.den), "u long, v long")
+            "token", "ca", "cb").mapInArrow(_joined(["token", "ca", "cb"], self.num, self.den, few), "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, scratch: Scratch, words: int = 5, num: int = 80, den: int = 100,
