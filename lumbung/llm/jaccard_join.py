@@ -17,8 +17,8 @@ den * |intersection| >= num * |union|. The join loses no link:
    component, or when the largest possible overlap by the bitmaps is too small for the threshold. Blocks
    of more than ``block_rows`` members are cut into chunks of that size whose roots are joined first; only
    chunk pairs that survive are dealt out to tasks.
-5. Surviving pairs are verified on the whole sets, a few of each class first; what these connect needs no further
-   comparison. Then all pairs of classes that are still apart follow.
+5. Surviving pairs are verified on the whole sets, a few of each class first, then more; what these connect needs no
+   further comparison. At last all pairs of classes that are still apart follow.
 
 Shingles are compared by 64-bit hashes, sets by 128-bit digests. Documents without words or text have no
 shingles and link with nothing. Rows are never merged: a repeated doc_id gives a row each time, and a NULL
@@ -42,7 +42,7 @@ LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
 ROWS = 1 << 15  # rows of small blocks taken together
-FEW = 4  # pairs of a class that are verified before all others
+FEW = (4, 16, 64)  # pairs of a class that are verified in the first rounds, before all others
 
 
 class _WordHash(dict):
@@ -361,14 +361,16 @@ class _Join:
         stars = keep(self._verified(keep(stars, "stars"), "star"), "star_links")
         roots = connected(stars, self.scratch, "stars")
 
-        # A few pairs of each class first: what they link need not be compared pair by pair.
-        some = keep(self._tree_join(members, roots, "some", FEW), "some_pairs")
-        links = keep(stars.unionByName(self._verified(some, "some")), "some_links")
-        roots = connected(links, self.scratch, "some")
-
-        pairs = keep(self._tree_join(members, roots, "tree").join(some, ["u", "v"], "left_anti"), "tree_pairs")
-        links = keep(links.unionByName(self._verified(pairs, "tree")), "links")
-        roots = connected(links, self.scratch, "links")
+        # A few pairs of each class first, then more, then all that are still apart.
+        links, done, taken = stars, None, 0
+        for few in (*FEW, 0):
+            taken += few
+            pairs = keep(self._tree_join(members, roots, done, few, taken), f"pairs_{few}")
+            if pairs.isEmpty():
+                break
+            links = keep(links.unionByName(self._verified(pairs, f"tree_{few}")), f"links_{few}")
+            roots = connected(links, self.scratch, f"links_{few}")
+            done = pairs if done is None else done.unionByName(pairs)
 
         ids = self.classes.join(roots, self.classes["cid"] == roots["node"], "left").select(
             "digest", "doc_id", "times", F.coalesce("root", "cid").alias("root"))
@@ -424,8 +426,12 @@ class _Join:
         return pairs.join(a, "u").join(b, "v").filter(
             (self.num + self.den) * both >= self.num * (F.size("a") + F.size("b"))).select("u", "v")
 
-    def _tree_join(self, members: DataFrame, roots: DataFrame, name: str, few: int = 0) -> DataFrame:
-        """Pairs of different components that the trees cannot rule out; of each class ``few`` if that is given."""
+    def _tree_join(self, members: DataFrame, roots: DataFrame, done: DataFrame | None, few: int, taken: int) -> DataFrame:
+        """Pairs of different components that the trees cannot rule out and that are not done yet.
+
+        With ``few``, at most so many of each class, from at most ``taken`` per block.
+        """
+        name, taken = f"tree_{few}", taken if few else 0
         held = members.join(roots, members["cid"] == roots["node"], "left").select(
             "token", "cid", "members", F.coalesce("root", "cid").alias("comp"))
         held = self.scratch.keep(held, f"{name}_held")
@@ -441,17 +447,19 @@ class _Join:
             "cid", "n", *_LANES, *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
-            _joined(["token"], self.num, self.den, few), "u long, v long")
+            _joined(["token"], self.num, self.den, taken), "u long, v long")
         large = open_.filter(F.col("size") > self.block_rows)
         count = large.count()
         if count:
-            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid"), count, name, few))
+            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid"), count, name, taken))
+        if done is not None:
+            pairs = pairs.join(done, ["u", "v"], "left_anti")
         if few:
             least = F.slice(F.sort_array(F.collect_set("v")), 1, few)
             return pairs.groupBy("u").agg(least.alias("v")).select("u", F.explode("v").alias("v"))
         return pairs.distinct()
 
-    def _large_blocks(self, large: DataFrame, count: int, name: str, few: int) -> DataFrame:
+    def _large_blocks(self, large: DataFrame, count: int, name: str, taken: int) -> DataFrame:
         """Blocks cut into chunks by component and size; chunk roots are joined first, then what survives."""
         pieces = -(-count // self.block_rows)
         chunks = self.scratch.keep(
@@ -472,7 +480,7 @@ class _Join:
         sides = live.select("token", "ca", "cb", F.col("ca").alias("chunk"), F.when(F.expr("ca = cb"), 0).otherwise(1).alias("side")).unionByName(
             live.filter("ca <> cb").select("token", "ca", "cb", F.col("cb").alias("chunk"), F.lit(2).alias("side")))
         return chunks.join(sides, ["token", "chunk"]).repartition("token", "ca", "cb").sortWithinPartitions(
-            "token", "ca", "cb").mapInArrow(_joined(["token", "ca", "cb"], self.num, self.den, few), "u long, v long")
+            "token", "ca", "cb").mapInArrow(_joined(["token", "ca", "cb"], self.num, self.den, taken), "u long, v long")
 
 
 def jaccard_components(docs: DataFrame, scratch: Scratch, words: int = 5, num: int = 80, den: int = 100,
