@@ -18,8 +18,11 @@ from lumbung.operators.spine import minute_spine, spanning_date_spine
 from lumbung.plans import analytics, dimensions, kpis, marts
 from lumbung.plans.fact import Dimensions, fct_order_item, fct_order_item_since
 from lumbung.plans.models import ALL_MODELS, Models
+from lumbung.plans.replay import marks, replayed, stored_rollup
 from lumbung.plans.suite import DECLARED, run_checks
+from lumbung.plans.warehouse import Warehouse
 from lumbung.schemas import RAW_SCHEMAS
+from lumbung.session import shared_folder
 from lumbung.sources import readers, writers
 from lumbung.sources.tpch_adapter import RetailTables
 
@@ -103,13 +106,57 @@ def _(m: Models) -> DataFrame:
 
 @_query("snk_keyed_merge")
 def _(m: Models) -> DataFrame:
-    """Items loaded before the cut, merged with the later ones and corrections of earlier ones."""
+    """Stored items loaded before the cut, merged with the later ones and corrections of earlier ones, read back.
+
+    Corrected items come twice in the batch; the later version counts.
+    """
     items = m.stg["order_items"]
     corrected = items.filter((F.col("loaded_at") <= F.lit(BATCH_CUT)) & (F.col("product_id") % 5 == 0)).withColumn(
         "quantity", F.col("quantity") + 1
     )
-    delta = items.filter(F.col("loaded_at") > F.lit(BATCH_CUT)).unionByName(corrected)
-    return writers.merged_rows(items.filter(F.col("loaded_at") <= F.lit(BATCH_CUT)), delta, ["order_item_id"])
+    first_try = corrected.withColumns({"quantity": F.lit(-1), "loaded_at": F.expr("loaded_at - interval 1 day")})
+    delta = items.filter(F.col("loaded_at") > F.lit(BATCH_CUT)).unionByName(corrected).unionByName(first_try)
+    delta = writers.latest_rows(delta.select(items.columns), "order_item_id")
+
+    def by_year(df: DataFrame) -> DataFrame:
+        return df.withColumn("year", F.year("loaded_at"))
+
+    path = shared_folder(m.spark, "items")
+    writers.overwrite(by_year(items.filter(F.col("loaded_at") <= F.lit(BATCH_CUT))), path, ["year"])
+    writers.merge_into(m.spark, path, by_year(delta), ["order_item_id"], "year", m.settings)
+    return m.spark.read.parquet(path).select(items.columns)
+
+
+@_query("snk_append")
+def _(m: Models) -> DataFrame:
+    """Payments before and after the cut, appended one after the other and read back."""
+    payments, path = m.stg["payments"], shared_folder(m.spark, "payments")
+    for late in (F.col("loaded_at") <= F.lit(BATCH_CUT), F.col("loaded_at") > F.lit(BATCH_CUT)):
+        writers.append(payments.filter(late), path)
+    return m.spark.read.parquet(path)
+
+
+@_query("snk_csv_round_trip")
+def _(m: Models) -> DataFrame:
+    """Products written as CSV and read back with their declared types, beside the reported number of rows."""
+    folder = shared_folder(m.spark, "csv")
+    written = writers.export_csv({"products": m.stg["products"].drop("loaded_at")}, folder)
+    back = readers.dimension_csv(m.spark, f"{folder}/products", "products").drop("loaded_at")
+    return back.withColumn("reported_rows", F.lit(written["products"]).cast("long"))
+
+
+@_query("src_typed_raw_tables")
+def _(m: Models) -> DataFrame:
+    """Raw tables written and scanned again with their declared schemas: rows and columns of each."""
+    base, out = shared_folder(m.spark, "raw"), None
+    for name in ("cities", "products", "orders", "shipments"):
+        m.raw[name].write.parquet(f"{base}/{name}")
+    for name in ("cities", "products", "orders", "shipments"):
+        df = readers.raw_table(m.spark, base, name)
+        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @_query("snk_insert_absent")
@@ -143,6 +190,27 @@ def _(m: Models) -> DataFrame:
     return m.stg["orders"].filter(F.col("loaded_at") > F.lit(BATCH_CUT)).agg(F.count(F.lit(1)).alias("new_rows"))
 
 
+# stored runs
+
+def _replay(name: str, how: str):
+    """Register a function of a warehouse stored by one or two runs."""
+    def add(build: Callable[[Warehouse], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: build(replayed(spark, sf_dir, how, CALENDAR, AS_OF, BATCH_CUT))
+        return build
+    return add
+
+
+_replay("pipe_full_fact", "full")(lambda w: w.stored("fct_order_item"))
+_replay("pipe_full_snapshot", "full")(lambda w: w.stored("dim_customer"))
+_replay("pipe_full_marts", "full")(lambda w: w.stored("mart_city_performance"))
+_replay("pipe_incremental_fact", "merge")(lambda w: w.stored("fct_order_item"))
+_replay("pipe_incremental_rollup", "merge")(stored_rollup)
+_replay("pipe_incremental_marts", "merge")(lambda w: w.stored("mart_monthly_revenue"))
+_replay("pipe_incremental_segments", "merge")(lambda w: w.stored("mart_customer_segments"))
+_replay("pipe_stream_fact", "stream")(lambda w: w.stored("fct_order_item"))
+_replay("pipe_marks", "merge")(marks)
+
+
 # fact parts
 
 @_query("key_surrogate")

@@ -30,6 +30,7 @@ from .suite import DECLARED, require_passed, run_checks, singular_checks
 
 LAST_RUN = "_dbt_last_run"  # Fixed value: name of the run stamp in the control table.
 MONTH = "order_month"
+HEADERS = ["orders", "payments", "shipments"]
 
 
 @dataclass(frozen=True)
@@ -94,12 +95,15 @@ class Warehouse:
         if not self.has_new_data(raw["orders"]):
             return None
         seen = self.newest_order_load(raw)
+        changed = self.changed_orders(raw, ["order_items", *(HEADERS if refresh_headers else [])])
+        self.apply_orders(raw, changed, refresh_customers, refresh_marts)
+        return self.finish(raw, check, seen)
+
+    def changed_orders(self, raw: Mapping[str, DataFrame], tables: Sequence[str]) -> DataFrame:
+        """Orders (order_id) with rows in the given tables that were loaded since the newest fact row."""
         newest = self.stored("fct_order_item").agg(F.max("loaded_at")).first()[0] or writers.EPOCH
         stg = self.models(raw).stg
-        sources = ["order_items", *(["orders", "payments", "shipments"] if refresh_headers else [])]
-        changed = [stg[t].filter(F.col("loaded_at") > F.lit(newest)).select("order_id") for t in sources]
-        self.apply_orders(raw, reduce(DataFrame.unionByName, changed), refresh_customers, refresh_marts)
-        return self.finish(raw, check, seen)
+        return reduce(DataFrame.unionByName, [stg[t].filter(F.col("loaded_at") > F.lit(newest)).select("order_id") for t in tables])
 
     def apply_orders(
         self, raw: Mapping[str, DataFrame], orders: DataFrame, refresh_customers: bool = False, refresh_marts: bool = True

@@ -23,7 +23,7 @@ def dimension_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """CSV copy of a dimension table: header row, declared types, load time added."""
     fields = [f for f in RAW_SCHEMAS[table].fields if f.name != "loaded_at"]
     read = spark.read.schema(T.StructType(fields)).option("header", True)
-    return read.option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]").csv(path).withColumn(
+    return read.option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss][.SSSSSS]").csv(path).withColumn(
         "loaded_at", F.current_timestamp().cast("timestamp_ntz")
     )
 

@@ -148,6 +148,6 @@ def export_csv(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     for name, df in tables.items():
         seen = Observation(f"csv_{name}")
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").option("header", True).csv(f"{folder.rstrip('/')}/{name}")
+        counted.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{folder.rstrip('/')}/{name}")
         written[name] = seen.get["rows"]
     return written

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lumbung.plans.staging import staged
-from lumbung.plans.warehouse import Warehouse
+from lumbung.plans.warehouse import HEADERS, Warehouse
 from lumbung.schemas import RAW_SCHEMAS
 
 
@@ -31,17 +31,22 @@ def start_merging(
     refresh_customers: bool = False,
     refresh_marts: bool = True,
     check: bool = True,
+    refresh_headers: bool = False,
 ) -> StreamingQuery:
     """Process everything that has arrived, batch by batch, then stop; every batch is checked and stamped.
 
     ``raw`` is called for every batch, so that files added to the other raw tables are seen. Its ``order_items`` hold
-    the items of the batch as well, as the orders of these are computed whole.
+    the items of the batch as well, as the orders of these are computed whole. ``refresh_headers`` also takes orders
+    whose header, payment or shipment is new.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         tables = raw()
         seen = warehouse.newest_order_load(tables)
-        warehouse.apply_orders(tables, staged("order_items", batch).select("order_id"), refresh_customers, refresh_marts)
+        touched = staged("order_items", batch).select("order_id")
+        if refresh_headers:
+            touched = touched.unionByName(warehouse.changed_orders(tables, HEADERS))
+        warehouse.apply_orders(tables, touched, refresh_customers, refresh_marts)
         warehouse.finish(tables, check, seen)
 
     return (

@@ -81,6 +81,26 @@ _PLAIN |= {
     "snk_watermarks": " union all ".join(
         f"select '{t}' as table_name, max(loaded_at) as last_loaded_at from stg_{t}" for t in (
             "orders", "order_items", "payments", "shipments", "order_status_events", "customer_profile_events")),
+    "snk_append": "select * from stg_payments",
+    "snk_csv_round_trip": """
+        select * exclude (loaded_at), (select count(*) from stg_products) as reported_rows from stg_products""",
+    "src_typed_raw_tables": " union all ".join(
+        f"select '{t}' as table_name, count(*) as row_count, {n}::int as column_count from stg_{t}"
+        for t, n in (("cities", 6), ("products", 9), ("orders", 12), ("shipments", 12))),
+    "pipe_full_fact": "select * from fct_order_item",
+    "pipe_full_snapshot": "select * from dim_customer",
+    "pipe_full_marts": "select * from mart_city_performance",
+    "pipe_incremental_fact": "select * from fct_order_item",
+    "pipe_incremental_rollup": _ROLLUP,
+    "pipe_incremental_marts": "select * from mart_monthly_revenue",
+    "pipe_incremental_segments": "select * from mart_customer_segments",
+    "pipe_stream_fact": """
+        select * from fct_order_item""",
+    "pipe_marks": " union all ".join([
+        *(f"select '{t}' as table_name, max(loaded_at) as last_loaded_at from stg_{t}" for t in (
+            "cities", "categories", "products", "payment_methods", "shipping_services", "vouchers", "customer_profile_events",
+            "orders", "order_items", "payments", "shipments", "order_status_events")),
+        "select '_dbt_last_run', max(loaded_at) from stg_orders"]),
     "new_data_gate": "select count(*) as new_rows from stg_orders where loaded_at > timestamp '1999-01-01'",
 
     "key_surrogate": f"""
