@@ -48,7 +48,7 @@ def shares(sizes: DataFrame, period: int, weights: Mapping[str, int] | None) ->
 
 def _schedule(share: DataFrame, period: int) -> DataFrame:
     """(name, share, nth, slot) of one period: earliest due time first among released blocks."""
-    rows = share.agg(F.sort_array(F.collect_list(F.struct("name", "share"))).alias("sources"))
+    rows = share.agg(F.sort_array(F.collect_list(F.struct("name", "share"))).alias("sources")).filter("size(sources) > 0")
     due_first = """
       array_min(transform(s.done, (n, i) ->
         if(n < sources[i].share and n * {W} div sources[i].share <= t,

@@ -49,7 +49,8 @@ def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 5, per_round: int
         pairs = symbols[:-1].astype(np.uint32) << 16 | symbols[1:]
         inside = ~head[1:]
         codes, times = np.unique(pairs[inside], return_counts=True)
-        order = np.lexsort((codes, -times))[: min(per_round, 65_536 - TERMINALS - len(rules))]
+        mixed = codes * np.uint32(0x9E3779B1)  # among equally frequent pairs, in no order of the alphabet
+        order = np.lexsort((mixed, -times))[: min(per_round, 65_536 - TERMINALS - len(rules))]
         order = order[times[order] >= least]
         if not len(order):
             break
@@ -64,14 +65,18 @@ def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 5, per_round: int
         rank = np.full(len(pairs) + 2, none, np.int64)
         rank[1:-1][maybe[found]] = by_code[at[found]]
         # A pair wins against its neighbours by rank; in runs of one symbol every other pair, from the left, wins.
-        here = rank[1:-1]
-        same = here == rank[:-2]
-        run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(here))))
-        even = (np.arange(len(here)) - run_start) % 2 == 0
-        wins = (here < none) & (here <= rank[:-2]) & (here <= rank[2:]) & even
-        wins[1:] &= ~wins[:-1]
-        where = np.flatnonzero(wins)
-        used, number = np.unique(here[where], return_inverse=True)
+        here, of = rank[1:-1], rank[1:-1].copy()
+        won = np.zeros(len(rank), bool)
+        for _ in range(2):
+            same = here == rank[:-2]
+            run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(here))))
+            even = (np.arange(len(here)) - run_start) % 2 == 0
+            wins = (here < none) & (here <= rank[:-2]) & (here <= rank[2:]) & even
+            wins[1:] &= ~wins[:-1]
+            won[1:-1] |= wins
+            here[won[1:-1] | won[:-2] | won[2:]] = none  # taken, or without one of its symbols
+        where = np.flatnonzero(won[1:-1])
+        used, number = np.unique(of[where], return_inverse=True)
         symbols[where] = (TERMINALS + len(rules) + number).astype(np.uint16)
         rules = np.concatenate([rules, np.stack([chosen[used] >> np.uint32(16), chosen[used] & np.uint32(0xFFFF)], 1).astype(np.uint16)])
         keep = np.ones(len(symbols), bool)
