@@ -37,7 +37,7 @@ END_ID = 2
 TERMINALS = 50_257
 
 
-def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 5, per_round: int = 3_000, least: int = 8):
+def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 6, per_round: int = 3_000, least: int = 8):
     """Symbols, where documents start among them, and rules, for ids and the starts of their documents."""
     symbols = ids.astype(np.uint16)
     head = np.zeros(len(ids), bool)
