@@ -17,8 +17,8 @@ den * |intersection| >= num * |union|. The join loses no link:
    component, or when the largest possible overlap by the bitmaps is too small for the threshold. Blocks
    of more than ``block_rows`` members are cut into chunks of that size whose roots are joined first; only
    chunk pairs that survive are dealt out to tasks.
-5. Surviving pairs are verified on the whole sets, a few of each class first, then more; what these connect needs no
-   further comparison. At last all pairs of classes that are still apart follow.
+5. Surviving pairs are verified on the whole sets, a few of each class first; what these connect needs no further
+   comparison. At last all pairs of classes that are still apart follow.
 
 Shingles are compared by 64-bit hashes, sets by 128-bit digests. Documents without words or text have no
 shingles and link with nothing. Rows are never merged: a repeated doc_id gives a row each time, and a NULL
@@ -42,7 +42,7 @@ LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
 ROWS = 1 << 15  # rows of small blocks taken together
-FEW = (4, 16, 64)  # pairs of a class that are verified in the first rounds, before all others
+FEW = (16,)  # pairs of a class that are verified in the first rounds, before all others
 
 
 class _WordHash(dict):
@@ -361,7 +361,7 @@ class _Join:
         stars = keep(self._verified(keep(stars, "stars"), "star"), "star_links")
         roots = connected(stars, self.scratch, "stars")
 
-        # A few pairs of each class first, then more, then all that are still apart.
+        # A few pairs of each class first, then all that are still apart.
         links, done, taken = stars, None, 0
         for few in (*FEW, 0):
             taken += few

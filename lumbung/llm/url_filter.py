@@ -19,9 +19,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +98,11 @@ def judged(pages: DataFrame, scratch: Scratch, rules: Sequence[Rule] = RULES, tr
 
     ``score`` is the probability of "block" by the trees, for urls without a rule.
     """
+    # Imported here, as these load pandas, which no other operator needs on the driver.
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
     host, path = parts(F.col("url"))
     urls = pages.select("page_id", F.col("url").cast("string").alias("url")).withColumns(
         {"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
