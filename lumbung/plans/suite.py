@@ -31,46 +31,118 @@ class Check:
 
 
 def _declare() -> list[Check]:
-    # Model, column and tests. u = unique, n = not NULL.
-    plain = """
-        raw.cities city_id un | raw.categories category_id un | raw.products product_id un
-        raw.products category_id n | raw.payment_methods payment_method_id un
-        raw.shipping_services shipping_service_id un | raw.vouchers voucher_id un
-        raw.customer_profile_events customer_profile_event_id un
-        raw.customer_profile_events customer_id n | raw.customer_profile_events city_id n
-        raw.orders order_id un | raw.order_items order_item_id un | raw.order_items order_id n
-        raw.payments payment_id un | raw.shipments shipment_id un
-        raw.order_status_events status_event_id un
-        stg.order_items order_item_id un | stg.order_items quantity n | stg.order_items total_payment n
-        stg.orders order_id un | stg.orders order_ts n
-        stg.customer_profile_events customer_profile_event_id un
-        stg.customer_profile_events effective_at n
-        int_customer_scd2 customer_key un | int_customer_scd2 customer_nk n
-        int_customer_scd2 valid_from n | int_customer_scd2 valid_to n
-        int_order_item_enriched order_item_id un | int_order_item_enriched total_payment n
-        dim_customer customer_key un | dim_customer customer_nk n | dim_customer city_key n
-        dim_customer valid_from n | dim_customer valid_to n | dim_customer is_current n
-        dim_product product_key un | dim_product product_nk un | dim_product category_key n
-        dim_category category_key un | dim_category category_nk un
-        dim_payment_method payment_method_key un | dim_payment_method payment_method_name un
-        dim_shipping shipping_key un | dim_shipping shipping_service_nk un
-        dim_order_status order_status_key un | dim_order_status order_status un
-        dim_voucher voucher_key un | dim_voucher voucher_code un
-        dim_city city_key un | dim_city city_nk un | dim_date date_key un | dim_time time_key un
-        dim_order_flags order_flags_key un
-        fct_order_item order_item_key un | fct_order_item order_item_id un
-        fct_order_item customer_key n | fct_order_item product_key n | fct_order_item category_key n
-        fct_order_item payment_method_key n | fct_order_item shipping_key n | fct_order_item voucher_key n
-        fct_order_item order_date_key n | fct_order_item order_time_key n | fct_order_item quantity n
-        fct_order_item unit_price n | fct_order_item subtotal n | fct_order_item total_payment n
-        fct_order_item estimated_cost n
-    """
-    kinds = {"u": "unique", "n": "not_null"}
-    checks = []
-    for entry in plain.replace("\n", "|").split("|"):
-        if entry.strip():
-            model, column, letters = entry.split()
-            checks += [Check(model, column, kinds[x]) for x in letters]
+    # The columns and values that are checked.
+    unique = [
+        ("raw.cities", "city_id"),
+        ("raw.categories", "category_id"),
+        ("raw.products", "product_id"),
+        ("raw.payment_methods", "payment_method_id"),
+        ("raw.shipping_services", "shipping_service_id"),
+        ("raw.vouchers", "voucher_id"),
+        ("raw.customer_profile_events", "customer_profile_event_id"),
+        ("raw.orders", "order_id"),
+        ("raw.order_items", "order_item_id"),
+        ("raw.payments", "payment_id"),
+        ("raw.shipments", "shipment_id"),
+        ("raw.order_status_events", "status_event_id"),
+        ("stg.order_items", "order_item_id"),
+        ("stg.orders", "order_id"),
+        ("stg.customer_profile_events", "customer_profile_event_id"),
+        ("int_customer_scd2", "customer_key"),
+        ("int_order_item_enriched", "order_item_id"),
+        ("dim_customer", "customer_key"),
+        ("dim_product", "product_key"),
+        ("dim_product", "product_nk"),
+        ("dim_category", "category_key"),
+        ("dim_category", "category_nk"),
+        ("dim_payment_method", "payment_method_key"),
+        ("dim_payment_method", "payment_method_name"),
+        ("dim_shipping", "shipping_key"),
+        ("dim_shipping", "shipping_service_nk"),
+        ("dim_order_status", "order_status_key"),
+        ("dim_order_status", "order_status"),
+        ("dim_voucher", "voucher_key"),
+        ("dim_voucher", "voucher_code"),
+        ("dim_city", "city_key"),
+        ("dim_city", "city_nk"),
+        ("dim_date", "date_key"),
+        ("dim_time", "time_key"),
+        ("dim_order_flags", "order_flags_key"),
+        ("fct_order_item", "order_item_key"),
+        ("fct_order_item", "order_item_id"),
+    ]
+    not_null = [
+        ("raw.cities", "city_id"),
+        ("raw.categories", "category_id"),
+        ("raw.products", "product_id"),
+        ("raw.products", "category_id"),
+        ("raw.payment_methods", "payment_method_id"),
+        ("raw.shipping_services", "shipping_service_id"),
+        ("raw.vouchers", "voucher_id"),
+        ("raw.customer_profile_events", "customer_profile_event_id"),
+        ("raw.customer_profile_events", "customer_id"),
+        ("raw.customer_profile_events", "city_id"),
+        ("raw.orders", "order_id"),
+        ("raw.order_items", "order_item_id"),
+        ("raw.order_items", "order_id"),
+        ("raw.payments", "payment_id"),
+        ("raw.shipments", "shipment_id"),
+        ("raw.order_status_events", "status_event_id"),
+        ("stg.order_items", "order_item_id"),
+        ("stg.order_items", "quantity"),
+        ("stg.order_items", "total_payment"),
+        ("stg.orders", "order_id"),
+        ("stg.orders", "order_ts"),
+        ("stg.customer_profile_events", "customer_profile_event_id"),
+        ("stg.customer_profile_events", "effective_at"),
+        ("int_customer_scd2", "customer_key"),
+        ("int_customer_scd2", "customer_nk"),
+        ("int_customer_scd2", "valid_from"),
+        ("int_customer_scd2", "valid_to"),
+        ("int_order_item_enriched", "order_item_id"),
+        ("int_order_item_enriched", "total_payment"),
+        ("dim_customer", "customer_key"),
+        ("dim_customer", "customer_nk"),
+        ("dim_customer", "city_key"),
+        ("dim_customer", "valid_from"),
+        ("dim_customer", "valid_to"),
+        ("dim_customer", "is_current"),
+        ("dim_product", "product_key"),
+        ("dim_product", "product_nk"),
+        ("dim_product", "category_key"),
+        ("dim_category", "category_key"),
+        ("dim_category", "category_nk"),
+        ("dim_payment_method", "payment_method_key"),
+        ("dim_payment_method", "payment_method_name"),
+        ("dim_shipping", "shipping_key"),
+        ("dim_shipping", "shipping_service_nk"),
+        ("dim_order_status", "order_status_key"),
+        ("dim_order_status", "order_status"),
+        ("dim_voucher", "voucher_key"),
+        ("dim_voucher", "voucher_code"),
+        ("dim_city", "city_key"),
+        ("dim_city", "city_nk"),
+        ("dim_date", "date_key"),
+        ("dim_time", "time_key"),
+        ("dim_order_flags", "order_flags_key"),
+        ("fct_order_item", "order_item_key"),
+        ("fct_order_item", "order_item_id"),
+        ("fct_order_item", "customer_key"),
+        ("fct_order_item", "product_key"),
+        ("fct_order_item", "category_key"),
+        ("fct_order_item", "payment_method_key"),
+        ("fct_order_item", "shipping_key"),
+        ("fct_order_item", "voucher_key"),
+        ("fct_order_item", "order_date_key"),
+        ("fct_order_item", "order_time_key"),
+        ("fct_order_item", "quantity"),
+        ("fct_order_item", "unit_price"),
+        ("fct_order_item", "subtotal"),
+        ("fct_order_item", "total_payment"),
+        ("fct_order_item", "estimated_cost"),
+    ]
+    checks = [Check(model, column, "unique") for model, column in unique]
+    checks += [Check(model, column, "not_null") for model, column in not_null]
     links = [
         ("raw.products", "category_id", "raw.categories", "category_id"),
         ("raw.customer_profile_events", "city_id", "raw.cities", "city_id"),

@@ -6,70 +6,85 @@ and the keyed writers instead.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 _TYPES = {
-    "long": T.LongType(),
+    "bigint": T.LongType(),
     "int": T.IntegerType(),
     "string": T.StringType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
-    "timestamp": T.TimestampNTZType(),
-    "rate": T.DecimalType(8, 4),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(8,4)": T.DecimalType(8, 4),
 }
 
-# Column layout of the source system; "!" marks NOT NULL.
+# Column layout of the source system.
 _COLUMNS = {
     "cities": """
-        city_id long!, city_name string!, province string!, region string!, country string!
+        city_id bigint not null, city_name string not null, province string not null, region string not null,
+        country string not null
     """,
     "categories": """
-        category_id long!, category_name string!, subcategory_name string!, department string!
+        category_id bigint not null, category_name string not null, subcategory_name string not null,
+        department string not null
     """,
     "products": """
-        product_id long!, sku string!, product_name string!, category_id long!,
-        standard_price long!, estimated_unit_cost long!, is_active boolean!,
-        created_at timestamp!
+        product_id bigint not null, sku string not null, product_name string not null, category_id bigint not null,
+        standard_price bigint not null, estimated_unit_cost bigint not null, is_active boolean not null,
+        created_at timestamp_ntz not null
     """,
     "payment_methods": """
-        payment_method_id long!, payment_method_name string!, payment_group string!
+        payment_method_id bigint not null, payment_method_name string not null, payment_group string not null
     """,
     "shipping_services": """
-        shipping_service_id long!, shipping_provider string!, shipping_service string!,
-        service_level string!, min_delivery_days int!, max_delivery_days int!
+        shipping_service_id bigint not null, shipping_provider string not null, shipping_service string not null,
+        service_level string not null, min_delivery_days int not null, max_delivery_days int not null
     """,
     "vouchers": """
-        voucher_id long!, voucher_code string!, voucher_name string!, voucher_type string!,
-        rule_description string!, min_order_amount long!, discount_amount long!,
-        cashback_rate rate!
+        voucher_id bigint not null, voucher_code string not null, voucher_name string not null,
+        voucher_type string not null,
+        rule_description string not null, min_order_amount bigint not null, discount_amount bigint not null,
+        cashback_rate decimal(8,4) not null
     """,
     "customer_profile_events": """
-        customer_profile_event_id long!, customer_id long!, full_name string!, email string!,
-        gender string!, birth_date date!, city_id long!, loyalty_tier string!,
-        marketing_opt_in boolean!, effective_at timestamp!, operation string!
+        customer_profile_event_id bigint not null, customer_id bigint not null, full_name string not null,
+        email string not null,
+        gender string not null, birth_date date not null, city_id bigint not null, loyalty_tier string not null,
+        marketing_opt_in boolean not null, effective_at timestamp_ntz not null, operation string not null
     """,
     "orders": """
-        order_id long!, order_number string!, customer_id long!, order_ts timestamp!,
-        order_status string!, cancellation_stage string, payment_method_id long!,
-        shipping_service_id long!, voucher_id long!, sales_channel string!, currency string!
+        order_id bigint not null, order_number string not null, customer_id bigint not null,
+        order_ts timestamp_ntz not null,
+        order_status string not null, cancellation_stage string, payment_method_id bigint not null,
+        shipping_service_id bigint not null, voucher_id bigint not null, sales_channel string not null,
+        currency string not null
     """,
     "order_items": """
-        order_item_id long!, order_id long!, product_id long!, item_number int!, quantity int!,
-        unit_price long!, subtotal long!, discount_amount long!, shipping_subsidy long!,
-        voucher_amount long!, total_payment long!, estimated_cost long!, profit long!,
-        is_returned boolean!, is_cancelled boolean!
+        order_item_id bigint not null, order_id bigint not null, product_id bigint not null,
+        item_number int not null, quantity int not null,
+        unit_price bigint not null, subtotal bigint not null, discount_amount bigint not null,
+        shipping_subsidy bigint not null,
+        voucher_amount bigint not null, total_payment bigint not null, estimated_cost bigint not null,
+        profit bigint not null,
+        is_returned boolean not null, is_cancelled boolean not null
     """,
     "payments": """
-        payment_id long!, order_id long!, payment_ts timestamp!, payment_method_id long!,
-        payment_status string!, payment_amount long!, transaction_reference string!
+        payment_id bigint not null, order_id bigint not null, payment_ts timestamp_ntz not null,
+        payment_method_id bigint not null,
+        payment_status string not null, payment_amount bigint not null, transaction_reference string not null
     """,
     "shipments": """
-        shipment_id long!, order_id long!, shipping_service_id long!, checkout_ts timestamp!,
-        shipped_ts timestamp, delivered_ts timestamp, shipping_fee long!, shipping_subsidy long!,
-        is_delayed boolean!, shipping_status string!, tracking_number string
+        shipment_id bigint not null, order_id bigint not null, shipping_service_id bigint not null,
+        checkout_ts timestamp_ntz not null,
+        shipped_ts timestamp_ntz, delivered_ts timestamp_ntz, shipping_fee bigint not null,
+        shipping_subsidy bigint not null,
+        is_delayed boolean not null, shipping_status string not null, tracking_number string
     """,
     "order_status_events": """
-        status_event_id long!, order_id long!, status string!, status_ts timestamp!
+        status_event_id bigint not null, order_id bigint not null, status string not null,
+        status_ts timestamp_ntz not null
     """,
 }
 
@@ -96,9 +111,9 @@ DIMENSION_TABLES = (
 
 def _schema(columns: str, *extra: T.StructField) -> T.StructType:
     fields = []
-    for column in columns.split(","):
-        name, kind = column.split()
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
+    for column in re.split(r",\s+", columns):
+        name, kind, *required = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], not required))
     return T.StructType([*fields, *extra])
 
 
@@ -106,4 +121,4 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     name: _schema(columns, T.StructField("loaded_at", T.TimestampNTZType())) for name, columns in _COLUMNS.items()
 }
 
-WATERMARK_SCHEMA = _schema("table_name string!, last_loaded_at timestamp!")
+WATERMARK_SCHEMA = _schema("table_name string not null, last_loaded_at timestamp_ntz not null")

@@ -56,7 +56,7 @@ VOUCHERS = [
      "Potongan langsung Rp100.000 hanya untuk barang kategori Electronics.", 0, 100000, "0.00"),
 ]
 LOYALTY_TIERS = ["New", "Regular", "Silver", "Gold", "Platinum"]
-SHIPPING_FEES = [9000, 12000, 15000, 18000, 25000, 35000, 50000]
+SHIPPING_FEES = [8500, 11500, 14000, 17500, 24500, 33000, 47500]
 
 #: Part type -> category name.
 PART_CATEGORIES = {
