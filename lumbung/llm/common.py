@@ -12,6 +12,7 @@ from lumbung.session import shared_folder
 
 #: A key with more than this share of the rows is hot; fewer than HOT_SHARE keys can be.
 HOT_SHARE = 1000
+FEW_ROWS = 100_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,8 +61,11 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: int,
 
     ``rows`` is a column of ``right``: how many rows of ``left`` have the key; ``total`` their sum. Keys
     with more than total / HOT_SHARE rows are fewer than HOT_SHARE, whatever the data, so that part of
-    ``right`` is broadcast. The other keys are joined by a shuffle.
+    ``right`` is broadcast. The other keys are joined by a shuffle. Up to FEW_ROWS rows in all, ``right`` has no more
+    either and is broadcast whole.
     """
+    if total <= FEW_ROWS:
+        return left.join(F.broadcast(right), key, how)
     limit = max(total // HOT_SHARE, 1)
     hot = right.filter(F.col(rows) > limit)
     marked = left.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")

@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from lumbung.llm import common
 from lumbung.llm.common import Scratch, connected, hot_join
 from lumbung.llm.exact_dedup import DigestIndex, deduplicate, without_copies
 from lumbung.llm.jaccard_join import SignatureTree, jaccard_components, one_of_each, tree_pairs
@@ -120,7 +121,9 @@ def test_tree_traversal_loses_no_pair():
                 assert frozenset((i, j)) in found
 
 
-def test_connected_and_hot_join(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_connected_and_hot_join(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW_ROWS", few)
     r = random.Random(4)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(35)] + [(200, i) for i in range(201, 230)]
     root = {x: x for e in edges for x in e}
@@ -132,5 +135,7 @@ def test_connected_and_hot_join(spark):
         assert got == {x: root[x] for x in got} and set(got) >= {u for u, v in edges if u != v}
     left = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(3000)], "k long, v long")
     right = left.groupBy("k").count().filter("k <> 2")
-    assert hot_join(left, right, "k", "count", 3000).count() == left.filter("k <> 2").count()
-    assert hot_join(left, right, "k", "count", 3000, "left").count() == 3000
+    for few in (0, 10_000):  # split by heat, and broadcast whole
+        monkeypatch.setattr(common, "FEW_ROWS", few)
+        assert hot_join(left, right, "k", "count", 3000).count() == left.filter("k <> 2").count()
+        assert hot_join(left, right, "k", "count", 3000, "left").count() == 3000
