@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import os
 from collections.abc import Callable, Iterable, Sequence
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -147,8 +148,9 @@ def _byte_level(encode: Callable[[list[str]], Iterable[Sequence[int]]], slab: in
     return run
 
 
+@cache
 def byte_bpe(path: str | None = None) -> Pieces:
-    """The byte-level vocabulary of the tokenizers library."""
+    """The byte-level vocabulary of the tokenizers library; a Python worker keeps it, and its memory, from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

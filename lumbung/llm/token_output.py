@@ -62,17 +62,18 @@ def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 6, per_round: int
         maybe = np.flatnonzero(inside & bits[(pairs * np.uint32(0x9E3779B1)) >> np.uint32(16)])
         at = np.minimum(np.searchsorted(chosen[by_code], pairs[maybe]), none - 1)
         found = chosen[by_code][at] == pairs[maybe]
-        rank = np.full(len(pairs) + 2, none, np.int64)
+        rank = np.full(len(pairs) + 2, none, np.int32)
         rank[1:-1][maybe[found]] = by_code[at[found]]
         # A pair wins against its neighbours by rank; in runs of one symbol every other pair, from the left, wins.
         here, of = rank[1:-1], rank[1:-1].copy()
         won = np.zeros(len(rank), bool)
         for _ in range(2):
-            same = here == rank[:-2]
-            run_start = np.maximum.accumulate(np.where(same, 0, np.arange(len(here))))
-            even = (np.arange(len(here)) - run_start) % 2 == 0
-            wins = (here < none) & (here <= rank[:-2]) & (here <= rank[2:]) & even
-            wins[1:] &= ~wins[:-1]
+            wins = (here < none) & (here <= rank[:-2]) & (here <= rank[2:])
+            same = wins & (here == rank[:-2])
+            if same.any():
+                place = np.arange(len(here), dtype=np.int32)
+                wins &= (place - np.maximum.accumulate(np.where(same, 0, place))) % 2 == 0
+                wins[1:] &= ~wins[:-1]
             won[1:-1] |= wins
             here[won[1:-1] | won[:-2] | won[2:]] = none  # taken, or without one of its symbols
         where = np.flatnonzero(won[1:-1])
