@@ -107,11 +107,10 @@ def text_slots(text: str, pieces: Pieces) -> np.ndarray:
     """Slots of the parts of a whole text under a byte-level vocabulary."""
     if not text:
         return np.empty(0, np.int64)
-    parts = (BARE + text.replace("\n", f" \n {BARE}")).split(" ")
-    regular = (
-        BARE not in text and "" not in parts and BARE not in parts and len(text.split()) == len(parts) - text.count("\n")
-    )
-    return pieces.of(parts) if regular else np.array([pieces.slots.uncached(WHOLE + text)])
+    # Single spaces and line breaks between words without any white space inside.
+    if BARE in text or text.split() != text.replace("\n", " ").split(" "):
+        return np.array([pieces.slots.uncached(WHOLE + text)])
+    return pieces.of((BARE + text.replace("\n", f" \n {BARE}")).split(" "))
 
 
 def _plain(part: str | bytes) -> str:
