@@ -1,7 +1,8 @@
 """Quality rules by tokeniser fertility, after a base rule on words.
 
 Two public vocabularies measure every document: characters per token and token entropy under a byte-level
-BPE, and the share of byte-fallback tokens under a piece vocabulary. Per language (per script where the
+BPE, and the share of byte-fallback tokens under a piece vocabulary. Entropy is the mean over windows of ``WINDOW``
+tokens that cover the whole text, so that it does not fall with length. Per language (per script where the
 language is NULL) the quartiles of each measure over all documents with enough words give a rejection band:
 documents outside ``median -+ width * (quartile range)`` go. Languages with fewer than ``least_docs`` such documents
 have no band of their own and use that of their script; without one, the base rule decides alone.
@@ -25,6 +26,10 @@ MEASURES = ("chars_per_token", "byte_share", "entropy")
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 ASCII = bytes(range(128))
+#: Tokens of a window over which entropy is taken; the last window of a text ends with it. Shorter texts are one window.
+WINDOW = 64
+#: From this number of words on a measure is taken to vary as much as at it: documents differ, however long they are.
+STEADY_WORDS = 300
 LETTERS = bytes(c for c in ASCII if chr(c).isalpha())
 
 
@@ -65,18 +70,31 @@ def _counts(raw: bytes, words: np.ndarray) -> tuple:
     return len(words), chars, sum(raw.count(c) for c in SYMBOLS), len(lines) - len(set(lines)), repeated_words(words), script(raw)
 
 
+def _entropy(ids: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Mean entropy of each document's windows over its greatest possible value, of ids one document after the other."""
+    n, width = len(tokens), np.minimum(tokens, WINDOW)
+    windows = -(-tokens // WINDOW)
+    doc = np.repeat(np.arange(n), windows)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows)
+    start = (np.cumsum(tokens) - tokens)[doc] + np.minimum(nth * WINDOW, (tokens - width)[doc])
+    size = width[doc]
+    at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+    key, times = np.unique(np.repeat(np.arange(len(doc)), size) << 20 | ids[at], return_counts=True)
+    surplus = np.bincount(key >> 20, weights=times * np.log2(times), minlength=len(doc))
+    full = np.maximum(size, 2)
+    share = np.where(size > 1, (np.log2(full) - surplus / full) / np.log2(full), 1.0)
+    return np.where(windows > 0, np.bincount(doc, weights=share, minlength=n) / np.maximum(windows, 1), 1.0)
+
+
 def _measures(slots: list[np.ndarray], pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per document: byte-level tokens, byte-fallback share, token entropy over its greatest possible value."""
+    """Per document: byte-level tokens, byte-fallback share, token entropy of its windows."""
     n = len(slots)
     words = np.concatenate([*slots, np.empty(0, np.int64)])
     doc = np.repeat(np.arange(n), [len(s) for s in slots])
     sizes = pieces.counts(words)
     tokens = np.bincount(doc, weights=sizes, minlength=n)
     second, single = (np.bincount(doc, weights=pieces.more[words, i], minlength=n) for i in (0, 1))
-    key, times = np.unique(np.repeat(doc, sizes) << 20 | pieces.ids(words).astype(np.int64), return_counts=True)
-    surplus = np.bincount(key >> 20, weights=times * np.log2(times), minlength=n)
-    full = np.maximum(tokens, 2)
-    entropy = np.where(tokens > 1, (np.log2(full) - surplus / full) / np.log2(full), 1.0)
+    entropy = _entropy(pieces.ids(words).astype(np.int64), tokens.astype(np.int64))
     return tokens, single / np.maximum(second, 1), entropy
 
 
@@ -106,8 +124,8 @@ def judged(docs: DataFrame, scratch: Scratch, width: float = 3.5, least_words: i
            bpe: str | None = None, piece: str | None = None) -> DataFrame:
     """Counts, measures, band and verdict (base_failed, kept) for every row of ``docs`` (doc_id, text, lang, more).
 
-    A measure is taken as its distance from the median, times the square root of the number of words, because
-    short documents vary more; the quartiles of that distance make the band. Documents below ``least_words``
+    A measure is taken as its distance from the median, times the square root of the number of words (of at most
+    ``STEADY_WORDS``), because short documents vary more; the quartiles of that distance make the band. Documents below ``least_words``
     words neither shape a band nor are held against one. A NULL text has no words and fails the base rule. Rows
     are judged one by one, repeated ones too. Columns of ``docs`` that are named like a count or measure are
     replaced.
@@ -132,7 +150,7 @@ def judged(docs: DataFrame, scratch: Scratch, width: float = 3.5, least_words: i
     middle = held.groupBy("band").agg(
         F.count(F.lit(1)).alias("docs"), *[F.percentile_approx(m, 0.5, 10_000).alias(f"middle_{m}") for m in MEASURES])
     middle = scratch.keep(middle.filter(f"docs >= {least_docs}"), "middle")
-    far = {m: f"({m} - middle_{m}) * sqrt(n_words)" for m in MEASURES}
+    far = {m: f"({m} - middle_{m}) * sqrt(least(n_words, {STEADY_WORDS}))" for m in MEASURES}
     quartiles = hot_join(held, middle, "band", "docs", total).groupBy("band").agg(
         *[F.percentile_approx(F.expr(e), [0.25, 0.5, 0.75], 10_000).alias(f"far_{m}") for m, e in far.items()])
     bands = scratch.keep(middle.join(quartiles, "band"), "bands")

@@ -97,6 +97,22 @@ def test_fertility(spark, awkward, empty):
     assert kept.columns == awkward.columns and 0 < kept.count() < awkward.count()
 
 
+def test_fertility_keeps_clean_texts_of_any_length(spark):
+    import random
+
+    files = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    words = {}
+    for d in files.filter("lang is not null and n_chars between 300 and 4000").collect():
+        words.setdefault(d.lang, []).extend(d.text.split())
+    r = random.Random(1)
+    sizes = (1_000, 3_000, 10_000, 30_000, 100_000)
+    long = [(-1 - 10 * i - k, " ".join(r.choices(words[lang], k=n)), lang) for i, lang in enumerate(sorted(words)) for k, n in enumerate(sizes)]
+    with Scratch(spark, "t") as s:
+        rows = judged(files.unionByName(spark.createDataFrame(long, files.schema)), s).filter("doc_id < 0").collect()
+    assert len(rows) == len(long) >= 15 and not [(r.lang, r.n_words) for r in rows if not r.base_failed and not r.kept]
+    assert sum(not r.base_failed for r in rows) >= 0.8 * len(rows)
+
+
 def test_decoding_and_toxicity(spark, empty):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     model = character_model(docs)
