@@ -2,10 +2,12 @@
 
 Two public vocabularies measure every document: characters per token and token entropy under a byte-level
 BPE, and the share of byte-fallback tokens under a piece vocabulary. Entropy is the mean over windows of ``WINDOW``
-tokens that cover the whole text, so that it does not fall with length. Per language (per script where the
-language is NULL) the quartiles of each measure over all documents with enough words give a rejection band:
-documents outside ``median -+ width * (quartile range)`` go. Languages with fewer than ``least_docs`` such documents
-have no band of their own and use that of their script; without one, the base rule decides alone.
+tokens that cover the whole text, so that it does not fall with length. Per language the
+quartiles of each measure over all documents with enough words give a rejection band: documents outside
+``median -+ width * (quartile range)`` go. Documents without a language, and those of languages with fewer than
+``least_docs`` such documents, are held against the band of all documents of their script, whatever the
+languages; where the script has too few, against the band of all documents. Only in a table with fewer than ``least_docs``
+documents that have enough words is there no band, and the base rule decides alone.
 """
 
 from __future__ import annotations
@@ -125,12 +127,13 @@ def judged(docs: DataFrame, scratch: Scratch, width: float = 3.5, least_words: i
     """Counts, measures, band and verdict (base_failed, kept) for every row of ``docs`` (doc_id, text, lang, more).
 
     A measure is taken as its distance from the median, times the square root of the number of words (of at most
-    ``STEADY_WORDS``), because short documents vary more; the quartiles of that distance make the band. Documents below ``least_words``
-    words neither shape a band nor are held against one. A NULL text has no words and fails the base rule. Rows
+    ``STEADY_WORDS``), because short documents vary more; the quartiles of that distance make the band. Documents below
+    ``least_words`` words do not shape a band; their distance counts the less the shorter they are, so
+    the tolerance is up to ``sqrt(STEADY_WORDS / 10)`` times that of long ones. A NULL text has no words and fails the base rule. Rows
     are judged one by one, repeated ones too. Columns of ``docs`` that are named like a count or measure are
     replaced.
     """
-    made = {*_COUNTS, *MEASURES, "base_failed", "kept", "band", "held"}
+    made = {*_COUNTS, *MEASURES, "base_failed", "kept", "band", "bands", "held"}
     rest = [c for c in docs.columns if c not in {"text", "lang", *made}]
     narrow = docs.select(*rest, F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     schema = narrow.drop("text").schema
@@ -140,18 +143,24 @@ def judged(docs: DataFrame, scratch: Scratch, width: float = 3.5, least_words: i
     rows = rows.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
     rows = scratch.keep(rows.withColumn("held", F.expr(f"not base_failed and n_words >= {least_words}")), "measures")
 
-    # Languages with enough documents have a band of their own, all other documents one of their script.
-    sizes = rows.filter("held and lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).filter(f"docs >= {least_docs}")
-    total = rows.count()
-    rows = hot_join(rows, scratch.keep(sizes, "sizes"), "lang", "docs", total, "left").withColumn(
-        "band", F.when(F.col("docs").isNotNull(), F.concat(F.lit("lang "), "lang")).otherwise(F.concat(F.lit("script "), "script"))).drop("docs")
-    rows = scratch.keep(rows, "banded")
+    # Languages with enough documents have a band of their own, all other documents that of their script or of all.
     held = rows.filter("held")
+    sizes = held.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).filter(f"docs >= {least_docs}")
+    scripts = held.groupBy("script").agg(F.count(F.lit(1)).alias("script_docs")).filter(f"script_docs >= {least_docs}")
+    total = rows.count()
+    own = F.when(F.col("docs").isNotNull(), F.concat(F.lit("lang "), "lang"))
+    of_script = F.when(F.col("script_docs").isNotNull(), F.concat(F.lit("script "), "script"))
+    rows = hot_join(rows, scratch.keep(sizes, "sizes"), "lang", "docs", total, "left").join(
+        F.broadcast(scripts), "script", "left")  # a row per script of Unicode at most
+    rows = rows.withColumn("bands", F.array_compact(F.array(own, of_script, F.lit("all")))).withColumn("band", F.col("bands")[0])
+    rows = scratch.keep(rows.drop("docs", "script_docs"), "banded")
+    # Every document shapes the bands of its language, its script and all.
+    held = rows.filter("held").select("n_words", *MEASURES, F.explode("bands").alias("band"))
     middle = held.groupBy("band").agg(
         F.count(F.lit(1)).alias("docs"), *[F.percentile_approx(m, 0.5, 10_000).alias(f"middle_{m}") for m in MEASURES])
     middle = scratch.keep(middle.filter(f"docs >= {least_docs}"), "middle")
     far = {m: f"({m} - middle_{m}) * sqrt(least(n_words, {STEADY_WORDS}))" for m in MEASURES}
-    quartiles = hot_join(held, middle, "band", "docs", total).groupBy("band").agg(
+    quartiles = hot_join(held, middle, "band", "docs", 3 * total).groupBy("band").agg(
         *[F.percentile_approx(F.expr(e), [0.25, 0.5, 0.75], 10_000).alias(f"far_{m}") for m, e in far.items()])
     bands = scratch.keep(middle.join(quartiles, "band"), "bands")
     # A measure that hardly varies, as the fallback share of languages without any, has a band of at least ``slack``.
@@ -161,7 +170,7 @@ def judged(docs: DataFrame, scratch: Scratch, width: float = 3.5, least_words: i
         reach = F.greatest(width * (q[2] - q[0]), F.lit(1.0))
         outside = outside | (F.abs(F.expr(e) - q[1]) > reach)
     judged_rows = hot_join(rows, bands, "band", "docs", total, "left").withColumn(
-        "kept", ~F.col("base_failed") & ~(F.col("held") & F.coalesce(outside, F.lit(False))))
+        "kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False)))
     return judged_rows.select(*rest, "lang", *_COUNTS, *MEASURES, "band", "base_failed", "kept")
 
 

@@ -113,6 +113,26 @@ def test_fertility_keeps_clean_texts_of_any_length(spark):
     assert sum(not r.base_failed for r in rows) >= 0.8 * len(rows)
 
 
+def test_fertility_judges_rare_languages_and_short_texts(spark):
+    files = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    odd = " ".join(f"ꙮ{chr(0xA980 + i)}꧁꧂{chr(0xA990 + i)}" for i in range(40))
+    signs = " ".join(f"%$#{i}|{i * 7}<>&*" for i in range(60))
+    bad = [(-1, odd, "en"), (-2, odd, None), (-3, odd, "rare"), (-4, signs, None), (-5, signs, "rare"), (-6, signs, "en"),
+           (-7, " ".join(odd.split()[:14]), "en"), (-8, " ".join(odd.split()[:14]), None), (-9, " ".join(signs.split()[:20]), "rare")]
+    with Scratch(spark, "t") as s:
+        rows = {r.doc_id: r for r in judged(files.unionByName(spark.createDataFrame(bad, files.schema)), s).collect()}
+    assert not [r.doc_id for r in rows.values() if r.doc_id is not None and r.doc_id < 0 and (r.kept or r.base_failed)]
+    assert rows[-5].band == "script LATIN" or rows[-5].band == "all"
+    short = [r for r in rows.values() if r.doc_id is not None and r.doc_id >= 0 and 10 <= r.n_words < 30 and not r.base_failed]
+    assert short and sum(r.kept for r in short) >= 0.9 * len(short)
+    # Prose of a rare language, and short prose, stays.
+    some = [r for r in files.filter("lang = 'en' and n_chars between 300 and 2000").collect() if rows[r.doc_id].kept][:20]
+    same = [(-10 - i, r.text, "rare" if i % 2 else None) for i, r in enumerate(some)]
+    with Scratch(spark, "t") as s:
+        kept = judged(files.unionByName(spark.createDataFrame(same, files.schema)), s).filter("doc_id <= -10 and kept").count()
+    assert kept >= 18
+
+
 def test_decoding_and_toxicity(spark, empty):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     model = character_model(docs)
