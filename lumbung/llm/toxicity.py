@@ -1,11 +1,12 @@
 """Toxicity of texts that hide words by leetspeak, spacing or repetition.
 
 1. A character trigram model is counted over the words of all documents (letters a-z, any other letter, word end).
-2. Suspicious stretches of a text (digits or signs inside or before letters, letters three times or more in a row,
-   single letters with separators between them) become lattices: every observed character may stand for itself or for
-   the letters it imitates, a repeated letter may be dropped, a separator may be dropped or end the word.
-   Viterbi finds the likeliest path through the lattice under the trigram model and the costs of the channel.
-   A word without such characters has one path, itself.
+2. Every distinct word with a digit or sign that may stand for a letter, at any place, or with a repeated letter, and every
+   stretch of single letters with separators between them (runs of any length, Unicode spaces and line breaks too)
+   becomes a lattice: every observed character may stand for itself or for the letters it imitates, a repeated
+   letter may be dropped, a separator may be dropped or end the word.
+   Viterbi finds the likeliest path through the lattice under the trigram model and the costs of the channel. All
+   states are kept. Any other word has one path, itself; so has a word of digits alone, which is a number.
 3. Labelled documents outside the held-out third, restored in the same way, give a lexicon: words that are frequent in
    toxic documents and nearly absent from others. Support counts the different words before a word, so copies of
    one text count once. A text's score is a noisy-or of the words in its restored form.
@@ -35,7 +36,8 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h",
 }
-SEPARATORS = " \t.-_*,/~"
+#: Between spaced-out letters, besides all white space of Unicode; the last are invisible.
+SEPARATORS = ".-_*,/~:;'\u2010\u2011\u2012\u2013\u2014\u00b7\u2022\u00ad\u200b\u200c\u200d\u2060\ufeff"
 #: Costs of the channel, in nats: a look-alike; a sign or separator that ends a word; a dropped separator; a repeated
 #: letter that is dropped or kept, in runs of two and in longer ones.
 SWAP, END, DROP_SEPARATOR = 1.0, 8.0, 0.5
@@ -43,10 +45,13 @@ DROP_REPEAT, KEEP_REPEAT = {False: 3.0, True: 0.3}, {False: 0.0, True: 1.5}
 
 _SIGN = "[" + re.escape("".join(LEET)) + "]"
 _SINGLE = rf"(?:[a-z]|{_SIGN})"
+_BETWEEN = rf"[\s{re.escape(SEPARATORS)}]"
 #: Spaced-out letters, anywhere in a text.
-SPACED = re.compile(rf"(?<![a-z0-9]){_SINGLE}(?:[{re.escape(SEPARATORS)}]{{1,2}}{_SINGLE}(?![a-z0-9])){{2,}}")
-#: Leetspeak inside or in front of a word, and repetition.
-ODD = re.compile(rf"[a-z]{_SIGN}+[a-z]|^{_SIGN}{{1,2}}[a-z]|([a-z])\1\1")
+SPACED = re.compile(rf"(?<![a-z0-9]){_SINGLE}(?:{_BETWEEN}+{_SINGLE}(?![a-z0-9])){{2,}}")
+#: A run of separators that are no signs is one.
+RUN = re.compile(rf"[\s{re.escape(SEPARATORS.replace('*', ''))}]+")
+#: Words that are more than themselves: with a look-alike or a letter twice or more in a row.
+ODD = re.compile(rf"{_SIGN}|([^\W\d_])\1")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -97,11 +102,23 @@ def _letter(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27
 
 
-def decode(stretch: str, model: np.ndarray) -> str:
-    """Likeliest text behind a lower-cased stretch: Viterbi over the last two letters and the last character read."""
+def decode(stretch: str, model: np.ndarray | list, drop: bool = True) -> str:
+    """Likeliest text behind a lower-cased stretch: Viterbi over the last two letters and the last character read.
+
+    Without ``drop``, both letters of a double one stay.
+    """
     # state: (two back, one back, last letter of the channel) -> (cost, text as linked pairs)
     states = {(0, 0, ""): (0.0, None)}
     for at, c in enumerate(stretch):
+        if c.isalpha() and not any(state[2] == c for state in states):  # one way on from every state
+            n, ahead = _letter(c), {}
+            for (a, b, _), (cost, text) in states.items():
+                cost -= model[a][b][n]
+                state = (b, n, c)
+                if state not in ahead or cost < ahead[state][0]:
+                    ahead[state] = (cost, (text, c))
+            states = ahead
+            continue
         long = stretch[max(at - 2, 0): at + 1] == 3 * c or stretch[at - 1: at + 2] == 3 * c
         ways: list[tuple[str, float]] = []  # (letter, channel cost); "" ends the word
         if c.isalpha():
@@ -120,22 +137,22 @@ def decode(stretch: str, model: np.ndarray) -> str:
                 if letter == " ":
                     # end of word (once), or a separator that is dropped
                     if b:
-                        offer((0, 0, ""), cost + price - model[a, b, 0], (text, " "))
+                        offer((0, 0, ""), cost + price - model[a][b][0], (text, " "))
                     else:
                         offer((a, b, ""), cost + price, text)
-                    if c in SEPARATORS:
+                    if c.isspace() or c in SEPARATORS:
                         offer((a, b, ""), cost + DROP_SEPARATOR, text)
                     continue
                 n = _letter(letter)
                 if letter == last:
-                    offer((a, b, last), cost + price + DROP_REPEAT[long], text)
+                    if drop or long:
+                        offer((a, b, last), cost + price + DROP_REPEAT[long], text)
                     price += KEEP_REPEAT[long]
-                offer((b, n, letter), cost + price - model[a, b, n], (text, letter))
-        # A beam of the cheapest states; a lattice column has few more.
-        states = dict(sorted(nxt.items(), key=lambda s: s[1][0])[:64])
+                offer((b, n, letter), cost + price - model[a][b][n], (text, letter))
+        states = nxt
     best, text = math.inf, None
     for (a, b, _), (cost, linked) in states.items():
-        cost -= model[a, b, 0] if b else 0.0
+        cost -= model[a][b][0] if b else 0.0
         if cost < best:
             best, text = cost, linked
     out = []
@@ -155,28 +172,72 @@ class _Odd(dict):
     def __missing__(self, word: str) -> str:
         if len(self) > 200_000:
             self.clear()
-        self[word] = form = " ".join(self.decoded(word)) if ODD.search(word) else ""
+        self[word] = form = " ".join(self.decoded(word)) if ODD.search(word) and not word.isdecimal() else ""
         return form
 
 
+REPEAT = re.compile(r"(.)\1+")
+
+
+def folded(word: str) -> str:
+    """The word without repeated letters."""
+    return REPEAT.sub(r"\1", word)
+
+
+def _runs(word: str) -> list[int]:
+    return [len(m[0]) for m in re.finditer(r"(.)\1*", word)]
+
+
+class _Hidden(dict):
+    """Words of a lexicon, given by their folded forms, that a word hides; remembers recent words."""
+
+    def __init__(self, restorer: Restorer, words: dict[str, list[str]]):
+        super().__init__()
+        self.restorer, self.words = restorer, words
+
+    def __missing__(self, word: str) -> frozenset[str]:
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = out = frozenset(self.restorer.known(word, self.words))
+        return out
+
+
 class Restorer:
     """Decodes the suspicious stretches of texts."""
 
     def __init__(self, model: np.ndarray, longest: int = 400):
-        self.model, self.longest, self.odd = model, longest, _Odd(self.decoded)
+        self.model, self.longest, self.odd = model.tolist(), longest, _Odd(self.decoded)
 
-    def decoded(self, stretch: str) -> list[str]:
+    def decoded(self, stretch: str, drop: bool = True) -> list[str]:
         """Restored form; of a long stretch in pieces that overlap by half, so that no short word is cut in all of them."""
         step = self.longest // 2
-        return [decode(stretch[i: i + self.longest], self.model) for i in range(0, max(len(stretch) - step, 1), step)]
+        return [decode(stretch[i: i + self.longest], self.model, drop) for i in range(0, max(len(stretch) - step, 1), step)]
 
     def hidden(self, lowered: str) -> list[str]:
         """Restored forms of the odd words of a lower-cased text."""
         return [form for w in set(lowered.split()) if (form := self.odd[w])]
 
+    def known(self, word: str, words: dict[str, list[str]]) -> set[str]:
+        """Which of ``words`` (by their folded form) an odd word hides.
+
+        The likeliest path may drop one letter of a pair too many, or one too few. If it dropped any, all words count that
+        are spelled alike but for repeated letters and repeat none more often than the word does.
+        """
+        out: set[str] = set()
+        if not ODD.search(word):
+            return out
+        form = self.odd[word]
+        for w in WORD.findall(form):
+            if same := words.get(folded(w)):
+                out.update({w}.intersection(same))
+                for full in {x for part in self.decoded(word, False) for x in WORD.findall(part)}.difference(WORD.findall(form)):
+                    if folded(full) == folded(w):
+                        out.update(x for x in same if all(a <= b for a, b in zip(_runs(x), _runs(full), strict=True)))
+        return out
+
     def spaced(self, lowered: str) -> list[str]:
         """Restored forms of its spaced-out stretches. Words may touch there, as nothing else divides them."""
-        return [form for found in SPACED.finditer(lowered) for form in self.decoded(found[0])]
+        return [form for found in SPACED.finditer(lowered) for form in self.decoded(RUN.sub(" ", found[0]))]
 
 
 def restored_words(text: str | None, restorer: Restorer) -> dict[str, str]:
@@ -241,22 +302,25 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, scratch: Scratc
 
 
 def _scores(model: np.ndarray, lexicon: Lexicon):
-    def one(text: str | None, restorer: Restorer) -> float:
+    def one(text: str | None, restorer: Restorer, hidden: _Hidden) -> float:
         lowered = (text or "").lower()
         found = {w for w in lexicon.words if w in lowered and whole[w].search(lowered)}
-        for part in restorer.hidden(lowered):
-            found |= {w for w in lexicon.words if w in part and whole[w].search(part)}
+        found.update(*map(hidden.__getitem__, set(lowered.split())))
         for part in restorer.spaced(lowered):
             found |= {w for w in lexicon.words if len(w) > 3 and w in part}
         return lexicon.score(found)
 
+    by_form: dict[str, list[str]] = {}
+    for w in lexicon.words:
+        by_form.setdefault(folded(w), []).append(w)
     whole = {w: re.compile(rf"(?<![^\W\d_]){re.escape(w)}(?![^\W\d_])") for w in lexicon.words}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
+        hidden = _Hidden(restorer, by_form)
         for b in slices(batches):
             rest = [n for n in b.schema.names if n != "text"]
-            scores = pa.array([one(t, restorer) for t in b.column("text").to_pylist()], pa.float64())
+            scores = pa.array([one(t, restorer, hidden) for t in b.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*map(b.column, rest), scores], [*rest, "score"])
     return run
 

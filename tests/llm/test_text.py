@@ -16,7 +16,7 @@ from lumbung.llm import license_scan, url_filter
 from lumbung.llm.chat_format import escape, format_conversations, parse, read_back, render, unescape
 from lumbung.llm.common import Scratch, table
 from lumbung.llm.fertility import accepted, judged, repeated_words
-from lumbung.llm.toxicity import Lexicon, character_model, decode, toxicity
+from lumbung.llm.toxicity import Lexicon, Restorer, character_model, decode, folded, toxicity
 
 TESTDATA = "/root/testdata/sf0.001"
 
@@ -154,6 +154,20 @@ def test_decoding_and_toxicity(spark, empty):
     assert Lexicon(0.1, {"a": 0.5}).score({"a"}) == pytest.approx(0.55)
 
 
+def test_words_hidden_in_any_place(spark):
+    restorer = Restorer(character_model(table(spark, "/root/testdata/sf0.01", "documents")))
+    lexicon: dict[str, list[str]] = {}
+    for w in ("idiot", "moron", "trash", "stupid", "worthless", "loser", "asshole"):
+        lexicon.setdefault(folded(w), []).append(w)
+    for hidden, word in [("worthle$$", "worthless"), ("worthle55", "worthless"), ("worrthle$$", "worthless"), ("idio7", "idiot"), ("@$$hole", "asshole"),
+                         ("!!!diot", "idiot"), ('"!diot', "idiot"), ("mmoorroonn", "moron"), ("losserr", "loser"), ("ttrraasshh", "trash"), ("tr4sh", "trash")]:
+        assert restorer.known(hidden, lexicon) == {word}
+    assert not any(restorer.known(w, lexicon) for w in ("as!", "2020", "(the)", "letter", "12:30"))
+    for hidden, word in [("i - d - i - o - t", "idiot"), ("t   r   a   s   h", "trash"), ("m\u00a0o\u00a0r\u00a0o\u00a0n", "moron"), ("m o r\no n", "moron"),
+                         ("s\n\nt\n\nu\n\np\n\ni\n\nd", "stupid"), ("m\u2003o\u200br\u2013o\u2003n", "moron")]:
+        assert restorer.spaced(hidden) == [word]
+
+
 URLS = [
     (1, "https://www.Example.com/en/1?a=b&c=d#top"), (2, "http://example.com/en/2"), (3, "http://x.example.com/de/"), (4, "ftp://NET/es/"),
     (5, "http://a.net/fr/x"), (6, "http://a.net/en/x"), (7, None), (8, "no scheme"), (9, "://"), (10, "http://com"), (11, "http://x.com?u=/en/"),
