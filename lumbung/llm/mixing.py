@@ -7,24 +7,30 @@ ceil((j + 1) W / w). One slot takes one block: among the released blocks the one
 source whose name sorts first. All shares together fill the period, so every block runs between release and
 due time, and no source is ever a whole block ahead of or behind its share.
 
-Shares repeat from period to period, so one period is scheduled (a fold over its slots) and the slot of any
-block follows from it; no order of all blocks is ever built in one place. All rows are kept: when a source runs
+Shares repeat from period to period, so one period is scheduled and the slot of any block follows from it; no order of
+all blocks is ever built in one place. The period has 1,000 slots; with more sources, the next multiple with ``ROOM`` slots a
+source. Up to 1,000 sources are scheduled by a fold over the slots. More are scheduled by their shares: sources of one
+share have the same windows, so of blocks due at the same time those of the smallest share come first, then the
+source whose name sorts first, and the driver sees one number per share. All rows are kept: when a source runs
 out, its later slots stay empty and the others go on as before. Rows with a NULL source form a source of their
 own. NULL text has no bytes. Equal rows share an order place; ties are broken by the text's md5.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumbung.llm.common import Scratch, checked, result, same_text, table
+from lumbung.llm.common import Scratch, checked, hot_join, result, same_text, table
 
-#: Sources that one period can hold; the period's table is broadcast.
-MOST_SOURCES = 5_000
+#: Sources that are scheduled by a fold over the period, and its slots.
+FOLDED = 1_000
+#: Slots per source of a longer period, on average.
+ROOM = 4
 
 
 def shares(sizes: DataFrame, period: int, weights: Mapping[str, int] | None) -> DataFrame:
@@ -37,7 +43,7 @@ def shares(sizes: DataFrame, period: int, weights: Mapping[str, int] | None) ->
             raw = F.when(F.col("name") == f"s:{name}", F.lit(int(w))).otherwise(raw)
     whole = Window.partitionBy()
     rows = sizes.select("name", (raw + 1).cast("decimal(38,0)").alias("raw")).withColumns(
-        {"all": F.sum("raw").over(whole), "sources": F.count(F.lit(1)).over(whole)})  # at most MOST_SOURCES rows
+        {"all": F.sum("raw").over(whole), "sources": F.count(F.lit(1)).over(whole)})  # a row per source
     free = (F.lit(period) - F.col("sources")).cast("decimal(38,0)") * F.col("raw")
     rows = rows.withColumns({"floor": F.expr(f"cast(({period} - sources) * raw div all as long)")})
     rows = rows.withColumn("rest", free - F.col("floor") * F.col("all"))
@@ -68,17 +74,53 @@ def _schedule(share: DataFrame, period: int) -> DataFrame:
         "nth", F.row_number().over(turn) - 1)
 
 
+def class_runs(sources: Mapping[int, int], period: int) -> list[tuple[int, int, int, int, int]]:
+    """(share, nth, from, slot, count): ``count`` sources of a share, from place ``from`` by name, have their block ``nth`` at ``slot`` on.
+
+    ``sources`` has the number of sources per share. Earliest due time first; a stretch ends when its blocks are
+    done or others are released.
+    """
+    groups = sorted((nth * period // w, -(-(nth + 1) * period // w), w, nth) for w in sources for nth in range(w))
+    ready: list[list[int]] = []
+    runs, slot, at = [], 0, 0
+    while ready or at < len(groups):
+        while at < len(groups) and groups[at][0] <= slot:
+            heapq.heappush(ready, [*groups[at][1:], 0])
+            at += 1
+        _, w, nth, done = ready[0]
+        until = groups[at][0] if at < len(groups) else period
+        count = min(sources[w] - done, until - slot)
+        runs.append((w, nth, done, slot, count))
+        slot += count
+        if done + count == sources[w]:
+            heapq.heappop(ready)
+        else:
+            ready[0][3] += count
+    return runs
+
+
+def _schedule_by_share(share: DataFrame, period: int) -> DataFrame:
+    """Like ``_schedule``, by runs of sources that have one share."""
+    ranked = share.withColumn("place", F.row_number().over(Window.partitionBy("share").orderBy("name")) - 1)  # a row per source
+    sources = {r["share"]: r["n"] for r in share.groupBy("share").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Different shares sum to the period at most, so they are fewer than sqrt(2 period).
+    runs = share.sparkSession.createDataFrame(class_runs(sources, period), "share int, nth int, first long, start long, count long")
+    slots = runs.select("share", "nth", "first", "start", F.explode(F.expr("sequence(first, first + count - 1)")).alias("place"))
+    return ranked.join(slots, ["share", "place"]).select(
+        "name", "share", (F.col("start") + F.col("place") - F.col("first")).cast("int").alias("slot"), "nth")
+
+
 def source_name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s:"), source.cast("string")), F.lit("none"))
 
 
-def schedule(docs: DataFrame, scratch: Scratch, period: int = 1000, block_bytes: int = 32_768,
+def schedule(docs: DataFrame, scratch: Scratch, period: int | None = None, block_bytes: int = 32_768,
              weights: Mapping[str, int] | None = None, chunk_rows: int = 20_000) -> DataFrame:
     """(doc_id, hash, source, bytes, share, block, at, slot, released, due) for every row of ``docs`` (doc_id, text, source).
 
     ``block`` is the block in which a text starts, ``at`` the byte of its source where it starts: rows in the
     order of (slot, at) are the mixture. A text longer than a block also takes the source's next slots.
-    ``weights`` (by source name) replaces the square roots. ``chunk_rows`` sets how many rows of a source one
+    ``period``, if given, has to have a slot for every source. ``weights`` (by source name) replaces the square roots. ``chunk_rows`` sets how many rows of a source one
     task numbers; the result doesn't depend on it.
     """
     rows = docs.select(
@@ -90,8 +132,10 @@ def schedule(docs: DataFrame, scratch: Scratch, period: int = 1000, block_bytes:
     rows = scratch.keep(rows, "rows")
     sizes = scratch.keep(rows.groupBy("name").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "sizes")
     sources, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if sources > min(period, MOST_SOURCES):
-        raise ValueError(f"{sources} sources do not fit a period of {period} slots (at most {MOST_SOURCES} sources)")
+    if period is None:
+        period = 1000 if sources <= FOLDED else 1000 * -(-ROOM * sources // 1000)
+    if sources > period:
+        raise ValueError(f"{sources} sources do not fit a period of {period} slots, as each has one at least")
 
     # Byte positions within a source: inside chunks of its order, then over the chunks' sums.
     digits = max(1, math.ceil(math.log(max(total / chunk_rows, 1), 16)) + 1)
@@ -103,12 +147,16 @@ def schedule(docs: DataFrame, scratch: Scratch, period: int = 1000, block_bytes:
         "name", "chunk", F.coalesce(F.sum("sum").over(outer), F.lit(0)).alias("before"))
     placed = rows.join(chunks, ["name", "chunk"]).withColumn("at", F.col("inside") + F.col("before"))
 
-    plan = scratch.keep(_schedule(shares(sizes, period, weights), period), "plan")
-    # A row per slot of the period at most.
-    by_source = F.broadcast(plan.select("name", "share").distinct())
-    turns = F.broadcast(plan.select("name", "nth", F.col("slot").alias("first_slot")))
-    placed = placed.join(by_source, "name").withColumn("block", F.expr(f"at div {block_bytes}")).withColumn(
-        "nth", (F.col("block") % F.col("share")).cast("int"))
+    share = shares(sizes, period, weights)
+    if sources <= FOLDED:
+        plan = scratch.keep(_schedule(share, period), "plan")
+        by_source = plan.select("name", "share").distinct()
+    else:
+        by_source = scratch.keep(share, "shares")
+        plan = scratch.keep(_schedule_by_share(by_source, period), "plan")
+    turns = checked(plan.select("name", "nth", F.col("slot").alias("first_slot")))
+    placed = hot_join(placed, by_source.join(sizes.select("name", "n"), "name"), "name", "n", total).drop("n").withColumn(
+        "block", F.expr(f"at div {block_bytes}")).withColumn("nth", (F.col("block") % F.col("share")).cast("int"))
     return placed.join(turns, ["name", "nth"]).select(
         "doc_id", "hash", "source", "bytes", "share", "block", "at",
         F.expr(f"block div share * {period} + first_slot").alias("slot"),

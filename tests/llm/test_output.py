@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 import corpus_pipeline
 from lumbung.llm.common import Scratch, table
 from lumbung.llm.fertility import judged
-from lumbung.llm.mixing import interleaved, schedule
+from lumbung.llm.mixing import class_runs, interleaved, schedule
 from lumbung.llm.packing import boundaries, by_mark, pack
 from lumbung.llm.pieces import byte_bpe, byte_bpe_ranks, text_slots
 from lumbung.llm.token_output import END_ID, Shard, payload, read_tokens, write_tokens
@@ -76,6 +76,25 @@ def test_mixing_lag_and_windows(spark, awkward, empty):
     assert mixed.columns == awkward.columns and sorted(map(str, mixed.collect())) == sorted(map(str, awkward.collect()))
 
 
+def test_mixing_of_many_sources(spark):
+    """More sources than a period had slots: every row, one block a slot, every block inside its window."""
+    rows = [(i, "x" * (10 + 3 * (i % 7)), f"host{i}") for i in range(1_200)] + [(5_000 + i, "y" * 40, f"big{i % 3}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    with Scratch(spark, "t") as s:
+        got = schedule(docs, s, block_bytes=40).collect()
+    assert len(got) == len(rows)
+    blocks = {(r.source, r.block): r for r in got}
+    assert len({r.slot for r in blocks.values()}) == len(blocks) and len({r.source for r in got}) == 1_203
+    assert all(r.released <= r.slot < r.due for r in got)
+    for sources in ({1: 40, 2: 5, 7: 10}, {1: 1, 19: 1}, {3: 30, 4: 5, 40: 1}, {1: 9}):
+        period = sum(w * n for w, n in sources.items())
+        taken = set()
+        for w, nth, first, slot, count in class_runs(sources, period):
+            assert nth * period // w <= slot and slot + count <= -(-(nth + 1) * period // w)
+            taken.update((w, nth, first + k) for k in range(count))
+        assert len(taken) == period
+
+
 def test_one_period_never_deviates_by_a_block(spark):
     names = {"a": 70, "b": 20, "c": 9, "d": 1}
     docs = spark.createDataFrame([(i, "x" * 10, n) for n in names for i in range(100)], "doc_id long, text string, source string")
