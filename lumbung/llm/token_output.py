@@ -37,15 +37,17 @@ END_ID = 2
 TERMINALS = 50_257
 
 
-def grammar(ids: np.ndarray, firsts: np.ndarray, rounds: int = 6, per_round: int = 3_000, least: int = 8):
-    """Symbols, where documents start among them, and rules, for ids and the starts of their documents."""
+def grammar(ids: np.ndarray, firsts: np.ndarray, per_round: int = 3_000, least: int = 8):
+    """Symbols, where documents start among them, and rules, for ids and the starts of their documents.
+
+    Rounds go on until no pair is seen ``least`` times (a rule takes the space of four replacements) or the
+    symbols of 16 bits have run out.
+    """
     symbols = ids.astype(np.uint16)
     head = np.zeros(len(ids), bool)
     head[firsts[:-1]] = True
     rules = np.empty((0, 2), np.uint16)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    while len(symbols) > 1:
         pairs = symbols[:-1].astype(np.uint32) << 16 | symbols[1:]
         inside = ~head[1:]
         codes, times = np.unique(pairs[inside], return_counts=True)

@@ -19,7 +19,7 @@ from lumbung.llm.fertility import judged
 from lumbung.llm.mixing import class_runs, interleaved, schedule
 from lumbung.llm.packing import boundaries, by_mark, pack
 from lumbung.llm.pieces import byte_bpe, byte_bpe_ranks, text_slots
-from lumbung.llm.token_output import END_ID, Shard, payload, read_tokens, write_tokens
+from lumbung.llm.token_output import END_ID, Shard, expanded, grammar, payload, read_tokens, write_tokens
 from lumbung.session import shared_folder
 from .test_dedup import brute_components, norm
 
@@ -76,6 +76,16 @@ def test_mixing_lag_and_windows(spark, awkward, empty):
     assert mixed.columns == awkward.columns and sorted(map(str, mixed.collect())) == sorted(map(str, awkward.collect()))
 
 
+def test_grammar_goes_on_while_pairs_are_frequent():
+    r = np.random.default_rng(1)
+    passage, copies = r.permutation(40_000)[:4_096], 12
+    ids = np.concatenate([np.append(passage, END_ID)] * copies)
+    firsts = np.arange(copies + 1) * (len(passage) + 1)
+    symbols, starts, rules = grammar(ids, firsts)
+    assert list(np.diff(starts)) == [1] * copies
+    assert (expanded(symbols, rules) == ids).all()
+
+
 def test_mixing_of_many_sources(spark):
     """More sources than a period had slots: every row, one block a slot, every block inside its window."""
     rows = [(i, "x" * (10 + 3 * (i % 7)), f"host{i}") for i in range(1_200)] + [(5_000 + i, "y" * 40, f"big{i % 3}") for i in range(600)]
