@@ -108,7 +108,7 @@ def text_slots(text: str, pieces: Pieces) -> np.ndarray:
     if not text:
         return np.empty(0, np.int64)
     # Single spaces and line breaks between words without any white space inside.
-    if BARE in text or text.split() != text.replace("\n", " ").split(" "):
+    if BARE in text or WHOLE in text or text.split() != text.replace("\n", " ").split(" "):
         return np.array([pieces.slots.uncached(WHOLE + text)])
     return pieces.of((BARE + text.replace("\n", f" \n {BARE}")).split(" "))
 
@@ -119,7 +119,7 @@ def _plain(part: str | bytes) -> str:
     return part[1:] if part[0] in (BARE, WHOLE) else part if part == "\n" else " " + part
 
 
-def _byte_level(encode: Callable[[list[str]], Iterable[Sequence[int]]], slab: int = 1000) -> Callable[[list], Encoded]:
+def byte_level(encode: Callable[[list[str]], Iterable[Sequence[int]]], slab: int = 1000) -> Callable[[list], Encoded]:
     """Parts without white space are encoded many at a time: a line break between them is always one id of its own."""
     line = list(encode(["\n"]))[0][0]
 
@@ -155,7 +155,7 @@ def byte_bpe(path: str | None = None) -> Pieces:
 
     t = Tokenizer.from_file(path or public_tokenizers.path(BYTE_BPE))
     t.encode_special_tokens = True
-    return Pieces(_byte_level(lambda texts: (e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False))))
+    return Pieces(byte_level(lambda texts: (e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False))))
 
 
 def byte_bpe_ranks(path: str | None = None, **more) -> Pieces:
@@ -165,7 +165,7 @@ def byte_bpe_ranks(path: str | None = None, **more) -> Pieces:
     with open(path or public_tokenizers.path(BYTE_BPE_RANKS), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     e = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return Pieces(_byte_level(lambda texts: map(e.encode_ordinary, texts)), **more)
+    return Pieces(byte_level(lambda texts: map(e.encode_ordinary, texts)), **more)
 
 
 def fallback_counts(path: str | None = None) -> Callable[[list[bytes]], np.ndarray]:
