@@ -17,7 +17,7 @@ is summed before it is shuffled. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import count
 
@@ -138,8 +138,8 @@ def phrases(langs: list[bytes], ends: np.ndarray, texts: list[bytes], times: np.
     parts = [t.split(b" ") for t in texts]
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     tokens = [w for p in parts for w in p]
-    ids, fresh = {}, count().__next__
-    flat = np.fromiter((ids[w] if w in ids else ids.setdefault(w, fresh()) for w in tokens), np.int64, len(tokens))
+    ids = defaultdict(count().__next__)
+    flat = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
     own = lengths - np.where(ends, size - 1, SHARED)  # starts of phrases
     own = np.maximum(own, 0)
     chunk = np.repeat(np.arange(len(parts)), own)
@@ -154,9 +154,11 @@ def phrases(langs: list[bytes], ends: np.ndarray, texts: list[bytes], times: np.
         else:
             keep = _known(frequent, _paired(h[0], h[1])) & _known(frequent, _paired(h[1], h[2]))
         at, chunk = at[keep], chunk[keep]
-    code = lang[chunk]
-    for i in range(size):  # numbers of distinct prefixes, so that codes stay small
-        code = np.unique(code, return_inverse=True)[1] * max(len(words), 1) + flat[at + i]
+    code, room = lang[chunk], len(number)
+    for i in range(size):
+        if room * len(words) >= 1 << 62:  # number the distinct prefixes, so that codes stay small
+            code, room = np.unique(code, return_inverse=True)[1], len(code)
+        code, room = code * len(words) + flat[at + i], room * len(words)
     _, where, inverse = np.unique(code, return_index=True, return_inverse=True)
     sums = np.zeros(len(where), np.int64)
     np.add.at(sums, inverse, times[chunk])
@@ -166,9 +168,22 @@ def phrases(langs: list[bytes], ends: np.ndarray, texts: list[bytes], times: np.
     return [known[x] for x in lang[chunk[where]].tolist()], names, sums
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 60_000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``rows`` rows or ``size`` bytes, so that more occurrences are summed at once."""
+    held, n, filled = [], 0, 0
+    for b in batches:
+        held.append(b)
+        n, filled = n + b.num_rows, filled + b.nbytes
+        if n >= rows or filled >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, filled = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _count(size: int, frequent: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 10_000):
+        for b in _gathered(batches):
             got = phrases(
                 b.column("lang").cast(pa.binary()).to_pylist(), b.column("ends").to_numpy(zero_copy_only=False),
                 b.column("chunk").cast(pa.large_binary()).to_pylist(), b.column("times").to_numpy(), size, frequent)
