@@ -124,7 +124,7 @@ def _(m: Models) -> DataFrame:
     path = shared_folder(m.spark, "items")
     writers.overwrite(by_year(items.filter(F.col("loaded_at") <= F.lit(BATCH_CUT))), path, ["year"])
     writers.merge_into(m.spark, path, by_year(delta), ["order_item_id"], "year", m.settings)
-    return m.spark.read.parquet(path).select(items.columns)
+    return writers.table_or_none(m.spark, path).select(items.columns)
 
 
 @_query("snk_append")

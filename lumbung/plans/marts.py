@@ -2,8 +2,7 @@
 
 Distinct orders are counted by first rolling the fact up to one row per order; a plain
 count then replaces ``count(distinct order_id)``, and one roll-up serves six marts. An order
-belongs to one customer version, city, date, minute, payment method and shipping service;
-its row takes these from the item that was loaded last.
+belongs to one customer version, city, date, minute, payment method and shipping service.
 """
 
 from __future__ import annotations
@@ -42,11 +41,12 @@ def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> Da
     """One row per order: summed measures, flag counts, delivery time range.
 
     Partial sums are combined before the shuffle, so an order with very many items is no
-    hot spot. Measures a mart does not use are pruned by the optimizer.
+    hot spot. Measures a mart does not use are pruned by the optimizer. All items of an order agree in its keys, as
+    orders are computed whole, so these are grouping columns and the sums are hash aggregations; the check of the stored
+    roll-up (one row per order) fails if they ever don't.
     """
     minutes = "delivery_duration_minutes"
-    newest = F.max(F.struct("loaded_at", "order_item_id", *keys)).alias("_newest")
-    rolled = fact.groupBy("order_id").agg(newest, *_exprs(
+    return fact.groupBy("order_id", *keys).agg(*_exprs(
         "count(*) as item_count",
         *_sums("quantity", "subtotal", "discount_amount", "shipping_subsidy", "voucher_amount", "total_payment",
                "estimated_cost", "profit"),
@@ -57,19 +57,25 @@ def order_rollup(fact: DataFrame, keys: Sequence[str] = tuple(ORDER_KEYS)) -> Da
         "count_if(is_cancelled) as cancelled_items", "count_if(is_returned) as returned_items",
         "count_if(is_delayed) as delayed_items",
     ))
-    measures = [c for c in rolled.columns if c not in ("order_id", "_newest")]
-    return rolled.select("order_id", *[F.col(f"_newest.{k}").alias(k) for k in keys], *measures)
+
+
+def counted(orders: DataFrame) -> DataFrame:
+    """Rows of the roll-up as sums over one order; rows that are sums over several orders already stay as they are."""
+    if "order_count" in orders.columns:
+        return orders
+    have = set(orders.columns)
+    orders = orders.withColumn("order_count", F.lit(1).cast("long"))
+    return orders.withColumn("cancelled_orders", F.expr("cast(cancelled_items > 0 as bigint)")) if "cancelled_items" in have else orders
 
 
 def city_performance(orders: DataFrame, dim_city: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Orders, customers, revenue, profit, delivery time and cancellations per city."""
     place = ["city_name", "province", "region"]
     city = dim_city.selectExpr("city_key as customer_city_key", *place)
-    located = lookup_join(orders, city, ["customer_city_key"], "inner", settings)
+    located = lookup_join(counted(orders), city, ["customer_city_key"], "inner", settings)
     # One row per customer and city first: a second distinct count becomes a plain count too.
     customers = located.groupBy(*place, "customer_nk").agg(*_exprs(
-        "count(*) as order_count",
-        *_sums("total_payment", "profit", "minutes_sum", "minutes_count", "cancelled_items", "item_count"),
+        *_sums("order_count", "total_payment", "profit", "minutes_sum", "minutes_count", "cancelled_items", "item_count"),
     ))
     return customers.groupBy(*place).agg(*_exprs(
         "sum(order_count) as transaction_count", "count(customer_nk) as customer_count",
@@ -83,8 +89,8 @@ def customer_segments(
     orders: DataFrame, dim_customer: DataFrame, dim_city: DataFrame, settings: SkewSettings = DEFAULT
 ) -> DataFrame:
     """Customer totals beside the current profile, with group and voucher strategy."""
-    metrics = orders.groupBy("customer_nk").agg(*_exprs(
-        "count(*) as transaction_count", *_sums("total_payment revenue", "profit"),
+    metrics = counted(orders).groupBy("customer_nk").agg(*_exprs(
+        *_sums("order_count transaction_count", "total_payment revenue", "profit"),
         "cast(max(order_ts) as date) as last_order_date",
     ))
     current = dim_customer.filter("is_current").selectExpr(
@@ -114,8 +120,8 @@ def hourly_orders(orders: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Orders and revenue per hour of the day."""
     times = dim_time.selectExpr("time_key as order_time_key", "hour_of_day", "daypart")
     # 1,440 rows by construction.
-    return orders.join(F.broadcast(times), "order_time_key").groupBy("hour_of_day", "daypart").agg(
-        *_exprs("count(*) as order_count", *_sums("total_payment revenue"))
+    return counted(orders).join(F.broadcast(times), "order_time_key").groupBy("hour_of_day", "daypart").agg(
+        *_exprs(*_sums("order_count", "total_payment revenue"))
     )
 
 
@@ -124,10 +130,10 @@ def monthly_revenue(orders: DataFrame, dim_date: DataFrame, settings: SkewSettin
     days = dim_date.selectExpr(
         "date_key as order_date_key", "year", "month", "trunc(date_day, 'month') as month_start_date"
     )
-    dated = lookup_join(orders, days, ["order_date_key"], "inner", settings)
+    dated = lookup_join(counted(orders), days, ["order_date_key"], "inner", settings)
     return dated.groupBy("year", "month", "month_start_date").agg(*_exprs(
-        "count(*) as order_count", *_sums(
-            "item_count order_item_count", "quantity quantity_sold", "subtotal gross_revenue", "discount_amount",
+        *_sums(
+            "order_count", "item_count order_item_count", "quantity quantity_sold", "subtotal gross_revenue", "discount_amount",
             "shipping_subsidy", "voucher_amount", "total_payment net_revenue", "estimated_cost", "profit"),
         f"{_share('profit', 'total_payment')} as profit_margin",
     ))
@@ -139,8 +145,8 @@ def payment_method_performance(
     """Orders, value and promotion loss per payment method."""
     names = ["payment_method_name", "payment_group"]
     methods = dim_payment_method.select("payment_method_key", *names)
-    return lookup_join(orders, methods, ["payment_method_key"], "inner", settings).groupBy(*names).agg(*_exprs(
-        "count(*) as transaction_count", *_sums("total_payment transaction_value"),
+    return lookup_join(counted(orders), methods, ["payment_method_key"], "inner", settings).groupBy(*names).agg(*_exprs(
+        *_sums("order_count transaction_count", "total_payment transaction_value"),
         f"{_share('total_payment', 'paid_item_count')} as avg_item_value",
         *_sums("voucher_amount", "promo_loss total_promo_loss"),
     ))
@@ -150,15 +156,23 @@ def shipping_performance(orders: DataFrame, dim_shipping: DataFrame, settings: S
     """Orders, cancellations, delivery times and delays per shipping service."""
     names = ["shipping_provider", "shipping_service", "service_level"]
     services = dim_shipping.select("shipping_key", *names)
-    return lookup_join(orders, services, ["shipping_key"], "inner", settings).groupBy(*names).agg(*_exprs(
-        "count(*) as order_count", *_sums("cancelled_items cancelled_order_item_count"),
-        "count_if(cancelled_items > 0) as cancelled_order_count",
+    return lookup_join(counted(orders), services, ["shipping_key"], "inner", settings).groupBy(*names).agg(*_exprs(
+        *_sums("order_count", "cancelled_items cancelled_order_item_count", "cancelled_orders cancelled_order_count"),
         f"{_share('minutes_sum', 'minutes_count')} as avg_delivery_duration_minutes",
         "min(minutes_min) as fastest_delivery_minutes", "max(minutes_max) as slowest_delivery_minutes",
         f"{_share('delayed_items')} as delay_rate",
     ))
 
 
+def product_orders(fact: DataFrame) -> DataFrame:
+    """Sums of the items of one product in one order."""
+    return fact.groupBy("product_key", "category_key", "customer_nk", "order_id").agg(*_exprs(
+        "1L as order_count", "count(*) as item_count", *_sums("quantity", "total_payment revenue", "profit"),
+        "sum(if(is_returned, quantity, 0)) as returned_quantity", "count_if(is_returned) as returned_items",
+        "count_if(is_cancelled) as cancelled_items",
+    ))
+
+
 def product_performance(
     fact: DataFrame, dim_product: DataFrame, dim_category: DataFrame, settings: SkewSettings = DEFAULT
 ) -> DataFrame:
@@ -175,6 +189,13 @@ def product_performance(
         "sum(if(is_returned, quantity, 0)) as returned_quantity", "count_if(is_returned) as returned_items",
         "count_if(is_cancelled) as cancelled_items",
     ))
+    return named_products(per_product, dim_product, dim_category, settings)
+
+
+def named_products(
+    per_product: DataFrame, dim_product: DataFrame, dim_category: DataFrame, settings: SkewSettings = DEFAULT
+) -> DataFrame:
+    """Sums per product with names and rates."""
     product = dim_product.select("product_key", "product_name", "sku")
     category = dim_category.select("category_key", "category_name", "subcategory_name")
     named = lookup_join(

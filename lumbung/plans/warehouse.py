@@ -1,9 +1,9 @@
 """Full and incremental runs over stored layers.
 
 Layout below ``base``: ``analytics/<model>`` for dimensions, fact, roll-up and marts, and
-``control/watermark``. Staging and intermediate models stay lazy. The fact and the order
-roll-up are partitioned by order month, so a merge rewrites the months it touches and date
-filters prune.
+``control/watermark``. Staging and intermediate models stay lazy. Tables are versions (``sources.versions``): readers
+see a new one when it is complete. The fact and the order roll-up are partitioned by order month, so a merge
+rewrites the months it touches and date filters prune; marts follow the changed months (``plans.delta_marts``).
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from lumbung.operators import quality
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
 from lumbung.session import WorkFolder
-from lumbung.sources import writers
+from lumbung.sources import versions, writers
 
-from . import marts
+from . import delta_marts, marts
 from .dimensions import dim_order_flags
 from .fact import FACT_COLUMNS, fct_of_orders
 from .intermediate import order_item_enriched
@@ -45,6 +45,7 @@ class Warehouse:
     city_rows: int = 34
     minimum_items: int = 10_000
     check_models: Sequence[str] | None = field(default=None)
+    keep_versions: int = 3
 
     def path(self, model: str) -> str:
         return f"{self.base.rstrip('/')}/analytics/{model}"
@@ -54,7 +55,9 @@ class Warehouse:
         return f"{self.base.rstrip('/')}/control/watermark"
 
     def stored(self, model: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(model))
+        df = writers.table_or_none(self.spark, self.path(model))
+        if df is None:
+            raise LookupError(f"{model} is not stored yet")
         return df.select(*FACT_COLUMNS) if model == "fct_order_item" else df
 
     def models(self, raw: Mapping[str, DataFrame], stored: Sequence[str] = ()) -> Models:
@@ -72,7 +75,7 @@ class Warehouse:
         models = self.models(raw, DIMENSIONS)
         self._write_by_month(with_month(models["fct_order_item"]), "fct_order_item")
         self._write_by_month(self._rollup(self.stored("fct_order_item")), "order_rollup")
-        self._write_marts(raw)
+        self._write_marts(rebuild=True)
         return self.finish(raw, check, seen)
 
     def has_new_data(self, orders: DataFrame) -> bool:
@@ -130,10 +133,10 @@ class Warehouse:
             delta = work.keep(with_month(rows), "fact")
             # The roll-up tells in which month an order is stored; it is merged last, so a repeated run finds it as it was.
             index = writers.table_or_none(self.spark, self.path("order_rollup"))
-            writers.merge_into(self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index)
+            writers.merge_into(self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index, stored=True)
             writers.merge_into(self.spark, self.path("order_rollup"), self._rollup(delta), ["order_id"], MONTH, self.settings)
         if refresh_marts:
-            self._write_marts(raw)
+            self._write_marts()
 
     # steps
 
@@ -143,12 +146,16 @@ class Warehouse:
     def _write_by_month(self, df: DataFrame, name: str) -> None:
         writers.overwrite(df, self.path(name), [MONTH])
 
-    def _write_marts(self, raw: Mapping[str, DataFrame]) -> None:
-        models = self.models(raw, [*DIMENSIONS, "fct_order_item", "order_rollup"])
-        for name in MARTS:
-            if name == "mart_voucher_recommendations":
-                models = self.models(raw, ["mart_customer_segments"])
-            writers.overwrite(models[name], self.path(name))
+    def _write_marts(self, rebuild: bool = False) -> None:
+        """Bring the marts' states up to the newest fact and roll-up, and write the marts from them."""
+        delta_marts.refresh(self.spark, self.path, rebuild)
+        state = lambda name: delta_marts.sums(self.spark, name, self.path(f"state_{name}"))
+        dims = {d: self.stored(d) for d in DIMENSIONS}
+        for name, df in delta_marts.marts_of(state, dims, self.settings).items():
+            writers.overwrite(df, self.path(name))
+        writers.overwrite(marts.voucher_recommendations(self.stored("mart_customer_segments")), self.path("mart_voucher_recommendations"))
+        for name in [*DIMENSIONS, *MARTS, "fct_order_item", "order_rollup", *(f"state_{s}" for s in delta_marts.STATES)]:
+            versions.vacuum(self.spark, self.path(name), self.keep_versions)
 
     def newest_order_load(self, raw: Mapping[str, DataFrame]) -> datetime:
         return raw["orders"].agg(F.max("loaded_at")).first()[0] or writers.EPOCH
@@ -175,8 +182,7 @@ class Warehouse:
 
     def rollup_report(self) -> DataFrame:
         """Whether the roll-up has one row per order and the sums of the fact, per order month."""
-        rollup = self.spark.read.parquet(self.path("order_rollup"))
-        fact = self.spark.read.parquet(self.path("fct_order_item"))
+        rollup, fact = (versions.table(self.spark, self.path(t)) for t in ("order_rollup", "fct_order_item"))
         here = fact.groupBy(MONTH).agg(F.count(F.lit(1)).alias("items"), F.sum("total_payment").alias("paid"), F.sum("profit").alias("gain"))
         there = rollup.groupBy(MONTH).agg(
             F.sum("item_count").alias("items"), F.sum("total_payment").alias("paid"), F.sum("profit").alias("gain"))

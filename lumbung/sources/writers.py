@@ -1,6 +1,7 @@
-"""Write modes on Parquet tables: append, insert if absent, keyed merge, control table, CSV.
+"""Write modes on Parquet tables: append, replace, insert if absent, keyed merge, control table, CSV.
 
-Every result that would read the table it replaces is first written to the shared folder.
+Replaced, merged and insert-if-absent tables are versions (``sources.versions``): the new rows are complete before
+readers see them, so a result may read the table it replaces, and a run that stops leaves the old table.
 """
 
 from __future__ import annotations
@@ -8,25 +9,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
-from lumbung.session import WorkFolder, remove
+from lumbung.session import WorkFolder
+from lumbung.sources import versions
 
 EPOCH = datetime(1970, 1, 1)
 
 
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None when there is none yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    """The newest version of the table at ``path``, or its plain Parquet files, or None when there is none yet."""
+    found = versions.table(spark, path)
+    return versions.plain_or_none(spark, path) if found is None else found
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -42,12 +39,14 @@ def append(df: DataFrame, path: str) -> None:
     nan_to_null(df).write.mode("append").parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
-    """Replace a table. Partitioned output is rebalanced first: AQE then splits large
+def overwrite(df: DataFrame, path: str, partition: Sequence[str] = (), **more) -> versions.Version:
+    """Replace a table by a new version. Partitioned output is rebalanced first: AQE then splits large
     partitions and joins small ones, so that file sizes follow the data."""
-    if partition:
-        df = df.hint("rebalance", *[F.col(c) for c in partition])
-    df.write.mode("overwrite").partitionBy(*partition).parquet(path)
+    return versions.replace(_rebalanced(df, partition), path, partition, **more)
+
+
+def _rebalanced(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(c) for c in partition]) if partition else df
 
 
 def absent_rows(new: DataFrame, existing: DataFrame, key: str, settings: SkewSettings = DEFAULT) -> DataFrame:
@@ -60,9 +59,11 @@ def absent_rows(new: DataFrame, existing: DataFrame, key: str, settings: SkewSet
 def insert_absent(spark: SparkSession, new: DataFrame, path: str, key: str) -> None:
     """Append rows with new keys; existing rows stay as they are."""
     existing = table_or_none(spark, path)
-    if existing is None:
-        existing = new.limit(0)
-    append(absent_rows(new, existing, key), path)
+    fresh = nan_to_null(absent_rows(new, new.limit(0) if existing is None else existing, key))
+    if existing is not None and not versions.exists(spark, path):  # plain files so far
+        versions.replace(existing.unionByName(fresh), path)
+    else:
+        versions.append(fresh, path)
 
 
 def merged_rows(
@@ -85,35 +86,35 @@ def latest_rows(df: DataFrame, key: str, by: str = "loaded_at") -> DataFrame:
 
 def merge_into(
     spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], partition: str,
-    settings: SkewSettings = DEFAULT, index: DataFrame | None = None,
+    settings: SkewSettings = DEFAULT, index: DataFrame | None = None, stored: bool = False, **more,
 ) -> None:
     """Keyed merge into a table partitioned by ``partition``: target rows with a key of the delta give way to its rows.
 
-    Only partitions that hold a changed key, now or before, are rewritten. Their new content
-    is complete in the shared folder before the table is touched, so a run that stops half
-    way can be repeated. The list of partitions is the only thing that reaches the driver. ``index`` may name
-    a smaller frame (keys, partition) that tells in which partitions a key is now.
+    Only partitions that hold a changed key, now or before, are written anew, once, as a new version; all others stay
+    the same files. A run that stops half way leaves the old version and can be repeated. The list of
+    partitions is the only thing that reaches the driver. ``index`` may name a smaller frame (keys, partition) that
+    tells in which partitions a key is now; ``stored`` says that the delta is read from files and needs no copy.
     """
     target = table_or_none(spark, path)
     if target is None:
-        overwrite(delta, path, [partition])
+        overwrite(delta, path, [partition], **more)
         return
     with WorkFolder(spark, "merge") as work:
-        delta = work.keep(delta, "delta")
+        delta = delta if stored else work.keep(delta, "delta")
         changed = work.keep(delta.select(*keys).distinct(), "keys")
         places = (target if index is None else index).select(*keys, partition)
         held = lookup_join(places, changed, keys, "left_semi", settings, unique=True).select(partition)
         touched = [r[0] for r in held.union(delta.select(partition)).distinct().collect()]
         if not touched:
             return
-        kept = target.filter(F.col(partition).isin(touched))
-        merged = lookup_join(kept, changed, keys, "left_anti", settings, unique=True).unionByName(delta)
-        merged.write.partitionBy(partition).parquet(f"{work.path}/merged")
-        result = spark.read.schema(target.schema).parquet(f"{work.path}/merged")
-        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-        left = {r[0] for r in result.select(partition).distinct().collect()}
-        for value in set(touched) - left:
-            remove(spark, f"{path}/{partition}={value}")
+        plain = not versions.exists(spark, path)  # plain files so far: the first version holds them all
+        here = F.col(partition).isin([t for t in touched if t is not None]) | (F.col(partition).isNull() if None in touched else F.lit(False))
+        kept = target if plain else target.filter(here)
+        merged = lookup_join(kept, changed, keys, "left_anti", settings, unique=True).unionByName(delta).select(*target.columns)
+        if plain:
+            overwrite(merged, path, [partition], **more)
+        else:
+            versions.replace_partitions(_rebalanced(merged, [partition]), path, partition, touched, **more)
 
 
 def stamp(spark: SparkSession, path: str, marks: Mapping[str, datetime]) -> None:
