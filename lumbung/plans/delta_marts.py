@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.operators.skew import DEFAULT, SkewSettings
@@ -28,6 +28,8 @@ from lumbung.sources import versions
 
 from . import marts
 
+#: Fractional measures are kept as decimals with six digits, so that differences cancel exactly; all others are whole numbers.
+FRACTIONAL = {"minutes_sum": "decimal(38,6)"}
 BUCKET = "bucket"
 SOURCE_VERSION = "source_version"
 
@@ -80,16 +82,20 @@ def _values(state: State) -> list[str]:
     return [c for m in state.measures for c in (m, f"{m}_known")] + ["row_count"]
 
 
+def _summed(state: State) -> list[Column]:
+    return [F.sum(c).cast(FRACTIONAL.get(c, "bigint")).alias(c) for c in _values(state)]
+
+
 def signed(state: State, went: DataFrame, came: DataFrame) -> DataFrame:
     """Differences by key; keys without any are left out."""
     def part(df: DataFrame, sign: int) -> DataFrame:
-        counted = [F.expr(f"{sign}L * coalesce(cast({m} as bigint), 0L)").alias(m) for m in state.measures]
+        counted = [F.expr(f"cast({sign} * coalesce(cast({m} as {FRACTIONAL.get(m, 'bigint')}), 0) as {FRACTIONAL.get(m, 'bigint')})").alias(m) for m in state.measures]
         known = [F.expr(f"{sign}L * int({m} is not null)").alias(f"{m}_known") for m in state.measures]
         return state.rows(df).select(*state.keys, *counted, *known, F.lit(sign).cast("long").alias("row_count"))
 
     both = part(went, -1).unionByName(part(came, 1))
     changed = " or ".join(f"{c} <> 0" for c in _values(state))
-    return both.groupBy(*state.keys).agg(*[F.sum(c).alias(c) for c in _values(state)]).filter(changed)
+    return both.groupBy(*state.keys).agg(*_summed(state)).filter(changed)
 
 
 def update(spark: SparkSession, state: State, path: str, source: str, rebuild: bool = False, buckets: int = 16) -> None:
@@ -112,7 +118,7 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
 
         def merged(now: DataFrame | None) -> DataFrame:
             rows = delta if now is None else now.unionByName(delta)
-            return rows.groupBy(*columns).agg(*[F.sum(c).alias(c) for c in _values(state)]).filter("row_count <> 0")
+            return rows.groupBy(*columns).agg(*_summed(state)).filter("row_count <> 0")
 
         if not state.bucket:
             versions.replace(merged(versions.table(spark, path) if old else None).coalesce(1), path, notes=notes)
@@ -129,7 +135,7 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
 def sums(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A stored state as plain sums by key; those without any value are NULL."""
     state = STATES[name]
-    values = [F.expr(f"if({m}_known > 0, {m}, null)").alias(m) for m in state.measures]
+    values = [F.expr(f"if({m}_known > 0, cast({m} as {'double' if m in FRACTIONAL else 'bigint'}), null)").alias(m) for m in state.measures]
     return versions.table(spark, path).select(*state.keys, *values)
 
 

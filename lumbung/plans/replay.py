@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,16 +11,21 @@ from pyspark.sql import functions as F
 from lumbung.schemas import RAW_SCHEMAS
 from lumbung.session import shared_folder
 from lumbung.sources import writers
+from lumbung.sources.readers import raw_tables
 from lumbung.sources.tpch_adapter import RetailTables
 from lumbung.streaming.order_items import start_merging
 
+from .suite import DECLARED
 from .warehouse import MONTH, Warehouse
 
+#: What the singular checks expect of the given tables.
+CITIES, LEAST_ITEMS = 25, 1_000
+
 _BUILT: dict[tuple[str, str, str], Warehouse] = {}
 
 
 def replayed(spark: SparkSession, sf_dir: str, how: str, calendar: tuple[date, date], as_of: str, cut: datetime) -> Warehouse:
-    """The stored warehouse after both loads, built once per session and folder.
+    """The stored warehouse after both loads, every run with its checks, built once per session and folder.
 
     ``how``: "full" builds everything in one run; "merge" runs up to the cut, then incrementally with late orders,
     changed headers and renumbered customers; "stream" has the items after the cut arrive as files.
@@ -27,26 +33,36 @@ def replayed(spark: SparkSession, sf_dir: str, how: str, calendar: tuple[date, d
     made = (spark.sparkContext.applicationId, sf_dir, how)
     if made in _BUILT:
         return _BUILT[made]
-    w = Warehouse(spark, shared_folder(spark, f"warehouse-{how}"), calendar, as_of)
+    w = Warehouse(spark, shared_folder(spark, f"warehouse-{how}"), calendar, as_of, city_rows=CITIES, minimum_items=LEAST_ITEMS)
     tables = RetailTables(spark, sf_dir)
-    raw = {t: tables[t] for t in RAW_SCHEMAS}
+    for t in RAW_SCHEMAS:
+        tables[t].write.parquet(f"{w.base}/raw/{t}")
+    raw = stored_raw(w)
     if how == "full":
-        w.run_full(raw, check=False)
+        w.run_full(raw)
     else:
         early = {t: df.filter(F.col("loaded_at") <= F.lit(cut)) for t, df in raw.items()}
-        w.run_full(early, check=False)
+        # The first load has items whose orders come with the second one: only their link to orders has to wait for it.
+        judged = [c.model for c in DECLARED if c.model != "raw.order_items"]
+        replace(w, check_models=judged).run_full(early)
         if how == "merge":
-            w.run_incremental(raw, check=False, refresh_customers=True, refresh_headers=True)
+            w.run_incremental(raw, refresh_customers=True, refresh_headers=True)
         else:
             landing = f"{w.base}/landing"
             raw["order_items"].filter(F.col("loaded_at") > F.lit(cut)).write.parquet(landing)
             items = spark.readStream.schema(RAW_SCHEMAS["order_items"]).parquet(landing)
-            start_merging(w, items, lambda: raw, f"{w.base}/checkpoint", True, check=False, refresh_headers=True).awaitTermination()
+            start_merging(w, items, lambda: raw, f"{w.base}/checkpoint", True, refresh_headers=True).awaitTermination()
     w.stamp_tables(raw)
+    for old in [k for k in _BUILT if k[0] != made[0]]:  # of sessions that have ended
+        del _BUILT[old]
     _BUILT[made] = w
     return w
 
 
+def stored_raw(w: Warehouse) -> dict[str, DataFrame]:
+    return raw_tables(w.spark, f"{w.base}/raw")
+
+
 def stored_rollup(w: Warehouse) -> DataFrame:
     return w.stored("order_rollup").drop(MONTH)
 

@@ -250,15 +250,16 @@ class RetailTables:
             "subtotal * (45 + l_suppkey % 30) div 100 as estimated_cost",
         )
         total, profit = "subtotal - discount_amount - voucher_amount", "total_payment - estimated_cost - shipping_subsidy"
-        item_quantity = "quantity"
+        item_quantity, number = "quantity", "item_number"
         if self.faulty:
+            number = "case when l_orderkey % 1019 < 2 then 1 else item_number end"
             total = f"{total} + case when l_orderkey % 997 = 0 then 1 when l_orderkey % 1009 = 0 then -200000 else 0 end"
             profit = f"{profit} - case when l_orderkey % 991 = 0 then 5 else 0 end"
             item_quantity = "case when l_orderkey % 1013 = 0 then 0 else quantity end"
         return amounts.selectExpr("*", f"{total} as total_payment").selectExpr(
             # Room for ten million items in one order.
             "l_orderkey * 10000000 + item_number as order_item_id", "l_orderkey as order_id",
-            "l_partkey as product_id", "item_number", f"{item_quantity} as quantity",
+            "l_partkey as product_id", f"{number} as item_number", f"{item_quantity} as quantity",
             "subtotal div quantity as unit_price", "subtotal", "discount_amount", "shipping_subsidy",
             "voucher_amount", "total_payment", "estimated_cost", f"{profit} as profit",
             "l_returnflag = 'R' and l_linenumber % 3 = 0 as is_returned",

@@ -225,8 +225,6 @@ _PLAIN |= {
         select order_id as missing_key, count(*) as row_count from stg_order_items
         where order_id not in (select order_id from stg_payments) group by 1""",
     "dq_row_count": "select count(*) as row_count from dim_city having count(*) <> 34",
-    "dq_fact_grain": """
-        select order_id, item_number, count(*) as row_count from fct_order_item group by 1, 2 having count(*) > 1""",
     "dq_minimum_rows": "select count(*) as row_count from fct_order_item having count(*) < 10000000",
     "dq_one_current_version": """
         select customer_nk, count(*) as current_row_count from int_customer_scd2
@@ -324,6 +322,8 @@ _FAULTY |= {
     "dq_table_expression": """
         select order_item_id, total_payment, profit from fct_order_item
         where not (total_payment >= 0 and profit <= total_payment)""",
+    "dq_fact_grain": """
+        select order_id, item_number, count(*) as row_count from fct_order_item group by 1, 2 having count(*) > 1""",
     "dq_amount_formula": """
         select order_item_id, subtotal, discount_amount, voucher_amount, total_payment from fct_order_item
         where abs(total_payment - (subtotal - discount_amount - voucher_amount)) > 0.01""",
@@ -344,8 +344,8 @@ _FAULTY |= {
 }
 
 
-def _suite() -> str:
-    """One row per declared check on the chosen models."""
+def _suite(cities: int, items: int) -> str:
+    """One row per declared and singular check."""
     def report(check: str, model: str, column: str, bad: str) -> str:
         return f"""select '{check}' as "check", '{model}' as model, '{column}' as "column", ({bad}) as n_bad"""
 
@@ -362,17 +362,25 @@ def _suite() -> str:
         "stg.customer_profile_events": "customer_profile_event_id", "int_customer_scd2": "customer_key",
         "dim_customer": "customer_key", "dim_product": "product_key product_nk",
         "dim_category": "category_key category_nk", "dim_city": "city_key city_nk",
+        "int_order_item_enriched": "order_item_id", "dim_payment_method": "payment_method_key payment_method_name",
+        "dim_shipping": "shipping_key shipping_service_nk", "dim_order_status": "order_status_key order_status",
+        "dim_voucher": "voucher_key voucher_code", "dim_date": "date_key", "dim_time": "time_key",
+        "dim_order_flags": "order_flags_key", "fct_order_item": "order_item_key order_item_id",
     }
     filled = {
         "raw.products": "category_id", "raw.customer_profile_events": "customer_id city_id",
         "raw.order_items": "order_id", "stg.order_items": "quantity total_payment", "stg.orders": "order_ts",
         "stg.customer_profile_events": "effective_at", "int_customer_scd2": "customer_nk valid_from valid_to",
         "dim_customer": "customer_nk city_key valid_from valid_to is_current", "dim_product": "category_key",
+        "int_order_item_enriched": "total_payment",
+        "fct_order_item": """customer_key product_key category_key payment_method_key shipping_key voucher_key order_date_key
+            order_time_key quantity unit_price subtotal total_payment estimated_cost""",
     }
     links = [
         ("raw.products", "category_id", "stg_categories"), ("raw.customer_profile_events", "city_id", "stg_cities"),
         ("raw.order_items", "order_id", "stg_orders"), ("dim_customer", "city_key", "dim_city"),
         ("dim_product", "category_key", "dim_category"),
+        *(("fct_order_item", f"{d}_key", f"dim_{d}") for d in ("customer", "product", "category", "payment_method", "shipping", "voucher")),
     ]
     rows = []
     for model, columns in plain.items():
@@ -386,6 +394,31 @@ def _suite() -> str:
     for model, c, parent in links:
         rows.append(report("relationships", model, c, f"""select count(distinct {c}) from {table(model)}
             where {c} is not null and {c} not in (select {c} from {parent})"""))
+    for c, parent, k in (("order_date_key", "dim_date", "date_key"), ("order_time_key", "dim_time", "time_key")):
+        rows.append(report("relationships", "fct_order_item", c, f"""select count(distinct {c}) from fct_order_item
+            where {c} is not null and {c} not in (select {k} from {parent})"""))
+    rows.append(report("accepted_values", "dim_payment_method", "payment_method_name", """select count(*) from dim_payment_method
+        where payment_method_name not in ('E-wallet', 'QRIS', 'COD', 'Paylater')"""))
+    rows.append(report("is_true", "int_order_item_enriched", "total_payment",
+                       "select count(*) from int_order_item_enriched where not (total_payment >= 0)"))
+    for c, least in (("quantity", "> 0"), ("subtotal", ">= 0"), ("total_payment", ">= 0"), ("estimated_cost", ">= 0")):
+        rows.append(report("is_true", "fct_order_item", c, f"select count(*) from fct_order_item where not ({c} {least})"))
+    singular = {
+        ("city_rows", "dim_city"): f"select 1 from dim_city having count(*) <> {cities}",
+        ("grain", "fct_order_item"): "select 1 from fct_order_item group by order_id, item_number having count(*) > 1",
+        ("minimum_rows", "fct_order_item"): f"select 1 from fct_order_item having count(*) < {items}",
+        ("one_current_version", "dim_customer"):
+            "select 1 from dim_customer where is_current group by customer_nk having count(*) <> 1",
+        ("amount_formula", "fct_order_item"): """select 1 from fct_order_item
+            where abs(total_payment - (subtotal - discount_amount - voucher_amount)) > 0.01""",
+        ("profit_formula", "fct_order_item"): """select 1 from fct_order_item
+            where abs(profit - (total_payment - estimated_cost - shipping_subsidy)) > 0.01""",
+        ("versions_overlap", "dim_customer"): """select distinct b.customer_key
+            from dim_customer a join dim_customer b on a.customer_nk = b.customer_nk and a.customer_key <> b.customer_key
+                and a.valid_from < b.valid_to and b.valid_from < a.valid_to and a.valid_from <= b.valid_from""",
+    }
+    for (check, model), bad in singular.items():
+        rows.append(report(check, model, "", f"select count(*) from ({bad}) t"))
     rows.append(report("accepted_values", "raw.customer_profile_events", "operation",
                        "select count(*) from stg_customer_profile_events where operation not in ('insert', 'update')"))
     rows.append(report("accepted_values", "raw.orders", "order_status", """select count(*) from stg_orders where
@@ -397,7 +430,18 @@ def _suite() -> str:
     return " union all ".join(rows)
 
 
-_FAULTY["dq_suite"] = _suite()
+_FAULTY["dq_suite"] = _suite(34, 10_000_000)
+_PLAIN["pipe_checks"] = _suite(25, 1_000)
+for _mart in ("city_performance", "customer_segments", "hourly_orders", "monthly_revenue", "payment_method_performance",
+              "product_performance", "shipping_performance", "voucher_recommendations"):
+    _PLAIN[f"pipe_delta_{_mart}"] = f"select * from mart_{_mart}"
+_PLAIN["snk_versioned_merge"] = """
+    select year(loaded_at) as year, count(*) as items, sum(total_payment)::bigint as paid, 1 as place
+    from stg_order_items where loaded_at <= timestamp '1999-01-01' group by 1
+    union all select year(loaded_at), count(*), sum(total_payment)::bigint, 2 from stg_order_items group by 1"""
+_PLAIN["snk_version_changes"] = """
+    select year(loaded_at) as year, count(*) as new_items from stg_order_items
+    where loaded_at > timestamp '1999-01-01' group by 1"""
 
 ORACLE: dict[str, str] = {
     **{name: with_relations(sql) for name, sql in _PLAIN.items()},
