@@ -12,11 +12,14 @@ batch brought are dropped in favour of that batch's row. Other columns are not l
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm.common import Scratch, checked, hot_join, result, table
 from lumbung.session import shared_folder
+from lumbung.sources.versions import plain_or_none
 
 
 def digest(text: Column) -> Column:
@@ -26,17 +29,31 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """Table (digest, keep_id, batch) in ``path``, opened again by any later session.
 
-    ``buckets`` is fixed when the index is made: about index bytes / 256 MB, e.g. 4096 for 10 billion texts.
+    ``buckets`` is fixed when the index is made: about index bytes / 256 MB, e.g. 4096 for 10 billion texts. The number is
+    kept in ``path`` beside the data, and whoever opens the index later works with that one, whatever they ask for.
+    The table's name comes from the whole path, so that indexes in folders of one name stay apart.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 32):
-        self.spark, self.buckets = spark, buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+        self.spark, self.buckets = spark, self._kept(spark, whole, buckets)
+        self.name = f"digest_index_{hashlib.sha256(whole.encode()).hexdigest()[:32]}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{whole}'"
         )
 
+    @staticmethod
+    def _kept(spark: SparkSession, path: str, buckets: int) -> int:
+        """The index's number of buckets; the one asked for becomes it when the index is new."""
+        note = f"{path}/_buckets"  # a name that readers of the data pass over
+        found = plain_or_none(spark, note)
+        if found is None:
+            spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.parquet(note)
+            return buckets
+        return found.first()["buckets"]
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 

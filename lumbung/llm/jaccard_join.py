@@ -7,8 +7,9 @@ den * |intersection| >= num * |union|. The join loses no link:
 1. Documents with equal sets form a class (digest of the set); one document stands for a class.
 2. Every set is ordered by (how common, hash) and its first n - ceil(num n / den) + 1 shingles are its
    prefix. Linked sets share a prefix shingle whatever the total order, so a *block* per prefix shingle
-   holds all links. "How common" is a table of CELLS counts over all documents: shingles of widely
-   shared passages come last, so blocks stay small.
+   holds all links. "How common" comes from two tables of counts over all documents, CELLS for shingles and
+   WORD_CELLS for words: shingles of widely shared passages come last, and before them those without any rare word,
+   which unrelated texts share by chance. So prefixes are made of shingles that few texts have, and blocks stay small.
 3. Every class is compared with the smallest of the first classes of its blocks. Verified links are contracted, so a
    large group of near copies mostly becomes one component with work linear in its size.
 4. Blocks that still hold several components are joined by signature trees: a node holds the OR of its
@@ -38,6 +39,8 @@ from pyspark.sql import functions as F
 from lumbung.llm.common import Scratch, checked, connected, hot_join, result, same_text, slices, table
 
 CELLS = 1 << 16
+WORD_CELLS = 1 << 17
+SHARED = 4  # times the mean count that makes a cell one of widely shared shingles
 LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
@@ -61,17 +64,41 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: bytes | None, words: int, memo: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
+def word_hashes(text: bytes | None, memo: dict) -> np.ndarray:
     tokens = (text or b"").lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
+    return np.fromiter(map(memo.__getitem__, tokens), np.uint64, len(tokens))
+
+
+def _all_shingles(h: np.ndarray, words: int) -> np.ndarray:
+    """Hashes of the shingles at each place, from word hashes."""
+    if not len(h):
+        return h
     size = min(words, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for i in range(size):
         out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + h[i: len(h) - size + 1 + i])
-    return np.unique(out)
+    return out
+
+
+def shingles(text: bytes | None, words: int, memo: dict) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text."""
+    return np.unique(_all_shingles(word_hashes(text, memo), words))
+
+
+def _cells(h: np.ndarray, cells: int) -> np.ndarray:
+    return (h & np.uint64(cells - 1)).astype(np.int64)
+
+
+def _ranked(h: np.ndarray, words: int, common: np.ndarray, word_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles from word hashes, sorted, and how common each is: a number that depends on the shingle alone."""
+    places = _all_shingles(h, words)
+    found, first = np.unique(places, return_index=True)
+    size = min(words, len(h))
+    counts = word_counts[_cells(h, WORD_CELLS)]
+    rarest = np.minimum.reduce([counts[first + i] for i in range(size)]) if size else np.empty(0, np.int64)
+    often = common[_cells(found, CELLS)]
+    shared = often > SHARED * max(common.mean(), 1)
+    return found, np.where(shared, (1 << 62) + often, rarest)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
@@ -86,7 +113,10 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _of_class(batch: pa.RecordBatch, words: int, memo: dict) -> tuple[pa.RecordBatch, list[np.ndarray]]:
     """The rows whose set is that of their class, and these sets."""
-    sets = [shingles(t, words, memo) for t in _texts(batch)]
+    return _matching(batch, [shingles(t, words, memo) for t in _texts(batch)])
+
+
+def _matching(batch: pa.RecordBatch, sets: list[np.ndarray]) -> tuple[pa.RecordBatch, list[np.ndarray]]:
     right = [_digest(s) == d for s, d in zip(sets, batch.column("digest").to_pylist(), strict=True)]
     return batch.filter(pa.array(right, pa.bool_())), [s for s, ok in zip(sets, right, strict=True) if ok]
 
@@ -97,12 +127,14 @@ def _digest(shingle_set: np.ndarray) -> bytes | None:
 
 def _digests(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row (doc_id, n, digest) per document; at the end rows (cell, times) of the common-shingle table."""
-        memo, cells = _WordHash(), np.zeros(CELLS, np.int64)
+        """A row (doc_id, n, digest) per document; at the end rows (cell, times) of both tables of counts, that of words last."""
+        memo, cells = _WordHash(), np.zeros(CELLS + WORD_CELLS, np.int64)
         for b in slices(batches):
-            sets = [shingles(t, words, memo) for t in _texts(b)]
+            hashes = [word_hashes(t, memo) for t in _texts(b)]
+            sets = [np.unique(_all_shingles(h, words)) for h in hashes]
             if sets:
-                cells += np.bincount((np.concatenate(sets) & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
+                cells[:CELLS] += np.bincount(_cells(np.concatenate(sets), CELLS), minlength=CELLS)
+                cells[CELLS:] += np.bincount(_cells(np.concatenate(hashes), WORD_CELLS), minlength=WORD_CELLS)
             none = pa.nulls(len(sets), pa.int64())
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
@@ -117,16 +149,18 @@ def _digests(words: int):
     return run
 
 
-def _prefixes(words: int, num: int, den: int, common: np.ndarray):
+def _prefixes(words: int, num: int, den: int, common: np.ndarray, word_counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Size, prefix and bitmap of each class, from the text of the document that stands for it."""
         memo = _WordHash()
         for b in slices(batches):
             sizes, prefixes, wide, maps = [], [], [], []
-            b, sets = _of_class(b, words, memo)
+            ranked = [_ranked(word_hashes(t, memo), words, common, word_counts) for t in _texts(b)]
+            rank = {id(s): often for s, often in ranked}
+            b, sets = _matching(b, [s for s, _ in ranked])
             for s in sets:
                 length = len(s) + (num * len(s)) // -den + 1  # n - ceil(num n / den) + 1
-                often = common[(s & np.uint64(CELLS - 1)).astype(np.int64)]
+                often = rank[id(s)]
                 sizes.append(len(s))
                 prefixes.append(s[np.lexsort((s, often))[:length]])
                 # The wide bitmap has at least two bits per shingle; folded it gives the lanes.
@@ -339,10 +373,11 @@ class _Join:
         first = keep(hashed.mapInArrow(
             _digests(words), "doc_id long, text_hash long, n long, digest binary, cell long, times long"), "digests")
         rows = first.filter("cell is null").select("doc_id", "text_hash", "n", "digest")
-        # At most CELLS rows, whatever the input.
-        common = np.zeros(CELLS, np.int64)
-        for r in first.filter("cell is not null").groupBy("cell").agg(F.sum("times").alias("times")).collect():
-            common[r["cell"]] = r["times"]
+        # At most CELLS + WORD_CELLS rows, whatever the input.
+        cells = first.filter("cell is not null").groupBy("cell").agg(F.sum("times").alias("times")).toArrow()
+        counts = np.zeros(CELLS + WORD_CELLS, np.int64)
+        counts[cells.column("cell").to_numpy()] = cells.column("times").to_numpy()
+        common, word_counts = counts[:CELLS], counts[CELLS:]
 
         self.classes = keep(
             rows.filter("digest is not null").groupBy("digest").agg(
@@ -351,7 +386,7 @@ class _Join:
         )
         self.cells = common
         signed = keep(self._texts(self.classes).mapInArrow(
-            _prefixes(words, num, den, common), f"cid long, n long, prefix array<long>, wide binary, {_LANE_TYPES}"), "signed")
+            _prefixes(words, num, den, common, word_counts), f"cid long, n long, prefix array<long>, wide binary, {_LANE_TYPES}"), "signed")
         self.signed = signed
         members = self._members(signed)
 

@@ -47,11 +47,14 @@ Encoded = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 class Pieces:
-    """Ids of parts under one vocabulary, and numbers that ``extra`` has for each part."""
+    """Ids of parts under one vocabulary, and numbers that ``extra`` has for each part.
+
+    Texts with a string of ``apart``, to which the vocabulary gives an id of its own, are encoded whole.
+    """
 
     def __init__(self, encode: Callable[[list], Encoded], extra: Callable[[list], np.ndarray] | None = None, width: int = 0,
-                 cap: int = 600_000):
-        self.encode, self.extra, self.width, self.cap = encode, extra, width, cap
+                 cap: int = 600_000, apart: Sequence[str] = ()):
+        self.encode, self.extra, self.width, self.cap, self.apart = encode, extra, width, cap, tuple(apart)
         self._clear()
 
     def _clear(self) -> None:
@@ -108,7 +111,7 @@ def text_slots(text: str, pieces: Pieces) -> np.ndarray:
     if not text:
         return np.empty(0, np.int64)
     # Single spaces and line breaks between words without any white space inside.
-    if BARE in text or WHOLE in text or text.split() != text.replace("\n", " ").split(" "):
+    if BARE in text or WHOLE in text or any(x in text for x in pieces.apart) or text.split() != text.replace("\n", " ").split(" "):
         return np.array([pieces.slots.uncached(WHOLE + text)])
     return pieces.of((BARE + text.replace("\n", f" \n {BARE}")).split(" "))
 
@@ -154,8 +157,8 @@ def byte_bpe(path: str | None = None) -> Pieces:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path or public_tokenizers.path(BYTE_BPE))
-    t.encode_special_tokens = True
-    return Pieces(byte_level(lambda texts: (e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False))))
+    encode = byte_level(lambda texts: (e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)))
+    return Pieces(encode, apart=[x.content for x in t.get_added_tokens_decoder().values()])
 
 
 def byte_bpe_ranks(path: str | None = None, **more) -> Pieces:

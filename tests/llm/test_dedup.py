@@ -139,3 +139,33 @@ def test_connected_and_hot_join(spark, monkeypatch, few):
         monkeypatch.setattr(common, "FEW_ROWS", few)
         assert hot_join(left, right, "k", "count", 3000).count() == left.filter("k <> 2").count()
         assert hot_join(left, right, "k", "count", 3000, "left").count() == 3000
+
+
+def test_indexes_stay_apart_and_keep_their_buckets(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(50)], "doc_id long, text string")
+    for lang in ("en", "de"):
+        with Scratch(spark, "t") as s:
+            rows_ = deduplicate(docs, DigestIndex(spark, str(tmp_path / lang / "digests"), 4), "first", s).collect()
+        assert len(rows_) == 50 and all(r.kept for r in rows_)
+    index = DigestIndex(spark, str(tmp_path / "en" / "digests"))
+    assert index.buckets == 4
+    spark.sql(f"DROP TABLE {index.name}")  # as another session would find it
+    index = DigestIndex(spark, str(tmp_path / "en" / "digests"), 7)
+    with Scratch(spark, "t") as s:
+        again = deduplicate(docs, index, "second", s).collect()
+    assert index.buckets == 4 and not any(r.kept for r in again) and index.read().count() == 50
+
+
+def test_long_unrelated_texts_make_no_blocks(spark):
+    """Texts of 3,000 words over few words share many shingles by chance, but hardly one with a rare word."""
+    import random
+
+    r = random.Random(2)
+    common = [f"c{i}" for i in range(12)]
+    texts = [" ".join(f"rare{d}_{r.randrange(10**6)}" if r.random() < 0.15 else r.choice(common) for _ in range(3000)) for d in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with Scratch(spark, "t") as s:
+        rows_ = jaccard_components(docs, s).collect()
+        members = spark.read.parquet(f"{s.folder}/members").count()
+    assert all(x.component_id == x.doc_id for x in rows_)
+    assert members < 60 * 20
