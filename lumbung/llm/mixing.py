@@ -8,8 +8,8 @@ source whose name sorts first. All shares together fill the period, so every blo
 due time, and no source is ever a whole block ahead of or behind its share.
 
 Shares repeat from period to period, so one period is scheduled and the slot of any block follows from it; no order of
-all blocks is ever built in one place. The period has 1,000 slots; with more sources, the next multiple with ``ROOM`` slots a
-source. Up to 1,000 sources are scheduled by a fold over the slots. More are scheduled by their shares: sources of one
+all blocks is ever built in one place. The period is the least multiple of 1,000 slots with ``ROOM`` slots a source, whatever
+their number, so a share differs from its weight by 1 / ROOM of the whole at most (and rounding to a slot). Up to 1,000 sources are scheduled by a fold over the slots. More are scheduled by their shares: sources of one
 share have the same windows, so of blocks due at the same time those of the smallest share come first, then the
 source whose name sorts first, and the driver sees one number per share. All rows are kept: when a source runs
 out, its later slots stay empty and the others go on as before. Rows with a NULL source form a source of their
@@ -29,8 +29,12 @@ from lumbung.llm.common import Scratch, checked, hot_join, result, same_text, ta
 
 #: Sources that are scheduled by a fold over the period, and its slots.
 FOLDED = 1_000
-#: Slots per source of a longer period, on average.
-ROOM = 4
+#: Slots per source of a period, on average: each has one for certain, the others follow the weights.
+ROOM = 20
+
+
+def period_of(sources: int) -> int:
+    return 1000 * max(1, -(-ROOM * sources // 1000))
 
 
 def shares(sizes: DataFrame, period: int, weights: Mapping[str, int] | None) -> DataFrame:
@@ -133,7 +137,7 @@ def schedule(docs: DataFrame, scratch: Scratch, period: int | None = None, block
     sizes = scratch.keep(rows.groupBy("name").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "sizes")
     sources, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     if period is None:
-        period = 1000 if sources <= FOLDED else 1000 * -(-ROOM * sources // 1000)
+        period = period_of(sources)
     if sources > period:
         raise ValueError(f"{sources} sources do not fit a period of {period} slots, as each has one at least")
 
@@ -187,24 +191,25 @@ with recursive rows_ as (
          md5(coalesce(doc_id::varchar, '')) as mark, md5(coalesce(text, '')) as tie
   from documents
 ), sizes as (select name, floor(sqrt(sum(bytes)::double))::bigint + 1 as raw from rows_ group by name),
-quota as (select name, raw, sum(raw) over ()::bigint as total, count(*) over () as sources from sizes),
-floors as (select *, ((1000 - sources) * raw) // total as fl, ((1000 - sources) * raw) % total as rest from quota),
+period as (select greatest(1000, 1000 * ((20 * count(*) + 999) // 1000)) as p from sizes),
+quota as (select name, raw, sum(raw) over ()::bigint as total, count(*) over () as sources, (select p from period) as p from sizes),
+floors as (select *, ((p - sources) * raw) // total as fl, ((p - sources) * raw) % total as rest from quota),
 share_ as (
-  select name, (fl + 1 + case when row_number() over (order by rest desc, name) <= 1000 - sources - sum(fl) over () then 1 else 0 end)::int as share
+  select name, p, (fl + 1 + case when row_number() over (order by rest desc, name) <= p - sources - sum(fl) over () then 1 else 0 end)::int as share
   from floors
-), steps(t, name, share, done, picked) as (
-  select 0, name, share, 0, false from share_
+), steps(t, name, p, share, done, picked) as (
+  select 0, name, p, share, 0, false from share_
   union all
-  select t + 1, name, share, done + (turn = 1)::int, turn = 1 from (
+  select t + 1, name, p, share, done + (turn = 1)::int, turn = 1 from (
     select *, row_number() over (order by
-      case when done < share and (done * 1000) // share <= t then ((done + 1) * 1000 + share - 1) // share else 1000000000 end, name) as turn
-    from steps) where t < 1000
-), plan as (select name, share, done - 1 as nth, t - 1 as first_slot from steps where picked),
+      case when done < share and (done * p) // share <= t then ((done + 1) * p + share - 1) // share else 1000000000 end, name) as turn
+    from steps where t < p)
+), plan as (select name, p, share, done - 1 as nth, t - 1 as first_slot from steps where picked),
 placed as (
   select r.*, share, sum(bytes) over (partition by r.name order by mark, doc_id, tie rows unbounded preceding)::bigint - bytes as "at"
   from rows_ r join share_ using (name)
 ), blocks as (select *, "at" // 32768 as block from placed)
-select doc_id, source, bytes, b.share, block, "at", (block // b.share) * 1000 + first_slot as slot,
-       (block * 1000) // b.share as released, ((block + 1) * 1000 + b.share - 1) // b.share as due
+select doc_id, source, bytes, b.share, block, "at", (block // b.share) * p + first_slot as slot,
+       (block * p) // b.share as released, ((block + 1) * p + b.share - 1) // b.share as due
 from blocks b join plan p on b.name = p.name and block % b.share = p.nth
 """

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 import corpus_pipeline
 from lumbung.llm.common import Scratch, table
 from lumbung.llm.fertility import judged
-from lumbung.llm.mixing import class_runs, interleaved, schedule
+from lumbung.llm.mixing import ROOM, class_runs, interleaved, period_of, schedule, shares
 from lumbung.llm.packing import boundaries, by_mark, pack
 from lumbung.llm.pieces import byte_bpe, byte_bpe_ranks, text_slots
 from lumbung.llm.token_output import END_ID, Shard, expanded, grammar, payload, read_tokens, write_tokens
@@ -229,3 +229,14 @@ def test_stages_take_awkward_and_empty_tables(spark, awkward, empty, stage):
 def test_words_pattern_matches_split():
     text = "a\x0bb\x0c c\x1cd\x85e\u00a0f"
     assert re.findall(rb"[^\x20\x09-\x0D]+", text.encode()) == text.encode().split()
+
+
+@pytest.mark.parametrize("sources", [1, 2, 300, 999, 1000, 1001, 20_000])
+def test_shares_follow_the_weights_at_any_number_of_sources(spark, sources):
+    # The first source has half of all weight.
+    names = spark.range(sources).selectExpr("concat('s:', lpad(id, 6, '0')) as name", f"if(id = 0, {max(sources - 1, 1)}, 1) as root")
+    sizes = names.selectExpr("name", "cast(root as bigint) * root * 1000000 as bytes")
+    period = period_of(sources)
+    got = {r["name"]: r["share"] for r in shares(sizes, period, None).collect()}
+    assert sum(got.values()) == period and min(got.values()) >= 1
+    assert abs(got["s:000000"] / period - (0.5 if sources > 1 else 1.0)) <= 1 / ROOM + 0.002
