@@ -13,9 +13,11 @@ den * |intersection| >= num * |union|. The join loses no link:
 3. Every class is compared with the smallest of the first classes of its blocks. Verified links are contracted, so a
    large group of near copies mostly becomes one component with work linear in its size.
 4. Blocks that still hold several components are joined by signature trees: a node holds the OR of its
-   members' token bitmaps, their size range and the component if there is only one. Two trees are
-   traversed together; a pair of nodes is pruned when the sizes are too far apart, when both lie in one
-   component, or when the largest possible overlap by the bitmaps is too small for the threshold. Blocks
+   members' token bitmaps, their size range and the component if there is only one. A bitmap has at least one bit
+   a shingle, so members of a block have a tree for each width, and a wider tree is folded to the width of the narrower
+   one it meets. Two trees are traversed together; a pair of nodes is pruned when the sizes are too far apart, when both
+   lie in one component, or when the largest possible overlap is too small for the threshold: by the bitmaps, and by the
+   places of the block's shingle in the prefixes, as the shingles before the first common one can't be common. Blocks
    of more than ``block_rows`` members are cut into chunks of that size whose roots are joined first; only
    chunk pairs that survive are dealt out to tasks.
 5. Surviving pairs are verified on the whole sets, a few of each class first; what these connect needs no further
@@ -41,10 +43,11 @@ from lumbung.llm.common import Scratch, checked, connected, hot_join, result, sa
 CELLS = 1 << 16
 WORD_CELLS = 1 << 17
 SHARED = 4  # times the mean count that makes a cell one of widely shared shingles
-LANES = 16  # 64-bit lanes of a bitmap: 1024 bits
+LANES = 16  # 64-bit lanes of the narrowest bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
-ROWS = 1 << 15  # rows of small blocks taken together
+ROWS = 1 << 15  # rows of small blocks taken together; one with a wide bitmap counts as several
+ROW_BYTES = 256
 FEW = (16,)  # pairs of a class that are verified in the first rounds, before all others
 
 
@@ -154,7 +157,7 @@ def _prefixes(words: int, num: int, den: int, common: np.ndarray, word_counts: n
         """Size, prefix and bitmap of each class, from the text of the document that stands for it."""
         memo = _WordHash()
         for b in slices(batches):
-            sizes, prefixes, wide, maps = [], [], [], []
+            sizes, prefixes, wide, bits_, maps = [], [], [], [], []
             ranked = [_ranked(word_hashes(t, memo), words, common, word_counts) for t in _texts(b)]
             rank = {id(s): often for s, often in ranked}
             b, sets = _matching(b, [s for s, _ in ranked])
@@ -163,16 +166,17 @@ def _prefixes(words: int, num: int, den: int, common: np.ndarray, word_counts: n
                 often = rank[id(s)]
                 sizes.append(len(s))
                 prefixes.append(s[np.lexsort((s, often))[:length]])
-                # The wide bitmap has at least two bits per shingle; folded it gives the lanes.
+                # The wide bitmap has at least two bits per shingle; folded it gives that of the trees and the lanes.
                 bits = np.zeros(max(64 * LANES, 1 << int(2 * len(s) - 1).bit_length()), bool)
                 bits[((s >> np.uint64(20)) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
                 wide.append(np.packbits(bits).tobytes())
+                bits_.append(_folded(wide[-1], max(8 * LANES, (1 << int(len(s) - 1).bit_length()) // 8)).tobytes())
                 maps.append(_folded(wide[-1], 8 * LANES).view(np.int64))
             lanes = np.array(maps, np.int64).reshape(-1, LANES)
             yield pa.RecordBatch.from_arrays(
-                [b.column("cid"), pa.array(sizes, pa.int64()), _lists(prefixes), pa.array(wide, pa.binary()),
+                [b.column("cid"), pa.array(sizes, pa.int64()), _lists(prefixes), pa.array(wide, pa.binary()), pa.array(bits_, pa.binary()),
                  *[pa.array(np.ascontiguousarray(lanes[:, i])) for i in range(LANES)]],
-                ["cid", "n", "prefix", "wide", *_LANES],
+                ["cid", "n", "prefix", "wide", "bits", *_LANES],
             )
     return run
 
@@ -191,20 +195,27 @@ _LEAST = [f"m{i}" for i in range(4)]
 _LANE_TYPES = ", ".join(f"{c} long" for c in _LANES)
 
 
+def _leaves(n: np.ndarray, comp: np.ndarray, bitmap: np.ndarray, room: np.ndarray) -> tuple:
+    return bitmap, n, n, np.bitwise_count(bitmap).sum(1).astype(np.int64), comp, comp, room
+
+
 class SignatureTree:
-    """Tree over members sorted by size; level 0 is the root, the last level the members themselves."""
+    """Tree over members sorted by size; level 0 is the root, the last level the members themselves.
+
+    ``room`` is the most shingles a member can share with another one: its size, or less.
+    """
 
-    def __init__(self, rows, n, comp, bitmap):
+    def __init__(self, rows, n, comp, bitmap, room=None):
         order = np.lexsort((comp, n))
         self.rows = rows[order]
-        n, comp, bitmap = n[order], comp[order], bitmap[order]
-        level = (bitmap, n, n, np.bitwise_count(bitmap).sum(1).astype(np.int64), comp, comp)
+        level = _leaves(n[order], comp[order], bitmap[order], (n if room is None else room)[order])
         self.levels = [level]
         while len(level[1]) > 1:
             at = np.arange(0, len(level[1]), FAN)
-            ors, least, most, pop, low, high = level
+            ors, least, most, pop, low, high, room = level
             level = (np.bitwise_or.reduceat(ors, at, 0), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at),
-                     np.minimum.reduceat(pop, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at))
+                     np.minimum.reduceat(pop, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at),
+                     np.maximum.reduceat(room, at))
             self.levels.insert(0, level)
 
 
@@ -213,6 +224,7 @@ def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, num: int, den: i
     both = np.bitwise_count(a[0][i] & b[0][j]).sum(1).astype(np.int64)
     # A member has at least as many shingles outside the other node as it has bits outside its OR.
     most = np.minimum(a[2][i] - np.maximum(a[3][i] - both, 0), b[2][j] - np.maximum(b[3][j] - both, 0))
+    most = np.minimum(most, np.minimum(a[6][i], b[6][j]))
     fits = (num + den) * most >= num * (a[1][i] + b[1][j])
     fits &= (den * a[2][i] >= num * b[1][j]) & (den * b[2][j] >= num * a[1][i])
     one = (a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j])
@@ -254,27 +266,29 @@ def tree_pairs(a: SignatureTree, b: SignatureTree, num: int, den: int) -> Iterat
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
     """Rows of input sorted by ``keys``, many groups at a time, none of them cut; and where each group starts."""
-    held, size, enough = [], 0, ROWS
+    held, load, enough = [], 0, ROWS
 
     def joined() -> tuple[dict[str, np.ndarray], np.ndarray]:
         cols = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
-        new = np.zeros(size, bool)
+        new = np.zeros(len(cols[keys[0]]), bool)
         for k in keys:
             new[1:] |= cols[k][1:] != cols[k][:-1]
         return cols, np.append(0, np.flatnonzero(new))
 
     for b in batches:
+        if not b.num_rows:
+            continue
         held.append({c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names})
-        size += b.num_rows
-        if size < enough:
+        load += max(b.num_rows, b.nbytes // ROW_BYTES)
+        if load < enough:
             continue
         cols, starts = joined()
-        last = int(starts[-1])
+        last, size = int(starts[-1]), len(cols[keys[0]])
         if last:
             yield {c: v[:last] for c, v in cols.items()}, starts[:-1]
-        held, size = [{c: v[last:] for c, v in cols.items()}], size - last
-        enough = max(ROWS, 2 * size)
-    if size:
+        held, load = [{c: v[last:] for c, v in cols.items()}], load * (size - last) // size
+        enough = max(ROWS, 2 * load)
+    if held:
         yield joined()
 
 
@@ -287,42 +301,70 @@ def _some(i: np.ndarray, j: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarra
     return i[keep], j[keep]
 
 
-def _joined(keys: list[str], num: int, den: int, few: int):
-    def tree(g: dict[str, np.ndarray], lanes: np.ndarray, rows: np.ndarray) -> SignatureTree:
-        return SignatureTree(rows, g["n"][rows], g["comp"][rows], lanes[rows])
+def _stacked(bitmaps: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps of one width as rows of 64-bit lanes, folded to ``size`` bytes."""
+    lanes = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1, size // 8)
+    return np.bitwise_or.reduce(lanes, 1)
 
+
+def _joined(keys: list[str], num: int, den: int, few: int):
     def pairs(g: dict[str, np.ndarray], starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sizes = np.diff(np.append(starts, len(g["cid"])))
-        lanes = np.stack([g[c] for c in _LANES], 1).view(np.uint64)
-        level = (lanes, g["n"], g["n"], np.bitwise_count(lanes).sum(1).astype(np.int64), g["comp"], g["comp"])
-        single = np.add.reduceat(g["side"], starts) == 0  # side 0: joined with itself; 1 and 2: two chunks with each other
-        # Blocks that fit into one leaf have no inner nodes: all of one size are done at once.
-        for size in range(2, FAN + 1):
-            at = starts[single & (sizes == size)]
-            x, y = np.triu_indices(size, 1)
-            for s in range(0, len(at), PAIRS // len(x)):
-                some = at[s: s + PAIRS // len(x), None]
-                i, j = (some + x).ravel(), (some + y).ravel()
-                ok = _possible(level, i, level, j, num, den)
-                yield i[ok], j[ok]
-        for k in np.flatnonzero((sizes > FAN) | ~single):
-            rows = np.arange(starts[k], starts[k] + sizes[k])
-            side = g["side"][rows]
-            left = tree(g, lanes, rows[side < 2])
-            yield from tree_pairs(left, tree(g, lanes, rows[side == 2]) if (side == 2).any() else left, num, den)
-
-    def first_time(g: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether no earlier block is known to hold both: of the first open blocks of either, none before this one is common."""
-        again = np.zeros(len(i), bool)
-        for x in _LEAST:
-            for y in _LEAST:
-                again |= (g[x][i] == g[y][j]) & (g[x][i] < g["token"][i])
-        return ~again
+        """Rows of one block that may link. Sets that link have bitmaps of one width or of widths next to each other."""
+        block = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(g["cid"]))))
+        width = np.fromiter(map(len, g["bits"]), np.int64, len(block))
+        widths, side = np.unique(width), g["side"]  # side 0: joined with itself; 1 and 2: two chunks with each other
+        for w in widths:
+            # A set is larger than half its bitmap, unless that is the narrowest; so much wider ones can't link.
+            for v in widths[(widths >= w) & (num * widths < 2 * den * w)]:
+                for x, y in ((0, 0), (1, 2), (2, 1)):
+                    left, right = np.flatnonzero((width == w) & (side == x)), np.flatnonzero((width == v) & (side == y))
+                    if len(left) and len(right) and (v > w or x < 2):
+                        yield from between(g, block, left, right, int(w), v == w and not x, len(starts))
+
+    def between(g, block, left, right, size: int, same: bool, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a left and a right row of one block that may link, on bitmaps of ``size`` bytes."""
+        def leaves(rows: np.ndarray) -> tuple:
+            return _leaves(g["n"][rows], g["comp"][rows], _stacked(g["bits"][rows], size), (g["n"] - g["pos"])[rows])
+
+        a = leaves(left)
+        b = a if same else leaves(right)
+        many, more = np.bincount(block[left], minlength=blocks), np.bincount(block[right], minlength=blocks)
+        at, to = np.cumsum(many) - many, np.cumsum(more) - more
+        count = np.where(many > 1, many * more, 0) if same else many * more
+        # Blocks that fit into one leaf have no inner nodes: many are done at once.
+        small = np.flatnonzero((count > 0) & (count <= FAN * FAN))
+        for s in range(0, len(small), PAIRS // FAN**2):
+            some = small[s: s + PAIRS // FAN**2]
+            of = np.repeat(some, count[some])
+            nth = np.arange(len(of)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            i, j = at[of] + nth // more[of], to[of] + nth % more[of]
+            if same:
+                i, j = i[i < j], j[i < j]
+            ok = _possible(a, i, b, j, num, den)
+            yield left[i[ok]], right[j[ok]]
+        for k in np.flatnonzero(count > FAN * FAN):
+            one, two = slice(at[k], at[k] + many[k]), slice(to[k], to[k] + more[k])
+            tree = SignatureTree(left[one], a[1][one], a[4][one], a[0][one], a[6][one])
+            yield from tree_pairs(tree, tree if same else SignatureTree(right[two], b[1][two], b[4][two], b[0][two], b[6][two]), num, den)
+
+    def first_time(g: dict[str, np.ndarray]):
+        """Whether no earlier block of two rows is known to hold both: among the first open blocks of either, in the order of prefixes."""
+        here = np.stack([g[x] == g["token"] for x in _LEAST])
+        place = np.where(here.any(0), here.argmax(0), len(_LEAST))
+
+        def new(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            again = np.zeros(len(i), bool)
+            for x, left in enumerate(_LEAST):
+                for y, right in enumerate(_LEAST):
+                    again |= (x < place[i]) & (y < place[j]) & (g[left][i] == g[right][j])
+            return ~again
+        return new
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, starts in _whole_groups(batches, keys):
+            is_new = first_time(g)
             for i, j in pairs(g, starts):
-                new = first_time(g, i, j)
+                new = is_new(i, j)
                 i, j = _some(i[new], j[new], few) if few and new.any() else (i[new], j[new])
                 u, v = g["cid"][i], g["cid"][j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
@@ -334,8 +376,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for g, starts in _whole_groups(batches, ["token"]):
         sizes = np.diff(np.append(starts, len(g["token"])))
         many = np.repeat(sizes > 1, sizes)
-        columns = [g["token"], g["cid"], g["n"], *(np.repeat(x, sizes) for x in (g["cid"][starts], g["n"][starts], sizes))]
-        yield pa.RecordBatch.from_arrays([pa.array(c[many]) for c in columns], ["token", "cid", "n", "first", "first_n", "members"])
+        heads = (np.repeat(x, sizes) for x in (*(g[c][starts] for c in ("cid", "n", "pos")), sizes))
+        columns = [*(g[c] for c in ("token", "pos", "cid", "n")), *heads]
+        yield pa.RecordBatch.from_arrays([pa.array(c[many]) for c in columns], _MEMBER)
+
+
+_MEMBER = ["token", "pos", "cid", "n", "first", "first_n", "first_pos", "members"]
 
 
 def _folded(bitmap: bytes, size: int) -> np.ndarray:
@@ -386,12 +432,13 @@ class _Join:
         )
         self.cells = common
         signed = keep(self._texts(self.classes).mapInArrow(
-            _prefixes(words, num, den, common, word_counts), f"cid long, n long, prefix array<long>, wide binary, {_LANE_TYPES}"), "signed")
+            _prefixes(words, num, den, common, word_counts), f"cid long, n long, prefix array<long>, wide binary, bits binary, {_LANE_TYPES}"), "signed")
         self.signed = signed
         members = self._members(signed)
 
         # The first class of a block is its smallest, so every member is the larger side of its pairs.
-        near = (F.col("cid") != F.col("first")) & _near(F.col("n"), F.col("first_n"), num, den)
+        room = (num + den) * F.expr("least(n - pos, first_n - first_pos)") >= num * F.expr("n + first_n")
+        near = (F.col("cid") != F.col("first")) & _near(F.col("n"), F.col("first_n"), num, den) & room
         stars = members.filter(near).groupBy(F.col("cid").alias("u")).agg(F.min("first").alias("v"))
         stars = keep(self._verified(keep(stars, "stars"), "star"), "star_links")
         roots = connected(stars, self.scratch, "stars")
@@ -426,23 +473,23 @@ class _Join:
         return self.docs.join(checked(wanted, self.small_rows), same_text()).select("cid", "digest", "text")
 
     def _members(self, signed: DataFrame) -> DataFrame:
-        """Rows (token, cid, n, first, first_n, members) of all blocks with two classes or more.
+        """Rows (token, pos, cid, n, first, first_n, first_pos, members) of all blocks with two classes or more.
 
         A cell count bounds the members of its shingles' blocks. Blocks that may exceed ``cell_rows`` are counted
         by aggregation and joined as hot keys; of the others each meets in one task.
         """
         cells = self.spark.createDataFrame(
             [(int(i),) for i in np.flatnonzero(self.cells > self.cell_rows)], "cell int")  # at most CELLS rows
-        posts = signed.select(F.explode("prefix").alias("token"), "cid", "n")
+        posts = signed.select(F.posexplode("prefix").alias("pos", "token"), "cid", "n").withColumn("pos", F.col("pos").cast("long"))
         cell = F.col("token").bitwiseAND(F.lit(CELLS - 1)) == F.col("cell")
         usual = posts.join(F.broadcast(cells), cell, "left_anti").repartition("token").sortWithinPartitions("token", "cid").mapInArrow(
-            _blocks, "token long, cid long, n long, first long, first_n long, members long")
+            _blocks, ", ".join(f"{c} long" for c in _MEMBER))
         hot = posts.join(F.broadcast(cells), cell, "left_semi")
-        heads = hot.groupBy("token").agg(F.min(F.struct("cid", "n")).alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+        heads = hot.groupBy("token").agg(F.min(F.struct("cid", "n", "pos")).alias("head"), F.count(F.lit(1)).alias("members")).filter("members > 1")
         total = hot.count()
         if total:
-            both = hot_join(hot, heads, "token", "members", total).select(
-                "token", "cid", "n", F.col("head.cid").alias("first"), F.col("head.n").alias("first_n"), "members")
+            both = hot_join(hot, heads, "token", "members", total).select("token", "pos", "cid", "n", *[
+                F.col(f"head.{c}").alias(name) for c, name in (("cid", "first"), ("n", "first_n"), ("pos", "first_pos"))], "members")
             usual = usual.unionByName(both)
         return self.scratch.keep(usual, "members")
 
@@ -468,7 +515,7 @@ class _Join:
         """
         name, taken = f"tree_{few}", taken if few else 0
         held = members.join(roots, members["cid"] == roots["node"], "left").select(
-            "token", "cid", "members", F.coalesce("root", "cid").alias("comp"))
+            "token", "pos", "cid", "members", F.coalesce("root", "cid").alias("comp"))
         held = self.scratch.keep(held, f"{name}_held")
         mixed = held.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("members").alias("members"))
         mixed = self.scratch.keep(mixed.filter("low <> high").select("token", F.col("members").alias("size")), f"{name}_mixed")
@@ -477,16 +524,18 @@ class _Join:
             return self.spark.createDataFrame([], "u long, v long")
         open_ = self.scratch.keep(hot_join(held.drop("members"), mixed, "token", "size", total), f"{name}_open")
         # The first open blocks of each class let a pair that shares many blocks be reported (almost) once.
-        least = open_.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, len(_LEAST)).alias("least"))
-        signs = self.signed.drop("prefix", "wide").join(least, "cid").select(
-            "cid", "n", *_LANES, *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
+        first = F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, len(_LEAST))
+        least = open_.groupBy("cid").agg(first.getField("token").alias("least"))
+        signs = self.signed.drop("prefix", "wide", *_LANES).join(least, "cid").select(
+            "cid", "n", "bits", *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
             _joined(["token"], self.num, self.den, taken), "u long, v long")
         large = open_.filter(F.col("size") > self.block_rows)
         count = large.count()
         if count:
-            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid"), count, name, taken))
+            lanes = self.signed.select("cid", *_LANES)
+            pairs = pairs.unionByName(self._large_blocks(large.join(signs, "cid").join(lanes, "cid"), count, name, taken))
         if done is not None:
             pairs = pairs.join(done, ["u", "v"], "left_anti")
         if few:
@@ -514,7 +563,7 @@ class _Join:
         live = self.scratch.keep(live, f"{name}_live")
         sides = live.select("token", "ca", "cb", F.col("ca").alias("chunk"), F.when(F.expr("ca = cb"), 0).otherwise(1).alias("side")).unionByName(
             live.filter("ca <> cb").select("token", "ca", "cb", F.col("cb").alias("chunk"), F.lit(2).alias("side")))
-        return chunks.join(sides, ["token", "chunk"]).repartition("token", "ca", "cb").sortWithinPartitions(
+        return chunks.drop(*_LANES).join(sides, ["token", "chunk"]).repartition("token", "ca", "cb").sortWithinPartitions(
             "token", "ca", "cb").mapInArrow(_joined(["token", "ca", "cb"], self.num, self.den, taken), "u long, v long")
 
 

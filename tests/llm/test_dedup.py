@@ -9,12 +9,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lumbung.llm import common
 from lumbung.llm.common import Scratch, connected, hot_join
 from lumbung.llm.exact_dedup import DigestIndex, deduplicate, without_copies
-from lumbung.llm.jaccard_join import SignatureTree, jaccard_components, one_of_each, tree_pairs
+from lumbung.llm.jaccard_join import _LEAST, SignatureTree, _joined, jaccard_components, one_of_each, tree_pairs
 from lumbung.session import shared_folder
 
 
@@ -121,6 +122,45 @@ def test_tree_traversal_loses_no_pair():
                 assert frozenset((i, j)) in found
 
 
+def _block(sets, token, place):
+    """Rows of one block as the trees get them; ``place`` tells the place of the block's token in each prefix."""
+    rows = []
+    for cid, x in enumerate(sets):
+        x = np.fromiter(x, np.uint64, len(x))
+        bits = np.zeros(max(1024, 1 << int(len(x) - 1).bit_length()), bool)
+        bits[((x >> np.uint64(20)) & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+        rows.append({"token": token, "pos": place(cid), "cid": cid, "comp": cid, "n": len(x), "side": 0, "bits": np.packbits(bits).tobytes(),
+                     _LEAST[0]: token, **dict.fromkeys(_LEAST[1:], (1 << 63) - 1)})
+    return rows
+
+
+def test_unrelated_long_sets_in_one_block_make_no_pair():
+    """Every bit of 1,024 is set for 5,000 shingles; wider bitmaps rule all 19,900 pairs out."""
+    r = np.random.default_rng(5)
+    sets = [set(r.integers(0, 2**62, int(n)).tolist()) | {7} for n in r.integers(4_500, 5_500, 200)]
+    found = list(_joined(["token"], 80, 100, 0)([pa.RecordBatch.from_pylist(_block(sets, 7, lambda _: 0))]))
+    assert sum(b.num_rows for b in found) == 0
+
+
+def test_widths_next_to_each_other_lose_no_pair():
+    """Near copies on both sides of a width, in small and large blocks and between two chunks; linked sets are all found."""
+    r = np.random.default_rng(6)
+    blocks, linked = [], set()
+    for token, many in enumerate((2, 3, 9, 40), 1):
+        base = r.integers(0, 2**62, 2_080).tolist()
+        sets = [set(base[:int(k)]) | set(r.integers(0, 2**62, int(r.integers(0, 120))).tolist()) for k in r.integers(1_900, 2_080, many)]
+        sets += [set(r.integers(0, 2**62, 900).tolist()) for _ in range(3)]
+        rows = [x | {"cid": x["cid"] + 100 * token, "comp": x["comp"] + 100 * token} for x in _block(sets, token, lambda _: 0)]
+        linked |= {(100 * token + j, 100 * token + i) for i, j in itertools.combinations(range(len(sets)), 2)
+                   if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+        blocks += rows
+    for sides in (0, 1):
+        batch = pa.RecordBatch.from_pylist([x | {"side": 1 + x["cid"] % 2 if sides else 0} for x in blocks])
+        out = [p for b in _joined(["token"], 80, 100, 0)([batch]) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        want = {p for p in linked if not sides or (p[0] + p[1]) % 2}
+        assert set(out) >= want and len(want) > 100 and len(out) == len(set(out))
+
+
 @pytest.mark.parametrize("few", [0, 100_000])
 def test_connected_and_hot_join(spark, monkeypatch, few):
     monkeypatch.setattr(common, "FEW_ROWS", few)
