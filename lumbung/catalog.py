@@ -17,6 +17,7 @@ from lumbung.operators.skew import lookup_join
 from lumbung.operators.spine import minute_spine, spanning_date_spine
 from lumbung.plans import analytics, dimensions, kpis, marts
 from lumbung.plans.fact import Dimensions, fct_order_item, fct_order_item_since
+from lumbung.plans.history import CustomerHistory
 from lumbung.plans.models import ALL_MODELS, DIMENSIONS, MARTS, Models
 from lumbung.plans.replay import marks, replayed, stored_raw, stored_rollup
 from lumbung.plans.suite import DECLARED, run_checks, singular_checks
@@ -24,6 +25,7 @@ from lumbung.plans.warehouse import Warehouse
 from lumbung.schemas import RAW_SCHEMAS
 from lumbung.session import shared_folder
 from lumbung.sources import readers, versions, writers
+from lumbung.sources.bucketed import BucketedTable
 from lumbung.sources.tpch_adapter import RetailTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,9 +106,8 @@ def _(m: Models) -> DataFrame:
 
 # write modes, as the rows they store
 
-@_query("snk_keyed_merge")
-def _(m: Models) -> DataFrame:
-    """Stored items loaded before the cut, merged with the later ones and corrections of earlier ones, read back.
+def _items_and_batch(m: Models) -> tuple[DataFrame, DataFrame]:
+    """Items loaded before the cut, and a batch of the later ones and of corrections of earlier ones.
 
     Corrected items come twice in the batch; the later version counts.
     """
@@ -116,17 +117,43 @@ def _(m: Models) -> DataFrame:
     )
     first_try = corrected.withColumns({"quantity": F.lit(-1), "loaded_at": F.expr("loaded_at - interval 1 day")})
     delta = items.filter(F.col("loaded_at") > F.lit(BATCH_CUT)).unionByName(corrected).unionByName(first_try)
-    delta = writers.latest_rows(delta.select(items.columns), "order_item_id")
+    return items.filter(F.col("loaded_at") <= F.lit(BATCH_CUT)), writers.latest_rows(delta.select(items.columns), "order_item_id")
+
+
+@_query("snk_keyed_merge")
+def _(m: Models) -> DataFrame:
+    """Stored items merged with a later batch, read back."""
+    items, delta = _items_and_batch(m)
 
     def by_year(df: DataFrame) -> DataFrame:
         return df.withColumn("year", F.year("loaded_at"))
 
     path = shared_folder(m.spark, "items")
-    writers.overwrite(by_year(items.filter(F.col("loaded_at") <= F.lit(BATCH_CUT))), path, ["year"])
+    writers.overwrite(by_year(items), path, ["year"])
     writers.merge_into(m.spark, path, by_year(delta), ["order_item_id"], "year", m.settings)
     return writers.table_or_none(m.spark, path).select(items.columns)
 
 
+@_query("snk_bucketed_merge")
+def _(m: Models) -> DataFrame:
+    """Stored items in buckets by item id, merged with a later batch without a shuffle of what is stored."""
+    items, delta = _items_and_batch(m)
+    stored = BucketedTable(m.spark, shared_folder(m.spark, "bucketed-items"), "order_item_id", 16, m.settings)
+    stored.replace(items)
+    stored.merge(delta)
+    return stored.read()
+
+
+@_query("int_customer_scd2_incremental")
+def _(m: Models) -> DataFrame:
+    """Customer history from the profile events after the cut, then with the earlier ones as late events."""
+    events = m.stg["customer_profile_events"]
+    history = CustomerHistory(m.spark, shared_folder(m.spark, "history"), 16, m.settings)
+    history.add(events.filter(F.col("effective_at") > F.lit(BATCH_CUT)))
+    history.add(events.filter(F.col("effective_at") <= F.lit(BATCH_CUT)))
+    return history.versions()
+
+
 @_query("snk_append")
 def _(m: Models) -> DataFrame:
     """Payments before and after the cut, appended one after the other and read back."""

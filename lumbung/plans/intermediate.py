@@ -20,6 +20,11 @@ def customer_scd2(profile_events: DataFrame, settings: SkewSettings = DEFAULT) -
         profile_events, ["customer_id"], ["effective_at", "customer_profile_event_id"],
         OrderedSpec(nexts={"_next": "effective_at"}), settings,
     )
+    return versions_of(followed)
+
+
+def versions_of(followed: DataFrame) -> DataFrame:
+    """Versions from profile events that know when the next one starts (``_next``)."""
     return followed.selectExpr(
         f"{surrogate_key('customer_id', 'effective_at')} as customer_key", "customer_id as customer_nk",
         "full_name", "email", "gender", "birth_date", "city_id", "loyalty_tier", "marketing_opt_in",

@@ -70,9 +70,10 @@ _PLAIN |= {
         select cast(unnest(generate_series(cast(min(checkout_ts) as date), cast(max(checkout_ts) as date),
             interval 1 day)) as date) as date_day from stg_shipments""",
 
-    "snk_keyed_merge": """
+    **dict.fromkeys(("snk_keyed_merge", "snk_bucketed_merge"), """
         select * replace (cast(quantity + case when loaded_at <= timestamp '1999-01-01' and product_id % 5 = 0
-            then 1 else 0 end as int) as quantity) from stg_order_items""",
+            then 1 else 0 end as int) as quantity) from stg_order_items"""),
+    "int_customer_scd2_incremental": "select * from int_customer_scd2",
     "snk_insert_absent": """
         select * from stg_products where product_id not in (
             select product_id from stg_order_items where loaded_at <= timestamp '1996-01-01')""",
