@@ -19,6 +19,7 @@ from lumbung.plans import analytics, dimensions, kpis, marts
 from lumbung.plans.fact import Dimensions, fct_order_item, fct_order_item_since
 from lumbung.plans.history import CustomerHistory
 from lumbung.plans.models import ALL_MODELS, DIMENSIONS, MARTS, Models
+from lumbung.plans.rejects import judged_items, reject_counts, rejected_items
 from lumbung.plans.replay import marks, replayed, stored_raw, stored_rollup
 from lumbung.plans.suite import DECLARED, run_checks, singular_checks
 from lumbung.plans.warehouse import Warehouse
@@ -347,6 +348,17 @@ def _(m: Models) -> DataFrame:
     return lost.join(years, "order_id").groupBy("order_year").agg(F.count(F.lit(1)).alias("dropped_items"))
 
 
+@_query("fct_rejects", faulty=True)
+def _(m: Models) -> DataFrame:
+    """Items that are not in the fact, with all reasons."""
+    return rejected_items(judged_items(m.stg, m.dimensions(), m.settings))
+
+
+@_query("fct_reject_counts")
+def _(m: Models) -> DataFrame:
+    return reject_counts(judged_items(m.stg, m.dimensions(), m.settings))
+
+
 @_query("order_rollup")
 def _(m: Models) -> DataFrame:
     return marts.order_rollup(m["fct_order_item"])

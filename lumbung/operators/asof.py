@@ -23,10 +23,11 @@ def asof_join(
     position: str | None = None,
     position_order: Sequence[str] = (),
     settings: SkewSettings = DEFAULT,
+    unmatched: bool = False,
 ) -> DataFrame:
     """Add columns ``take`` of the version with ``valid_from <= fact_ts < valid_to``.
 
-    Facts without such a version are dropped. The versions of a key must not overlap; empty
+    Facts without such a version are dropped, or with ``unmatched`` stay with NULL in ``take``. The versions of a key must not overlap; empty
     ones (``valid_from = valid_to``) never match. Both sides are laid on one time line per
     key and each fact takes the version seen last, so the work is one shuffle and one sort
     however many facts and versions a key has; no fact-version pairs are built.
@@ -52,9 +53,15 @@ def asof_join(
     bare = versions.selectExpr(f"{version_key} as {key}").unionAll(facts.selectExpr(f"{fact_key} as {key}"))
     placed = ordered(line, [key], [ts, "_side", *tails], spec, settings, measure=bare)
     number = [f"cast(_nth as int) as {position}"] if position else []
-    return placed.filter(f"_side = 1 and {ts} < _seen_until").selectExpr(
-        *facts.columns, *[f"_seen{t}[0] as {c}" for t, c in taken.items()], *number
+    found = f"{ts} < _seen_until"
+    if not unmatched:
+        return placed.filter(f"_side = 1 and {found}").selectExpr(
+            *facts.columns, *[f"_seen{t}[0] as {c}" for t, c in taken.items()], *number
+        )
+    kept = placed.filter("_side = 1").selectExpr(
+        *facts.columns, *[f"if({found}, _seen{t}[0], null) as {c}" for t, c in taken.items()], *number
     )
+    return kept.unionByName(facts.filter(f"{fact_key} is null or {fact_ts} is null"), allowMissingColumns=True)
 
 
 def overlapping_versions(

@@ -30,6 +30,29 @@ _ROLLUP = f"""
 _PROMO = "discount_amount + shipping_subsidy + voucher_amount"
 
 
+_REJECTS = """
+    select i.order_item_id, i.order_id, concat_ws(',',
+        case when o.order_id is null then 'order' end,
+        case when o.order_id is not null and o.order_id not in (
+            select s.order_id from stg_orders s join dim_customer v
+            on s.customer_id = v.customer_nk and s.order_ts >= v.valid_from and s.order_ts < v.valid_to)
+            then 'customer_version' end,
+        case when o.order_id is not null and m.payment_method_nk is null then 'payment_method' end,
+        case when o.order_id is not null and d.shipping_service_nk is null then 'shipping' end,
+        case when o.order_id is not null and u.voucher_nk is null then 'voucher' end,
+        case when o.order_id is not null and o.order_status is null then 'order_status' end,
+        case when p.product_nk is null then 'product' end,
+        case when i.is_cancelled is null or i.is_returned is null or i.voucher_amount is null or i.shipping_subsidy is null
+            then 'order_flags' end) as reasons
+    from stg_order_items i left join stg_orders o on i.order_id = o.order_id
+        left join dim_payment_method m on o.payment_method_id = m.payment_method_nk
+        left join dim_shipping d on o.shipping_service_id = d.shipping_service_nk
+        left join dim_voucher u on o.voucher_id = u.voucher_nk
+        left join (select product_nk from dim_product where category_key in (select category_key from dim_category)) p
+            on i.product_id = p.product_nk
+    where reasons <> ''"""
+
+
 def _product_top(columns: str, condition: str, order: str, n: int) -> str:
     return f"""select {columns} from (select * from mart_product_performance where {condition}
         order by {order}, product_key limit {n}) t"""
@@ -133,6 +156,11 @@ _PLAIN |= {
         select cast(year(o.order_ts) as int) as order_year, count(*) as dropped_items
         from stg_order_items i join stg_orders o on i.order_id = o.order_id
         where i.order_item_id not in (select order_item_id from fct_order_item) group by 1""",
+    "fct_reject_counts": f"""
+        with rejects as ({_REJECTS})
+        select reason, (select count(*) from rejects where list_contains(string_split(reasons, ','), reason)) as items
+        from (select unnest(['order', 'customer_version', 'payment_method', 'shipping', 'voucher', 'order_status',
+            'product', 'order_flags']) as reason)""",
     "order_rollup": _ROLLUP,
 
     "q01_monthly_trend": "select month_start_date, net_revenue, profit, profit_margin from mart_monthly_revenue",
@@ -313,6 +341,7 @@ _PLAIN |= {
 }
 
 _FAULTY |= {
+    "fct_rejects": _REJECTS,
     "dq_unique_customer_key": """
         select customer_key, count(*) as row_count from dim_customer group by 1 having count(*) > 1""",
     "dq_accepted_values": """
