@@ -542,6 +542,12 @@ def _(m: Models) -> DataFrame:
     return rules.allocated_items(_items_with_category(m), _pools(m), m.settings)
 
 
+@_query("rule_allocation_whole")
+def _(m: Models) -> DataFrame:
+    """Pools shared over the items without a rest."""
+    return rules.allocated_whole(_items_with_category(m), _pools(m), m.settings)
+
+
 @_query("rule_item_amounts", faulty=True)
 def _(m: Models) -> DataFrame:
     """Amounts derived again from their parts, beside the stored ones."""

@@ -95,6 +95,34 @@ def allocated_items(items: DataFrame, pools: DataFrame, settings: SkewSettings =
     return with_item_amounts(given)
 
 
+def allocated_whole(items: DataFrame, pools: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
+    """Like ``allocated_items``, but the items of an order add up to its pools exactly.
+
+    Largest remainders: every item gets the whole part of its share; what is left goes, one each, to the items with the
+    largest remainders, of equal ones to the smallest id. Items without any weight in their order share alike.
+    """
+    joined = skew_join(items, pools, ["order_id"], "inner", settings, measure=items.select("order_id"))
+    worth = "greatest(subtotal, 0L)"
+    weighed = joined.selectExpr(
+        "order_item_id", "order_id", "product_id", "quantity", "subtotal", "discount_amount", "estimated_cost",
+        "cashback_pool + electronics_pool as _voucher_pool", "shipping_pool as _shipping_pool", f"{worth} as _shipping_weight",
+        f"if(electronics_pool > 0 and not (category_name <=> '{ELECTRONICS}'), 0L, {worth}) as _voucher_weight",
+    )
+    totals = weighed.groupBy("order_id").agg(
+        F.sum("_voucher_weight").alias("_voucher_total"), F.sum("_shipping_weight").alias("_shipping_total"), F.count(F.lit(1)).alias("_n"))
+    shared = skew_join(weighed, totals, ["order_id"], "inner", settings, measure=items.select("order_id"))
+    for name, amount in (("voucher", "voucher_amount"), ("shipping", "shipping_subsidy")):
+        before = shared.columns
+        total = f"if(_{name}_total = 0, _n, _{name}_total)"
+        part = f"cast(_{name}_pool as decimal(19, 0)) * cast(if(_{name}_total = 0, 1L, _{name}_weight) as decimal(19, 0))"
+        parts = shared.selectExpr("*", f"cast(({part}) div {total} as bigint) as _whole", f"cast(-(({part}) % {total}) as bigint) as _rest")
+        ranked = ordered(
+            parts, ["order_id"], ["_rest", "order_item_id"], OrderedSpec(sequence="_nth", totals={"_given": "_whole"}), settings,
+            measure=items.select("order_id"))
+        shared = ranked.selectExpr(*before, f"_whole + if(_nth <= _{name}_pool - _given, 1L, 0L) as {amount}")
+    return with_item_amounts(shared.select(*[c for c in shared.columns if not c.startswith("_")]))
+
+
 def with_item_amounts(items: DataFrame) -> DataFrame:
     """Customer payment and profit of an item from its parts."""
     paid = items.selectExpr("*", "subtotal - discount_amount - voucher_amount as total_payment")

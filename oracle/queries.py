@@ -285,6 +285,32 @@ _PLAIN |= {
         union all select order_id, 'FREE_SHIPPING_MIN_50K' from order_subtotals where order_subtotal >= 50000
         union all select order_id, 'ELECTRONICS_100K' from order_subtotals where electronics_subtotal > 0""",
     "rule_promotion_pools": "select * from promotion_pools",
+    "rule_allocation_whole": """
+        with weighed as (
+            select i.*, p.cashback_pool + p.electronics_pool as vp, p.shipping_pool as sp, greatest(i.subtotal, 0) as sw,
+                case when p.electronics_pool > 0 and i.category_name is distinct from 'Electronics' then 0
+                    else greatest(i.subtotal, 0) end as vw
+            from categorised_items i join promotion_pools p on i.order_id = p.order_id),
+        summed as (
+            select *, sum(vw) over o as vt, sum(sw) over o as st, count(*) over o as k
+            from weighed window o as (partition by order_id)),
+        parts as (
+            select *, cast(vp as hugeint) * (case when vt = 0 then 1 else vw end) as vx, case when vt = 0 then k else vt end as vd,
+                cast(sp as hugeint) * (case when st = 0 then 1 else sw end) as sx, case when st = 0 then k else st end as sd
+            from summed),
+        ranked as (
+            select *, row_number() over (partition by order_id order by vx % vd desc, order_item_id) as vn,
+                sum(vx // vd) over (partition by order_id) as vg,
+                row_number() over (partition by order_id order by sx % sd desc, order_item_id) as sn,
+                sum(sx // sd) over (partition by order_id) as sg
+            from parts),
+        given as (
+            select order_item_id, order_id, product_id, quantity, subtotal, discount_amount, estimated_cost,
+                cast(vx // vd + case when vn <= vp - vg then 1 else 0 end as bigint) as voucher_amount,
+                cast(sx // sd + case when sn <= sp - sg then 1 else 0 end as bigint) as shipping_subsidy
+            from ranked)
+        select *, subtotal - discount_amount - voucher_amount as total_payment,
+            subtotal - discount_amount - voucher_amount - estimated_cost - shipping_subsidy as profit from given""",
     "rule_allocation": """
         with shares as (
             select i.*, p.cashback_pool, p.electronics_pool, p.shipping_pool,
