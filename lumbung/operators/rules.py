@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumbung.functions import date_key, money, whole_days_between, zero_padded
+from lumbung.session import shared_folder
 
 from .ordered import OrderedSpec, ordered
 from .skew import DEFAULT, SkewSettings, lookup_join, skew_join
@@ -178,16 +179,18 @@ def continued_keys(
 ) -> DataFrame:
     """Number a batch from ``last_key + 1`` in the given order.
 
-    The batch is cut at quantiles of its first order column into pieces of about ``group_rows`` rows; each piece
-    is numbered by itself and starts after the rows of the earlier ones.
+    A batch of more than ``group_rows`` rows is cut into ranges of all order columns, so that rows of one instant are cut as
+    well, and written with the number of its range to the shared folder, which keeps the numbers when executors are
+    lost. Each range is numbered by itself and starts after the rows of the earlier ones.
     """
-    first = order[0]
     pieces = batch.count() // settings.group_rows + 1
-    shares = [i / pieces for i in range(1, pieces)]
-    found = batch.agg(F.percentile_approx(first, shares, 10_000).alias("cuts")).first()["cuts"] if shares else None
-    cuts = F.array(*[F.lit(c).cast(batch.schema[first].dataType) for c in sorted(set(found or []))])
-    piece = F.size(F.filter(cuts, lambda c: c < F.col(first))) if found else F.lit(0)
-    cut = batch.withColumn("_piece", piece)
+    if pieces == 1:
+        cut = batch.withColumn("_piece", F.lit(0))
+    else:
+        ranges = batch.repartitionByRange(pieces, *order).withColumn("_piece", F.spark_partition_id())
+        folder = shared_folder(batch.sparkSession, "pieces")
+        ranges.write.parquet(folder)
+        cut = batch.sparkSession.read.schema(ranges.schema).parquet(folder)
     line = Window.partitionBy("_piece").orderBy(*order)
     numbered = cut.withColumn("_nth", F.row_number().over(line).cast("long"))
     earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # over one row per piece
