@@ -13,6 +13,7 @@ from lumbung.operators import quality, rules
 from lumbung.operators.asof import asof_join, overlapping_versions
 from lumbung.operators.ordered import OrderedSpec, ordered
 from lumbung.operators.percentile import exact_percentiles
+from lumbung.operators.selection import selected_percentiles
 from lumbung.operators.skew import lookup_join
 from lumbung.operators.spine import minute_spine, spanning_date_spine
 from lumbung.plans import analytics, dimensions, kpis, marts
@@ -632,3 +633,9 @@ def _(read) -> DataFrame:
     """Exact quartiles of event values per event type."""
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     return exact_percentiles(read("events"), ["event_type"], "value", shares)
+
+
+@_table_query("expr_percentiles_selected")
+def _(read) -> DataFrame:
+    """The same quartiles by selection, without ordering the values."""
+    return selected_percentiles(read("events"), ["event_type"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})

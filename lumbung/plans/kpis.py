@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.functions import ratio
-from lumbung.operators.percentile import exact_percentiles
+from lumbung.operators.selection import selected_percentiles
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
 
 
@@ -32,7 +32,7 @@ def high_profit_low_sales(
     """Products at or above one profit percentile and at or below one quantity percentile."""
     # Both measures go through one percentile pass, one group each.
     values = products.selectExpr("stack(2, 'profit', profit, 'sales', quantity_sold) as (measure, value)")
-    found = exact_percentiles(values, ["measure"], "value", {"high": profit_share, "low": sales_share}, settings)
+    found = selected_percentiles(values, ["measure"], "value", {"high": profit_share, "low": sales_share}, settings)
     limits = found.agg(
         F.expr("max(high) filter (where measure = 'profit') as profit_limit"),
         F.expr("max(low) filter (where measure = 'sales') as sales_limit"),
@@ -73,7 +73,7 @@ def average_order_value(orders: DataFrame, keys: Sequence[str] = ()) -> DataFram
 def delivery_percentiles(fact: DataFrame, dim_shipping: DataFrame, settings: SkewSettings = DEFAULT) -> DataFrame:
     """Median and 90th percentile of delivery minutes per shipping service, over items."""
     shares = {"median_minutes": 0.5, "p90_minutes": 0.9}
-    found = exact_percentiles(fact, ["shipping_key"], "delivery_duration_minutes", shares, settings)
+    found = selected_percentiles(fact, ["shipping_key"], "delivery_duration_minutes", shares, settings)
     services = dim_shipping.select("shipping_key", "shipping_provider", "shipping_service")
     return lookup_join(found, services, ["shipping_key"], "inner", settings).select(
         "shipping_provider", "shipping_service", "value_count", "median_minutes", "p90_minutes"

@@ -363,7 +363,8 @@ _PLAIN |= {
                 then 1 else 0 end as int) as age_years
         from stg_orders o join stg_customer_profile_events c on o.customer_id = c.customer_id
         where c.operation = 'insert'""",
-    "expr_percentiles": _percentiles("events", "event_type", "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}),
+    **dict.fromkeys(("expr_percentiles", "expr_percentiles_selected"), _percentiles(
+        "events", "event_type", "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})),
 }
 
 _FAULTY |= {
