@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumbung.operators import quality
@@ -193,18 +193,18 @@ def singular_checks(
     ]
 
 
+def row_violations(c: Check) -> Column:
+    """Whether a row breaks a row-wise check."""
+    if c.kind == "not_null":
+        return F.col(c.column).isNull()
+    if c.kind == "accepted_values":
+        return ~F.col(c.column).isin(*c.arg)
+    return ~F.expr(f"{c.column} {c.arg}")
+
+
 def _row_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
     """All row-wise checks of a model as conditional counts in one scan."""
-    conditions = []
-    for c in checks:
-        col = F.col(c.column)
-        if c.kind == "not_null":
-            bad = col.isNull()
-        elif c.kind == "accepted_values":
-            bad = ~col.isin(*c.arg)
-        else:
-            bad = ~F.expr(f"{c.column} {c.arg}")
-        conditions.append(F.count(F.when(bad, 1)))
+    conditions = [F.count(F.when(row_violations(c), 1)) for c in checks]
     entries = [
         F.struct(F.lit(c.kind).alias("check"), F.lit(model).alias("model"), F.lit(c.column).alias("column"),
                  n.alias("n_bad"))

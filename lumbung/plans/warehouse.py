@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import Row
 
 from lumbung.operators import quality
 from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
@@ -24,6 +25,7 @@ from lumbung.sources import versions, writers
 from . import delta_marts, marts
 from .dimensions import dim_order_flags
 from .fact import FACT_COLUMNS, fct_of_orders
+from .gates import ROW_KINDS, RowGate, passed_while_written, report_frame
 from .intermediate import order_item_enriched
 from .models import CALENDAR_END, CALENDAR_START, DIMENSIONS, MARTS, Models
 from .suite import DECLARED, require_passed, run_checks, singular_checks
@@ -71,9 +73,9 @@ class Warehouse:
         seen = self.newest_order_load(raw)
         models = self.models(raw)
         for name in DIMENSIONS:
-            writers.overwrite(models[name], self.path(name))
+            writers.overwrite(models[name], self.path(name), gate=self._gate(name, check))
         models = self.models(raw, DIMENSIONS)
-        self._write_by_month(with_month(models["fct_order_item"]), "fct_order_item")
+        self._write_by_month(with_month(models["fct_order_item"]), "fct_order_item", self._gate("fct_order_item", check))
         self._write_by_month(self._rollup(self.stored("fct_order_item")), "order_rollup")
         self._write_marts(rebuild=True)
         return self.finish(raw, check, seen)
@@ -99,7 +101,7 @@ class Warehouse:
             return None
         seen = self.newest_order_load(raw)
         changed = self.changed_orders(raw, ["order_items", *(HEADERS if refresh_headers else [])])
-        self.apply_orders(raw, changed, refresh_customers, refresh_marts)
+        self.apply_orders(raw, changed, refresh_customers, refresh_marts, check)
         return self.finish(raw, check, seen)
 
     def changed_orders(self, raw: Mapping[str, DataFrame], tables: Sequence[str]) -> DataFrame:
@@ -109,31 +111,34 @@ class Warehouse:
         return reduce(DataFrame.unionByName, [stg[t].filter(F.col("loaded_at") > F.lit(newest)).select("order_id") for t in tables])
 
     def apply_orders(
-        self, raw: Mapping[str, DataFrame], orders: DataFrame, refresh_customers: bool = False, refresh_marts: bool = True
+        self, raw: Mapping[str, DataFrame], orders: DataFrame, refresh_customers: bool = False, refresh_marts: bool = True,
+        check: bool = True,
     ) -> None:
         """Bring dimensions up to date, merge the facts of the given orders (order_id), refresh the marts.
 
         All items of a touched order are computed anew and replace all its fact rows and its roll-up row, so the
         roll-up has one row per order and the sums of the fact. Applying the same orders again leaves the tables as
-        they are.
+        they are. With ``check``, rows are checked while they are written: a table with a violation stays as it was.
         """
         models = self.models(raw)
         for name in DIMENSIONS:
             if name != "dim_order_flags":
-                writers.overwrite(models[name], self.path(name))
+                writers.overwrite(models[name], self.path(name), gate=self._gate(name, check))
         with WorkFolder(self.spark, "slice") as work:
             touched = work.keep(orders.filter("order_id is not null").distinct(), "touched")
             # New flag combinations can only come from the touched orders.
             items = lookup_join(models.stg["order_items"], touched, ["order_id"], "left_semi", self.settings)
             flags = dim_order_flags(order_item_enriched({**models.stg, "order_items": items}, self.settings))
-            writers.insert_absent(self.spark, flags, self.path("dim_order_flags"), "order_flags_key")
+            writers.insert_absent(self.spark, flags, self.path("dim_order_flags"), "order_flags_key", self._gate("dim_order_flags", check))
             current = self.models(raw, DIMENSIONS)
             rows = fct_of_orders(
                 current.stg, current.dimensions(stored_status_and_flags=True), touched, work, self.settings, refresh_customers)
             delta = work.keep(with_month(rows), "fact")
             # The roll-up tells in which month an order is stored; it is merged last, so a repeated run finds it as it was.
             index = writers.table_or_none(self.spark, self.path("order_rollup"))
-            writers.merge_into(self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index, stored=True)
+            writers.merge_into(
+                self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index, stored=True,
+                gate=self._gate("fct_order_item", check))
             writers.merge_into(self.spark, self.path("order_rollup"), self._rollup(delta), ["order_id"], MONTH, self.settings)
         if refresh_marts:
             self._write_marts()
@@ -143,8 +148,13 @@ class Warehouse:
     def _rollup(self, fact: DataFrame) -> DataFrame:
         return with_month(marts.order_rollup(fact))
 
-    def _write_by_month(self, df: DataFrame, name: str) -> None:
-        writers.overwrite(df, self.path(name), [MONTH])
+    def _write_by_month(self, df: DataFrame, name: str, gate: RowGate | None = None) -> None:
+        writers.overwrite(df, self.path(name), [MONTH], gate)
+
+    def _gate(self, model: str, check: bool) -> RowGate | None:
+        """The row checks of a model for one write, if they are asked for."""
+        chosen = self.check_models
+        return RowGate(model) if check and (chosen is None or model in chosen) else None
 
     def _write_marts(self, rebuild: bool = False) -> None:
         """Bring the marts' states up to the newest fact and roll-up, and write the marts from them."""
@@ -174,11 +184,20 @@ class Warehouse:
         return report
 
     def report(self, raw: Mapping[str, DataFrame]) -> DataFrame:
-        """Declared and singular checks over the stored models."""
-        models = self.models(raw, [*DIMENSIONS, "fct_order_item"])
+        """Declared and singular checks over the stored models.
+
+        Row checks of a table whose rows all went through their gates are not counted again: a violation would have
+        kept its version from being committed.
+        """
+        stored = [*DIMENSIONS, "fct_order_item"]
+        models = self.models(raw, stored)
         singular = singular_checks(models, self.city_rows, self.minimum_items)
-        chosen = self.check_models
-        return run_checks(models, DECLARED, singular, lambda m: chosen is None or m in chosen)
+        clean = {m for m in stored if passed_while_written(self.spark, self.path(m))}
+        known = [c for c in DECLARED if c.model in clean and c.kind in ROW_KINDS]
+        chosen = lambda m: self.check_models is None or m in self.check_models
+        counted = run_checks(models, [c for c in DECLARED if c not in known], singular, chosen)
+        passed = [Row(check=c.kind, model=c.model, column=c.column, n_bad=0) for c in known if chosen(c.model)]
+        return counted.unionByName(report_frame(self.spark, passed)) if passed else counted
 
     def rollup_report(self) -> DataFrame:
         """Whether the roll-up has one row per order and the sums of the fact, per order month."""

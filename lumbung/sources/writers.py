@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,16 @@ from lumbung.sources import versions
 EPOCH = datetime(1970, 1, 1)
 
 
+class Gate(Protocol):
+    """Counts rows on their way into a version, and decides over its commit."""
+
+    def observed(self, df: DataFrame) -> DataFrame: ...
+
+    def accept(self, written: DataFrame) -> None: ...
+
+    def notes(self, old: versions.Version | None) -> dict[str, int]: ...
+
+
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest version of the table at ``path``, or its plain Parquet files, or None when there is none yet."""
     found = versions.table(spark, path)
@@ -39,10 +50,18 @@ def append(df: DataFrame, path: str) -> None:
     nan_to_null(df).write.mode("append").parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition: Sequence[str] = (), **more) -> versions.Version:
+def overwrite(df: DataFrame, path: str, partition: Sequence[str] = (), gate: Gate | None = None, **more) -> versions.Version:
     """Replace a table by a new version. Partitioned output is rebalanced first: AQE then splits large
-    partitions and joins small ones, so that file sizes follow the data."""
-    return versions.replace(_rebalanced(df, partition), path, partition, **more)
+    partitions and joins small ones, so that file sizes follow the data. ``gate`` sees the rows as they are written."""
+    df, more = _through(gate, _rebalanced(df, partition), None, more)
+    return versions.replace(df, path, partition, **more)
+
+
+def _through(gate: Gate | None, df: DataFrame, old: versions.Version | None, more: dict) -> tuple[DataFrame, dict]:
+    """The frame and the arguments of its commit with a gate in the way; folders of ``old`` are kept."""
+    if gate is None:
+        return df, more
+    return gate.observed(df), more | {"accept": gate.accept, "notes": {**more.get("notes", {}), **gate.notes(old)}}
 
 
 def _rebalanced(df: DataFrame, partition: Sequence[str]) -> DataFrame:
@@ -56,14 +75,15 @@ def absent_rows(new: DataFrame, existing: DataFrame, key: str, settings: SkewSet
     return lookup_join(once, existing.select(key), [key], "left_anti", settings)
 
 
-def insert_absent(spark: SparkSession, new: DataFrame, path: str, key: str) -> None:
-    """Append rows with new keys; existing rows stay as they are."""
+def insert_absent(spark: SparkSession, new: DataFrame, path: str, key: str, gate: Gate | None = None) -> None:
+    """Append rows with new keys; existing rows stay as they are. ``gate`` sees the rows as they are written."""
     existing = table_or_none(spark, path)
     fresh = nan_to_null(absent_rows(new, new.limit(0) if existing is None else existing, key))
     if existing is not None and not versions.exists(spark, path):  # plain files so far
-        versions.replace(existing.unionByName(fresh), path)
+        overwrite(existing.unionByName(fresh), path, gate=gate)
     else:
-        versions.append(fresh, path)
+        fresh, more = _through(gate, fresh, versions.version(spark, path), {})
+        versions.append(fresh, path, **more)
 
 
 def merged_rows(
@@ -86,7 +106,7 @@ def latest_rows(df: DataFrame, key: str, by: str = "loaded_at") -> DataFrame:
 
 def merge_into(
     spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], partition: str,
-    settings: SkewSettings = DEFAULT, index: DataFrame | None = None, stored: bool = False, **more,
+    settings: SkewSettings = DEFAULT, index: DataFrame | None = None, stored: bool = False, gate: Gate | None = None, **more,
 ) -> None:
     """Keyed merge into a table partitioned by ``partition``: target rows with a key of the delta give way to its rows.
 
@@ -97,7 +117,7 @@ def merge_into(
     """
     target = table_or_none(spark, path)
     if target is None:
-        overwrite(delta, path, [partition], **more)
+        overwrite(delta, path, [partition], gate, **more)
         return
     with WorkFolder(spark, "merge") as work:
         delta = delta if stored else work.keep(delta, "delta")
@@ -112,9 +132,10 @@ def merge_into(
         kept = target if plain else target.filter(here)
         merged = lookup_join(kept, changed, keys, "left_anti", settings, unique=True).unionByName(delta).select(*target.columns)
         if plain:
-            overwrite(merged, path, [partition], **more)
+            overwrite(merged, path, [partition], gate, **more)
         else:
-            versions.replace_partitions(_rebalanced(merged, [partition]), path, partition, touched, **more)
+            merged, more = _through(gate, _rebalanced(merged, [partition]), versions.version(spark, path), more)
+            versions.replace_partitions(merged, path, partition, touched, **more)
 
 
 def stamp(spark: SparkSession, path: str, marks: Mapping[str, datetime]) -> None:

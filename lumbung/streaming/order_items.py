@@ -46,7 +46,7 @@ def start_merging(
         touched = staged("order_items", batch).select("order_id")
         if refresh_headers:
             touched = touched.unionByName(warehouse.changed_orders(tables, HEADERS))
-        warehouse.apply_orders(tables, touched, refresh_customers, refresh_marts)
+        warehouse.apply_orders(tables, touched, refresh_customers, refresh_marts, check)
         warehouse.finish(tables, check, seen)
 
     return (

@@ -487,7 +487,7 @@ def _suite(cities: int, items: int) -> str:
     return " union all ".join(rows)
 
 
-_FAULTY["dq_suite"] = _suite(34, 10_000_000)
+_FAULTY["dq_suite"] = _FAULTY["dq_suite_measured"] = _suite(34, 10_000_000)
 _PLAIN["pipe_checks"] = _suite(25, 1_000)
 for _mart in ("city_performance", "customer_segments", "hourly_orders", "monthly_revenue", "payment_method_performance",
               "product_performance", "shipping_performance", "voucher_recommendations"):
