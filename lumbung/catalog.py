@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lumbung.functions import completed_years, date_key, minute_key, money, surrogate_key
 from lumbung.operators import quality, rules
 from lumbung.operators.asof import asof_join, overlapping_versions
+from lumbung.operators.key_counts import KeyCounts, Side
 from lumbung.operators.ordered import OrderedSpec, ordered
 from lumbung.operators.percentile import exact_percentiles
 from lumbung.operators.selection import selected_percentiles
@@ -517,6 +518,40 @@ def _(m: Models) -> DataFrame:
     return run_checks(stored, DECLARED, singular_checks(stored, minimum_items=10_000_000))
 
 
+def _followed_keys(m: Models) -> tuple[KeyCounts, KeyCounts]:
+    """Grain of items, and their link to payments, followed over two loads of items and a removal of payments."""
+    items, payments = (shared_folder(m.spark, n) for n in ("counted-items", "counted-payments"))
+    base, early = shared_folder(m.spark, "key-counts"), F.col("loaded_at") <= F.lit(BATCH_CUT)
+
+    def by_year(df: DataFrame) -> DataFrame:
+        return df.withColumn("year", F.year("loaded_at"))
+
+    writers.overwrite(by_year(m.stg["order_items"].filter(early)), items, ["year"])
+    writers.overwrite(by_year(m.stg["payments"]), payments, ["year"])
+    grain = KeyCounts(m.spark, f"{base}/grain", Side(items, ("order_id", "item_number")), None, 16, m.settings)
+    link = KeyCounts(m.spark, f"{base}/link", Side(items, ("order_id",)), Side(payments, ("order_id",)), 16, m.settings)
+    for counts in (grain, link):
+        counts.follow()
+    writers.merge_into(m.spark, items, by_year(m.stg["order_items"].filter(~early)), ["order_item_id"], "year", m.settings)
+    removed = by_year(m.stg["payments"].filter("order_id % 10 <> 3"))
+    writers.overwrite(removed, payments, ["year"])
+    for counts in (grain, link):
+        counts.follow()
+    return grain, link
+
+
+@_query("dq_unique_incremental", faulty=True)
+def _(m: Models) -> DataFrame:
+    """Doubled item numbers of an order, by key counts that followed two loads."""
+    return _followed_keys(m)[0].repeated()
+
+
+@_query("dq_relationships_incremental", faulty=True)
+def _(m: Models) -> DataFrame:
+    """Orders of items without a payment, after a second load of items and the removal of payments."""
+    return _followed_keys(m)[1].orphans()
+
+
 @_query("dq_suite_measured", faulty=True)
 def _(m: Models) -> DataFrame:
     """The same report with the row checks counted while the copies are written, and no scan of their own."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,18 +65,19 @@ class BucketedTable:
         """The buckets the rows' keys fall into: at most ``buckets`` numbers."""
         return sorted(r[0] for r in rows.select(bucket_of(self.key, self.buckets)).distinct().collect())
 
-    def replace(self, df: DataFrame, **more) -> versions.Version:
-        """A version that holds ``df`` alone."""
+    def replace(self, df: DataFrame, notes: Mapping[str, int] | None = None, **more) -> versions.Version:
+        """A version that holds ``df`` alone; ``notes`` are the caller's own, beside those of the table."""
         dealt, heavy = self._dealt(df)
-        return versions.replace(self._numbered(dealt), self.path, [BUCKET], notes=self._notes(heavy), write=self._write, **more)
+        return versions.replace(
+            self._numbered(dealt), self.path, [BUCKET], notes={**(notes or {}), **self._notes(heavy)}, write=self._write, **more)
 
-    def merge(self, delta: DataFrame, **more) -> versions.Version | None:
+    def merge(self, delta: DataFrame, notes: Mapping[str, int] | None = None, **more) -> versions.Version | None:
         """Stored rows whose key the delta has give way to the delta's rows; None when the delta is empty.
 
         Repeating a merge leaves the same rows. The delta is read several times: pass stored rows, or it is stored first.
         """
         if not self.exists():
-            return self.replace(delta, **more)
+            return self.replace(delta, notes, **more)
         with WorkFolder(self.spark, "bucketed") as work:
             delta = work.keep(delta, "delta")
             buckets = self.touched(delta)
@@ -87,7 +88,8 @@ class BucketedTable:
             heavy = heavy or bool(versions.version(self.spark, self.path).notes["heavy"])
             # Both sides lie by bucket already, so a bucket gets at most a file of each.
             return versions.replace_partitions(
-                self._numbered(kept.unionByName(fresh)), self.path, BUCKET, buckets, notes=self._notes(heavy), write=self._write, **more)
+                self._numbered(kept.unionByName(fresh)), self.path, BUCKET, buckets,
+                notes={**(notes or {}), **self._notes(heavy)}, write=self._write, **more)
 
     def _matching(self, keys: DataFrame, buckets: Sequence[int], how: str) -> DataFrame:
         stored = self.read(buckets)

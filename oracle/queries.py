@@ -487,6 +487,11 @@ def _suite(cities: int, items: int) -> str:
     return " union all ".join(rows)
 
 
+_FAULTY["dq_unique_incremental"] = """
+    select order_id, item_number, count(*) as row_count from stg_order_items group by 1, 2 having count(*) > 1"""
+_FAULTY["dq_relationships_incremental"] = """
+    select order_id as missing_key, count(*) as row_count from stg_order_items
+    where order_id not in (select order_id from stg_payments where order_id % 10 <> 3) group by 1"""
 _FAULTY["dq_suite"] = _FAULTY["dq_suite_measured"] = _suite(34, 10_000_000)
 _PLAIN["pipe_checks"] = _suite(25, 1_000)
 for _mart in ("city_performance", "customer_segments", "hourly_orders", "monthly_revenue", "payment_method_performance",
