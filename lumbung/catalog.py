@@ -215,6 +215,20 @@ def _(m: Models) -> DataFrame:
     return result
 
 
+@_query("snk_control_ledger")
+def _(m: Models) -> DataFrame:
+    """Marks and last batches after the loads of two years were stamped in turn, each with its batch."""
+    path = shared_folder(m.spark, "ledger")
+    for number, upto in enumerate((datetime(1997, 1, 1), datetime(2100, 1, 1))):
+        for name in ("orders", "payments"):
+            newest = m.stg[name].filter(F.col("loaded_at") <= F.lit(upto)).agg(F.max("loaded_at")).first()[0]
+            writers.stamp(m.spark, path, {name: newest}, (f"stream of {name}", number))
+    rows = writers.watermarks(m.spark, path)
+    batches = {t: writers.last_batch(m.spark, path, f"stream of {t}") for t in ("orders", "payments", "shipments")}
+    last = F.when(F.col("table_name") == "orders", batches["orders"]).otherwise(batches["payments"])
+    return rows.select("*", last.cast("long").alias("last_batch"), F.lit(batches["shipments"]).cast("long").alias("unknown_batch"))
+
+
 @_query("new_data_gate")
 def _(m: Models) -> DataFrame:
     """Orders loaded after the cut, the number the gate compares with zero."""

@@ -170,8 +170,10 @@ class Warehouse:
     def newest_order_load(self, raw: Mapping[str, DataFrame]) -> datetime:
         return raw["orders"].agg(F.max("loaded_at")).first()[0] or writers.EPOCH
 
-    def finish(self, raw: Mapping[str, DataFrame], check: bool, seen: datetime) -> DataFrame | None:
-        """Check, then stamp the run with the newest load time it saw at its start.
+    def finish(
+        self, raw: Mapping[str, DataFrame], check: bool, seen: datetime, batch: tuple[str, int] | None = None
+    ) -> DataFrame | None:
+        """Check, then stamp the run with the newest load time it saw at its start, and a stream's batch with it.
 
         The wall clock would hide rows that land while the run is at work.
         """
@@ -180,7 +182,7 @@ class Warehouse:
             require_passed(self.rollup_report())
             report = self.report(raw)
             require_passed(report)
-        writers.stamp(self.spark, self.control, {LAST_RUN: seen})
+        writers.stamp(self.spark, self.control, {LAST_RUN: seen}, batch)
         return report
 
     def report(self, raw: Mapping[str, DataFrame]) -> DataFrame:

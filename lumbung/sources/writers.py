@@ -138,24 +138,55 @@ def merge_into(
             versions.replace_partitions(merged, path, partition, touched, **more)
 
 
-def stamp(spark: SparkSession, path: str, marks: Mapping[str, datetime]) -> None:
-    """Set high-water marks by table name. The control table keeps every stamp."""
-    schema = T.StructType([
-        T.StructField("table_name", T.StringType()), T.StructField("last_loaded_at", T.TimestampNTZType()),
-    ])
-    rows = spark.createDataFrame(list(marks.items()), schema).coalesce(1)
-    rows.withColumn("stamped_at", F.current_timestamp()).write.mode("append").parquet(path)
+CONTROL = "table_name string, last_loaded_at timestamp_ntz, stamped_at timestamp, stream string, batch_id long"
 
 
-def watermarks(spark: SparkSession, path: str) -> DataFrame:
-    """Latest mark per table name: (table_name, last_loaded_at)."""
+def _control(spark: SparkSession, path: str) -> DataFrame:
+    """A row per stamped table and a row per stream with its last batch."""
     log = table_or_none(spark, path)
     if log is None:
-        log = spark.sql(
-            "select '' as table_name, timestamp_ntz'1970-01-01 00:00:00' as last_loaded_at,"
-            " current_timestamp() as stamped_at where false"
-        )
-    return log.groupBy("table_name").agg(F.max_by("last_loaded_at", "stamped_at").alias("last_loaded_at"))
+        return spark.createDataFrame([], CONTROL)
+    for name, kind in (("stream", "string"), ("batch_id", "long")):
+        if name not in log.columns:  # plain files of earlier stamps
+            log = log.withColumn(name, F.lit(None).cast(kind))
+    return log.select("table_name", "last_loaded_at", "stamped_at", "stream", "batch_id")
+
+
+def stamp(
+    spark: SparkSession, path: str, marks: Mapping[str, datetime], batch: tuple[str, int] | None = None, tries: int = 20, keep: int = 3,
+) -> None:
+    """Set high-water marks by table name, and in the same commit the last batch of a stream (its id, batch number).
+
+    The control table is a version with a row per table and per stream. Of two stamps the one committed later counts, whatever the
+    clocks say; a writer that another one has overtaken reads the table again and repeats.
+    """
+    for attempt in range(tries):
+        before = _control(spark, path)
+        gone = F.coalesce(F.col("table_name").isin(list(marks)), F.lit(False))
+        if batch:
+            gone = gone | F.coalesce(F.col("stream") == batch[0], F.lit(False))
+        now = [(t, at, None, None, None) for t, at in marks.items()] + ([(None, None, None, *batch)] if batch else [])
+        fresh = spark.createDataFrame(now, CONTROL).withColumn("stamped_at", F.current_timestamp())
+        try:
+            versions.replace(before.filter(~gone).unionByName(fresh).coalesce(1), path)
+        except versions.Superseded:
+            if attempt + 1 == tries:
+                raise
+        else:
+            versions.vacuum(spark, path, keep)
+            return
+
+
+def watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """Latest mark per table name: (table_name, last_loaded_at)."""
+    latest = F.max_by("last_loaded_at", F.struct("stamped_at", "last_loaded_at"))  # of earlier stamps in plain files
+    return _control(spark, path).filter("table_name is not null").groupBy("table_name").agg(latest.alias("last_loaded_at"))
+
+
+def last_batch(spark: SparkSession, path: str, stream: str) -> int:
+    """Number of the last batch of a stream that was stamped; -1 when there is none."""
+    found = _control(spark, path).filter(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+    return -1 if found is None else found
 
 
 def watermark(spark: SparkSession, path: str, table: str) -> datetime:

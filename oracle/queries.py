@@ -487,6 +487,9 @@ def _suite(cities: int, items: int) -> str:
     return " union all ".join(rows)
 
 
+_PLAIN["snk_control_ledger"] = " union all ".join(
+    f"select '{t}' as table_name, max(loaded_at) as last_loaded_at, 1::bigint as last_batch, -1::bigint as unknown_batch from stg_{t}"
+    for t in ("orders", "payments"))
 _FAULTY["dq_unique_incremental"] = """
     select order_id, item_number, count(*) as row_count from stg_order_items group by 1, 2 having count(*) > 1"""
 _FAULTY["dq_relationships_incremental"] = """
