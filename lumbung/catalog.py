@@ -28,7 +28,7 @@ from lumbung.plans.suite import DECLARED, run_checks, singular_checks
 from lumbung.plans.warehouse import Warehouse
 from lumbung.schemas import RAW_SCHEMAS
 from lumbung.session import shared_folder
-from lumbung.sources import readers, versions, writers
+from lumbung.sources import ingest, readers, versions, writers
 from lumbung.sources.bucketed import BucketedTable
 from lumbung.sources.tpch_adapter import RetailTables
 
@@ -215,6 +215,37 @@ def _(m: Models) -> DataFrame:
     return result
 
 
+def _loaded_orders(m: Models) -> tuple[str, str]:
+    """Orders taken in by two loads: the second has rows of the first again, two rows of one id, numbers in use, and gaps."""
+    good, bad = shared_folder(m.spark, "ingest"), shared_folder(m.spark, "quarantine")
+    orders = m.raw["orders"]
+    early = F.col("loaded_at") <= F.lit(BATCH_CUT)
+    late = orders.filter(~early | (F.col("order_id") % 50 == 0))
+    changed = late.withColumns({
+        "currency": F.expr("case when order_id % 64 = 1 then null else currency end"),
+        "customer_id": F.expr("case when order_id % 96 = 33 then null else customer_id end"),
+        "loaded_at": F.expr("case when order_id % 64 = 2 then null else loaded_at end")})
+    twice = late.filter("order_id % 64 = 3").withColumn("customer_id", F.expr("customer_id + 1000000"))
+    copied = late.filter("order_id % 64 = 4").withColumn("order_id", F.expr("-order_id"))
+    for number, rows in enumerate((orders.filter(early), changed.unionByName(twice).unionByName(copied))):
+        for _ in range(2):  # the second time it is known
+            ingest.load(m.spark, "orders", rows, good, bad, number, datetime(2003, 1, 1), settings=m.settings)
+    return good, bad
+
+
+@_query("snk_checked_load")
+def _(m: Models) -> DataFrame:
+    """Orders that were stored under all constraints."""
+    return versions.table(m.spark, f"{_loaded_orders(m)[0]}/orders")
+
+
+@_query("snk_quarantine")
+def _(m: Models) -> DataFrame:
+    """Orders that were held back, with every reason."""
+    held = versions.table(m.spark, f"{_loaded_orders(m)[1]}/orders")
+    return held.select("load", "order_id", "order_number", "customer_id", F.array_join("reasons", ",").alias("reasons"))
+
+
 @_query("snk_control_ledger")
 def _(m: Models) -> DataFrame:
     """Marks and last batches after the loads of two years were stamped in turn, each with its batch."""

@@ -487,6 +487,32 @@ def _suite(cities: int, items: int) -> str:
     return " union all ".join(rows)
 
 
+_LOADED = """
+    with late as (select * from stg_orders where loaded_at > timestamp '1999-01-01' or order_id % 50 = 0),
+    delta as (
+        select * replace (case when order_id % 64 <> 1 then currency end as currency,
+            case when order_id % 96 <> 33 then customer_id end as customer_id,
+            case when order_id % 64 = 2 then timestamp '2003-01-01' else loaded_at end as loaded_at) from late
+        union all select * replace (customer_id + 1000000 as customer_id) from late where order_id % 64 = 3
+        union all select * replace (-order_id as order_id) from late where order_id % 64 = 4),
+    marked as (
+        select *, concat_ws(',', case when customer_id is null then 'null:customer_id' end,
+            case when currency is null then 'null:currency' end) as gaps,
+            order_id in (select order_id from stg_orders where loaded_at <= timestamp '1999-01-01') as id_stored,
+            order_number in (select order_number from stg_orders where loaded_at <= timestamp '1999-01-01') as number_stored
+        from delta),
+    by_id as (select *, gaps <> '' or id_stored as out_id, row_number() over (
+        partition by order_id order by gaps <> '' or id_stored, customer_id) as id_place from marked),
+    by_number as (select *, out_id or id_place > 1 or number_stored as out_number, row_number() over (
+        partition by order_number order by out_id or id_place > 1 or number_stored, order_id, customer_id) as number_place from by_id),
+    judged as (select * exclude (gaps), concat_ws(',', nullif(gaps, ''), case when id_stored then 'stored:order_id' end,
+        case when not out_id and id_place > 1 then 'repeated:order_id' end, case when number_stored then 'stored:order_number' end,
+        case when not out_number and number_place > 1 then 'repeated:order_number' end) as reasons from by_number)"""
+_PLAIN["snk_checked_load"] = _LOADED + """
+    select * from stg_orders where loaded_at <= timestamp '1999-01-01'
+    union all select * exclude (id_stored, number_stored, out_id, id_place, out_number, number_place, reasons) from judged where reasons = ''"""
+_PLAIN["snk_quarantine"] = _LOADED + """
+    select 1::bigint as load, order_id, order_number, customer_id, reasons from judged where reasons <> ''"""
 _PLAIN["snk_control_ledger"] = " union all ".join(
     f"select '{t}' as table_name, max(loaded_at) as last_loaded_at, 1::bigint as last_batch, -1::bigint as unknown_batch from stg_{t}"
     for t in ("orders", "payments"))
