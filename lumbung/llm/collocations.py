@@ -17,12 +17,12 @@ is summed before it is shuffled. Other columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -127,45 +127,57 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def phrases(langs: list[bytes], ends: np.ndarray, texts: list[bytes], times: np.ndarray, size: int,
-            frequent: np.ndarray | None) -> tuple[list[bytes], list[bytes], np.ndarray]:
+def _numbered(values: pa.Array | np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number per value, equal for equal values, and the distinct values in the order of their numbers."""
+    encoded = (pa.array(values) if isinstance(values, np.ndarray) else values).dictionary_encode()
+    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
+
+
+def phrase_counts(langs: pa.Array, ends: np.ndarray, texts: pa.Array, times: np.ndarray, size: int,
+                  frequent: np.ndarray | None) -> tuple[pa.Array, pa.Array, np.ndarray]:
     """(lang, phrase, occurrences) of the phrases of ``size`` words that start in the own part of the given chunks.
 
     ``frequent`` is the bitmap of the frequent phrases of one word less; phrases with a part outside of it are left out.
+    Words are split, numbered and joined as Arrow columns: there is no Python object per word or phrase.
     """
-    number = {}
-    lang = np.array([number.setdefault(x, len(number)) for x in langs], np.int64)
-    parts = [t.split(b" ") for t in texts]
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    tokens = [w for p in parts for w in p]
-    ids = defaultdict(count().__next__)
-    flat = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+    lang, known = _numbered(langs)
+    parts = pc.split_pattern(texts, b" ")
+    lengths = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, words = _numbered(parts.flatten())
     own = lengths - np.where(ends, size - 1, SHARED)  # starts of phrases
     own = np.maximum(own, 0)
     chunk = np.repeat(np.arange(len(parts)), own)
     begins = np.cumsum(lengths) - lengths
     at = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own) + begins[chunk]
-    words = list(ids)
     if frequent is not None:
-        by_lang, by_word = _word_hashes(list(number)), _word_hashes(words)
-        h = [_paired(by_lang[lang[chunk]], by_word[flat[at + i]]) for i in range(size)]
+        by_lang, by_word = _word_hashes(known.to_pylist()), _word_hashes(words.to_pylist())
+        spread = _paired(np.repeat(by_lang[lang], lengths), by_word[flat])  # per word of the chunks
         if size == 2:
-            keep = _known(frequent, h[0]) & _known(frequent, h[1])
+            good = _known(frequent, spread)
         else:
-            keep = _known(frequent, _paired(h[0], h[1])) & _known(frequent, _paired(h[1], h[2]))
+            good = np.append(_known(frequent, _paired(spread[:-1], spread[1:])), False)  # over the edge of a chunk: never looked at
+        keep = good[at] & good[at + 1]
         at, chunk = at[keep], chunk[keep]
-    code, room = lang[chunk], len(number)
+    code, room = lang[chunk], len(known)
     for i in range(size):
         if room * len(words) >= 1 << 62:  # number the distinct prefixes, so that codes stay small
-            code, room = np.unique(code, return_inverse=True)[1], len(code)
+            code, room = _numbered(code)[0], len(code)
         code, room = code * len(words) + flat[at + i], room * len(words)
-    _, where, inverse = np.unique(code, return_index=True, return_inverse=True)
+    number, distinct = _numbered(code)
+    where = np.empty(len(distinct), np.int64)
+    where[number] = np.arange(len(number))  # one place of each phrase
     sums = np.zeros(len(where), np.int64)
-    np.add.at(sums, inverse, times[chunk])
-    spots = at[where].tolist()
-    names = [tokens[s] if size == 1 else b" ".join(tokens[s: s + size]) for s in spots]
-    known = list(number)
-    return [known[x] for x in lang[chunk[where]].tolist()], names, sums
+    np.add.at(sums, number, times[chunk])
+    spots = at[where]
+    taken = [words.take(pa.array(flat[spots + i])) for i in range(size)]
+    return known.take(pa.array(lang[chunk[where]])), taken[0] if size == 1 else pc.binary_join_element_wise(*taken, pa.scalar(b" ", words.type)), sums
+
+
+def phrases(langs: list[bytes], ends: np.ndarray, texts: list[bytes], times: np.ndarray, size: int,
+            frequent: np.ndarray | None) -> tuple[list[bytes], list[bytes], np.ndarray]:
+    """``phrase_counts`` of chunks in lists."""
+    known, names, sums = phrase_counts(pa.array(langs, pa.large_binary()), ends, pa.array(texts, pa.large_binary()), times, size, frequent)
+    return known.to_pylist(), names.to_pylist(), sums
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 60_000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -184,11 +196,11 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 60_000, size: int =
 def _count(size: int, frequent: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _gathered(batches):
-            got = phrases(
-                b.column("lang").cast(pa.binary()).to_pylist(), b.column("ends").to_numpy(zero_copy_only=False),
-                b.column("chunk").cast(pa.large_binary()).to_pylist(), b.column("times").to_numpy(), size, frequent)
+            lang, phrase, f = phrase_counts(
+                b.column("lang").cast(pa.large_binary()), b.column("ends").to_numpy(zero_copy_only=False),
+                b.column("chunk").cast(pa.large_binary()), b.column("times").to_numpy(), size, frequent)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(got[0], pa.binary()).cast(pa.string()), pa.array(got[1], pa.binary()).cast(pa.string()), pa.array(got[2], pa.int64())],
+                [lang.cast(pa.binary()).cast(pa.string()), phrase.cast(pa.binary()).cast(pa.string()), pa.array(f, pa.int64())],
                 ["lang", "phrase", "f"])
     return run
 

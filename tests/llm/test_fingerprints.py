@@ -9,6 +9,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -64,6 +65,27 @@ def test_chunks_hold_every_phrase_once():
             assert len({g[1:] for g in got}) < len(got)
 
 
+def test_phrases_are_counted_as_arrow_columns():
+    """No Python object per word or phrase: op11's CPU seconds were above its budget."""
+    langs = pa.array([b"en", b"de", b"en", b"en"], pa.large_binary())
+    chunks = pa.array([b"a b c", b"a b c", b"a b a b", b""], pa.large_binary())
+    ends, times = np.array([True, True, False, True]), np.array([2, 1 << 60, 3, 5])
+    want = {
+        1: {(b"en", b"a"): 5, (b"en", b"b"): 5, (b"en", b"c"): 2, (b"en", b""): 5,
+            (b"de", b"a"): 1 << 60, (b"de", b"b"): 1 << 60, (b"de", b"c"): 1 << 60},
+        2: {(b"en", b"a b"): 5, (b"en", b"b c"): 2, (b"en", b"b a"): 3, (b"de", b"a b"): 1 << 60, (b"de", b"b c"): 1 << 60},
+        3: {(b"en", b"a b c"): 2, (b"en", b"a b a"): 3, (b"en", b"b a b"): 3, (b"de", b"a b c"): 1 << 60},
+    }
+    full, empty = np.full(collocations.BITS // 64, np.iinfo(np.uint64).max), np.zeros(collocations.BITS // 64, np.uint64)
+    for size in (1, 2, 3):
+        for frequent in (None, full):
+            lang, phrase, f = collocations.phrase_counts(langs, ends, chunks, times, size, frequent if size > 1 else None)
+            assert isinstance(lang, pa.Array) and isinstance(phrase, pa.Array)
+            assert dict(zip(zip(lang.to_pylist(), phrase.to_pylist(), strict=True), f.tolist(), strict=True)) == want[size]
+        if size > 1:
+            assert len(collocations.phrase_counts(langs, ends, chunks, times, size, empty)[2]) == 0
+
+
 def test_collocations_are_those_of_brute_force(spark, awkward, empty):
     r = random.Random(5)
     rows = [(i, " ".join(r.choice(["New", "york", "city", "the", "red", "fox,", "of", "é", "\x1c", "a\x00b", "x.\ty"]) for _ in range(60)), r.choice(["en", "und", None]), None, i) for i in range(60)]
