@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from conftest import TINY, rows
+from pyspark.sql import functions as F
+from small import base_rows, frames
 
 from lumbung.functions import surrogate_key
+from lumbung.operators.skew import SkewSettings
 from lumbung.plans import delta_marts, kpis, marts
+from lumbung.plans.models import Models
 from lumbung.session import DROP_SHUFFLES, short_shuffles
 from lumbung.sources import versions, writers
 
+SHUFFLED = SkewSettings(broadcast_bytes=0, broadcast_rows=0)
 ITEMS = "order_id long, product_nk long, category_key string, customer_nk long, quantity int, total_payment long, profit long, is_returned boolean, is_cancelled boolean"
 
 
@@ -53,6 +58,16 @@ def test_hashed_keys_of_a_stored_table_are_made_behind_its_shuffle(spark, tmp_pa
     assert rows(versions.table(spark, path).select("id", "hashed", "part")) == rows(want)
 
 
+def test_the_fact_hashes_categories_behind_its_joins(spark):
+    m = Models(spark, frames(spark, base_rows()), settings=SHUFFLED)
+    fact = m["fct_order_item"]
+    above = fact.select("category_key")._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]  # made of joined rows
+    assert "md5" in above and "category_nk" in above
+    of = m["dim_product"].select("product_nk", F.col("category_key").alias("want"))
+    found = fact.join(of, "product_nk").select("order_item_id", F.expr("category_key = want"))
+    assert rows(found) == [(1, True), (2, True), (3, True), (5, True)]
+
+
 def test_a_new_state_shuffles_its_source_once_and_holds_products_by_id(spark, tmp_path):
     rows_of = [(100, 1, "c", 10, 2, 900, 300, True, False), (100, 2, "c", 10, 1, 400, 100, False, True), (101, 1, "c", 10, 1, 5, 1, False, False)]
     source, path = str(tmp_path / "fact"), str(tmp_path / "state")
