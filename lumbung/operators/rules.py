@@ -109,9 +109,11 @@ def allocated_whole(items: DataFrame, pools: DataFrame, settings: SkewSettings =
         "cashback_pool + electronics_pool as _voucher_pool", "shipping_pool as _shipping_pool", f"{worth} as _shipping_weight",
         f"if(electronics_pool > 0 and not (category_name <=> '{ELECTRONICS}'), 0L, {worth}) as _voucher_weight",
     )
-    totals = weighed.groupBy("order_id").agg(
-        F.sum("_voucher_weight").alias("_voucher_total"), F.sum("_shipping_weight").alias("_shipping_total"), F.count(F.lit(1)).alias("_n"))
-    shared = skew_join(weighed, totals, ["order_id"], "inner", settings, measure=items.select("order_id"))
+    # Totals beside the rows: a sum joined back would compute the items, their categories and pools once more.
+    shared = ordered(
+        weighed.withColumn("_one", F.lit(1).cast("long")), ["order_id"], ["order_item_id"],
+        OrderedSpec(totals={"_voucher_total": "_voucher_weight", "_shipping_total": "_shipping_weight", "_n": "_one"}), settings,
+        measure=items.select("order_id")).drop("_one")
     for name, amount in (("voucher", "voucher_amount"), ("shipping", "shipping_subsidy")):
         before = shared.columns
         total = f"if(_{name}_total = 0, _n, _{name}_total)"

@@ -42,3 +42,10 @@ def test_item_amounts_add_up_to_every_pool(spark, settings):
 
 def test_no_items(spark):
     assert rules.allocated_whole(spark.createDataFrame([], ITEMS), spark.createDataFrame([(1, 5, 0, 5)], POOLS)).count() == 0
+
+
+def test_items_and_pools_are_computed_once(spark):
+    items = spark.createDataFrame([(1, 7, 1, 1, 100, 0, 0, "Electronics")], ITEMS)
+    got = rules.allocated_whole(items, spark.createDataFrame([(7, 5, 0, 3)], POOLS))
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+    assert rows(got.select("voucher_amount", "shipping_subsidy")) == [(5, 3)]
