@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm.common import Scratch, checked, connected, hot_join, result, same_text, slices, table
+from lumbung.session import COMPRESSION, short_shuffles
 
 CELLS = 1 << 16
 WORD_CELLS = 1 << 17
@@ -433,8 +434,9 @@ class _Join:
         self.cells = common
         signed = keep(self._texts(self.classes).mapInArrow(
             _prefixes(words, num, den, common, word_counts), f"cid long, n long, prefix array<long>, wide binary, bits binary, {_LANE_TYPES}"), "signed")
-        self.signed = signed
         members = self._members(signed)
+        self.signed = keep(signed.drop("prefix"), "signs")
+        self.scratch.drop("signed")
 
         # The first class of a block is its smallest, so every member is the larger side of its pairs.
         room = (num + den) * F.expr("least(n - pos, first_n - first_pos)") >= num * F.expr("n + first_n")
@@ -444,13 +446,16 @@ class _Join:
         roots = connected(stars, self.scratch, "stars")
 
         # A few pairs of each class first, then all that are still apart.
+        self.scratch.drop("stars", "star_near", "star_wanted", "star_sets")
         links, done, taken = stars, None, 0
         for few in (*FEW, 0):
             taken += few
             pairs = keep(self._tree_join(members, roots, done, few, taken), f"pairs_{few}")
             if pairs.isEmpty():
                 break
+            self.scratch.drop(*(f"tree_{few}_{x}" for x in ("held", "mixed", "open", "chunks", "nodes", "live")))
             links = keep(links.unionByName(self._verified(pairs, f"tree_{few}")), f"links_{few}")
+            self.scratch.drop(*(f"tree_{few}_{x}" for x in ("near", "wanted", "sets")))
             roots = connected(links, self.scratch, f"links_{few}")
             done = pairs if done is None else done.unionByName(pairs)
 
@@ -526,7 +531,7 @@ class _Join:
         # The first open blocks of each class let a pair that shares many blocks be reported (almost) once.
         first = F.slice(F.sort_array(F.collect_list(F.struct("pos", "token"))), 1, len(_LEAST))
         least = open_.groupBy("cid").agg(first.getField("token").alias("least"))
-        signs = self.signed.drop("prefix", "wide", *_LANES).join(least, "cid").select(
+        signs = self.signed.drop("wide", *_LANES).join(least, "cid").select(
             "cid", "n", "bits", *[F.coalesce(F.get("least", F.lit(i)), F.lit((1 << 63) - 1)).alias(m) for i, m in enumerate(_LEAST)])
         usual = open_.filter(F.col("size") <= self.block_rows).join(signs, "cid").withColumn("side", F.lit(0))
         pairs = usual.repartition("token").sortWithinPartitions("token").mapInArrow(
@@ -580,7 +585,7 @@ def jaccard_components(docs: DataFrame, scratch: Scratch, words: int = 5, num: i
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by links of 85 % on 4-word shingles."""
-    with Scratch(spark, "jaccard") as scratch:
+    with short_shuffles(spark), Scratch(spark, "jaccard", COMPRESSION) as scratch:
         rows = jaccard_components(table(spark, sf_dir, "documents"), scratch, words=4, num=85)
         return result(rows.drop("text_hash"), "op8")
 
@@ -590,7 +595,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows that repeat id and text are one document and stay or go together. Documents without an id stay.
     """
-    with Scratch(docs.sparkSession, "jaccard") as scratch:
+    with short_shuffles(docs.sparkSession), Scratch(docs.sparkSession, "jaccard", COMPRESSION) as scratch:
         rows = jaccard_components(docs.select("doc_id", "text"), scratch)
         gone = rows.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         gone = checked(result(gone.distinct(), "gone"))
