@@ -106,7 +106,7 @@ _TYPES = [pa.int64()] * 5 + [pa.string()]
 
 def _measure(bpe: str | None, piece: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = byte_bpe_ranks(bpe, extra=fallback_counts(piece), width=2, cap=300_000)
+        pieces = byte_bpe_ranks(bpe, extra=fallback_counts(piece), width=2, cap=200_000)
         for b in slices(batches):
             pieces.start()
             texts = [t or b"" for t in b.column("text").cast(pa.large_binary()).to_pylist()]

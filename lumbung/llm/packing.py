@@ -53,7 +53,7 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def _count(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = byte_bpe_ranks(path)
+        pieces = byte_bpe_ranks(path, cap=200_000)
         for b in slices(batches):
             pieces.start()
             slots = [text_slots(t or "", pieces) for t in b.column("text").to_pylist()]
