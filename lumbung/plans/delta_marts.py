@@ -16,7 +16,7 @@ built anew from the whole source.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lumbung.functions import surrogate_key
 from lumbung.operators.skew import DEFAULT, SkewSettings
-from lumbung.session import WorkFolder
+from lumbung.session import COMPRESSION, WorkFolder
 from lumbung.sources import versions
 
 from . import marts
@@ -32,6 +32,7 @@ from . import marts
 #: Fractional measures are kept as decimals with six digits, so that differences cancel exactly; all others are whole numbers.
 FRACTIONAL = {"minutes_sum": "decimal(38,6)"}
 BUCKET = "bucket"
+BUCKETS_AT_ONCE = 4  # of a state, that one query makes: its shuffle files can go before the next one starts
 SOURCE_VERSION = "source_version"
 
 
@@ -115,11 +116,19 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
         if state.bucket:
             delta = delta.withColumn(BUCKET, F.expr(f"cast(pmod(xxhash64({state.bucket}), {buckets}) as int)"))
         columns = [*state.keys, *([BUCKET] if state.bucket else [])]
+
+        def write(df: DataFrame, folder: str) -> None:
+            for some in _in_parts(df, buckets):
+                some.write.mode("append").option("compression", COMPRESSION).partitionBy(BUCKET).parquet(folder)
+
         if not old:  # the differences are the state
             first = delta.filter("row_count <> 0").select(*columns, *_values(state))
-            versions.replace(first if state.bucket else first.coalesce(1), path, [BUCKET] if state.bucket else [], notes=notes)
+            if state.bucket:
+                versions.replace(first, path, [BUCKET], notes=notes, write=write)
+            else:
+                versions.replace(first.coalesce(1), path, notes=notes)
             return
-        delta = work.keep(delta, "delta")
+        delta = work.keep_parts(_in_parts(delta, buckets) if state.bucket else [delta], "delta")
 
         def merged(now: DataFrame) -> DataFrame:
             return now.unionByName(delta).groupBy(*columns).agg(*_summed(state)).filter("row_count <> 0")
@@ -129,7 +138,13 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
             return
         touched = [r[0] for r in delta.select(BUCKET).distinct().collect()]  # at most ``buckets``
         now = versions.table(spark, path).filter(F.col(BUCKET).isin(touched))
-        versions.replace_partitions(merged(now), path, BUCKET, touched, notes=notes)
+        versions.replace_partitions(merged(now), path, BUCKET, touched, notes=notes, write=write)
+
+
+def _in_parts(df: DataFrame, buckets: int) -> Iterator[DataFrame]:
+    """The rows of some buckets at a time. The key a bucket is made of is a key of every aggregation, so sources are filtered."""
+    for i in range(0, buckets, BUCKETS_AT_ONCE):
+        yield df.filter((F.col(BUCKET) >= i) & (F.col(BUCKET) < i + BUCKETS_AT_ONCE))
 
 
 def sums(spark: SparkSession, name: str, path: str) -> DataFrame:

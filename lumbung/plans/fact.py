@@ -34,7 +34,7 @@ FACT_COLUMNS = [
 LATE_KEYS = {"order_item_key": surrogate_key("order_item_id"), "product_key": surrogate_key("product_nk")}
 
 #: What ``fct_of_orders`` keeps in its work folder; of no use once its rows are written.
-SLICE_INPUTS = ("orders", "items")
+SLICE_INPUTS = ("resolved", "items")
 
 
 @dataclass(frozen=True)
@@ -122,7 +122,9 @@ def fct_of_orders(
         touched = narrowed["orders"].select("order_id").distinct()
     items = lookup_join(stg["order_items"], touched, ["order_id"], "left_semi", settings)
     items = work.keep(latest_rows(items, "order_item_id"), "items")
-    return _items_with_orders(items, resolved_orders(narrowed, dims, settings), dims, settings)
+    orders = work.keep(resolved_orders(narrowed, dims, settings), "resolved")
+    work.drop("orders")
+    return _items_with_orders(items, orders, dims, settings)
 
 
 def _history_of(stg: Mapping[str, DataFrame], touched: DataFrame, settings: SkewSettings) -> dict[str, DataFrame]:

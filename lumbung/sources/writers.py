@@ -20,7 +20,7 @@ from lumbung.sources import versions
 
 EPOCH = datetime(1970, 1, 1)
 #: Partitions that a merge writes in one query; the shuffle files of one query can go before the next one starts.
-AT_ONCE = 24
+AT_ONCE = 12
 
 
 class Gate(Protocol):
