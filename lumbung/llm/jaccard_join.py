@@ -47,6 +47,7 @@ SHARED = 4  # times the mean count that makes a cell one of widely shared shingl
 LANES = 16  # 64-bit lanes of the narrowest bitmap: 1024 bits
 FAN = 8  # children of a tree node
 PAIRS = 1 << 16  # node pairs looked at in one step
+PAIR_BYTES = 1 << 22  # bitmaps of either side of node pairs that are compared at once
 ROWS = 1 << 15  # rows of small blocks taken together; one with a wide bitmap counts as several
 ROW_BYTES = 256
 FEW = (16,)  # pairs of a class that are verified in the first rounds, before all others
@@ -222,14 +223,20 @@ class SignatureTree:
 
 def _possible(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray, num: int, den: int) -> np.ndarray:
     """Node pairs that may hold linked members of different components."""
-    both = np.bitwise_count(a[0][i] & b[0][j]).sum(1).astype(np.int64)
-    # A member has at least as many shingles outside the other node as it has bits outside its OR.
-    most = np.minimum(a[2][i] - np.maximum(a[3][i] - both, 0), b[2][j] - np.maximum(b[3][j] - both, 0))
-    most = np.minimum(most, np.minimum(a[6][i], b[6][j]))
+    most = np.minimum(np.minimum(a[6][i], b[6][j]), np.minimum(a[2][i], b[2][j]))
     fits = (num + den) * most >= num * (a[1][i] + b[1][j])
     fits &= (den * a[2][i] >= num * b[1][j]) & (den * b[2][j] >= num * a[1][i])
-    one = (a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j])
-    return fits & ~one
+    fits &= ~((a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j]))
+    # Bitmaps last, so many at once that their copies stay small however wide they are.
+    left, step = np.flatnonzero(fits), max(1, PAIR_BYTES // (8 * a[0].shape[1]))
+    for s in range(0, len(left), step):
+        k = left[s: s + step]
+        p, q = i[k], j[k]
+        both = np.bitwise_count(a[0][p] & b[0][q]).sum(1).astype(np.int64)
+        # A member has at least as many shingles outside the other node as it has bits outside its OR.
+        rest = np.minimum(a[2][p] - np.maximum(a[3][p] - both, 0), b[2][q] - np.maximum(b[3][q] - both, 0))
+        fits[k] = (num + den) * rest >= num * (a[1][p] + b[1][q])
+    return fits
 
 
 def tree_pairs(a: SignatureTree, b: SignatureTree, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
