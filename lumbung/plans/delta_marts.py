@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.functions import surrogate_key
-from lumbung.operators.skew import DEFAULT, SkewSettings
-from lumbung.session import COMPRESSION, WorkFolder
+from lumbung.operators.skew import DEFAULT, SkewSettings, estimated_bytes
+from lumbung.session import COMPRESSION, WorkFolder, parts_of, side_by_side
 from lumbung.sources import versions
 
 from . import marts
@@ -100,8 +100,11 @@ def signed(state: State, went: DataFrame, came: DataFrame) -> DataFrame:
     return both.groupBy(*state.keys).agg(*_summed(state)).filter(changed)
 
 
-def update(spark: SparkSession, state: State, path: str, source: str, rebuild: bool = False, buckets: int = 16) -> None:
-    """Bring the state stored at ``path`` up to the newest version of the table ``source``."""
+def update(spark: SparkSession, state: State, path: str, source: str, rebuild: bool = False, buckets: int = 16, whole: int = 0) -> None:
+    """Bring the state stored at ``path`` up to the newest version of the table ``source``.
+
+    A query makes ``BUCKETS_AT_ONCE`` buckets, or more while the differences have at most ``whole`` bytes for each query.
+    """
     newest = versions.version(spark, source)
     old = None if rebuild else versions.version(spark, path)
     since = old.notes[SOURCE_VERSION] if old else 0
@@ -111,6 +114,8 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
     if diff is None:  # the source's older version is gone
         old, diff = None, versions.changes(spark, source, 0)
     notes = {SOURCE_VERSION: newest.number}
+    size = sum(map(estimated_bytes, diff)) if whole else 0
+    at_once = -(-buckets // parts_of(size, whole, -(-buckets // BUCKETS_AT_ONCE)))
     with WorkFolder(spark, "state") as work:
         delta = signed(state, *diff)
         if state.bucket:
@@ -118,7 +123,7 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
         columns = [*state.keys, *([BUCKET] if state.bucket else [])]
 
         def write(df: DataFrame, folder: str) -> None:
-            for some in _in_parts(df, buckets):
+            for some in _in_parts(df, buckets, at_once):
                 some.write.mode("append").option("compression", COMPRESSION).partitionBy(BUCKET).parquet(folder)
 
         if not old:  # the differences are the state
@@ -128,7 +133,7 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
             else:
                 versions.replace(first.coalesce(1), path, notes=notes)
             return
-        delta = work.keep_parts(_in_parts(delta, buckets) if state.bucket else [delta], "delta")
+        delta = work.keep_parts(_in_parts(delta, buckets, at_once) if state.bucket else [delta], "delta")
 
         def merged(now: DataFrame) -> DataFrame:
             return now.unionByName(delta).groupBy(*columns).agg(*_summed(state)).filter("row_count <> 0")
@@ -141,10 +146,10 @@ def update(spark: SparkSession, state: State, path: str, source: str, rebuild: b
         versions.replace_partitions(merged(now), path, BUCKET, touched, notes=notes, write=write)
 
 
-def _in_parts(df: DataFrame, buckets: int) -> Iterator[DataFrame]:
+def _in_parts(df: DataFrame, buckets: int, at_once: int) -> Iterator[DataFrame]:
     """The rows of some buckets at a time. The key a bucket is made of is a key of every aggregation, so sources are filtered."""
-    for i in range(0, buckets, BUCKETS_AT_ONCE):
-        yield df.filter((F.col(BUCKET) >= i) & (F.col(BUCKET) < i + BUCKETS_AT_ONCE))
+    for i in range(0, buckets, at_once):
+        yield df.filter((F.col(BUCKET) >= i) & (F.col(BUCKET) < i + at_once))
 
 
 def sums(spark: SparkSession, name: str, path: str) -> DataFrame:
@@ -174,7 +179,10 @@ def marts_of(states: Callable[[str], DataFrame], dims: Mapping[str, DataFrame],
     }
 
 
-def refresh(spark: SparkSession, folder: Callable[[str], str], rebuild: bool = False, names: Sequence[str] = tuple(STATES)) -> None:
-    """Bring all states up to date; ``folder`` names where a table is stored."""
-    for name in names:
-        update(spark, STATES[name], folder(f"state_{name}"), folder(STATES[name].source), rebuild)
+def refresh(
+    spark: SparkSession, folder: Callable[[str], str], rebuild: bool = False, names: Sequence[str] = tuple(STATES), whole: int = 0
+) -> None:
+    """Bring all states up to date, those of the fact first; ``folder`` names where a table is stored. No state reads another one."""
+    longest = sorted(names, key=lambda n: STATES[n].source != "fct_order_item")
+    side_by_side([
+        lambda n=name: update(spark, STATES[n], folder(f"state_{n}"), folder(STATES[n].source), rebuild, whole=whole) for name in longest])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.schemas import RAW_SCHEMAS
-from lumbung.session import COMPRESSION, shared_folder, short_shuffles
+from lumbung.session import COMPRESSION, shared_folder, short_listings, short_shuffles, side_by_side
 from lumbung.sources import writers
 from lumbung.sources.readers import raw_tables
 from lumbung.sources.tpch_adapter import RetailTables
@@ -21,6 +21,9 @@ from .warehouse import MONTH, Warehouse
 #: What the singular checks expect of the given tables.
 CITIES, LEAST_ITEMS = 25, 1_000
 
+#: Bytes of files that one query of a run may make; a step over more of them is made in parts.
+WHOLE_BYTES = 192 << 20
+
 _BUILT: dict[tuple[str, str, str], Warehouse] = {}
 
 
@@ -33,8 +36,9 @@ def replayed(spark: SparkSession, sf_dir: str, how: str, calendar: tuple[date, d
     made = (spark.sparkContext.applicationId, sf_dir, how)
     if made in _BUILT:
         return _BUILT[made]
-    w = Warehouse(spark, shared_folder(spark, f"warehouse-{how}"), calendar, as_of, city_rows=CITIES, minimum_items=LEAST_ITEMS)
-    with short_shuffles(spark):
+    w = Warehouse(spark, shared_folder(spark, f"warehouse-{how}"), calendar, as_of, city_rows=CITIES, minimum_items=LEAST_ITEMS,
+                  whole_bytes=WHOLE_BYTES)
+    with short_shuffles(spark), short_listings(spark):
         _build(w, sf_dir, how, cut)
     for old in [k for k in _BUILT if k[0] != made[0]]:  # of sessions that have ended
         del _BUILT[old]
@@ -45,8 +49,8 @@ def replayed(spark: SparkSession, sf_dir: str, how: str, calendar: tuple[date, d
 def _build(w: Warehouse, sf_dir: str, how: str, cut: datetime) -> None:
     spark = w.spark
     tables = RetailTables(spark, sf_dir)
-    for t in RAW_SCHEMAS:
-        tables[t].write.option("compression", COMPRESSION).parquet(f"{w.base}/raw/{t}")
+    longest = sorted(RAW_SCHEMAS, key=lambda t: t != "order_items")
+    side_by_side([lambda t=t: tables[t].write.option("compression", COMPRESSION).parquet(f"{w.base}/raw/{t}") for t in longest])
     raw = stored_raw(w)
     if how == "full":
         w.run_full(raw)

@@ -8,7 +8,7 @@ rewrites the months it touches and date filters prune; marts follow the changed
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
 from lumbung.operators import quality
-from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
-from lumbung.session import WorkFolder
+from lumbung.operators.skew import DEFAULT, SkewSettings, estimated_bytes, lookup_join
+from lumbung.session import WorkFolder, parts_of, side_by_side
 from lumbung.sources import versions, writers
 
 from . import delta_marts, marts
@@ -33,12 +33,16 @@ from .suite import DECLARED, require_passed, run_checks, singular_checks
 LAST_RUN = "_dbt_last_run"  # Fixed value: name of the run stamp in the control table.
 MONTH = "order_month"
 HEADERS = ["orders", "payments", "shipments"]
-SLICE_PARTS = 4  # Queries, by hash of the order, that make the fact rows of an incremental run.
+SLICE_PARTS = 4  # Queries, by hash of the order, that make the fact rows of an incremental run, at most.
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where and how a warehouse is built."""
+    """Where and how a warehouse is built.
+
+    Runs make slices, roll-ups, states and merges in several queries, so that shuffle files of one go before the next starts.
+    ``whole_bytes``: a step uses no more queries than its files have times this many bytes; 0 always uses all of them.
+    """
 
     spark: SparkSession
     base: str
@@ -49,6 +53,7 @@ class Warehouse:
     minimum_items: int = 10_000
     check_models: Sequence[str] | None = field(default=None)
     keep_versions: int = 3
+    whole_bytes: int = 0
 
     def path(self, model: str) -> str:
         return f"{self.base.rstrip('/')}/analytics/{model}"
@@ -73,8 +78,7 @@ class Warehouse:
         """Rebuild every stored model, check, stamp; returns the check report."""
         seen = self.newest_order_load(raw)
         models = self.models(raw)
-        for name in DIMENSIONS:
-            writers.overwrite(models[name], self.path(name), gate=self._gate(name, check))
+        self._write_dimensions(models, DIMENSIONS, check)
         models = self.models(raw, DIMENSIONS)
         self._write_by_month(with_month(models["fct_order_item"]), "fct_order_item", self._gate("fct_order_item", check), LATE_KEYS)
         self._write_by_month(self._rollup(self.stored("fct_order_item")), "order_rollup")
@@ -122,9 +126,7 @@ class Warehouse:
         they are. With ``check``, rows are checked while they are written: a table with a violation stays as it was.
         """
         models = self.models(raw)
-        for name in DIMENSIONS:
-            if name != "dim_order_flags":
-                writers.overwrite(models[name], self.path(name), gate=self._gate(name, check))
+        self._write_dimensions(models, [d for d in DIMENSIONS if d != "dim_order_flags"], check)
         with WorkFolder(self.spark, "slice") as work:
             touched = work.keep(orders.filter("order_id is not null").distinct(), "touched")
             # New flag combinations can only come from the touched orders.
@@ -135,22 +137,31 @@ class Warehouse:
             rows = fct_of_orders(
                 current.stg, current.dimensions(stored_status_and_flags=True), touched, work, self.settings, refresh_customers)
             rows = with_month(rows).drop(*LATE_KEYS)
-            part = F.expr(f"pmod(xxhash64(order_id), {SLICE_PARTS})")
-            delta = work.keep_parts((rows.filter(part == i) for i in range(SLICE_PARTS)), "fact")
+            delta = work.keep_parts(self._in_parts(rows), "fact")
             work.drop("touched", *SLICE_INPUTS)
             # The roll-up tells in which month an order is stored; it is merged last, so a repeated run finds it as it was.
             index = writers.table_or_none(self.spark, self.path("order_rollup"))
             writers.merge_into(
                 self.spark, self.path("fct_order_item"), delta, ["order_id"], MONTH, self.settings, index, stored=True,
-                gate=self._gate("fct_order_item", check), late=LATE_KEYS)
+                gate=self._gate("fct_order_item", check), late=LATE_KEYS, whole=self.whole_bytes)
             with WorkFolder(self.spark, "rollup") as sums:
-                orders = sums.keep_parts((self._rollup(delta.filter(part == i)) for i in range(SLICE_PARTS)), "delta")
-                writers.merge_into(self.spark, self.path("order_rollup"), orders, ["order_id"], MONTH, self.settings, stored=True)
+                orders = sums.keep_parts(map(self._rollup, self._in_parts(delta)), "delta")
+                writers.merge_into(
+                    self.spark, self.path("order_rollup"), orders, ["order_id"], MONTH, self.settings, stored=True, whole=self.whole_bytes)
         if refresh_marts:
             self._write_marts()
 
     # steps
 
+    def _write_dimensions(self, models: Models, names: Sequence[str], check: bool) -> None:
+        """Dimensions follow from raw tables alone, so none waits for another."""
+        side_by_side([lambda n=name: writers.overwrite(models[n], self.path(n), gate=self._gate(n, check)) for name in names])
+
+    def _in_parts(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """The rows of some orders at a time."""
+        parts = parts_of(estimated_bytes(rows) if self.whole_bytes else 0, self.whole_bytes, SLICE_PARTS)
+        yield from [rows] if parts == 1 else (rows.filter(F.expr(f"pmod(xxhash64(order_id), {parts}) = {i}")) for i in range(parts))
+
     def _rollup(self, fact: DataFrame) -> DataFrame:
         return with_month(marts.order_rollup(fact))
 
@@ -166,11 +177,11 @@ class Warehouse:
 
     def _write_marts(self, rebuild: bool = False) -> None:
         """Bring the marts' states up to the newest fact and roll-up, and write the marts from them."""
-        delta_marts.refresh(self.spark, self.path, rebuild)
+        delta_marts.refresh(self.spark, self.path, rebuild, whole=self.whole_bytes)
         state = lambda name: delta_marts.sums(self.spark, name, self.path(f"state_{name}"))
         dims = {d: self.stored(d) for d in DIMENSIONS}
-        for name, df in delta_marts.marts_of(state, dims, self.settings).items():
-            writers.overwrite(df, self.path(name))
+        side_by_side([
+            lambda n=name, df=df: writers.overwrite(df, self.path(n)) for name, df in delta_marts.marts_of(state, dims, self.settings).items()])
         writers.overwrite(marts.voucher_recommendations(self.stored("mart_customer_segments")), self.path("mart_voucher_recommendations"))
         for name in [*DIMENSIONS, *MARTS, "fct_order_item", "order_rollup", *(f"state_{s}" for s in delta_marts.STATES)]:
             versions.vacuum(self.spark, self.path(name), self.keep_versions)
@@ -187,8 +198,8 @@ class Warehouse:
         """
         report = None
         if check:
-            require_passed(self.rollup_report())
-            report = self.report(raw)
+            rollup, report = side_by_side([lambda: self.rollup_report().collect(), lambda: self.report(raw)])
+            require_passed(report_frame(self.spark, rollup))
             require_passed(report)
         writers.stamp(self.spark, self.control, {LAST_RUN: seen}, batch)
         return report
@@ -209,16 +220,18 @@ class Warehouse:
         rows = [Row(check=c.kind, model=c.model, column=c.column, n_bad=0) for c in known if chosen(c.model)]
         # A query per model, with a row per check: the shuffle files of one can go before the next one starts. Checks of the
         # stored fact have nothing to share but its scan, so there each key that shuffles all its rows has a query.
+        queries = []
         for model in sorted({c.model for c in asked} | {m for _, m, _ in singular}):
             if chosen(model):
                 own = [c for c in asked if c.model == model]
                 alone = [c for c in own if c.kind == "unique"] if model == "fct_order_item" else []
                 rest = [c for c in own if c not in alone]
-                for c in alone:
-                    rows += run_checks(models, [c], [], lambda m, here=model: m == here).collect()
+                queries += [(model, [c], []) for c in alone]
                 if rest or any(m == model for _, m, _ in singular):
-                    rows += run_checks(models, rest, singular, lambda m, here=model: m == here).collect()
-        return report_frame(self.spark, rows)
+                    queries.append((model, rest, singular))
+        found = side_by_side([
+            lambda m=model, cs=checks, ss=single: run_checks(models, cs, ss, lambda name: name == m).collect() for model, checks, single in queries])
+        return report_frame(self.spark, [*rows, *(r for part in found for r in part)])
 
     def rollup_report(self) -> DataFrame:
         """Whether the roll-up has one row per order and the sums of the fact, per order month."""

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumbung.operators.skew import DEFAULT, SkewSettings, lookup_join
-from lumbung.session import COMPRESSION, WorkFolder
+from lumbung.operators.skew import DEFAULT, SkewSettings, estimated_bytes, lookup_join
+from lumbung.session import COMPRESSION, WorkFolder, parts_of
 from lumbung.sources import versions
 
 EPOCH = datetime(1970, 1, 1)
@@ -120,12 +120,12 @@ def latest_rows(df: DataFrame, key: str, by: str = "loaded_at") -> DataFrame:
 def merge_into(
     spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str], partition: str,
     settings: SkewSettings = DEFAULT, index: DataFrame | None = None, stored: bool = False, gate: Gate | None = None,
-    late: Mapping[str, str] | None = None, **more,
+    late: Mapping[str, str] | None = None, whole: int = 0, **more,
 ) -> None:
     """Keyed merge into a table partitioned by ``partition``: target rows with a key of the delta give way to its rows.
 
     Only partitions that hold a changed key, now or before, are written anew, once, as a new version; all others stay
-    the same files; at most ``AT_ONCE`` of them per query. A run that stops half way leaves the old version and can be
+    the same files; at most ``AT_ONCE`` of them per query, or more while table and delta have at most ``whole`` bytes for each. A run that stops half way leaves the old version and can be
     repeated. The list of partitions is the only thing that reaches the driver. ``index`` may name a smaller frame (keys, partition) that
     tells in which partitions a key is now; ``stored`` says that the delta is read from files and needs no copy.
     ``late`` names columns that follow from others, as SQL texts: they are made behind the shuffles, and the delta has no need of them.
@@ -152,7 +152,8 @@ def merge_into(
         if not versions.exists(spark, path):  # plain files so far: the first version holds them all
             overwrite(merged(target, delta), path, [partition], gate, late, **more)
             return
-        parts = -(-len(touched) // AT_ONCE)
+        size = estimated_bytes(target) + estimated_bytes(delta) if whole else 0
+        parts = parts_of(size, whole, -(-len(touched) // AT_ONCE))
 
         def write(_: DataFrame, folder: str) -> None:
             for some in (touched[i::parts] for i in range(parts)):
