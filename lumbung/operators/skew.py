@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumbung.session import shared_folder
 
@@ -26,7 +27,10 @@ class SkewSettings:
     check_bytes: inputs whose files are smaller are not examined: 4 million rows of one key need more, at four
         bytes a row.
     group_rows: rows of one key a single task may receive.
-    broadcast_bytes: size of the tables below a lookup up to which it is broadcast unseen.
+    unseen_bytes: size of the tables below a lookup up to which it is broadcast unseen.
+    broadcast_bytes: the same, up to which it is broadcast if its rows, counted by a job, fit into ``broadcast_memory``.
+    broadcast_memory: bytes that a broadcast may take in the driver and in each executor. Files tell little about it: five
+        million sorted ids are 16 MB of Parquet and half a gigabyte as a hash table.
     broadcast_rows: row count, verified by a job, up to which any other lookup is broadcast.
     """
 
@@ -34,6 +38,8 @@ class SkewSettings:
     group_rows: int = 4_000_000
     broadcast_bytes: int = 16 << 20
     broadcast_rows: int = 100_000
+    unseen_bytes: int = 1 << 20
+    broadcast_memory: int = 64 << 20
 
 
 DEFAULT = SkewSettings()
@@ -59,6 +65,11 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def row_bytes(df: DataFrame) -> int:
+    """About what a row takes in a hash table: pointers and places beside its columns."""
+    return 32 + sum(8 if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)) else 32 for f in df.schema.fields)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], settings: SkewSettings = DEFAULT) -> list[Row]:
     """Heavy keys with their row counts: all of them, fewer than rows / group_rows."""
     if estimated_bytes(df) < settings.check_bytes:
@@ -154,6 +165,14 @@ def skew_join(
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
+def _may_broadcast(lookup: DataFrame, settings: SkewSettings) -> bool:
+    size = estimated_bytes(lookup)
+    if size <= min(settings.unseen_bytes, settings.broadcast_bytes):
+        return True
+    fitting = settings.broadcast_memory // row_bytes(lookup) if size <= settings.broadcast_bytes else 0
+    return has_at_most(lookup, max(settings.broadcast_rows, fitting))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -167,9 +186,10 @@ def lookup_join(
 
     ``unique`` declares that ``left`` holds few rows per key, e.g. of its primary key: no key is looked for then.
     """
-    small = estimated_bytes(lookup) <= settings.broadcast_bytes
-    if small or has_at_most(lookup, settings.broadcast_rows):
+    if _may_broadcast(lookup, settings):
         return left.join(F.broadcast(lookup), list(keys), how)
+    if estimated_bytes(lookup) <= settings.broadcast_bytes:
+        lookup = lookup.hint("merge")  # else Spark broadcasts small files by itself
     if unique:
         return left.join(lookup, list(keys), how)
     return skew_join(left, lookup, keys, how, settings, measure)
