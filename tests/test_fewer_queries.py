@@ -9,6 +9,7 @@ import pytest
 import small
 from conftest import rows
 
+from lumbung.plans.gates import RowGate
 from lumbung.plans.warehouse import Warehouse
 from lumbung.session import LISTED_FOLDERS, WorkFolder, parts_of, short_listings, side_by_side
 from lumbung.sources import versions
@@ -64,3 +65,18 @@ def test_a_small_incremental_run_makes_each_step_in_one_query(spark, tmp_path, m
     w.apply_orders(raw, raw["orders"].select("order_id"), True, check=False)
     assert {t: rows(w.stored(t)) for t in before} == before
     assert kept["fact"] == 1
+
+
+def test_a_large_fact_is_written_in_parts_with_the_same_rows(spark, tmp_path, monkeypatch):
+    raw = small.frames(spark, small.base_rows())
+    found, gates = [], []
+    for whole in (0, 1):
+        observed = RowGate.observed
+        monkeypatch.setattr(RowGate, "observed", lambda self, df: (gates.append((whole, self.model)), observed(self, df))[1])  # noqa: B023
+        w = Warehouse(spark, str(tmp_path / str(whole)), as_of="date'2024-06-01'", city_rows=2, minimum_items=1, whole_bytes=whole, check_models=["fct_order_item"])
+        w.run_full(raw)
+        found.append({t: rows(w.stored(t)) for t in ("fct_order_item", "order_rollup", "mart_monthly_revenue")})
+        assert versions.version(spark, w.path("fct_order_item")).notes["row_checked"] == 1
+        monkeypatch.undo()
+    assert found[0] == found[1] and found[0]["fct_order_item"]
+    assert [gates.count((whole, "fct_order_item")) for whole in (0, 1)] == [1, 4]
